@@ -6,13 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewright.llm import jaccard_join, line_dedup, packing
+from tidewright.llm import decontaminate, jaccard_join, line_dedup, packing, quality
 from tidewright.llm.scratch import Scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go; it learns from the labels of what is here."""
+    trees = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(docs.select(*COLUMNS), trees, out_col="__score").filter(f"__score >= {quality.THRESHOLD}").select(*COLUMNS)
+
+
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that ten or more documents share are removed; ``n_chars`` follows the text."""
     return line_dedup.drop_common_lines(docs).selectExpr("doc_id", "text", "lang", "source", "cast(length(text) as bigint) as n_chars")
@@ -23,11 +29,22 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return jaccard_join.keep_one(docs).select(*COLUMNS)
 
 
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*COLUMNS)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, size=2048)
 
 
-STAGES: list[tuple[str, Stage]] = [("line_dedup", drop_lines), ("ngram_jaccard_join", keep_one_of_each_group), ("best_fit_packing", pack)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", keep_good),
+    ("line_dedup", drop_lines),
+    ("ngram_jaccard_join", keep_one_of_each_group),
+    ("benchmark_decontamination", drop_leaks),
+    ("best_fit_packing", pack),
+]
 
 #: Learned and approximate stages have no SQL; the tests hold them against plain code.
 ORACLE_SQL: str | None = None

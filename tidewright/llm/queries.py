@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, line_dedup, packing, token_counts
+from . import decontaminate, jaccard_join, line_dedup, packing, quality, token_counts
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -36,6 +36,11 @@ FROM marked GROUP BY r, doc_id
 """
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.matches(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return found.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "start", "end", "edits")
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_join.classes(_read(spark, sf_dir, "documents"), jaccard_join.JaccardRule(words=3, num=9, den=10))
     return found.select(F.col("id").alias("doc_id"), F.col("n_grams").alias("n_shingles"), F.col("class_id").alias("component_id"))
@@ -49,11 +54,20 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"), size=2048)
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    trees = quality.train(docs, _read(spark, sf_dir, "labels"))
+    held_out = F.coalesce(quality.fold("doc_id", 5) == 0, F.lit(False))
+    return quality.score(docs.select("doc_id", "text"), trees).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_token_counts": op7_token_counts,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_line_dedup": OP1_SQL}
