@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, line_dedup, packing, quality, token_counts
+from . import decontaminate, embedding_dedup, jaccard_join, line_dedup, packing, quality, token_counts, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -41,6 +41,24 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "start", "end", "edits")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.round_trip(_read(spark, sf_dir, "pages"))
+    return back.select(F.col("key").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), F.col("kind").alias("record_type"), "refers_to")
+
+
+OP4_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), h AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS holder FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> holder THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> holder THEN holder END AS refers_to
+FROM h
+"""
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_join.classes(_read(spark, sf_dir, "documents"), jaccard_join.JaccardRule(words=3, num=9, den=10))
     return found.select(F.col("id").alias("doc_id"), F.col("n_grams").alias("n_shingles"), F.col("class_id").alias("component_id"))
@@ -54,6 +72,30 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"), size=2048)
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_dedup.classes(_read(spark, sf_dir, "embeddings"), threshold=0.93)
+    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("class_id").alias("component_id"), (F.col("id") == F.col("class_id")).alias("kept"))
+
+
+OP9_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+), n AS (
+  SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS norm FROM v
+  WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0
+), links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93
+), reach(v, r) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.v, links.b FROM reach JOIN links ON reach.r = links.a
+), comp AS (
+  SELECT v, min(r) AS c FROM reach GROUP BY v
+)
+SELECT e.vec_id, coalesce(l.n, 0) AS n_links, c.c AS component_id, e.vec_id = c.c AS kept
+FROM embeddings e JOIN comp c ON c.v = e.vec_id LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) l ON l.a = e.vec_id
+"""
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     trees = quality.train(docs, _read(spark, sf_dir, "labels"))
@@ -64,10 +106,12 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op4_warc": op4_warc,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_token_counts": op7_token_counts,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_line_dedup": OP1_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op4_warc": OP4_SQL, "op9_embedding_near_dedup": OP9_SQL}
