@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embedding_dedup, jaccard_join, line_dedup, packing, quality, token_counts, warc
+from . import decontaminate, embedding_dedup, jaccard_join, language_model, line_dedup, packing, quality, token_counts, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -41,6 +41,12 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "start", "end", "edits")
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    found = language_model.score(docs, quality.fold("doc_id", 7) == 2)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = warc.round_trip(_read(spark, sf_dir, "pages"))
     return back.select(F.col("key").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), F.col("kind").alias("record_type"), "refers_to")
@@ -106,6 +112,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_warc": op4_warc,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_token_counts": op7_token_counts,
