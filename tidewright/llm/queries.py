@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embedding_dedup, jaccard_join, language_model, line_dedup, packing, quality, token_counts, warc
+from . import decontaminate, embedding_dedup, jaccard_join, language_model, line_dedup, packing, personal_data, quality, token_counts, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -65,6 +65,17 @@ FROM h
 """
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    found = personal_data.search(docs, personal_data.fit(docs))
+
+    def text(column: str):  # noqa: ANN202
+        return F.array_join(F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in personal_data.KINDS]
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(text("base"), 256).alias("base_sha256"), text("spans").alias("spans"), (F.size("spans") - F.size("base")).cast("long").alias("n_added"))
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_join.classes(_read(spark, sf_dir, "documents"), jaccard_join.JaccardRule(words=3, num=9, den=10))
     return found.select(F.col("id").alias("doc_id"), F.col("n_grams").alias("n_shingles"), F.col("class_id").alias("component_id"))
@@ -114,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_warc": op4_warc,
+    "op5_personal_data": op5_personal_data,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_token_counts": op7_token_counts,
     "op8_best_fit_packing": op8_best_fit_packing,
