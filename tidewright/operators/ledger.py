@@ -1,0 +1,130 @@
+"""Run ledger: costs, quotas, lifecycles and key figures.
+
+Money is summed as integers of 1e-4 and shown as doubles, so that a sum does not
+depend on the order of its rows.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+
+def usd(units: Column) -> Column:
+    return units.cast("double") / 10_000.0
+
+
+def day_of(ts: str = "completed_at") -> Column:
+    return F.date_format(ts, "yyyy-MM-dd")
+
+
+def billable(ledger: DataFrame, day: str, vendor: str | None = None) -> DataFrame:
+    """Runs of a UTC day with a cost, failed ones too; the half-open range reaches the scan."""
+    start = dt.date.fromisoformat(day)
+    end = start + dt.timedelta(days=1)
+    out = ledger.filter((F.col("completed_at") >= F.lit(dt.datetime.combine(start, dt.time())).cast("timestamp_ntz")) & (F.col("completed_at") < F.lit(dt.datetime.combine(end, dt.time())).cast("timestamp_ntz")) & F.col("cost_e4").isNotNull())
+    return out if vendor is None else out.filter(F.col("vendor") == vendor)
+
+
+def daily_total(ledger: DataFrame, day: str, vendor: str | None = None) -> DataFrame:
+    """One row; 0 on a day without costs."""
+    return billable(ledger, day, vendor).agg(usd(F.coalesce(F.sum("cost_e4"), F.lit(0))).alias("total_cost_usd"))
+
+
+def daily_breakdown(ledger: DataFrame) -> DataFrame:
+    return ledger.filter("cost_e4 is not null").groupBy(day_of().alias("day"), "vendor").agg(usd(F.sum("cost_e4")).alias("total_cost_usd"), F.count(F.lit(1)).alias("run_count"))
+
+
+def weekly_quota(ledger: DataFrame, soft: int, hard: int, weekly: int, top_calls: int) -> DataFrame:
+    """Spend by day against a soft, a hard and a trailing seven-day ceiling (in 1e-4), and calls of tier 0 a day."""
+    days = ledger.filter("cost_e4 is not null").groupBy(F.to_date("completed_at").alias("d")).agg(F.sum("cost_e4").alias("spent"), F.count_if(F.col("tier") == 0).alias("tier0_calls"))
+    number = F.datediff("d", F.lit("1970-01-01"))
+    # One row a day: the single partition of this window is bounded by the calendar.
+    week = Window.orderBy("number").rangeBetween(-6, 0)
+    days = days.withColumn("number", number).withColumn("week", F.sum("spent").over(week))
+    status = F.when(F.col("spent") >= hard, "hard_stop").when(F.col("week") >= weekly, "weekly_stop").when(F.col("spent") >= soft, "soft_warn").otherwise("ok")
+    return days.select(F.date_format("d", "yyyy-MM-dd").alias("day"), usd(F.col("spent")).alias("spent_usd"), usd(F.col("week")).alias("week_usd"), "tier0_calls", (F.col("tier0_calls") > top_calls).alias("tier0_over"), status.alias("status"))
+
+
+def transitions(events: DataFrame) -> DataFrame:
+    """Lifecycle events ``(run, seq, kind, cost)`` folded to the rule each one breaks, if any.
+
+    A run starts once; only a running one completes (with a cost) or fails; what has
+    ended stays as it is.
+    """
+    order = Window.partitionBy("run").orderBy("seq")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    ended = F.coalesce(F.max(F.col("kind").isin("complete", "fail").cast("int")).over(before), F.lit(0)) == 1
+    started = F.coalesce(F.max((F.col("kind") == "start").cast("int")).over(before), F.lit(0)) == 1
+    error = (
+        F.when(ended, "terminal_row_changed")
+        .when((F.col("kind") == "start") & started, "started_twice")
+        .when((F.col("kind") != "start") & ~started, "not_started")
+        .when((F.col("kind") == "complete") & F.col("cost").isNull(), "cost_missing")
+        .when(F.col("cost") < 0, "cost_negative")
+    )
+    return events.withColumn("error", error)
+
+
+def price_table(spark: SparkSession, prices: Mapping[str, Mapping[str, float | None]]) -> DataFrame:
+    """``alias, input, output, cached, creation`` in USD per million tokens."""
+    rows = [(a, p["input"], p["output"], p.get("cached"), p.get("creation")) for a, p in prices.items()]
+    return spark.createDataFrame(rows, "alias string, input double, output double, cached double, creation double")
+
+
+def priced(runs: DataFrame, prices: DataFrame, model_col: str = "model") -> DataFrame:
+    """The longest alias that is the model or is followed by a dash in it; unknown models get nulls."""
+    models = runs.select(model_col).distinct()
+    hit = models.join(F.broadcast(prices), (F.col(model_col) == F.col("alias")) | F.col(model_col).startswith(F.concat("alias", F.lit("-"))))
+    best = hit.groupBy(model_col).agg(F.max_by(F.struct("alias", "input", "output", "cached", "creation"), F.length("alias")).alias("p"))
+    return runs.join(best.select(model_col, "p.*"), model_col, "left")
+
+
+def cost_subtracting_cached(input_tokens: str = "input_tokens", cached: str = "cached_tokens", output: str = "output_tokens") -> Column:
+    """Cached tokens are part of the input, at their own rate."""
+    fresh = F.greatest(F.col(input_tokens) - F.col(cached), F.lit(0))
+    return fresh / 1e6 * F.col("input") + F.col(cached) / 1e6 * F.coalesce("cached", "input") + F.col(output) / 1e6 * F.col("output")
+
+
+def cost_separate_buckets(input_tokens: str = "input_tokens", cached: str = "cached_tokens", creation: str = "creation_tokens", output: str = "output_tokens") -> Column:
+    """Cached and newly cached tokens come on top of the input."""
+    return F.col(input_tokens) / 1e6 * F.col("input") + F.col(cached) / 1e6 * F.coalesce("cached", "input") + F.col(creation) / 1e6 * F.coalesce(F.col("creation"), F.col("input") * 1.25) + F.col(output) / 1e6 * F.col("output")
+
+
+def kpis(ledger: DataFrame, claims: DataFrame) -> DataFrame:
+    """Cache hit rate, cost per promoted claim, share of quotes that their documents contain; nulls where nothing is counted."""
+    spend = ledger.filter("status <> 'running'").agg(F.sum("cached_tokens").alias("cached"), F.sum("input_tokens").alias("input"), F.sum("cost_e4").alias("cost"))
+    faithful = claims.agg(F.count_if((F.col("confidence_pct") >= 85) & (F.col("n") % 4 == 0)).alias("promoted"), F.avg(F.coalesce(F.col("text"), F.lit("")).contains(F.col("quote")).cast("double")).alias("faithfulness"))
+    return spend.crossJoin(F.broadcast(faithful)).select((F.col("cached") / F.col("input")).alias("cache_hit_rate"), F.try_divide(usd(F.col("cost")), F.col("promoted")).alias("cost_per_promoted"), "faithfulness")  # one row each
+
+
+def metrics_daily(ledger: DataFrame) -> DataFrame:
+    """Per-run values rolled up by day and stage: mean and sample count."""
+    return ledger.filter("cost_e4 is not null").groupBy(day_of().alias("day"), F.col("stage").alias("metric")).agg((F.sum("cost_e4") / F.count(F.lit(1)) / 10_000.0).alias("value"), F.count(F.lit(1)).alias("sample_count"))
+
+
+def alerts(metrics: DataFrame, thresholds: Sequence[tuple[str, float]]) -> DataFrame:
+    limits = metrics.sparkSession.createDataFrame(list(thresholds), "metric string, threshold double")
+    return metrics.join(F.broadcast(limits), "metric").filter("value > threshold").select("day", "metric", "value", "threshold")
+
+
+def nearest_rank(values: DataFrame, group: str, value: str, shares: Mapping[str, float]) -> DataFrame:
+    """Percentiles at index ``ceil(n * p) - 1`` of the sorted values."""
+    return values.groupBy(group).agg(*(F.expr(f"percentile_disc({p}) within group (order by {value})").alias(name) for name, p in shares.items()))
+
+
+def rule_candidates(ignored: DataFrame, key: str, least: int) -> DataFrame:
+    """Keys that were ignored ``least`` times or more, and when they first reached it."""
+    order = Window.partitionBy(key).orderBy("at", "id")
+    nth = ignored.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") == least).select(key, F.col("at").alias("reached_at"))
+    return ignored.groupBy(key).agg(F.count(F.lit(1)).alias("times")).filter(F.col("times") >= least).join(nth, key)
+
+
+def trailing_share(rows: DataFrame, order: Sequence[str], size: int, most: float) -> DataFrame:
+    """Rows of ``direction`` in order with the share of the commoner of ``positive``, ``negative`` among the last ``size`` of each stream."""
+    w = Window.partitionBy("stream").orderBy(*order).rowsBetween(-(size - 1), 0)
+    up, down, n = F.count_if(F.col("direction") == "positive").over(w), F.count_if(F.col("direction") == "negative").over(w), F.count(F.lit(1)).over(w)
+    return rows.withColumn("seen", n).withColumn("share", F.greatest(up, down) / n).withColumn("skewed", (F.col("seen") == size) & (F.col("share") >= most))

@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import audit, ledger, policy
+
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES: tuple = ()
+_MODULES = (ledger, audit, policy)
 
 
 def queries() -> dict[str, Query]:

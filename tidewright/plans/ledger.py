@@ -1,0 +1,96 @@
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import ledger as L
+from ..sources.tables import Tables
+from .views import sql
+
+_PRICES = {"alpha": {"input": 1.25, "output": 10.0, "cached": 0.125}, "alpha-mini": {"input": 0.25, "output": 2.0, "cached": 0.025}, "alpha-mini-fast": {"input": 0.5, "output": 4.0}, "beta": {"input": 3.0, "output": 15.0, "cached": 0.3}}
+_PRICE_SQL = "prices(alias, input, output, cached) AS (VALUES ('alpha', 1.25, 10.0, 0.125), ('alpha-mini', 0.25, 2.0, 0.025), ('alpha-mini-fast', 0.5, 4.0, NULL), ('beta', 3.0, 15.0, 0.3))"
+
+
+def _models(t: Tables):  # noqa: ANN202
+    names = F.array(*map(F.lit, ("alpha", "alpha-mini-2025-08-07", "alpha-mini-fast-2025", "beta-2026", "alphabet")))
+    return t.run_ledger().withColumn("model", F.element_at(names, (F.col("run_id") % 5 + 1).cast("int")))
+
+
+def llm_cost_variants(spark, sf_dir):  # noqa: ANN001, ANN201
+    t = Tables(spark, sf_dir)
+    runs = L.priced(_models(t), L.price_table(spark, _PRICES))
+    return runs.select("run_id", "model", F.col("alias").alias("price_key"), L.cost_subtracting_cached().alias("cost_shared"), L.cost_separate_buckets().alias("cost_separate"))
+
+
+def _lifecycle(t: Tables):  # noqa: ANN202
+    e = t.base("events")
+    kind = F.element_at(F.array(*map(F.lit, ("start", "complete", "fail"))), F.when(F.col("event_type").isin("view", "signup"), 1).when(F.col("event_type") == "error", 3).otherwise(2))
+    return e.select(F.col("user_id").alias("run"), F.struct("ts", "event_id").alias("seq"), "event_id", kind.alias("kind"), F.when(F.col("event_id") % 9 != 0, F.round(F.col("value") - 1, 2)).alias("cost"))
+
+
+def run_terminal_violations(spark, sf_dir):  # noqa: ANN001, ANN201
+    return L.transitions(_lifecycle(Tables(spark, sf_dir))).groupBy("kind", F.coalesce("error", F.lit("accepted")).alias("verdict")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _quota(spark, sf_dir):  # noqa: ANN001, ANN202
+    return L.weekly_quota(Tables(spark, sf_dir).run_ledger(), 700_000, 900_000, 5_000_000, 60)
+
+
+def policy_learning_pattern1(spark, sf_dir):  # noqa: ANN001, ANN201
+    i = Tables(spark, sf_dir).intervention().filter("status = 'resolved_ignore'").select("source_id", F.col("created_at").alias("at"), F.col("intervention_id").alias("id"))
+    return L.rule_candidates(i, "source_id", 3).select("source_id", "times", F.date_format("reached_at", "yyyy-MM-dd HH:mm:ss").alias("reached_at"))
+
+
+def polarity_trailing_50(spark, sf_dir):  # noqa: ANN001, ANN201
+    e = Tables(spark, sf_dir).base("events").filter("event_type in ('click', 'purchase', 'error')")
+    e = e.select("event_id", "ts", F.when(F.col("event_type") == "error", "negative").when(F.col("value") > 30, "positive").otherwise("neutral").alias("direction"), (F.col("user_id") % 7).alias("stream"))
+    return L.trailing_share(e, ("ts", "event_id"), 50, 0.4).select("event_id", "stream", "seen", F.round("share", 9).alias("share"), "skewed")
+
+
+QUERIES = {
+    "daily_cost_total": lambda s, d: L.daily_total(Tables(s, d).run_ledger(), "2024-01-10"),
+    "daily_cost_total_vendor": lambda s, d: L.daily_total(Tables(s, d).run_ledger(), "2024-01-10", "vendor1"),
+    "daily_cost_breakdown": lambda s, d: L.daily_breakdown(Tables(s, d).run_ledger()),
+    "weekly_quota_status": _quota,
+    "run_terminal_violations": run_terminal_violations,
+    "llm_cost_variants": llm_cost_variants,
+    "cache_hit_and_cost_kpis": lambda s, d: L.kpis(Tables(s, d).run_ledger(), Tables(s, d).claim_quote()),
+    "metrics_daily": lambda s, d: L.metrics_daily(Tables(s, d).run_ledger()),
+    "metric_alerts": lambda s, d: L.alerts(L.metrics_daily(Tables(s, d).run_ledger()), [("error", 0.5), ("click", 0.49), ("purchase", 0.55)]),
+    "value_percentiles": lambda s, d: L.nearest_rank(Tables(s, d).base("events"), "event_type", "value", {"p50": 0.5, "p95": 0.95}),
+    "policy_learning_pattern1": policy_learning_pattern1,
+    "polarity_trailing_50": polarity_trailing_50,
+}
+
+_DAILY = "strftime(completed_at, '%Y-%m-%d')"
+SQL = {
+    "daily_cost_total": sql("SELECT coalesce(sum(cost_e4), 0)::BIGINT / 10000.0::DOUBLE AS total_cost_usd FROM run_ledger WHERE completed_at >= TIMESTAMP '2024-01-10' AND completed_at < TIMESTAMP '2024-01-11'"),
+    "daily_cost_total_vendor": sql("SELECT coalesce(sum(cost_e4), 0)::BIGINT / 10000.0::DOUBLE AS total_cost_usd FROM run_ledger WHERE CAST(completed_at AS DATE) = DATE '2024-01-10' AND vendor = 'vendor1'"),
+    "daily_cost_breakdown": sql(f"SELECT {_DAILY} AS day, vendor, sum(cost_e4)::BIGINT / 10000.0::DOUBLE AS total_cost_usd, count(*) AS run_count FROM run_ledger WHERE cost_e4 IS NOT NULL GROUP BY 1, 2"),
+    "weekly_quota_status": sql("""WITH days AS (SELECT CAST(completed_at AS DATE) AS d, sum(cost_e4)::BIGINT AS spent, count(*) FILTER (tier = 0) AS tier0_calls FROM run_ledger WHERE cost_e4 IS NOT NULL GROUP BY 1),
+        w AS (SELECT *, sum(spent) OVER (ORDER BY d RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)::BIGINT AS week FROM days)
+        SELECT strftime(d, '%Y-%m-%d') AS day, spent / 10000.0::DOUBLE AS spent_usd, week / 10000.0::DOUBLE AS week_usd, tier0_calls, tier0_calls > 60 AS tier0_over,
+        CASE WHEN spent >= 900000 THEN 'hard_stop' WHEN week >= 5000000 THEN 'weekly_stop' WHEN spent >= 700000 THEN 'soft_warn' ELSE 'ok' END AS status FROM w"""),
+    "run_terminal_violations": """WITH e AS (SELECT user_id AS run, ts, event_id, CASE WHEN event_type IN ('view', 'signup') THEN 'start' WHEN event_type = 'error' THEN 'fail' ELSE 'complete' END AS kind,
+        CASE WHEN event_id % 9 <> 0 THEN round(value - 1, 2) END AS cost FROM events),
+        w AS (SELECT *, coalesce(bool_or(kind <> 'start') OVER p, false) AS ended, coalesce(bool_or(kind = 'start') OVER p, false) AS started FROM e WINDOW p AS (PARTITION BY run ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+        SELECT kind, CASE WHEN ended THEN 'terminal_row_changed' WHEN kind = 'start' AND started THEN 'started_twice' WHEN kind <> 'start' AND NOT started THEN 'not_started'
+        WHEN kind = 'complete' AND cost IS NULL THEN 'cost_missing' WHEN cost < 0 THEN 'cost_negative' ELSE 'accepted' END AS verdict, count(*) AS n FROM w GROUP BY 1, 2""",
+    "llm_cost_variants": sql(f"""WITH {_PRICE_SQL}, m AS (SELECT *, (['alpha','alpha-mini-2025-08-07','alpha-mini-fast-2025','beta-2026','alphabet'])[run_id % 5 + 1] AS model FROM run_ledger),
+        k AS (SELECT m.*, p.alias, p.input::DOUBLE AS pi, p.output::DOUBLE AS po, p.cached::DOUBLE AS pc, row_number() OVER (PARTITION BY run_id ORDER BY length(p.alias) DESC NULLS LAST) AS r
+        FROM m LEFT JOIN prices p ON model = p.alias OR starts_with(model, p.alias || '-'))
+        SELECT run_id, model, alias AS price_key, greatest(input_tokens - cached_tokens, 0) / 1e6 * pi + cached_tokens / 1e6 * coalesce(pc, pi) + output_tokens / 1e6 * po AS cost_shared,
+        input_tokens / 1e6 * pi + cached_tokens / 1e6 * coalesce(pc, pi) + creation_tokens / 1e6 * (pi * 1.25) + output_tokens / 1e6 * po AS cost_separate FROM k WHERE r = 1"""),
+    "cache_hit_and_cost_kpis": sql("""SELECT l.cached / l.input AS cache_hit_rate, l.cost / 10000.0::DOUBLE / nullif(c.promoted, 0) AS cost_per_promoted, c.faithfulness
+        FROM (SELECT sum(cached_tokens)::BIGINT AS cached, sum(input_tokens)::BIGINT AS input, sum(cost_e4)::BIGINT AS cost FROM run_ledger WHERE status <> 'running') l,
+        (SELECT count(*) FILTER (confidence_pct >= 85 AND n % 4 = 0) AS promoted, avg(CASE WHEN contains(coalesce(text, ''), quote) THEN 1.0 ELSE 0.0 END) AS faithfulness FROM claim_quote) c"""),
+    "metrics_daily": sql(f"SELECT {_DAILY} AS day, stage AS metric, sum(cost_e4)::BIGINT / count(*) / 10000.0::DOUBLE AS value, count(*) AS sample_count FROM run_ledger WHERE cost_e4 IS NOT NULL GROUP BY 1, 2"),
+    "metric_alerts": sql(f"""WITH m AS (SELECT {_DAILY} AS day, stage AS metric, sum(cost_e4)::BIGINT / count(*) / 10000.0::DOUBLE AS value FROM run_ledger WHERE cost_e4 IS NOT NULL GROUP BY 1, 2),
+        t(metric, threshold) AS (VALUES ('error', 0.5::DOUBLE), ('click', 0.49::DOUBLE), ('purchase', 0.55::DOUBLE)) SELECT day, metric, value, threshold FROM m JOIN t USING (metric) WHERE value > threshold"""),
+    "value_percentiles": "SELECT event_type, quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.95) AS p95 FROM events GROUP BY 1",
+    "policy_learning_pattern1": sql("""WITH i AS (SELECT source_id, created_at, row_number() OVER (PARTITION BY source_id ORDER BY created_at, intervention_id) AS nth, count(*) OVER (PARTITION BY source_id) AS times FROM intervention WHERE status = 'resolved_ignore')
+        SELECT source_id, times, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS reached_at FROM i WHERE nth = 3"""),
+    "polarity_trailing_50": """WITH e AS (SELECT event_id, ts, user_id % 7 AS stream, CASE WHEN event_type = 'error' THEN 'negative' WHEN value > 30 THEN 'positive' ELSE 'neutral' END AS direction FROM events WHERE event_type IN ('click', 'purchase', 'error')),
+        w AS (SELECT event_id, stream, count(*) OVER p AS seen, greatest(count(*) FILTER (direction = 'positive') OVER p, count(*) FILTER (direction = 'negative') OVER p) AS top FROM e
+        WINDOW p AS (PARTITION BY stream ORDER BY ts, event_id ROWS BETWEEN 49 PRECEDING AND CURRENT ROW))
+        SELECT event_id, stream, seen, round(top / seen, 9) AS share, seen = 50 AND top / seen >= 0.4 AS skewed FROM w""",
+}
