@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audit, ledger, policy
+from . import audit, documents, ledger, policy
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = (ledger, audit, policy)
+_MODULES = (ledger, audit, policy, documents)
 
 
 def queries() -> dict[str, Query]:
