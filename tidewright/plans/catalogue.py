@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audit, documents, ledger, policy
+from . import audit, crawl, documents, ledger, policy, registry
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = (ledger, audit, policy, documents)
+_MODULES = (ledger, audit, policy, documents, crawl, registry)
 
 
 def queries() -> dict[str, Query]:
