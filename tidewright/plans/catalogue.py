@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audit, crawl, documents, ledger, policy, registry
+from . import audit, crawl, design, documents, ledger, policy, registry
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = (ledger, audit, policy, documents, crawl, registry)
+_MODULES = (ledger, audit, policy, documents, crawl, registry, design)
 
 
 def queries() -> dict[str, Query]:
