@@ -71,7 +71,8 @@ def transitions(events: DataFrame) -> DataFrame:
 
 def price_table(spark: SparkSession, prices: Mapping[str, Mapping[str, float | None]]) -> DataFrame:
     """``alias, input, output, cached, creation`` in USD per million tokens."""
-    rows = [(a, p["input"], p["output"], p.get("cached"), p.get("creation")) for a, p in prices.items()]
+    number = lambda x: None if x is None else float(x)
+    rows = [(a, *(number(p.get(k)) for k in ("input", "output", "cached", "creation"))) for a, p in prices.items()]
     return spark.createDataFrame(rows, "alias string, input double, output double, cached double, creation double")
 
 
