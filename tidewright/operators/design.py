@@ -177,3 +177,14 @@ def payload_guard(rows: DataFrame, text_col: str, most_rows: int = 1000, most_by
 
 def repeated_keys(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+
+
+def communities(edges: DataFrame, rounds: int = 5) -> DataFrame:
+    """Label propagation: each node takes the label most of its neighbours have, the smallest on a tie."""
+    both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
+    labels = both.select(F.col("src").alias("node")).distinct().withColumn("label", F.col("node"))
+    for _ in range(rounds):
+        seen = both.join(labels, F.col("dst") == F.col("node")).groupBy("src", "label").agg(F.count(F.lit(1)).alias("n"))
+        best = seen.groupBy("src").agg(F.min_by("label", F.struct(-F.col("n"), F.col("label"))).alias("label"))
+        labels = best.select(F.col("src").alias("node"), "label")
+    return labels
