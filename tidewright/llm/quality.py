@@ -162,8 +162,8 @@ def fold(id_col: str, folds: int) -> Column:
 def train(docs: DataFrame, labels: DataFrame, folds: int = 5, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_rows: int = MAX_ROWS) -> Trees:
     """Trees from the labelled rows whose fold is not 0."""
     marked = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).filter(fold(id_col, folds) != 0)
-    marked = marked.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y")).orderBy(F.xxhash64("__id"), "__id", "__y").limit(max_rows)
-    rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(marked), "__id")  # at most max_rows rows
+    marked = marked.select(F.col(id_col).cast("long").alias("__id"), F.col(label_col).cast("int").alias("__y")).orderBy(F.xxhash64("__id"), "__id", "__y").limit(max_rows)
+    rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(marked), "__id")  # at most max_rows rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
