@@ -41,7 +41,7 @@ from .words import shingle_sets
 SKETCH = 1 << 18
 _BLOCK = 1 << 12
 #: Hash ranges that the suffix filter counts by.
-RANGES = 16
+RANGES = 64
 #: Ids of documents to verify that are broadcast at most (8 bytes each).
 BROADCAST_IDS = 1_000_000
 
@@ -69,7 +69,7 @@ def set_key(grams: np.ndarray) -> bytes:
 
 
 def _range_counts(grams: np.ndarray) -> list[int]:
-    return np.bincount((grams >> np.uint64(60)).astype(np.int64), minlength=RANGES).tolist() if len(grams) else [0] * RANGES
+    return np.bincount((grams >> np.uint64(58)).astype(np.int64), minlength=RANGES).tolist() if len(grams) else [0] * RANGES
 
 
 _SET_TYPE = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("key", pa.binary()), ("n", pa.int64()), ("ranges", pa.list_(pa.int32())), ("block", pa.int32()), ("counts", pa.list_(pa.int64()))])
@@ -162,6 +162,13 @@ def _could_link(rule: JaccardRule, x: str, y: str) -> str:
     return f"{t} * least({x}.n, {y}.n) >= {s} * greatest({x}.n, {y}.n) and (1 + least({x}.n - {x}.pos - 1, {y}.n - {y}.pos - 1)) * {s + t} >= {s} * {n}"
 
 
+def _close_counts(rule: JaccardRule, x: str, y: str) -> str:
+    """Suffix filter: what the counts by hash range differ by, the sets differ by at least."""
+    s, t = rule.num, rule.den
+    n = f"(cast({x}.n as bigint) + {y}.n)"
+    return f"({n} - aggregate(zip_with({x}.ranges, {y}.ranges, (p, q) -> abs(p - q)), 0, (z, p) -> z + p)) * {s + t} >= 2 * {s} * {n}"
+
+
 class JaccardJoin:
     """The join over one table; :meth:`classes` gives one row for each document."""
 
@@ -172,12 +179,10 @@ class JaccardJoin:
         self.scratch = Scratch(self.spark, "jaccard")
 
     def _pairs_verified(self, pairs: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
-        s, t = self.rule.num, self.rule.den
-        apart = "aggregate(zip_with(ra, rb, (x, y) -> abs(x - y)), 0, (z, x) -> z + x)"
         pairs = (
-            pairs.join(nodes.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("ranges").alias("ra")), "a")
-            .join(nodes.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("ranges").alias("rb")), "b")
-            .filter(f"(na + nb - {apart}) * {s + t} >= 2 * {s} * (na + nb)")
+            pairs.join(nodes.alias("x"), F.expr("a = x.key"))
+            .join(nodes.alias("y"), F.expr("b = y.key"))
+            .filter(_close_counts(self.rule, "x", "y"))
             .select("a", "b")
         )
         pairs = self.scratch.save(pairs, f"{name}-pairs")
@@ -210,8 +215,10 @@ class JaccardJoin:
         lists = scratch.save(posted.join(shared, "gram").withColumn("length_class", length_class).dropDuplicates(["gram", "key"]), "lists")
         scratch.drop(posted)
 
-        anchors = lists.groupBy("gram", "length_class").agg(F.min(F.struct("n", "key", "pos")).alias("anchor"))
-        near = anchors.select("gram", "length_class", "anchor.*").alias("y").join(lists.alias("x"), ["gram", "length_class"]).filter(f"x.key <> y.key and {_could_link(rule, 'x', 'y')}")
+        # The set that has this gram earliest has the fewest grams of its own: the middle of a group of near copies.
+        anchors = lists.groupBy("gram", "length_class").agg(F.min(F.struct("pos", "n", "key")).alias("anchor"))
+        anchors = anchors.select("gram", F.explode(F.expr("sequence(length_class - 1, length_class + 1)")).alias("length_class"), "anchor.*")
+        near = anchors.alias("y").join(lists.alias("x"), ["gram", "length_class"]).filter(f"x.key <> y.key and {_could_link(rule, 'x', 'y')}")
         near = near.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
         links = self._pairs_verified(near, nodes, "anchors")
         groups = components(links, scratch)
@@ -219,8 +226,8 @@ class JaccardJoin:
         at = lists.join(groups.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
         at = scratch.save(at, "rooted")
         mixed = at.groupBy("gram").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most").select("gram")
-        at = at.join(mixed, "gram", "left_semi")
-        across = at.alias("x").join(at.alias("y"), F.expr(f"x.gram = y.gram and x.key < y.key and x.root <> y.root and {_could_link(rule, 'x', 'y')}"))
+        at = at.join(mixed, "gram", "left_semi").join(nodes.select("key", "ranges"), "key")
+        across = at.alias("x").join(at.alias("y"), F.expr(f"x.gram = y.gram and x.key < y.key and x.root <> y.root and {_could_link(rule, 'x', 'y')} and {_close_counts(rule, 'x', 'y')}"))
         across = across.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
         more = self._pairs_verified(across, nodes, "across")
         if not more.isEmpty():
