@@ -68,6 +68,11 @@ def set_key(grams: np.ndarray) -> bytes:
     return hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
 
 
+def short_key(key: bytes) -> int:
+    """The part of a key that postings carry. Where two keys share it, pairs of both are verified."""
+    return int.from_bytes(key[:8], "big", signed=True)
+
+
 def _range_counts(grams: np.ndarray) -> list[int]:
     return np.bincount((grams >> np.uint64(58)).astype(np.int64), minlength=RANGES).tolist() if len(grams) else [0] * RANGES
 
@@ -98,7 +103,7 @@ def _sets(words: int):
 
 
 def _postings(rule: JaccardRule, sketch):
-    schema = pa.schema([("gram", pa.int64()), ("key", pa.binary()), ("n", pa.int32()), ("pos", pa.int32())])
+    schema = pa.schema([("gram", pa.int64()), ("k", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = sketch.value
@@ -119,7 +124,7 @@ def _postings(rule: JaccardRule, sketch):
             took_a = np.array(took)
             at = np.repeat(np.arange(len(keys), dtype=np.int32), took_a)
             pos = (np.arange(len(at)) - np.repeat(np.cumsum(took_a) - took_a, took_a)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams_out)), pa.array(keys, pa.binary()).take(pa.array(at)), pa.array(np.array(sizes, np.int32)[at]), pa.array(pos)], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams_out)), pa.array(np.array([short_key(k) for k in keys], np.int64)[at]), pa.array(np.array(sizes, np.int32)[at]), pa.array(pos)], schema=schema)
 
     return run
 
@@ -180,10 +185,10 @@ class JaccardJoin:
 
     def _pairs_verified(self, pairs: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
         pairs = (
-            pairs.join(nodes.alias("x"), F.expr("a = x.key"))
-            .join(nodes.alias("y"), F.expr("b = y.key"))
+            pairs.join(nodes.alias("x"), F.expr("a = x.k"))
+            .join(nodes.alias("y"), F.expr("b = y.k"))
             .filter(_close_counts(self.rule, "x", "y"))
-            .select("a", "b")
+            .select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
         )
         pairs = self.scratch.save(pairs, f"{name}-pairs")
         keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
@@ -207,28 +212,29 @@ class JaccardJoin:
             counts[row["block"] * _BLOCK : (row["block"] + 1) * _BLOCK] = row["counts"]
         sketch = spark.sparkContext.broadcast(counts)
         members = first.filter("kind = 0").select("id", "key", "n")
-        nodes = scratch.save(first.filter("kind = 0 and key is not null").groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("ranges").alias("ranges")), "nodes")
+        nodes = scratch.save(first.filter("kind = 0 and key is not null").groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("ranges").alias("ranges")).withColumn("k", F.conv(F.hex(F.substring("key", 1, 8)), 16, -10).cast("long")), "nodes")
 
-        posted = scratch.save(self.docs.mapInArrow(_postings(rule, sketch), "gram long, key binary, n int, pos int"), "posted")
-        shared = posted.groupBy("gram").agg(F.min("key").alias("least"), F.max("key").alias("most")).filter("least <> most").select("gram")
-        length_class = F.floor(F.log("n") / float(np.log(rule.den / rule.num))).cast("int") if rule.num < rule.den else F.col("n")
-        lists = scratch.save(posted.join(shared, "gram").withColumn("length_class", length_class).dropDuplicates(["gram", "key"]), "lists")
+        posted = scratch.save(self.docs.mapInArrow(_postings(rule, sketch), "gram long, k long, n int, pos int"), "posted")
+        shared = posted.groupBy("gram").agg(F.min("k").alias("least"), F.max("k").alias("most")).filter("least <> most").select("gram")
+        lists = scratch.save(posted.join(shared, "gram").distinct(), "lists")
         scratch.drop(posted)
 
-        # The set that has this gram earliest has the fewest grams of its own: the middle of a group of near copies.
-        anchors = lists.groupBy("gram", "length_class").agg(F.min(F.struct("pos", "n", "key")).alias("anchor"))
-        anchors = anchors.select("gram", F.explode(F.expr("sequence(length_class - 1, length_class + 1)")).alias("length_class"), "anchor.*")
-        near = anchors.alias("y").join(lists.alias("x"), ["gram", "length_class"]).filter(f"x.key <> y.key and {_could_link(rule, 'x', 'y')}")
-        near = near.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).distinct()
+        # The set that has a gram earliest has the fewest grams of its own: the middle of a group of near copies.
+        length_class = F.floor(F.log("n") / float(np.log(rule.den / rule.num))).cast("int") if rule.num < rule.den else F.col("n")
+        classed = lists.withColumn("c", length_class)
+        anchors = classed.groupBy("gram", "c").agg(F.min(F.struct("pos", "n", "k")).alias("anchor")).select("gram", "c", "anchor.*")
+        near = classed.alias("x").join(anchors.alias("y"), F.expr(f"x.gram = y.gram and abs(x.c - y.c) <= 1 and x.k <> y.k and {_could_link(rule, 'x', 'y')}"))
+        near = near.select(F.least("x.k", "y.k").alias("a"), F.greatest("x.k", "y.k").alias("b")).distinct()
         links = self._pairs_verified(near, nodes, "anchors")
         groups = components(links, scratch)
 
-        at = lists.join(groups.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-        at = scratch.save(at, "rooted")
-        mixed = at.groupBy("gram").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most").select("gram")
-        at = at.join(mixed, "gram", "left_semi").join(nodes.select("key", "ranges"), "key")
-        across = at.alias("x").join(at.alias("y"), F.expr(f"x.gram = y.gram and x.key < y.key and x.root <> y.root and {_could_link(rule, 'x', 'y')} and {_close_counts(rule, 'x', 'y')}"))
-        across = across.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
+        roots = groups.join(nodes.select(F.col("key").alias("node"), "k"), "node").select("k", F.conv(F.hex(F.substring("root", 1, 8)), 16, -10).cast("long").alias("root"))
+        at = scratch.save(lists.join(roots, "k", "left").select("gram", "k", "n", "pos", F.coalesce("root", "k").alias("root")), "rooted")
+        # Two sets in one list have met as set and anchor.
+        mixed = at.groupBy("gram").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("sets")).filter("least <> most and sets > 2").select("gram")
+        at = scratch.save(at.join(mixed, "gram"), "mixed")
+        across = at.alias("x").join(at.alias("y"), F.expr(f"x.gram = y.gram and x.k < y.k and x.root <> y.root and {_could_link(rule, 'x', 'y')}"))
+        across = across.select(F.col("x.k").alias("a"), F.col("y.k").alias("b")).distinct()
         more = self._pairs_verified(across, nodes, "across")
         if not more.isEmpty():
             groups = components(links.unionByName(more), scratch)
