@@ -285,6 +285,19 @@ def test_search(spark, net, odd):
     assert personal_data.search(empty(spark), net).count() == 0
 
 
+def test_personal_data_query(spark, small):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    rows = queries.op5_personal_data(spark, small).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        base = plain_spans(texts[r["doc_id"]] or "")
+        said = personal_data.joined(base)
+        assert r["base_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+        assert {k: r[f"n_{k}"] for k in personal_data.KINDS} == {k: sum(s[0] == k for s in base) for k in personal_data.KINDS}
+        assert set(said.split(",")) <= set(r["spans"].split(",")) or not base
+        assert r["n_added"] or r["spans"] == said
+
+
 # ---- 6 ----------------------------------------------------------------------
 
 

@@ -72,7 +72,10 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     def text(column: str):  # noqa: ANN202
         return F.array_join(F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in personal_data.KINDS]
+    def count(kind: str):  # noqa: ANN202
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in personal_data.KINDS]
     return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(text("base"), 256).alias("base_sha256"), text("spans").alias("spans"), (F.size("spans") - F.size("base")).cast("long").alias("n_added"))
 
 
