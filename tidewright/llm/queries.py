@@ -84,6 +84,25 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.col("n_grams").alias("n_shingles"), F.col("class_id").alias("component_id"))
 
 
+OP6_SQL = r"""
+WITH RECURSIVE w AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] END AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM w WHERE len(w) > 0)
+), n AS MATERIALIZED (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY 1
+), links AS MATERIALIZED (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2)
+  JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= 90 * (p.n + q.n - k)
+), reach(v, r) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT reach.v, links.b FROM reach JOIN links ON reach.r = links.a
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.c AS component_id
+FROM documents d JOIN (SELECT v, min(r) AS c FROM reach GROUP BY v) c ON c.v = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.context_table(token_counts.histogram(_read(spark, sf_dir, "documents")))
 
@@ -136,4 +155,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_classifier": op10_quality_classifier,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op4_warc": OP4_SQL, "op9_embedding_near_dedup": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op4_warc": OP4_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op9_embedding_near_dedup": OP9_SQL}
