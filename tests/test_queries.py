@@ -11,7 +11,7 @@ import pytest
 from tidewright.plans import catalogue
 
 QUERIES, SQL = catalogue.queries(), catalogue.oracle_sql()
-NO_SQL = {"html_to_text_full", "private_ipv6", "surrogate_id", "violations_json", "extract_pipeline", "near_duplicates"}
+NO_SQL = {"html_to_text_full", "surrogate_id", "extract_pipeline", "near_duplicates"}
 
 
 @pytest.fixture(scope="module")

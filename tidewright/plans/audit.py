@@ -112,6 +112,7 @@ SQL = {
     "audit_axis_5": sql(f"WITH {_RESOLVED} {_A5}"),
     "audit_axis_6": sql(f"WITH {_RESOLVED} {_A6}"),
     "audit_scan": sql(f"WITH {_ALL} SELECT * FROM v"),
+    "violations_json": sql(f"WITH {_ALL} SELECT to_json({{'detail': detail, 'snap_id': snap_id, 'type': type}})::VARCHAR AS value FROM v"),
     "audit_counts": sql(f"""WITH {_ALL} SELECT (SELECT count(*) FROM resolved WHERE decision = 'uploaded' AND snap IS NOT NULL) AS uploaded_rows, (SELECT count(*) FROM resolved WHERE decision = 'set_r2_key_failed_neo4j' AND snap IS NOT NULL) AS set_failed_rows,
         (SELECT count(*) FROM resolved WHERE decision = 'skipped_toctou' AND snap IS NOT NULL) AS skipped_rows, (SELECT count(*) FROM resolved WHERE snap IS NULL) AS malformed_rows, (SELECT count(*) FROM keyed_snapshot) AS keyed_snapshots,
         (SELECT count(*) FROM source_policy) AS policy_rows, (SELECT count(*) FROM v) AS violations, (SELECT count(*) FROM v) = 0 AS aligned"""),

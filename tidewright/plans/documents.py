@@ -219,6 +219,7 @@ SQL = {
     "parsed_claims": """WITH r AS (SELECT conv_id, turn, text, (conv_id * 7 + turn) % 6 AS k FROM conversations)
         SELECT conv_id, turn, k IN (0, 5) AS parsed, CASE k WHEN 0 THEN substring(text, 1, 10) WHEN 5 THEN 't' END AS title, CASE k WHEN 0 THEN 1 WHEN 5 THEN 0 END::BIGINT AS n_claims FROM r""",
     "private_ipv4": "WITH a AS (SELECT doc_id, ([10, 100, 127, 169, 172, 192, 198, 203, 224, 8])[doc_id % 10 + 1] AS a, doc_id * 13 % 260 AS b, doc_id % 120 AS c FROM documents) SELECT doc_id, doc_id % 31 = 0 OR b > 255 OR CASE a " + " ".join(f"WHEN {k} THEN {v}" for k, v in _NET.items()) + " END AS private FROM a",
+    "private_ipv6": "SELECT doc_id, (['::1', 'fc00::1', 'fe80::5', '2001:db8::1', '::ffff:10.0.0.1', '::ffff:8.8.8.8', 'ff02::1', '::ffff:0a00:0001', '0:0:0:0:0:0:0:1'])[doc_id % 9 + 1] AS address, doc_id % 9 NOT IN (3, 5) AS private FROM documents",
     "robots_match": """WITH p AS (SELECT page_id, coalesce(nullif(regexp_extract(url, '^https?://[^/]*(/[^#]*)', 1), ''), '/') AS path FROM pages),
         r(kind, pat, weight) AS (VALUES ('disallow', '^/en/7', 5), ('allow', '^/en/77$', 6), ('disallow', '^/.*/1.*5', 6), ('allow', '^/fr', 3), ('disallow', '^/', 1)),
         b AS (SELECT page_id, kind, row_number() OVER (PARTITION BY page_id ORDER BY weight DESC, kind) AS k FROM p JOIN r ON regexp_matches(path, pat)) SELECT page_id, kind = 'disallow' AS disallowed FROM b WHERE k = 1""",
