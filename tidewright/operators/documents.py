@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -51,8 +52,8 @@ def search(docs: DataFrame, edges: DataFrame, terms: Sequence[str], id_col: str
 
     Only the hits travel on to the edges: the top is taken before the traversal.
     """
-    words = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(r"(?U)\w+"), F.lit(0))
-    score = F.size(F.filter(words, lambda w: w.isin(*(t.lower() for t in terms))))
+    whole_words = r"(?U)\b(?:" + "|".join(re.escape(t.lower()) for t in terms) + r")\b"
+    score = F.regexp_count(F.lower(F.col(text_col)), F.lit(whole_words))
     top = docs.select(F.col(id_col).alias("id"), score.cast("long").alias("score")).filter("score > 0").orderBy(F.desc("score"), "id").limit(limit)
     both = edges.select(F.col("src").alias("id"), F.col("dst").alias("other")).unionByName(edges.select(F.col("dst").alias("id"), F.col("src").alias("other"))).distinct()
     near = both.join(F.broadcast(top.select("id")), "id").groupBy("id").agg(F.slice(F.array_sort(F.collect_set("other")), 1, neighbours).alias("near"))
@@ -104,7 +105,7 @@ def shingle_minhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base = docs.groupBy(F.sha2(F.coalesce(text_col, F.lit("")), 256).alias("h")).agg(F.min(id_col).alias("id"), F.first(text_col).alias("text"))
     tokens = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
     base = base.select("id", tokens.alias("t")).filter(F.size("t") >= words)
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("t") - words + 1), lambda i: F.xxhash64(F.array_join(F.slice("t", i, words), " "))))
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("t") - words + 1), lambda i: F.xxhash64(*(F.element_at("t", i + k) for k in range(words)))))
     base = base.select("id", grams.alias("g"))
     keys = [F.struct(F.lit(b).alias("band"), *(F.array_min(F.transform("g", lambda x, k=2 * b + j: F.xxhash64(x, F.lit(k)))).alias(f"m{j}") for j in range(2))) for b in range(bands)]
     banded = base.select("id", F.explode(F.array(*keys)).alias("key"))
