@@ -408,7 +408,10 @@ def find(net: Network, texts: list[str], gate: bool = True) -> list[tuple[list[S
 
 def fit(docs: DataFrame, text_col: str = "text", sample: int = 300, chars: int = 4000) -> Network:
     """Trains in passages (of at most ``chars`` characters) of at most ``sample`` documents, those with the smallest hashes."""
-    got = docs.select(F.xxhash64(text_col).alias("h"), F.substring(text_col, 1, chars).alias("t")).filter("t is not null").orderBy("h", "t").limit(sample).collect()
+    rows = docs.filter(F.col(text_col).isNotNull()).select(F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t"))
+    bound = rows.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    got = [] if bound is None else rows.filter(F.col("h") <= bound).select("h", F.substring("t", 1, chars).alias("t")).groupBy("h").agg(F.first("t").alias("t")).collect()
+    got.sort(key=lambda r: r["h"])
     return train([r["t"] for r in got])
 
 
