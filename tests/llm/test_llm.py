@@ -198,15 +198,15 @@ def test_language_model_learns(spark, small):
 
 def test_warc(spark):
     big = "é" * 600
-    rows = [(1, "http://a/", big), (2, "http://b/ x", big), (3, None, None), (4, "u", ""), (5, "u", "tiny"), (6, "u", "tiny"), (7, "http://a/", big), (8, "u", "WARC/1.1\r\n\r\n" + big), (None, "u", "none")]
+    rows = [(1, "http://a/", big), (2, "http://b/ x", big), (2, "u", "é" * 700), (1, "u", big), (3, None, None), (4, "u", ""), (5, "u", "tiny"), (6, "u", "tiny"), (7, "http://a/", big), (8, "u", "WARC/1.1\r\n\r\n" + big), (None, "u", "none")]
     pages = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, kind string")
-    got = {r["key"]: r for r in warc.round_trip(pages).collect()}
-    assert len(got) == len(rows)
+    want = []
     for key, _, html in rows:
         data = (html or "").encode()
-        revisit = key in (1, 2)
-        r = got[key]
-        assert (r["payload_bytes"], r["digest"], r["kind"], r["refers_to"]) == (len(data), hashlib.sha1(data).hexdigest(), "revisit" if revisit else "response", 7 if revisit else None)
+        revisit = key in (1, 2) and html == big
+        want.append((key, len(data), hashlib.sha1(data).hexdigest(), "revisit" if revisit else "response", 7 if revisit else None))
+    got = [(r["key"], r["payload_bytes"], r["digest"], r["kind"], r["refers_to"]) for r in warc.round_trip(pages).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
     assert warc.round_trip(pages.filter("false")).count() == 0
 
 

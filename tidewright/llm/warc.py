@@ -111,9 +111,8 @@ def write(pages: DataFrame, folder: str, scratch: Scratch, id_col: str = "page_i
     """Archives gzipped as one stream each; ``path, records, bytes`` of each."""
     revisits = scratch.save(decide(pages, id_col, payload_col, least), "revisits")
     payload = F.encode(F.coalesce(F.col(payload_col), F.lit("")), "utf-8")
-    rows = pages.select(F.col(id_col).cast("long").alias("key"), F.col(url_col).alias("url"), payload.alias("payload"))
-    holders = revisits.select("key", "holder").dropDuplicates(["key"])
-    rows = rows.join(holders, "key", "left").select("key", "url", F.sha1("payload").alias("digest"), F.octet_length("payload").alias("bytes"), "payload", F.when(F.col("bytes") >= least, F.col("holder")).alias("holder"))
+    rows = pages.select(F.col(id_col).cast("long").alias("key"), F.col(url_col).alias("url"), F.sha1(payload).alias("digest"), F.octet_length(payload).alias("bytes"), payload.alias("payload"))
+    rows = rows.join(revisits.select("key", "digest", "holder"), ["key", "digest"], "left").select("key", "url", "digest", "bytes", "payload", "holder")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, n, size = None, 0, 0
