@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from .words import mix
 
-Q = 12
-RATE = 0.06
+Q = 10
+RATE = 0.08
 #: Characters of passages that are broadcast at a time.
 BLOCK_CHARS = 4_000_000
 _CHUNK = 1 << 20
