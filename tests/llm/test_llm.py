@@ -193,6 +193,47 @@ def test_language_model_learns(spark, small):
     assert len(got) == len(plain) == 200 and np.isfinite(got["score"]).all()
 
 
+def test_language_model_trains_on_whole_texts():
+    """Every id of every text is a target once, after the id before it."""
+    rng = random.Random(3)
+    texts = ["", "one", *(" ".join(rng.choice(["alpha", "beta"]) + str(rng.randint(0, 99)) for _ in range(n)) for n in (10, 79, 500, 4000))]
+    whole = []
+    for text in texts:
+        for *_, ids, first in language_model.Subwords(tokens.vocabulary())(pa.array([text])):
+            assert list(first) == [0, len(ids)]
+            whole.append([language_model._BOS, *ids.tolist()])
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(range(len(texts)), pa.int64())], ["text", "pick"])
+    got = pa.Table.from_batches(language_model._gather(tokens.vocabulary())([batch])).to_pylist()
+    windows = [r["ids"] for r in got if r["kind"] == 2]
+    keys = [r["key"] for r in got if r["kind"] == 2]
+    assert all(len(w) <= language_model.WINDOW + 1 for w in windows) and len(set(keys)) == len(keys) and min(keys) >= 0
+    joined = []
+    for w in windows:
+        if w[0] == language_model._BOS:
+            joined.append(w)
+        else:
+            assert joined[-1][-1] == w[0]
+            joined[-1] = joined[-1] + w[1:]
+    assert joined == whole
+    vocab = language_model.Vocabulary(np.zeros(language_model.IDS, np.int64), np.arange(language_model.IDS) % 2 == 0)
+    classes = language_model.window_classes(pa.array(windows, pa.list_(pa.int32())), vocab)
+    assert (classes[:, 1:] >= 0).sum() == sum(len(w) - 1 for w in windows) and (classes[:, 0] == language_model.LEAVES).sum() == len(texts)
+
+
+def test_language_model_beats_the_untrained_one_held_out(spark, monkeypatch):
+    """Digits that cannot be learned, then words in a fixed order."""
+    rng = random.Random(5)
+    names = [f"{a}{b}" for a in ("ka", "lo", "mi", "ne") for b in ("ra", "su", "ti")]
+    opening = lambda: " ".join(str(rng.randint(0, 9999)) for _ in range(100))
+    chain = lambda n: " ".join(names[(n + j) % 12] for j in range(900))
+    rows = [(i, opening() + " " + chain(i), i % 5 == 0) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held boolean").repartition(2)
+    held = lambda df: df.filter("held_out").agg(F.sum("score")).first()[0]
+    got = held(language_model.score(docs, F.col("held")))
+    monkeypatch.setattr(language_model, "descend", lambda flat, *_: flat)
+    assert got > 0.5 * held(language_model.score(docs, F.col("held"), rounds=0))
+
+
 # ---- 4 ----------------------------------------------------------------------
 
 
