@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -122,3 +123,31 @@ def test_lineage_and_recall(spark):
     assert sorted((r["node"], r["hops"]) for r in documents.lineage(edges, roots, 5).collect()) == [(1, 0), (2, 1), (3, 2)]
     cases = spark.createDataFrame([(1, [1, 2, 3], [2, 9]), (2, [1], [])], "case_id long, retrieved array<long>, expected array<long>")
     assert sorted((r["case_id"], r["recall"]) for r in design.recall_at_k(cases, 2).collect()) == [(1, 0.5), (2, 1.0)]
+
+
+def test_near_duplicates_by_brute_force(spark):
+    rng = random.Random(2)
+    texts = ["", " ", None, "one two", "One  two", "one two three four", "a b c d e", "A b c d e"]
+    for n in (5, 12, 40, 90):
+        base = [f"w{rng.randint(0, 60)}" for _ in range(n)]
+        for changes in (0, 0, *range(1, 7)):
+            w = [*base, "end"] if changes % 2 else list(base)
+            for _ in range(changes):
+                w[rng.choice((0, 1, len(w) // 2, -2, -1))] = f"x{rng.randint(0, 5)}"
+            texts.append(" ".join(w))
+    grams = {}
+    for i, text in enumerate(texts):
+        w = (text or "").lower().split()
+        if w:
+            grams[i] = frozenset(tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4)))
+    first = {g: min(i for i in grams if grams[i] == g) for g in grams.values()}
+    want = {(first[g], i, 1.0) for i, g in grams.items() if first[g] != i}
+    for a in first.values():
+        for b in first.values():
+            same = len(grams[a] & grams[b]) / len(grams[a] | grams[b])
+            if a < b and same >= 0.8:
+                want.add((a, b, same))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = [tuple(r) for r in documents.shingle_pairs(docs).collect()]
+    assert len(got) == len(set(got)) and sorted(got) == sorted(want)
+    assert (3, 4, 1.0) in want and any(s < 1 for *_, s in want)

@@ -96,20 +96,37 @@ def references(definitions: DataFrame, uses: DataFrame, key: str) -> DataFrame:
     return twice.unionByName(loose)
 
 
-def shingle_minhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, bands: int = 8, least: float = 0.8) -> DataFrame:
-    """Near-duplicate pairs by minhash bands, verified by the share of common shingles.
+def shingle_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, least: float = 0.8) -> DataFrame:
+    """``a, b, similarity``: near-duplicate pairs by the share of common shingles; none is missed.
 
-    Copies are collapsed to their first document before any pair is made, and pairs
-    are made within a band only.
+    Documents with equal shingles are copies: each is paired, at 1, with the smallest
+    id of its group only, and the group is one set in what follows. Two sets that are
+    near share a gram among the first of both in one order, rarest first (a prefix
+    filter), where enough grams still follow; only such pairs are compared.
+
+    A text shorter than a shingle is one shingle; one without words has none, and is
+    nobody's duplicate. Rows that repeat an id are no pair.
     """
-    base = docs.groupBy(F.sha2(F.coalesce(text_col, F.lit("")), 256).alias("h")).agg(F.min(id_col).alias("id"), F.first(text_col).alias("text"))
-    tokens = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    base = base.select("id", tokens.alias("t")).filter(F.size("t") >= words)
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("t") - words + 1), lambda i: F.xxhash64(*(F.element_at("t", i + k) for k in range(words)))))
-    base = base.select("id", grams.alias("g"))
-    keys = [F.struct(F.lit(b).alias("band"), *(F.array_min(F.transform("g", lambda x, k=2 * b + j: F.xxhash64(x, F.lit(k)))).alias(f"m{j}") for j in range(2))) for b in range(bands)]
-    banded = base.select("id", F.explode(F.array(*keys)).alias("key"))
-    pairs = banded.alias("x").join(banded.alias("y"), F.expr("x.key = y.key and x.id < y.id")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    both = pairs.join(base.select(F.col("id").alias("a"), F.col("g").alias("ga")), "a").join(base.select(F.col("id").alias("b"), F.col("g").alias("gb")), "b")
-    common = F.size(F.array_intersect("ga", "gb"))
-    return both.select("a", "b", (common / (F.size("ga") + F.size("gb") - common)).alias("similarity")).filter(F.col("similarity") >= least)
+    tokens = F.filter(F.split(F.lower(F.coalesce(text_col, F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = docs.select(F.col(id_col).alias("id"), tokens.alias("t")).filter(F.size("t") > 0)
+    several = F.transform(F.sequence(F.lit(1), F.greatest(F.size("t") - words + 1, F.lit(1))), lambda i: F.xxhash64(*(F.element_at("t", i + k) for k in range(words))))
+    rows = rows.select("id", F.array_sort(F.array_distinct(F.when(F.size("t") >= words, several).otherwise(F.array(F.xxhash64("t"))))).alias("g"))
+    rows = rows.select("id", "g", F.struct(F.xxhash64("g").alias("k"), F.xxhash64(F.lit(1), "g").alias("k2")).alias("key"))
+    sets = rows.groupBy("key").agg(F.min("id").alias("id"), F.first("g").alias("g"))
+    copies = rows.select("key", F.col("id").alias("b")).join(sets.select("key", F.col("id").alias("a")), "key").filter(~F.col("a").eqNullSafe(F.col("b"))).select("a", "b", F.lit(1.0).alias("similarity")).distinct()
+
+    grams = sets.select("key.k", F.size("g").alias("n"), F.explode("g").alias("gram"))
+    shared = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
+    # Grams of one set only come first in the order, and pair nothing.
+    ordered = grams.join(shared, "gram").groupBy("k", "n").agg(F.array_sort(F.collect_list(F.struct("often", "gram"))).alias("s"))
+    prefix = F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1
+    lone = F.col("n") - F.size("s")
+    posted = ordered.select("k", "n", lone.alias("lone"), F.posexplode(F.slice("s", F.lit(1), F.greatest(prefix - lone, F.lit(0)).cast("int"))).alias("at", "x"))
+    posted = posted.select("k", "n", (F.col("lone") + F.col("at")).alias("pos"), "x.gram")
+    enough = f"least(x.n, y.n) >= {least} * greatest(x.n, y.n) - 1e-9 and (1 + least(x.n - x.pos - 1, y.n - y.pos - 1)) * {1 + least} >= {least} * (x.n + y.n) - 1e-9"
+    pairs = posted.alias("x").join(posted.alias("y"), F.expr(f"x.gram = y.gram and x.k < y.k and {enough}")).select(F.col("x.k").alias("p"), F.col("y.k").alias("q")).distinct()
+    side = lambda k, i, g: sets.select(F.col("key.k").alias(k), F.col("id").alias(i), F.col("g").alias(g))
+    both = pairs.join(side("p", "ip", "gp"), "p").join(side("q", "iq", "gq"), "q").filter(~F.col("ip").eqNullSafe(F.col("iq")))
+    common = F.size(F.array_intersect("gp", "gq"))
+    near = both.select(F.least("ip", "iq").alias("a"), F.when(F.col("ip") <= F.col("iq"), F.col("iq")).when(F.col("ip") > F.col("iq"), F.col("ip")).alias("b"), (common / (F.size("gp") + F.size("gq") - common)).alias("similarity"))
+    return copies.unionByName(near.filter(F.col("similarity") >= least).distinct())

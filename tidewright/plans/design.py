@@ -136,7 +136,7 @@ def _spec(s, d):  # noqa: ANN001, ANN202
 
 
 def _near(s, d):  # noqa: ANN001, ANN202
-    return D.shingle_minhash(Tables(s, d).documents()).withColumn("similarity", F.round("similarity", 9))
+    return D.shingle_pairs(Tables(s, d).documents()).withColumn("similarity", F.round("similarity", 9))
 
 
 def _mentions(s, d):  # noqa: ANN001, ANN202
