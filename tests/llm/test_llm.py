@@ -380,6 +380,21 @@ def test_jaccard_empty_and_keep(spark, odd):
     assert {r["doc_id"] for r in kept.collect()} >= {i for i, c in classes.items() if i == c}
 
 
+def test_jaccard_near_copy_without_an_id(spark):
+    """A row without an id links as any other, also as the only way between two that have one, and goes where one of them stays."""
+    w = [f"w{i}" for i in range(60)]
+    near = [" ".join(w), " ".join([*w[:-1], "x"]), " ".join(["y", *w[1:-1], "x"])]
+    alone = " ".join(f"z{i}" for i in range(60))
+    rule = jaccard_join.JaccardRule(3, 95, 100)
+    for texts in (near,):
+        rows = [(1, texts[0]), (None, texts[1]), *((2, t) for t in texts[2:]), (None, alone), (None, None), (3, "other words of its own")]
+        docs = spark.createDataFrame([(i, t, 7, "k") for i, t in rows], DOCS)
+        found = sorted(((str(r["id"]), r["n_grams"], str(r["class_id"])) for r in jaccard_join.classes(docs, rule).collect()), key=repr)
+        assert found == brute_classes(rows, rule) and sum(c == "1" for *_, c in found) == len(texts)
+        kept = sorted(((r["doc_id"], r["text"]) for r in jaccard_join.keep_one(docs, rule).collect()), key=repr)
+        assert kept == sorted([(1, texts[0]), (None, alone), (None, None), (3, "other words of its own")], key=repr)
+
+
 def test_shingles_of_whole_texts():
     texts = ["a b c d", "A  B\nc\td", None, "", "a b", "b a", "abc", "é à"]
     s = list(shingle_sets(pa.array(texts), 3))

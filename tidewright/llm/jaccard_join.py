@@ -194,7 +194,9 @@ class JaccardJoin:
         keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
         ids = self.scratch.save(keys.join(nodes.select("key", "id"), "key").select("id"), f"{name}-ids")
         wanted = F.broadcast(ids) if small(ids, BROADCAST_IDS) else ids
-        texts = self.docs.join(wanted.distinct() if wanted is ids else wanted, "id", "left_semi").mapInArrow(_texts(self.rule.words), "key binary, text string")
+        wanted = (wanted.distinct() if wanted is ids else wanted).withColumnRenamed("id", "wanted")
+        # A set of rows without ids only has a null id here.
+        texts = self.docs.join(wanted, F.col("id").eqNullSafe(F.col("wanted")), "left_semi").mapInArrow(_texts(self.rule.words), "key binary, text string")
         texts = texts.join(keys, "key", "left_semi").dropDuplicates(["key"])
         texts = self.scratch.save(texts, f"{name}-texts")
         both = pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b").join(texts.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a")
@@ -204,6 +206,10 @@ class JaccardJoin:
 
     def classes(self) -> DataFrame:
         """``id, n_grams, class_id`` (the smallest id reachable by links), one row for each row of the input."""
+        return self.keyed_classes().drop("key")
+
+    def keyed_classes(self) -> DataFrame:
+        """:meth:`classes` with the ``key`` of each row's set."""
         spark, rule, scratch = self.spark, self.rule, self.scratch
         first = scratch.save(self.docs.mapInArrow(_sets(rule.words), _SET_DDL), "sets")
         blocks = first.filter("kind = 1").groupBy("block").applyInPandas(lambda pdf: pdf.iloc[:1][["block"]].assign(counts=[np.sum(np.stack(pdf["counts"].tolist()), axis=0).tolist()]), "block int, counts array<long>")
@@ -243,9 +249,9 @@ class JaccardJoin:
         rooted = members.join(groups.select(F.col("node").alias("key"), "root"), "key", "left")
         linked = scratch.save(rooted.filter("root is not null"), "linked")
         heads = linked.groupBy("root").agg(F.min("id").alias("class_id"))
-        grouped = linked.join(heads, "root").select("id", F.col("n").alias("n_grams"), "class_id")
+        grouped = linked.join(heads, "root").select("id", F.col("n").alias("n_grams"), "class_id", "key")
         copies = nodes.select("key", F.col("id").alias("class_id"))
-        alone = rooted.filter("root is null").join(copies, "key", "left").select("id", F.col("n").alias("n_grams"), F.coalesce("class_id", "id").alias("class_id"))
+        alone = rooted.filter("root is null").join(copies, "key", "left").select("id", F.col("n").alias("n_grams"), F.coalesce("class_id", "id").alias("class_id"), "key")
         return grouped.unionByName(alone)
 
 
@@ -254,7 +260,16 @@ def classes(docs: DataFrame, rule: JaccardRule = JaccardRule(), id_col: str = "d
 
 
 def keep_one(docs: DataFrame, rule: JaccardRule = JaccardRule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its class; of rows that repeat an id, all stay."""
-    found = classes(docs, rule, id_col, text_col)
+    """The rows of ``docs`` whose id is the smallest of its class; of rows that repeat an id, all stay.
+
+    A row without an id stays only where no row of its class has one.
+    """
+    found = JaccardJoin(docs, rule, id_col, text_col).keyed_classes()
     gone = found.filter("class_id <> id").select(F.col("id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    kept, unnamed = docs.join(gone, id_col, "left_anti"), docs.filter(F.col(id_col).isNull())
+    if unnamed.isEmpty():
+        return kept
+    keys = found.filter("id is null and class_id is not null").select("key").distinct()
+    texts = unnamed.select(F.lit(None).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(_texts(rule.words), "key binary, text string")
+    texts = texts.join(keys, "key", "left_semi").select(F.col("text").alias(text_col)).distinct()
+    return kept.filter(F.col(id_col).isNotNull()).unionByName(unnamed.join(texts, text_col, "left_anti").select(*docs.columns))
