@@ -2,8 +2,8 @@
 
 1. Equal vectors of a label are one row with a count. Vectors that are null, zero
    or hold null or non-finite components link with nothing, nor do null labels.
-2. Spherical k-means on a bounded sample (``SAMPLE`` vectors with the smallest
-   hashes) gives unit centres. A vector lives in the cell of its nearest centre
+2. Spherical k-means on a bounded sample (at most ``SAMPLE`` vectors, those with the
+   smallest hashes) gives unit centres, whose number follows that of the vectors. A vector lives in the cell of its nearest centre
    and is shown in every cell whose dividing plane is within half the chord of
    the threshold: of two vectors that link across a plane, one is that near to
    it. So no link is lost to the cells, for any centres.
@@ -31,11 +31,10 @@ from pyspark.sql import functions as F
 from .components import components
 from .scratch import Scratch
 
-#: Vectors that centres are fitted on at most.
-SAMPLE = 8192
-#: Vectors of a label that a cell should hold, and the most cells there are.
+#: Vectors of a label that a cell should hold.
 CELL = 2048
-MAX_CELLS = 1024
+#: Vectors that centres are fitted on: some for each cell, ``SAMPLE`` at most, and so cells.
+PER_CELL, SAMPLE = 16, 65_536
 #: Rows of a block; a task compares two.
 BLOCK = 2048
 
@@ -44,62 +43,93 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _nearest(x: np.ndarray, at: np.ndarray, rows: int = 4096) -> np.ndarray:
+    return np.concatenate([(x[i : i + rows] @ at.T).argmax(1) for i in range(0, len(x), rows)])
+
+
 def centres(sample: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
     """Unit centres by spherical k-means from an even choice of the sample."""
     k = max(1, min(k, len(sample)))
     at = sample[np.linspace(0, len(sample) - 1, k).astype(int)].copy()
     for _ in range(rounds):
-        near = (sample @ at.T).argmax(1)
+        near = _nearest(sample, at)
+        order = np.argsort(near, kind="stable")
+        begins = np.flatnonzero(np.diff(near[order], prepend=-1))
         total = np.zeros_like(at)
-        np.add.at(total, near, sample)
+        total[near[order][begins]] = np.add.reduceat(sample[order], begins, axis=0)
         size = np.linalg.norm(total, axis=1, keepdims=True)
         at = np.where(size > 1e-9, total / np.maximum(size, 1e-9), at)
     return np.unique(at, axis=0)
 
 
-def cells_of(x: np.ndarray, at: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Each unit vector's home, and a mask of the cells that it is shown in."""
-    near = x @ at.T
-    home = near.argmax(1)
-    apart = np.sqrt(np.maximum(2 - 2 * at @ at.T, 0))[home]
-    margin = (near[np.arange(len(x)), home][:, None] - near) / np.maximum(apart, 1e-12)
-    shown = margin <= np.sqrt(2 - 2 * threshold) / 2 + 1e-9
-    shown[np.arange(len(x)), home] = True
-    return home, shown
+def cells_of(x: np.ndarray, at: np.ndarray, threshold: float) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Each unit vector's home, and the cells that it is shown in."""
+    homes, shown = [], []
+    rows = max(1, (1 << 20) // len(at))
+    for i in range(0, len(x), rows):
+        near = x[i : i + rows] @ at.T
+        home = near.argmax(1)
+        apart = np.sqrt(np.maximum(2 - 2 * at[home] @ at.T, 0))
+        margin = (near[np.arange(len(near)), home][:, None] - near) / np.maximum(apart, 1e-12)
+        inside = margin <= np.sqrt(2 - 2 * threshold) / 2 + 1e-9
+        inside[np.arange(len(near)), home] = True
+        homes.append(home)
+        shown += [np.flatnonzero(row) for row in inside]
+    return np.concatenate(homes), shown
+
+
+def _owned(cell: int, home: np.ndarray, shown: list, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Which of the links ``u, v`` this cell counts: both at home here, or one, and the other's home is higher or does not show the one."""
+    hu, hv = home[u], home[v]
+    mine = (hu == cell) & (hv == cell)
+    size = np.fromiter(map(len, shown), np.int64, len(shown))
+    cells = np.concatenate(shown).astype(np.int64)
+    span = max(int(cells.max()), int(home.max())) + 1
+    codes = np.sort(np.repeat(np.arange(len(shown)), size) * span + cells)
+    for resident, guest, other in ((u, hv, (hu == cell) & (hv != cell)), (v, hu, (hv == cell) & (hu != cell))):
+        at = np.flatnonzero(other)
+        want = resident[at] * span + guest[at]
+        found = codes[np.minimum(np.searchsorted(codes, want), len(codes) - 1)] == want
+        mine[at[(guest[at] > cell) | ~found]] = True
+    return mine
 
 
 def compare(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
     """Links within one pair of blocks: for each vector the copies it links with and its mate."""
-    x = np.stack(pdf["embedding"].to_numpy()).astype(float)
+    low = (pdf["part"] == pdf["low"]).to_numpy()
+    alone = pdf["low"].iloc[0] == pdf["high"].iloc[0]
+    x = np.stack(pdf["embedding"].to_numpy()).astype(float, copy=False)
     norm = np.linalg.norm(x, axis=1)
-    cosine = (x / norm[:, None]) @ (x / norm[:, None]).T
-    for i, j in zip(*np.nonzero(np.abs(cosine - threshold) < 1e-12), strict=True):
-        cosine[i, j] = x[i] @ x[j] / (norm[i] * norm[j])
-    link = cosine >= threshold
-    np.fill_diagonal(link, False)
-    cell, home, part, same = int(pdf["cell"].iloc[0]), pdf["home"].to_numpy(), pdf["part"].to_numpy(), pdf["low"].iloc[0] == pdf["high"].iloc[0]
-    mine = home == cell
-    shows = pdf["shown"].to_list()
-    both = mine[:, None] & mine[None, :]
-    # A home vector u and a guest v: here if v's home is higher, or v's home does not show u.
-    missing = {h: np.array([h not in s for s in shows]) for h in np.unique(home[~mine])}
-    guest = np.zeros_like(link)
-    for h, absent in missing.items():
-        guest |= (mine & ((h > cell) | absent))[:, None] & (home == h)[None, :]
-    link &= both | guest | guest.T
-    if not same:
-        link &= part[:, None] != part[None, :]
-    weight = pdf["copies"].to_numpy()
-    number = np.arange(len(pdf))
-    while True:  # smallest number that links reach inside this product
-        least = np.minimum(number, np.where(link, number[None, :], len(pdf)).min(1, initial=len(pdf)))
+    y = x / norm[:, None]
+    left = np.flatnonzero(low)
+    right = left if alone else np.flatnonzero(~low)
+    cosine = y[left] @ y[right].T
+    u, v = np.nonzero(cosine >= threshold - 1e-12)
+    value = cosine[u, v]
+    if alone:
+        u, v, value = u[u < v], v[u < v], value[u < v]
+    u, v = left[u], right[v]
+    close = np.flatnonzero(np.abs(value - threshold) < 1e-12)
+    value[close] = np.einsum("ij,ij->i", x[u[close]], x[v[close]]) / (norm[u[close]] * norm[v[close]])
+    keep = np.flatnonzero(value >= threshold)
+    u, v = u[keep], v[keep]
+    if len(u):
+        keep = _owned(int(pdf["cell"].iloc[0]), pdf["home"].to_numpy(), pdf["shown"].to_list(), u, v)
+        u, v = u[keep], v[keep]
+    number, n = np.arange(len(pdf)), len(pdf)
+    while True:  # the smallest number that links reach inside this product
+        least = number.copy()
+        np.minimum.at(least, u, number[v])
+        np.minimum.at(least, v, number[u])
         least = least[least]
         if (least == number).all():
             break
         number = least
-    got = link.any(1)
+    weight = pdf["copies"].to_numpy()
+    links = np.bincount(u, weight[v], n) + np.bincount(v, weight[u], n)
+    got = np.flatnonzero(links > 0)
     key = pdf["key"].to_numpy()
-    return pd.DataFrame({"key": key[got], "links": (link @ weight)[got], "mate": key[number[got]]})
+    return pd.DataFrame({"key": key[got], "links": links[got].astype(np.int64), "mate": key[number[got]]})
 
 
 def classes(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
@@ -117,23 +147,23 @@ def classes(vectors: DataFrame, threshold: float = 0.93, id_col: str = "vec_id",
     unique = scratch.save(good.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("id"), F.first("label").alias("label"), F.first("embedding").alias("embedding")), "unique")
 
     per_label = unique.groupBy("label", F.size("embedding").alias("dim")).count().agg(F.max("count").alias("most")).first()["most"] or 0
-    picked = unique.select("key", "embedding").orderBy("key").limit(SAMPLE).collect()
-    by_dim: dict[int, list[list[float]]] = {}
-    for row in picked:
-        by_dim.setdefault(len(row["embedding"]), []).append(row["embedding"])
-    k = min(MAX_CELLS, -(-per_label // CELL))
+    k = min(SAMPLE // 4, -(-per_label // CELL))
+    picked = unique.select("key", "embedding").orderBy("key").limit(min(SAMPLE, max(1024, PER_CELL * k))).select("embedding").toArrow().column(0)
+    by_dim: dict[int, list[np.ndarray]] = {}
+    for vector in picked:
+        by_dim.setdefault(len(vector), []).append(vector.values.to_numpy())
     shared = spark.sparkContext.broadcast({d: centres(unit(np.array(x)), k) for d, x in by_dim.items()})
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vecs = batch.column(0).to_pylist()
-            home, shown = [0] * len(vecs), [[0]] * len(vecs)
+            home, shown = [0] * len(vecs), [np.zeros(1, int)] * len(vecs)
             for d in {len(v) for v in vecs}:
                 at = [i for i, v in enumerate(vecs) if len(v) == d]
                 if d in shared.value:
                     h, s = cells_of(unit(np.array([vecs[i] for i in at])), shared.value[d], threshold)
                     for i, a, b in zip(at, h, s, strict=True):
-                        home[i], shown[i] = int(a), np.flatnonzero(b).tolist()
+                        home[i], shown[i] = int(a), b
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(home, pa.int32()), pa.array(shown, pa.list_(pa.int32()))], [*batch.schema.names, "home", "shown"])
 
     placed = unique.select("embedding", "key", "copies", "label").mapInArrow(assign, "embedding array<double>, key binary, copies long, label string, home int, shown array<int>")
