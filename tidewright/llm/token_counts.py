@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scratch import Scratch
 from .tokens import document_ids, vocabulary
 
 #: Lengths of one range are summed together before the few ranges are.
@@ -35,7 +36,9 @@ def with_lengths(docs: DataFrame, text_col: str = "text", tokenizer: str | None
 
 
 def histogram(docs: DataFrame, text_col: str = "text", tokenizer: str | None = None) -> DataFrame:
-    return with_lengths(docs, text_col, tokenizer).groupBy("length").agg(F.count(F.lit(1)).alias("n_docs"))
+    """``length, n_docs``: one row for each distinct length, written once, because what follows reads it several times."""
+    counted = with_lengths(docs, text_col, tokenizer).groupBy("length").agg(F.count(F.lit(1)).alias("n_docs"))
+    return Scratch(docs.sparkSession, "token-counts").save(counted, "histogram")
 
 
 def context_table(lengths: DataFrame) -> DataFrame:
