@@ -39,7 +39,6 @@ from .words import shingle_sets
 
 #: Counters of the sketch that orders grams; every partition sends this many.
 SKETCH = 1 << 18
-_BLOCK = 1 << 12
 #: Hash ranges that the suffix filter counts by.
 RANGES = 64
 #: Ids of documents to verify that are broadcast at most (8 bytes each).
@@ -77,11 +76,13 @@ def _range_counts(grams: np.ndarray) -> list[int]:
     return np.bincount((grams >> np.uint64(58)).astype(np.int64), minlength=RANGES).tolist() if len(grams) else [0] * RANGES
 
 
-_SET_TYPE = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("key", pa.binary()), ("n", pa.int64()), ("ranges", pa.list_(pa.int32())), ("block", pa.int32()), ("counts", pa.list_(pa.int64()))])
-_SET_DDL = "kind int, id long, key binary, n long, ranges array<int>, block int, counts array<long>"
+_SET_TYPE = pa.schema([("kind", pa.int32()), ("id", pa.int64()), ("key", pa.binary()), ("n", pa.int64()), ("ranges", pa.list_(pa.int32()))])
+_SET_DDL = "kind int, id long, key binary, n long, ranges array<int>"
 
 
 def _sets(words: int):
+    """kind 0: a document's id, key and size; 1: a counter of the sketch in ``id`` and its count in ``n``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(SKETCH, np.int64)
         for batch in batches:
@@ -92,12 +93,11 @@ def _sets(words: int):
                 sizes.append(len(grams))
                 ranges.append(_range_counts(grams))
             k = len(keys)
-            yield pa.RecordBatch.from_arrays([pa.array([0] * k, pa.int32()), batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(ranges, pa.list_(pa.int32())), pa.nulls(k, pa.int32()), pa.nulls(k, pa.list_(pa.int64()))], schema=_SET_TYPE)
-        rows = [(b, sketch[b * _BLOCK : (b + 1) * _BLOCK]) for b in range(SKETCH // _BLOCK)]
-        rows = [(b, c.tolist()) for b, c in rows if c.any()]
-        k = len(rows)
+            yield pa.RecordBatch.from_arrays([pa.array([0] * k, pa.int32()), batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(ranges, pa.list_(pa.int32()))], schema=_SET_TYPE)
+        used = np.flatnonzero(sketch)
+        k = len(used)
         if k:
-            yield pa.RecordBatch.from_arrays([pa.array([1] * k, pa.int32()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.list_(pa.int32())), pa.array([b for b, _ in rows], pa.int32()), pa.array([c for _, c in rows], pa.list_(pa.int64()))], schema=_SET_TYPE)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int32)), pa.array(used), pa.nulls(k, pa.binary()), pa.array(sketch[used]), pa.nulls(k, pa.list_(pa.int32()))], schema=_SET_TYPE)
 
     return run
 
@@ -133,10 +133,21 @@ def _texts(words: int):
     """The key beside each whole text, computed anew: an id may stand for several texts."""
     schema = pa.schema([("key", pa.binary()), ("text", pa.string())])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _keyed_texts(words)(batches):
+            yield pa.RecordBatch.from_arrays(batch.columns[1:], schema=schema)
+
+    return run
+
+
+def _keyed_texts(words: int):
+    """:func:`_texts` beside each id."""
+    schema = pa.schema([("id", pa.int64()), ("key", pa.binary()), ("text", pa.string())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = [set_key(g) if len(g) else None for g in shingle_sets(batch.column(1), words)]
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), batch.column(1).cast(pa.string())], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), batch.column(1).cast(pa.string())], schema=schema)
 
     return run
 
@@ -212,10 +223,9 @@ class JaccardJoin:
         """:meth:`classes` with the ``key`` of each row's set."""
         spark, rule, scratch = self.spark, self.rule, self.scratch
         first = scratch.save(self.docs.mapInArrow(_sets(rule.words), _SET_DDL), "sets")
-        blocks = first.filter("kind = 1").groupBy("block").applyInPandas(lambda pdf: pdf.iloc[:1][["block"]].assign(counts=[np.sum(np.stack(pdf["counts"].tolist()), axis=0).tolist()]), "block int, counts array<long>")
+        summed = first.filter("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).toArrow()  # at most SKETCH rows, however many documents there are
         counts = np.zeros(SKETCH, np.int64)
-        for row in blocks.toLocalIterator():  # SKETCH numbers, however many documents there are
-            counts[row["block"] * _BLOCK : (row["block"] + 1) * _BLOCK] = row["counts"]
+        counts[summed.column("id").to_numpy()] = summed.column("n").to_numpy()
         sketch = spark.sparkContext.broadcast(counts)
         members = first.filter("kind = 0").select("id", "key", "n")
         nodes = scratch.save(first.filter("kind = 0 and key is not null").groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("ranges").alias("ranges")).withColumn("k", F.conv(F.hex(F.substring("key", 1, 8)), 16, -10).cast("long")), "nodes")
@@ -260,16 +270,20 @@ def classes(docs: DataFrame, rule: JaccardRule = JaccardRule(), id_col: str = "d
 
 
 def keep_one(docs: DataFrame, rule: JaccardRule = JaccardRule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its class; of rows that repeat an id, all stay.
+    """The rows of ``docs`` whose id is the smallest of its class; of rows that repeat an id, each is judged by its own text.
 
     A row without an id stays only where no row of its class has one.
     """
-    found = JaccardJoin(docs, rule, id_col, text_col).keyed_classes()
-    gone = found.filter("class_id <> id").select(F.col("id").alias(id_col)).distinct()
-    kept, unnamed = docs.join(gone, id_col, "left_anti"), docs.filter(F.col(id_col).isNull())
-    if unnamed.isEmpty():
+    join = JaccardJoin(docs, rule, id_col, text_col)
+    goes = F.coalesce(F.col("class_id") != F.col("id"), F.col("id").isNull() & F.col("class_id").isNotNull())
+    found = join.keyed_classes().select("id", "key", goes.alias("goes"))
+    fate = join.scratch.save(found.groupBy("id").agg(F.max("goes").alias("some"), F.min("goes").alias("every")).filter("some"), "fate")
+    whole, mixed = (fate.filter(cond).select(F.col("id").alias("__id")) for cond in ("every", "not every"))
+    kept = docs.join(whole, docs[id_col].cast("long").eqNullSafe(whole["__id"]), "left_anti")
+    if mixed.isEmpty():
         return kept
-    keys = found.filter("id is null and class_id is not null").select("key").distinct()
-    texts = unnamed.select(F.lit(None).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(_texts(rule.words), "key binary, text string")
-    texts = texts.join(keys, "key", "left_semi").select(F.col("text").alias(text_col)).distinct()
-    return kept.filter(F.col(id_col).isNotNull()).unionByName(unnamed.join(texts, text_col, "left_anti").select(*docs.columns))
+    # Ids with rows of both kinds: the texts whose sets go, each beside its id.
+    keys = found.filter("goes").join(mixed, F.col("id").eqNullSafe(F.col("__id")), "left_semi").select("id", "key").distinct()
+    texts = join.docs.join(mixed, F.col("id").eqNullSafe(F.col("__id")), "left_semi").mapInArrow(_keyed_texts(rule.words), "id long, key binary, text string")
+    gone = texts.alias("t").join(keys.alias("k"), F.expr("t.key = k.key and t.id <=> k.id"), "left_semi").select(F.col("id").alias("__id"), F.col("text").alias("__text")).distinct()
+    return kept.join(gone, kept[id_col].cast("long").eqNullSafe(gone["__id"]) & (kept[text_col] == gone["__text"]), "left_anti")
