@@ -36,6 +36,8 @@ RATE = 0.08
 #: Characters of passages that are broadcast at a time.
 BLOCK_CHARS = 4_000_000
 _CHUNK = 1 << 20
+#: Pairs of equal q-grams that are expanded at a time, and cells of an alignment step.
+_PAIRS, _CELLS = 1 << 20, 1 << 20
 _STOP = 0x10FFFF  # between texts; no character of a text
 _STOP_TEXT = chr(_STOP)
 _TABLE_BITS = 22
@@ -107,19 +109,59 @@ def index(items: list[tuple[int | None, str | None]], q: int = Q, rate: float =
     return Index(ids, codes, edits, size + 1 - q * (edits + 1), gram[order], item[order], pos[order].astype(np.int64), table, q)
 
 
+def _summed(keys: list[np.ndarray], often: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    key, at = np.unique(np.concatenate([*keys, np.zeros(0, np.int64)]), return_inverse=True)
+    return key, np.bincount(at, np.concatenate([*often, np.zeros(0, np.int64)]), len(key)).astype(np.int64)
+
+
+def _strip_counts(ix: Index, at: np.ndarray, lo: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shared q-grams by strip of diagonals and item (``strip * items + item``); ``at`` in the text meets postings ``lo`` to ``lo + n``."""
+    keys, often = [], []
+    heavy = _heavy(at, lo, n)
+    for places, postings in heavy.values():  # a gram that both sides repeat: its diagonals by a correlation
+        for k in np.unique(ix.item[postings]):
+            own = ix.pos[postings[ix.item[postings] == k]]
+            first, last = int(places[0]), int(own[-1])
+            a, b = np.zeros(int(places[-1]) - first + 1), np.zeros(last + 1)
+            a[places - first], b[last - own] = 1, 1
+            size = 1 << (len(a) + len(b)).bit_length()
+            shared = np.rint(np.fft.irfft(np.fft.rfft(a, size) * np.fft.rfft(b, size), size)).astype(np.int64)
+            d = np.flatnonzero(shared)
+            keys.append((d + first - last) // (2 * ix.edits[k] + 1) * len(ix.ids) + k)
+            often.append(shared[d])
+    light = np.flatnonzero(~np.isin(lo, np.array(list(heavy), np.int64))) if heavy else np.arange(len(at))
+    at, lo, n = at[light], lo[light], n[light]
+    total = np.concatenate([[0], np.cumsum(n)])
+    i = 0
+    while i < len(at):  # so many pairs at a time
+        j = max(i + 1, int(np.searchsorted(total, total[i] + _PAIRS, "right")) - 1)
+        which = np.repeat(lo[i:j] - (total[i:j] - total[i]), n[i:j]) + np.arange(total[j] - total[i])
+        item = ix.item[which]
+        strip = (np.repeat(at[i:j], n[i:j]) - ix.pos[which]) // (2 * ix.edits[item] + 1)
+        key, c = np.unique(strip * len(ix.ids) + item, return_counts=True)
+        keys.append(key), often.append(c)
+        i = j
+    return _summed(keys, often)
+
+
+def _heavy(at: np.ndarray, lo: np.ndarray, n: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Places in the text and postings of grams whose pairs would be too many, by first posting."""
+    if int(n.sum()) <= _PAIRS:
+        return {}
+    first, inverse = np.unique(lo, return_inverse=True)
+    pairs = np.bincount(inverse, n, len(first))
+    return {int(first[g]): (at[inverse == g], np.arange(first[g], first[g] + n[inverse == g][0])) for g in np.flatnonzero(pairs > _PAIRS // 4)}
+
+
 def bands(ix: Index, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Item and first diagonal of the bands with enough shared q-grams."""
+    """Item and first diagonal of the bands (two strips of diagonals each, so that bands overlap) with enough shared q-grams."""
     g = grams(code, ix.q)
     at = np.flatnonzero(ix.table[g >> np.uint64(64 - _TABLE_BITS)])
     lo, hi = np.searchsorted(ix.gram, g[at], "left"), np.searchsorted(ix.gram, g[at], "right")
-    n = hi - lo
-    which = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-    item = ix.item[which]
-    step = 2 * ix.edits[item] + 1
-    band = (np.repeat(at, n) - ix.pos[which]) // step
-    key = np.concatenate([band, band - 1]) * len(ix.ids) + np.concatenate([item, item])
-    key, often = np.unique(key, return_counts=True)
-    item, band = key % max(1, len(ix.ids)), key // max(1, len(ix.ids))
+    key, often = _strip_counts(ix, at[hi > lo], lo[hi > lo], (hi - lo)[hi > lo])
+    items = max(1, len(ix.ids))
+    key, often = _summed([key, key - items], [often, often])  # the band before has this strip too
+    item, band = key % items, key // items
     ok = often >= ix.needed[item]
     return item[ok], band[ok] * (2 * ix.edits[item[ok]] + 1)
 
@@ -158,6 +200,19 @@ def align(ix: Index, code: np.ndarray, item: np.ndarray, diagonal: np.ndarray) -
     return best >> np.int64(32), (best & (one - 1)) - pad, where - pad
 
 
+def _alignments(ix: Index, item: np.ndarray) -> Iterator[np.ndarray]:
+    """Candidates to align together: of like size, and no more than ``_CELLS`` cells of a band or of passages."""
+    size = np.array([len(ix.codes[k]) for k in item])
+    order = np.lexsort((size, ix.edits[item]))
+    i = 0
+    while i < len(order):
+        j, longest = i + 1, size[order[i]]
+        while j < len(order) and (j + 1 - i) * max(6 * int(ix.edits[item[order[j]]]) + 3, longest := max(longest, size[order[j]])) <= _CELLS:
+            j += 1
+        yield order[i:j]
+        i = j
+
+
 def find(ix: Index, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
     """``(row, item, start, end, edits)`` of every passage found."""
     out: list[tuple[int, int, int, int, int]] = []
@@ -172,17 +227,17 @@ def find(ix: Index, texts: list[str | None]) -> list[tuple[int, int, int, int, i
         begins = np.cumsum([0] + [len(p) + 1 for p in parts])
         item, diagonal = bands(ix, code)
         seen: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for k in range(0, len(item), 4096):
-            some = item[k : k + 4096]
-            edits, a, b = align(ix, code, some, diagonal[k : k + 4096])
+        for mine in _alignments(ix, item):
+            some = item[mine]
+            edits, a, b = align(ix, code, some, diagonal[mine])
             for j in np.flatnonzero(edits <= ix.edits[some]):
                 key, got = (int(some[j]), int(b[j])), (int(edits[j]), int(a[j]), int(b[j]))
                 seen[key] = min(seen.get(key, got), got)
-        mine: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        places: dict[tuple[int, int], list[tuple[int, int]]] = {}
         for (k, _), (edits, a, b) in sorted(seen.items(), key=lambda x: (x[0][0], x[1])):
             local = int(np.searchsorted(begins, place[a], "right")) - 1
             span = (int(place[a] - begins[local]), int(place[b - 1] - begins[local]) + 1)
-            taken = mine.setdefault((local, k), [])
+            taken = places.setdefault((local, k), [])
             if all(y <= span[0] or span[1] <= x for x, y in taken):  # else the same place with no fewer edits
                 taken.append(span)
                 out.append((first + local, k, *span, edits))
@@ -191,6 +246,11 @@ def find(ix: Index, texts: list[str | None]) -> list[tuple[int, int, int, int, i
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", q: int = Q, rate: float = RATE) -> DataFrame:
     """``doc, item, start, end, edits`` for every place where a document holds a passage."""
+    return _matches(docs, benchmark, id_col, text_col, item_col, item_text_col, q, rate).drop("row")
+
+
+def _matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", q: int = Q, rate: float = RATE) -> DataFrame:
+    """:func:`matches` and ``row``, the hash of the text."""
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).alias("text")).filter(F.length("text") >= q)
     total = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
@@ -201,17 +261,17 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
         shared = spark.sparkContext.broadcast(index(sorted(((r["item"], r["text"]) for r in mine), key=lambda x: (x[0] is None, x[0] or 0, x[1])), q, rate))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
-            names = ["doc", "item", "start", "end", "edits"]
+            names = ["doc", "item", "start", "end", "edits", "row"]
             for batch in batches:
-                ids, hits = batch.column(0).to_pylist(), find(shared.value, batch.column(1).to_pylist())
-                columns = [[ids[h[0]] for h in hits], [shared.value.ids[h[1]] for h in hits], *([h[k] for h in hits] for k in (2, 3, 4))]
+                ids, rows, hits = batch.column(0).to_pylist(), batch.column(2).to_pylist(), find(shared.value, batch.column(1).to_pylist())
+                columns = [[ids[h[0]] for h in hits], [shared.value.ids[h[1]] for h in hits], *([h[k] for h in hits] for k in (2, 3, 4)), [rows[h[0]] for h in hits]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
-        found.append(docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "doc long, item long, start long, end long, edits long"))
+        found.append(docs.select(F.col(id_col).cast("long"), text_col, F.xxhash64(text_col)).mapInArrow(run, "doc long, item long, start long, end long, edits long, row long"))
     return reduce(DataFrame.unionByName, found)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:  # noqa: ANN003
-    """The rows of ``docs`` whose id has no match; a null id is judged by its rows together."""
-    found = matches(docs, benchmark, id_col, text_col, **options).select(F.col("doc").alias("__doc")).distinct()
-    return docs.join(found, docs[id_col].eqNullSafe(found["__doc"]), "left_anti")
+    """The rows of ``docs`` without a match; of rows that share an id, also null, each is judged by its own text."""
+    found = _matches(docs, benchmark, id_col, text_col, **options).select(F.col("doc").alias("__doc"), F.col("row").alias("__row")).distinct()
+    return docs.join(found, docs[id_col].cast("long").eqNullSafe(found["__doc"]) & (F.xxhash64(docs[text_col]) == found["__row"]), "left_anti")
