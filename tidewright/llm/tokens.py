@@ -15,8 +15,10 @@ SPECIAL = "<|endoftext|>"
 SPECIAL_ID = 50256
 #: Id that ends every document.
 END_ID = 0
-#: Runs without a break that the fast encoder's pattern is not trusted with.
-_LONG_RUN = re.compile(r"\s{20000}|[^\s]{200000}")
+#: Runs of blanks, and of anything else, that the fast encoder's pattern is not trusted with.
+BLANKS, OTHERS = 20_000, 200_000
+# A run is only tried from its start, so that each character is looked at a fixed number of times.
+_LONG_RUN = re.compile(rf"(?<!\s)\s{{{BLANKS}}}|(?<!\S)\S{{{OTHERS}}}")
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -47,12 +49,16 @@ def _fast(path: str) -> Any:
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=pairs, special_tokens={SPECIAL: SPECIAL_ID})
 
 
+def has_long_run(text: str) -> bool:
+    return len(text) >= min(BLANKS, OTHERS) and _LONG_RUN.search(text) is not None
+
+
 def encode(text: str | None, path: str) -> np.ndarray:
     """The ids the tokenizer file gives for one text, without its end id; null is empty."""
     if not text:
         return np.zeros(0, np.uint32)
     fast = _fast(path)
-    if fast is None or _LONG_RUN.search(text):
+    if fast is None or has_long_run(text):
         return np.array(_slow(path).encode(text, add_special_tokens=False).ids, np.uint32)
     return np.array(fast.encode(text, allowed_special={SPECIAL}), np.uint32)
 
