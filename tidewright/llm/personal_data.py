@@ -53,6 +53,12 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def is_octet(digits: str) -> bool:
+    """At most 255, with any number of leading zeros."""
+    rest = digits.lstrip("0")
+    return len(rest) <= 3 and int(rest or "0") <= 255
+
+
 def _emails(text: str) -> Iterator[Span]:
     end = 0
     at = text.find("@")
@@ -70,7 +76,7 @@ def base_spans(text: str) -> list[Span]:
     """In the order of :data:`KINDS`, then by start."""
     out = list(_emails(text))
     if _DIGIT.search(text):
-        out += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split("."))]
+        out += [("ip", *m.span()) for m in _IP.finditer(text) if all(is_octet(p) for p in m.group().split("."))]
         for m in _CARD.finditer(text):
             digits = re.sub("[^0-9]", "", m.group())
             if 16 <= len(digits) <= 19 and luhn(digits):
@@ -407,10 +413,10 @@ def find(net: Network, texts: list[str], gate: bool = True) -> list[tuple[list[S
 
 
 def fit(docs: DataFrame, text_col: str = "text", sample: int = 300, chars: int = 4000) -> Network:
-    """Trains in passages (of at most ``chars`` characters) of at most ``sample`` documents, those with the smallest hashes."""
+    """Trains in passages (of at most ``chars`` characters, from a hashed place on) of at most ``sample`` documents, those with the smallest hashes."""
     rows = docs.filter(F.col(text_col).isNotNull()).select(F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t"))
     bound = rows.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
-    got = [] if bound is None else rows.filter(F.col("h") <= bound).select("h", F.substring("t", 1, chars).alias("t")).groupBy("h").agg(F.first("t").alias("t")).collect()
+    got = [] if bound is None else rows.filter(F.col("h") <= bound).select("h", F.substring(F.col("t"), (1 + F.pmod(F.col("h"), F.greatest(F.length("t") - chars, F.lit(0)) + 1)).cast("int"), F.lit(chars)).alias("t")).groupBy("h").agg(F.first("t").alias("t")).collect()
     got.sort(key=lambda r: r["h"])
     return train([r["t"] for r in got])
 
