@@ -168,16 +168,18 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, id_col: str = "doc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = features(batch.column(2))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(list(x), pa.list_(pa.float64()))], ["id", "y", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(list(x), pa.list_(pa.float64())), batch.column(3)], ["id", "y", "x", "hash"])
 
-    got = rows.select("__id", "__y", "__text").mapInArrow(run, "id long, y int, x array<double>").limit(2 * max_rows).collect()
+    stated = rows.select("__id", "__y", "__text", F.xxhash64("__id", "__text")).mapInArrow(run, "id long, y int, x array<double>, hash long")
+    # An id that many rows repeat could bring more rows than labels; of those too the smallest hashes count.
+    got = stated.orderBy("hash", "id", "y", "x").limit(max_rows).collect()
     got.sort(key=lambda r: (r["id"], r["y"], r["x"]))
     x = np.array([r["x"] for r in got]).reshape(-1, len(FEATURES))
     return fit(x, np.array([r["y"] for r in got], float))
 
 
 def score(docs: DataFrame, trees: Trees, text_col: str = "text", out_col: str = "score") -> DataFrame:
-    """``docs`` with the probability of good quality in ``out_col``."""
+    """``docs`` with the probability of good quality in ``out_col``; a column of that name is replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(trees)
 
     @F.pandas_udf("double")  # type: ignore[call-overload]
