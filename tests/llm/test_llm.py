@@ -138,6 +138,63 @@ def test_decontamination(spark):
     assert decontaminate.matches(texts_table, bench.filter("false")).count() == 0 and decontaminate.matches(texts_table.filter("false"), bench).count() == 0
 
 
+def test_decontamination_judges_each_row(spark):
+    passage = "the seven grey herons of the lower marsh return before the first frost of the year"
+    rows = [(1, "so " + passage + " ok"), (1, "clean text of the same id"), (None, passage), (None, "clean text without an id"), (None, None), (2, passage), (2, passage)]
+    docs = spark.createDataFrame([(i, t, 3) for i, t in rows], "doc_id long, text string, item long")
+    bench = spark.createDataFrame([(None, passage), (4, None)], "item_id long, text string")
+    assert sorted(((r["doc_id"], r["text"]) for r in decontaminate.clean(docs, bench).collect()), key=repr) == sorted([rows[1], rows[3], rows[4]], key=repr)
+    assert sorted((r["doc"] for r in decontaminate.matches(docs, bench).collect()), key=repr) == [1, 2, 2, None]
+
+
+def plain_bands(ix, code):
+    """Counts of shared q-grams by band, pair by pair."""
+    g, out = decontaminate.grams(code, ix.q), Counter()
+    for p in range(len(g)):
+        for j in np.flatnonzero(ix.gram == g[p]):
+            k = int(ix.item[j])
+            strip = (p - int(ix.pos[j])) // (2 * int(ix.edits[k]) + 1)
+            out[(k, strip)] += 1
+            out[(k, strip - 1)] += 1
+    return sorted((k, b * (2 * int(ix.edits[k]) + 1)) for (k, b), n in out.items() if n >= ix.needed[k])
+
+
+def test_bands_of_repeated_grams(monkeypatch):
+    """A gram that text and passage repeat is counted by a correlation, with the same bands, in bounded memory."""
+    rng = random.Random(3)
+    words_ = " ".join("".join(rng.choice("abc") for _ in range(4)) for _ in range(30))
+    ix = decontaminate.index([(1, "-" * 120), (2, words_ + "-" * 40), (3, "ab" * 50), (4, words_)])
+    text = "x" + "-" * 300 + words_ + "ab" * 90 + " " + words_.replace("a", "-", 2) + "-" * 35
+    code = decontaminate.normalised(text)[0]
+    want = plain_bands(ix, code)
+    for pairs in (1 << 20, 2000, 200, 7):
+        monkeypatch.setattr(decontaminate, "_PAIRS", pairs)
+        assert sorted(zip(*map(np.ndarray.tolist, decontaminate.bands(ix, code)), strict=True)) == want, pairs
+    monkeypatch.undo()
+    import tracemalloc
+
+    ix, code = decontaminate.index([(1, "-" * 3000)]), decontaminate.normalised("-" * 60_000)[0]
+    tracemalloc.start()
+    assert len(decontaminate.bands(ix, code)[0])
+    assert tracemalloc.get_traced_memory()[1] < 100e6
+    tracemalloc.stop()
+
+
+def test_alignment_of_a_long_passage():
+    """A passage of thousands of characters is verified in steps of bounded size, against the plain table."""
+    rng = random.Random(9)
+    item = "".join(rng.choice("abcdefgh ") for _ in range(2500)).strip()
+    c = list(item)
+    for _ in range(60):
+        p = rng.randrange(len(c))
+        c[p : p + 1] = rng.choice([["z"], [], [c[p], "y"]])
+    text = "intro text " + "".join(c) + " the end"
+    ix = decontaminate.index([(1, item), (2, "short one of some letters"), (3, item[:300])])
+    found = {k: e for _, k, _, _, e in decontaminate.find(ix, [text, "nothing", text[:900]])}
+    norm = lambda t: re.sub(r" +", " ", t)
+    assert found[0] == edits_within(norm(item), norm(text)) and found[2] == edits_within(norm(item[:300]), norm(text))
+
+
 # ---- 3 ----------------------------------------------------------------------
 
 
@@ -328,6 +385,13 @@ def test_base_spans():
         assert personal_data.base_spans(text) == plain_spans(text), text
 
 
+def test_octets_with_many_zeros():
+    zeros = "0" * 5000
+    text = f"at {zeros}1.2.3.{zeros}255 and {zeros}.0.0.0 not 1.2.3.{zeros}256 nor {'9' * 5000}.1.1.1"
+    got = [text[a:b] for kind, a, b in personal_data.base_spans(text) if kind == "ip"]
+    assert got == [f"{zeros}1.2.3.{zeros}255", f"{zeros}.0.0.0"]
+
+
 @pytest.fixture(scope="module")
 def net():
     return personal_data.train(["the of and was shed in heather onto that reed"] * 3, windows=1500, epochs=3)
@@ -436,6 +500,18 @@ def test_jaccard_near_copy_without_an_id(spark):
         assert kept == sorted([(1, texts[0]), (None, alone), (None, None), (3, "other words of its own")], key=repr)
 
 
+def test_jaccard_keeps_by_text(spark):
+    """Rows that share an id, or have none, are judged by their own texts."""
+    text = " ".join(f"w{i}" for i in range(200))
+    other = " ".join(f"u{i}" for i in range(200))
+    rows = [(1, text), (5, text + " more"), (5, other), (5, ""), (None, text + " less"), (None, "alone here by itself"), (None, None), (7, "alone"), (8, text)]
+    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], "doc_id long, text string, key string, __id string")
+    left = [(r["doc_id"], r["text"]) for r in jaccard_join.keep_one(docs).collect()]
+    want = [(1, text), (5, other), (5, ""), (None, "alone here by itself"), (None, None), (7, "alone")]
+    assert sorted(left, key=repr) == sorted(want, key=repr)
+    assert jaccard_join.keep_one(docs).columns == docs.columns
+
+
 def test_shingles_of_whole_texts():
     texts = ["a b c d", "A  B\nc\td", None, "", "a b", "b a", "abc", "é à"]
     s = list(shingle_sets(pa.array(texts), 3))
@@ -472,6 +548,22 @@ def test_tokens_are_the_files(small):
         assert tokens.encode(t, path).tolist() == tokens._slow(path).encode(t, add_special_tokens=False).ids, t[:50]
 
 
+def test_tokens_of_long_runs(monkeypatch):
+    """Runs are measured in one pass, and beyond the limits the tokenizer file decides."""
+    import time
+
+    path = tokens.vocabulary()
+    text = (("ab" * 10_000) + " " + "\t" * 15_000) * 30
+    began = time.perf_counter()
+    assert not tokens.has_long_run(text) and time.perf_counter() - began < 1
+    assert tokens.has_long_run("x" + " " * tokens.BLANKS) and tokens.has_long_run("a " + "x" * tokens.OTHERS) and not tokens.has_long_run("x" * (tokens.OTHERS - 1))
+    for some in ("x" * 300 + " " * 300 + "é" * 300, "\n" * 500 + "end", " " * 400, "word " * 50):
+        fast = tokens.encode(some, path).tolist()
+        monkeypatch.setattr(tokens, "has_long_run", lambda _: True)
+        assert tokens.encode(some, path).tolist() == fast
+        monkeypatch.undo()
+
+
 def test_token_counts(spark, odd):
     path = tokens.vocabulary()
     sizes = sorted(len(tokens.document_ids(t, path)) for _, t in rows_of(odd))
@@ -487,6 +579,19 @@ def test_token_counts(spark, odd):
     assert token_counts.context_table(token_counts.histogram(empty(spark))).count() == 0
 
 
+def test_token_counts_by_sql(spark, odd):
+    """All that follows the lengths, stated in SQL over them."""
+    con = duckdb.connect()
+    lengths = pa.table({"length": [len(tokens.document_ids(t, tokens.vocabulary())) for _, t in rows_of(odd)]})
+    con.register("lengths", lengths)
+    want = con.execute("""WITH h AS (SELECT length, count(*) AS n FROM lengths GROUP BY 1)
+        SELECT length AS context_limit, n AS n_docs, (SELECT count(*) FROM lengths l WHERE l.length <= h.length) AS docs_within, (SELECT sum(length)::BIGINT FROM lengths l WHERE l.length <= h.length) AS tokens_within,
+        (SELECT count(*) FROM lengths l WHERE l.length > h.length) AS docs_over, (SELECT coalesce(sum(length), 0)::BIGINT FROM lengths l WHERE l.length > h.length) AS tokens_over,
+        (SELECT sum(least(l.length, h.length))::BIGINT FROM lengths l) AS truncated_total, (SELECT count(*) FILTER (l.length <= h.length) / count(*) FROM lengths l) AS quantile FROM h""").fetchall()
+    got = token_counts.context_table(token_counts.histogram(odd)).select("context_limit", "n_docs", "docs_within", "tokens_within", "docs_over", "tokens_over", "truncated_total", "quantile").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_cut():
     for n in (1, 5, 6, 7, 12, 13, 600):
         parts = packing.cut(n, 6)
@@ -605,6 +710,15 @@ def test_trees():
     assert (quality.fit(x[:50], np.ones(50)).score(x[:3]) > 0.9).all()
 
 
+def test_quality_of_repeated_ids(spark):
+    """An id that many rows repeat brings no more than the documented number of rows, the same ones for any order."""
+    docs = spark.createDataFrame([(i % 4, f"text {i} " * (i % 9 + 1), 0.5) for i in range(400)], "doc_id long, text string, score double")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(4)], "doc_id long, quality int")
+    a, b = (quality.train(d, labels, max_rows=50) for d in (docs, docs.orderBy(F.desc("text")).repartition(3)))
+    assert np.array_equal(a.value, b.value) and np.array_equal(a.cut, b.cut)
+    assert quality.score(docs, a).count() == 400
+
+
 def test_quality_held_out(spark, odd):
     sf = "/root/testdata/sf0.01"
     got = queries.op10_quality_classifier(spark, sf).toPandas().merge(duckdb.sql(f"select doc_id, quality from {table(sf, 'labels')}").df(), on="doc_id")
