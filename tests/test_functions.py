@@ -32,6 +32,14 @@ def one(spark, value, f, kind="string"):
         ('<img alt="Inj>Caption', "Caption"),
         ("<style>p{}</style>  x ", "x"),
         ("&#1114112;&#0065;", "A"),
+        ("a&#" + "9" * 5000 + ";b&#x" + "F" * 5000 + ";c&#" + "0" * 5000 + "65;", "abcA"),
+        ("&Lt;i&Lt;", "&Lt;i&Lt;"),
+        ("&LTb&gtx&amp;quot;", 'x"'),
+        ("&#38;lt;p&#62;q", "q"),
+        ("<scr<script>x</script>ipt>evil", ""),
+        ("a<script/>b<embed src=x>c", "ab"),
+        ("a<object></object>b</object>c", "ac"),
+        (None, ""),
     ],
 )
 def test_html_to_text(spark, html, want):
@@ -43,6 +51,24 @@ def test_entities_never_settling_is_bounded():
     assert X.decode_entities("&" + "amp;" * 200 + "lt;") in ("", "<")
 
 
+def test_chunks_of_a_long_text(spark):
+    """Offsets against plain code, with all kinds of blanks."""
+    import random
+    import re
+
+    rng = random.Random(1)
+    text = "".join(rng.choice(["w", "élan", "x1"]) * rng.randint(1, 3) + rng.choice([" ", "  ", "\n", "\t ", "\u2003"]) for _ in range(4000))
+    docs = spark.createDataFrame([(1, " \n" + text), (2, text.strip())], "doc_id long, text string")
+    want = []
+    for i, t in ((1, " \n" + text), (2, text.strip())):
+        m = list(re.finditer(r"\S+", t))
+        for k, w in enumerate(range(0, len(m), 450)):
+            if w == 0 or w + 50 < len(m):
+                a, b = m[w].start(), m[min(w + 500, len(m)) - 1].end()
+                want.append((i, k, a, b, t[a:b]))
+    assert sorted(map(tuple, X.token_chunks(docs).collect())) == want
+
+
 def test_chunks(spark):
     words = lambda n: " ".join(f"w{i}" for i in range(n))
     docs = spark.createDataFrame([(1, words(500)), (2, words(501)), (3, ""), (4, None), (5, "  a   b ")], "doc_id long, text string")
@@ -84,6 +110,10 @@ def test_private_v6(address, private):
     assert N.private_v6(address) is private
 
 
+def test_rule_paths():
+    assert [N.decode_path(p) for p in ("/a%62c", "/x%2Fy%3f%23", "/%C3%A9", "%2f%41%2F", "")] == ["/abc", "/x%2Fy%3f%23", "/é", "%2fA%2F", ""]
+
+
 def test_robots(spark):
     text = "User-agent: *\n\nDisallow: /\n\nUser-agent: bot\nDisallow: /private\nAllow: /private/ok$\n"
     assert N.parse_robots(text, "bot/1.0") == [("disallow", "/private"), ("allow", "/private/ok$")]

@@ -6,6 +6,7 @@ import ipaddress
 import re
 import xml.etree.ElementTree as ET
 from collections.abc import Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,9 +90,14 @@ def feed_date(raw: Column) -> Column:
 # ---- robots -----------------------------------------------------------------
 
 
+_KEPT_CODES = re.compile("(%(?:2F|3F|23))", re.I)
+
+
 def decode_path(text: str) -> str:
-    """Percent codes as characters, but for those of ``/``, ``?`` and ``#``."""
-    return re.sub("%([0-9A-Fa-f]{2})", lambda m: m[0] if int(m[1], 16) in (0x2F, 0x3F, 0x23) else chr(int(m[1], 16)), text)
+    """Percent codes as the UTF-8 that they spell, but for those of ``/``, ``?`` and ``#``."""
+    parts = _KEPT_CODES.split(text)  # each second part is a code to keep
+    parts[::2] = map(unquote, parts[::2])
+    return "".join(parts)
 
 
 def parse_robots(text: str, agent: str) -> list[tuple[str, str]]:

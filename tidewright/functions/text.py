@@ -17,6 +17,7 @@ NAMED_ENTITIES = {
     "&AMP;": "&", "&LT;": "<", "&GT;": ">", "&QUOT;": '"', "&NBSP;": " ", "&#39;": "'",
 }
 MOST_DECODES = 100
+_ENTITY = re.compile(r"&(?:(?i:(?P<open>lt|gt|quot|amp))(?!;)|(?P<named>amp|lt|gt|quot|apos|nbsp|AMP|LT|GT|QUOT|NBSP);|#(?:(?P<dec>[0-9]+);|[xX](?P<hex>[0-9a-fA-F]+);|(?P<dec7>[0-9]{1,7})(?![0-9;])|[xX](?P<hex6>[0-9a-fA-F]{1,6})(?![0-9a-fA-F;])))")
 _WELL_FORMED_TAG = r"""</?[a-zA-Z][^"'>]*(?:(?:"[^"]*"|'[^']*')[^"'>]*)*>"""
 _BROKEN_TAG = r"(?s)</?[a-zA-Z].*?(?:>|\z)"
 _DECLARATIONS = (
@@ -34,36 +35,36 @@ def strip_declarations(html: Column) -> Column:
 
 
 def strip_dangerous(html: Column) -> Column:
-    """Elements that carry code: from the first opening to the last closing of a kind, then lone ones."""
+    """Elements that carry code: from a kind's first opening to its last closing, or a lone one (to the end, if it does not close itself)."""
     for tag in DANGEROUS_TAGS:
-        html = F.regexp_replace(html, rf"(?si)<{tag}\b[^>]*>.*</{tag}\s*>", "")
-        html = F.regexp_replace(html, rf"(?i)<{tag}\b[^>]*/>", "")
-        html = F.regexp_replace(html, rf"(?si)<{tag}\b[^>]*>.*", "")
-    return html
+        html = F.regexp_replace(html, rf"(?si)<{tag}\b[^>]*(?:>.*</{tag}\s*>|(?<=/)>|>.*)", "")
+    # What only came together where an element was cut out.
+    return F.regexp_replace(html, rf"(?si)<(?:{'|'.join(DANGEROUS_TAGS)})\b[^>]*(?:(?<=/)>|>.*)", "")
 
 
 def strip_tags(html: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(html, _WELL_FORMED_TAG, " "), _BROKEN_TAG, " ")
 
 
-def _code_point(text: str, base: int) -> str:
-    n = int(text, base)
-    return chr(n) if n < 0x110000 else ""
+def _character(m: re.Match[str]) -> str:
+    """What one entity stands for; nothing beyond the last code point, however many digits it has."""
+    kind, value = m.lastgroup or "", m[m.lastgroup or 0]
+    if kind == "named":
+        return NAMED_ENTITIES[f"&{value};"]
+    if kind == "open":
+        return NAMED_ENTITIES[f"&{value.lower()};"]
+    digits = value.lstrip("0")
+    if len(digits) > 7:
+        return ""
+    point = int(digits or "0", 16 if kind.startswith("hex") else 10)
+    return chr(point) if point <= 0x10FFFF else ""
 
 
 def decode_entities(text: str) -> str:
     """Decodes until nothing changes; text that never settles is dropped."""
-    for _ in range(MOST_DECODES):
-        before = text
-        for name, to in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("amp", "&")):
-            text = re.sub(rf"&{name}(?!;)", to, text, flags=re.I)
-        for name, to in NAMED_ENTITIES.items():
-            text = text.replace(name, to)
-        text = re.sub(r"&#([0-9]+);", lambda m: _code_point(m[1], 10), text)
-        text = re.sub(r"&#[xX]([0-9a-fA-F]+);", lambda m: _code_point(m[1], 16), text)
-        text = re.sub(r"&#([0-9]{1,7})(?![0-9;])", lambda m: _code_point(m[1], 10), text)
-        text = re.sub(r"&#[xX]([0-9a-fA-F]{1,6})(?![0-9a-fA-F;])", lambda m: _code_point(m[1], 16), text)
-        if text == before:
+    for _ in range(MOST_DECODES + 1):
+        text, found = _ENTITY.subn(_character, text)
+        if not found:
             return text
     return ""
 
@@ -74,9 +75,9 @@ def _decoded(texts):  # noqa: ANN001, ANN202
 
 
 def html_to_text(html: Column) -> Column:
-    """Plain text of a page; only entity decoding leaves the JVM, and only for text that has an ampersand."""
+    """Plain text of a page; only entity decoding leaves the JVM, and only text with an ampersand is sent for it."""
     once = strip_tags(strip_dangerous(strip_declarations(F.coalesce(html, F.lit("")))))
-    decoded = _decoded(once)
+    decoded = F.coalesce(_decoded(F.when(F.contains(once, F.lit("&")), once)), once)
     again = strip_tags(strip_dangerous(strip_declarations(decoded)))
     return F.btrim(F.regexp_replace(again, r"(?U)[\s\x{feff}]+", " "))
 
@@ -87,8 +88,9 @@ def _nfc(texts):  # noqa: ANN001, ANN202
 
 
 def normalize(text: Column) -> Column:
-    """NFC (texts of ASCII alone need none), runs of white space as one blank, none at the ends."""
-    return F.btrim(F.regexp_replace(_nfc(text), r"(?U)[\s\x{feff}]+", " "))
+    """NFC (only texts that are not all ASCII are sent for it), runs of white space as one blank, none at the ends."""
+    composed = F.coalesce(_nfc(F.when(text.rlike(r"[^\x00-\x7F]"), text)), text)
+    return F.btrim(F.regexp_replace(composed, r"(?U)[\s\x{feff}]+", " "))
 
 
 def sha256(text: Column) -> Column:
@@ -107,19 +109,21 @@ def within_limit(text: Column, n: int) -> Column:
 def token_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 500, step: int = 450) -> DataFrame:
     """Overlapping windows of ``\\S+`` tokens with offsets into the text (in code points); a text without tokens has none.
 
-    Each token carries the white space before it, so that lengths add up to offsets;
-    running lengths are aggregated once for each text, not for each window.
+    Each token carries the white space before it, so that lengths add up to offsets.
+    They are added up once for each ``step`` tokens; a window adds these sums, and joins
+    its own tokens only.
     """
-    pieces = docs.select(F.col(id_col), F.col(text_col).alias("__text"), F.regexp_extract_all(F.col(text_col), F.lit(r"(?U)\s*\S+"), F.lit(0)).alias("__p")).filter(F.size("__p") > 0)
-    ends = F.aggregate("__p", F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + F.length(x))))
-    first = F.expr("sequence(0, size(__p) - 1, {})".format(step))
-    kept = F.filter(first, lambda w: (w == 0) | (w + (size - step) < F.size("__p")))
-    rows = pieces.select(id_col, "__text", "__p", F.posexplode(kept).alias("chunk_index", "w"))
-    before = F.length(F.array_join(F.slice("__p", F.lit(1), F.col("w")), ""))
-    lead = F.length(F.element_at("__p", F.col("w") + 1)) - F.length(F.regexp_replace(F.element_at("__p", F.col("w") + 1), r"^(?U)\s+", ""))
-    window = F.slice("__p", F.col("w") + 1, F.lit(size))
-    rows = rows.withColumns({"char_start": before + lead, "char_end": before + F.length(F.array_join(window, ""))})
-    return rows.select(id_col, F.col("chunk_index").cast("long").alias("chunk_index"), F.col("char_start").cast("long").alias("char_start"), F.col("char_end").cast("long").alias("char_end"), F.substring(F.col("__text"), F.col("char_start") + 1, F.col("char_end") - F.col("char_start")).alias("chunk_text"))
+    pieces = docs.select(F.col(id_col), F.regexp_extract_all(F.col(text_col), F.lit(r"(?U)\s*\S+"), F.lit(0)).alias("__p")).filter(F.size("__p") > 0)
+    added = lambda lengths: F.aggregate(lengths, F.lit(0), lambda z, x: z + x)
+    starts = F.sequence(F.lit(0), F.size("__p") - 1, F.lit(step))
+    sums = F.transform(starts, lambda w: added(F.transform(F.slice("__p", w + 1, F.lit(step)), F.length)))
+    kept = F.filter(starts, lambda w: (w == 0) | (w + (size - step) < F.size("__p")))
+    joined = F.transform(kept, lambda w: F.array_join(F.slice("__p", w + 1, F.lit(size)), ""))
+    rows = pieces.select(id_col, sums.alias("__sums"), joined.alias("__joined"))
+    windows = F.transform("__joined", lambda t, k: F.struct(added(F.slice("__sums", F.lit(1), k)).alias("before"), t.alias("t"), (F.length(t) - F.length(F.regexp_replace(t, r"^(?U)\s+", ""))).alias("lead")))
+    rows = rows.select(id_col, F.posexplode(windows).alias("chunk_index", "w"))
+    before, lead, text = F.col("w.before"), F.col("w.lead"), F.col("w.t")
+    return rows.select(id_col, F.col("chunk_index").cast("long").alias("chunk_index"), (before + lead).cast("long").alias("char_start"), (before + F.length(text)).cast("long").alias("char_end"), F.substring(text, lead + 1, F.length(text)).alias("chunk_text"))
 
 
 def char_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 1000, step: int = 900) -> DataFrame:
