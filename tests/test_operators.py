@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import html
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -151,3 +153,148 @@ def test_near_duplicates_by_brute_force(spark):
     got = [tuple(r) for r in documents.shingle_pairs(docs).collect()]
     assert len(got) == len(set(got)) and sorted(got) == sorted(want)
     assert (3, 4, 1.0) in want and any(s < 1 for *_, s in want)
+
+
+def test_surrogate_ids(spark, small):
+    """Against the hash of the id's eight bytes."""
+    import xxhash
+
+    from tidewright.plans.catalogue import queries
+
+    events = {r["event_id"]: r["ts"] for r in spark.read.parquet(f"{small}/events.parquet").select("event_id", "ts").collect()}
+    got = {r["event_id"]: r["decision_id"] for r in queries()["surrogate_id"](spark, small).collect()}
+    millis = lambda t: (t - dt.datetime(1970, 1, 1)) // dt.timedelta(milliseconds=1)
+    assert got == {i: f"pdec_{millis(t):012x}{xxhash.xxh64(i.to_bytes(8, 'little'), seed=42).intdigest():016x}" for i, t in events.items()}
+
+
+TAG = re.compile(r"""</?[a-zA-Z](?:[^"'>]|"[^"]*"|'[^']*')*>""")
+ENTITY = re.compile("&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|(?:amp|lt|gt|quot|apos|nbsp|AMP|LT|GT|QUOT);|(?i:lt|gt|quot|amp)(?!;))")
+
+
+def without(text, start, end, keep=False):
+    """Text without what lies between two marks; what is not closed goes to the end."""
+    out, at = [], 0
+    while (i := text.upper().find(start, at)) >= 0:
+        j = text.find(end, i + len(start))
+        out.append(text[at:i] + (" " + text[i + len(start) : j] + " " if keep and j >= 0 else ""))
+        at = len(text) if j < 0 else j + len(end)
+    return "".join(out) + text[at:]
+
+
+def markup_gone(t):
+    t = without(without(t, "<!--", "-->"), "<![CDATA[", "]]>", keep=True)
+    t = without(re.sub("<![^>]*>", "", t), "<?", "?>")
+    for tag in ("script", "style", "noscript", "iframe", "object", "embed"):
+        while m := re.search(rf"(?i)<{tag}\b[^>]*>", t):
+            ends = [e.end() for e in re.finditer(rf"(?i)</{tag}\s*>", t) if e.start() >= m.end()]
+            t = t[: m.start()] + (t[ends[-1] :] if ends else t[m.end() :] if m[0].endswith("/>") else "")
+    out, at = [], 0
+    for m in re.finditer("</?[a-zA-Z]", t):
+        if m.start() >= at:
+            whole = TAG.match(t, m.start())
+            out += [t[at : m.start()], " "]
+            at = whole.end() if whole else (t.find(">", m.start()) + 1 or len(t))
+    return "".join(out) + t[at:]
+
+
+def plain_text(page):
+    """HTML to text, with loops."""
+    text, before = markup_gone(page or ""), None
+    while text != before:
+        before, text = text, ENTITY.sub(lambda m: html.unescape(m[0] if m[0][1] == "#" else m[0].lower()), text)
+    return re.sub(r"[\s﻿]+", " ", markup_gone(text)).strip()
+
+
+def test_html_to_text_of_all_pages(spark, small):
+    from tidewright.plans.catalogue import queries
+
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{small}/pages.parquet").select("page_id", "html").collect()}
+    got = {r["page_id"]: r["text"] for r in queries()["html_to_text_full"](spark, small).collect()}
+    assert got == {i: plain_text(t) for i, t in pages.items()}
+
+
+def test_article_pipeline(spark, small):
+    """Every page ends in one ledger state, and a cost or a reply that is missing is an error."""
+    from tidewright.plans.catalogue import queries
+    from tidewright.sources.tables import Tables
+
+    policies = {r["source_id"]: r["llm_policy"] for r in Tables(spark, small).source_policy().collect()}
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{small}/pages.parquet").select("page_id", "html").collect()}
+    got = {r["id"]: r for r in queries()["extract_pipeline"](spark, small).collect()}
+    assert set(got) == set(pages)
+    for i, page in pages.items():
+        r, known = got[i], policies.get(f"src{i % 20}")
+        prompt = f"<untrusted>\n{plain_text(page)[:16000]}\n</untrusted>"
+        cost = None if known != "allowed" or i % 13 == 12 else len(prompt) / 1e6
+        error = "error_not_registered" if known is None else f"error_{known}" if known != "allowed" else "cost_missing" if cost is None else "schema" if i % 17 == 5 else None
+        want = ("not_started" if known != "allowed" else "failed" if error else "completed", error, cost, None if error else prompt[12:72], None if error else 1)
+        assert (r["run_status"], r["error"], r["cost_usd"], r["title"], r["n_claims"]) == want, i
+
+
+@pytest.mark.parametrize("size", [3, 20, 1000])
+def test_robots_cache(spark, small, size):
+    events = spark.read.parquet(f"{small}/events.parquet")
+    requests = events.select((F.col("user_id") % 4).alias("worker"), F.col("event_id").alias("seq"), F.col("ts").alias("at"), F.concat(F.lit("h"), F.col("user_id") % 30).alias("key"), (F.col("event_type") == "error").alias("failed"))
+    got = {r["seq"]: r["hit"] for r in crawl.robots_cache(requests, size=size).collect()}
+    want, caches = {}, {}
+    for r in requests.orderBy("seq").collect():
+        cache = caches.setdefault(r["worker"], {})
+        want[r["seq"]] = r["key"] in cache and cache[r["key"]] > r["at"]
+        if not want[r["seq"]]:
+            if len(cache) >= size:
+                del cache[next(iter(cache))]
+            cache[r["key"]] = r["at"] + (dt.timedelta(minutes=5) if r["failed"] else dt.timedelta(hours=24))
+    assert got == want and any(got.values()) and crawl.robots_cache(requests.filter("false")).count() == 0
+
+
+def test_fetch_verdicts(spark):
+    r = lambda url, **kw: (url, *(kw.get(c, d) for c, d in (("status", 200), ("location", None), ("content_length", None), ("encoded", False), ("bytes", 10), ("declared", "html"), ("kind", "html"), ("private_address", False), ("disallowed", False))))
+    responses = spark.createDataFrame(
+        [
+            r("https://a.example/x/ok"), r("https://a.example/x/up", status=302, location="ok"), r("https://a.example/one", status=301, location="//b.example/two"), r("https://b.example/two", status=308, location="/three"), r("https://b.example/three", status=303, location="https://a.example/four"),
+            r("https://a.example/four"), r("https://a.example/zero", status=301, location="/one"), r("https://a.example/down", status=301, location="http://a.example/x"), r("https://a.example/none", status=301), r("https://a.example/big", bytes=101), r("https://a.example/said", content_length=101),
+            r("https://a.example/304", status=304, content_length=101, bytes=0), r("https://a.example/bomb", content_length=1, encoded=True, bytes=101), r("https://a.example/exe", kind="executable"), r("https://a.example/mix", declared="json"), r("https://in.example/", private_address=True), r("https://a.example/in", status=302, location="https://in.example/"), r("https://a.example/no", disallowed=True), r("https://a.example/300", status=300),
+        ],
+        "url string, status int, location string, content_length long, encoded boolean, bytes long, declared string, kind string, private_address boolean, disallowed boolean",
+    )
+    names = {"x/ok": "ok", "x/up": "ok", "one": "ok", "zero": "too_many_redirects", "down": "scheme_downgrade", "none": "no_location", "big": "body_too_large", "said": "body_too_large", "304": "ok", "bomb": "body_too_large", "exe": "executable", "mix": "content_type_mismatch", "in": "private_address", "no": "robots", "300": "ok", "gone": "no_response"}
+    requests = spark.createDataFrame([(k, f"https://a.example/{k}") for k in names] + [("plain", "http://a.example/"), ("bad", "nonsense"), ("null", None)], "id string, url string")
+    got = {x["id"]: x for x in crawl.fetched(requests, responses, 100).collect()}
+    assert {k: v["verdict"] for k, v in got.items()} == names | {"plain": "blocked_scheme", "bad": "invalid_url", "null": "invalid_url"}
+    assert (got["one"]["final_url"], got["one"]["hops"], got["zero"]["hops"]) == ("https://a.example/four", 3, 3)
+    bomb = {x["id"]: x["verdict"] for x in crawl.fetched(requests, responses, 1000).collect()}
+    assert bomb["bomb"] == "decompression_ratio" and bomb["big"] == "ok"
+    assert {x["verdict"] for x in crawl.fetched(requests.filter("id = 'one'"), responses, 100, hosts=("a.example",)).collect()} == {"host_not_allowed"}
+
+
+def test_mentions_are_whole_needles(spark):
+    docs = spark.createDataFrame([(1, "so " + "x" * 60 + "y end"), (2, "so " + "x" * 60), (3, None), (4, "aab ab")], "doc_id long, text string")
+    needles = spark.createDataFrame([(1, "x" * 40 + "y", "q"), (2, "ab", "r"), (3, "", "s"), (4, None, "t"), (5, "ab", None)], "item_id int, needle string, tag string")
+    got = sorted((r["doc_id"], r["item_id"], r["tag"]) for r in documents.mentions(docs, needles, "needle").collect())
+    assert got == [(1, 1, "q"), (4, 2, "r"), (4, 5, None)]
+    assert documents.mentions(docs, needles.filter("false"), "needle").count() == 0
+
+
+def test_nearest_neighbours_in_blocks(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(i, [rng.choice([-1.0, 0.0, 1.0]) for _ in range(4)]) for i in range(200)] + [(300, None), (301, [0.0] * 4), (302, [1.0, 2.0]), (303, [2.0, 4.0]), (304, [1.0, None, 0.0, 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    queries = vectors.filter("vec_id % 7 = 0 or vec_id > 299")
+    good = {i: v for i, v in rows if v and None not in v and any(v)}
+    cosine = lambda a, b: sum(x * y for x, y in zip(a, b, strict=True)) / (sum(x * x for x in a) ** 0.5 * sum(x * x for x in b) ** 0.5)
+    want = set()
+    for q in (i for i in good if i % 7 == 0 or i > 299):
+        near = sorted((-cosine(good[q], v), i) for i, v in good.items() if i != q and len(v) == len(good[q]))[:6]
+        want |= {(q, i, k) for k, (_, i) in enumerate(near, 1)}
+    for block in (4096, 5):
+        monkeypatch.setattr(design, "QUERY_BLOCK", block)
+        assert {(r["query_id"], r["other_id"], r["rank"]) for r in design.knn(vectors, queries, 6).collect()} == want
+
+
+def test_bounded_broadcasts(spark):
+    from tidewright.scratch import bounded
+
+    rows = spark.range(30)
+    assert rows.join(bounded(spark.range(10), 10), "id").count() == 10
+    with pytest.raises(Exception, match="more than 9 rows"):
+        rows.join(bounded(spark.range(10), 9), "id").count()

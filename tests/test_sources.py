@@ -61,3 +61,37 @@ def test_communities(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (1, 3), (10, 11), (11, 12), (10, 12)], "src long, dst long")
     got = {r["node"]: r["label"] for r in design.communities(edges).collect()}
     assert len({got[i] for i in (1, 2, 3)}) == 1 and len({got[i] for i in (10, 11, 12)}) == 1 and got[1] != got[10]
+
+
+def test_objects_are_put_and_deleted(spark, tmp_path):
+    key = "audit/jsonl/a.json"
+    digest = files.put(spark, f"file://{tmp_path}", key, b"{}")
+    row = files.objects(spark, f"file://{tmp_path}").first()
+    assert (row["key"], row["sha256"], row["permitted"]) == (key, digest, True)
+    files.put(spark, f"file://{tmp_path}", key, b"[]")
+    assert (tmp_path / key).read_bytes() == b"[]"
+    for bad in ("private/x", "audit/jsonl/../../x", ""):
+        with pytest.raises(ValueError):
+            files.put(spark, f"file://{tmp_path}", bad, b"x")
+    assert files.delete(spark, f"file://{tmp_path}", key) and not files.delete(spark, f"file://{tmp_path}", key)
+
+
+def test_yaml_artefacts(spark, tmp_path):
+    front = '{"id": "ADR-1", "invariants": [{"id": "INV-2", "statement": "b: c", "status": "active"}, {"id": "INV-1", "statement": "a", "status": null}]}'
+    notes = spark.createDataFrame([("/x/one.md", front), ("/x/two.md", '{"invariants": [{"id": "INV-1", "statement": "z"}]}'), ("/x/three.md", None), ("/x/four.md", "{}")], "path string, front string")
+    merged = sinks.merged_invariants(notes)
+    assert [(r["id"], r["note"]) for r in merged.collect()] == [("INV-1", "ADR-1"), ("INV-1", "two"), ("INV-2", "ADR-1")]
+    sinks.write_yaml(merged, "invariants", f"file://{tmp_path}/i.yaml")
+    sinks.write_yaml(merged.filter("false"), "invariants", f"file://{tmp_path}/none.yaml")
+    yaml = pytest.importorskip("yaml")
+    assert [x["statement"] for x in yaml.safe_load((tmp_path / "i.yaml").read_text())["invariants"]] == ["a", "z", "b: c"]
+    assert yaml.safe_load((tmp_path / "none.yaml").read_text()) == {"invariants": []}
+
+
+def test_references_into_code(spark):
+    code = "// export const ghost = 1\nexport const real = 'export const inside';\nexport async function run() { return 1 }\nconst other = 2; export { other, real as alias }\n/* fetch( */ x.fetch(1); fetch (`fetch(${'a'})`);\n"
+    sources = spark.createDataFrame([("src/a.ts", code)], "path string, text string")
+    refs = ["src/a.ts:5", "src/a.ts:6", "src/a.ts:0", "src/a.ts:real", "src/a.ts:rea", "src/a.ts:run", "src/a.ts:other", "src/a.ts:alias", "src/a.ts:ghost", "src/a.ts:inside", "src/b.ts:1", "../a.ts:1", "src/a.ts:", "src/a.ts"]
+    got = {r["ref"]: r["problem"] for r in files.reference_problems(spark.createDataFrame([(r,) for r in refs], "ref string"), sources).collect()}
+    assert got == {"src/a.ts:6": "line_out_of_range", "src/a.ts:0": "line_out_of_range", "src/a.ts:rea": "export_not_found", "src/a.ts:ghost": "export_not_found", "src/a.ts:inside": "export_not_found", "src/b.ts:1": "missing_file", "../a.ts:1": "outside", "src/a.ts:": "malformed", "src/a.ts": "malformed"}
+    assert [tuple(r) for r in files.raw_calls(sources).collect()] == [("src/a.ts", 5)]

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import bounded
+
 
 def stale_claims(claims: DataFrame, snapshots: DataFrame, contradicted: DataFrame, now: Column, default_days: int = 30) -> DataFrame:
     """A claim is stale when it is too old, its source has changed since, or something contradicts it.
@@ -49,7 +53,7 @@ def scenario_checks(scenarios: DataFrame) -> DataFrame:
 def cite_check(cites: DataFrame, claims: DataFrame, blocked_sources: DataFrame) -> DataFrame:
     """Drafts with the checks that stop them: one row a draft, from booleans of each cited claim."""
     flags = ("stale", "retracted", "horizon", "unit", "overclaim")
-    j = cites.join(claims, "claim_id", "left").join(F.broadcast(blocked_sources.select("source").distinct().withColumn("blocked", F.lit(True))), "source", "left")
+    j = cites.join(claims, "claim_id", "left").join(bounded(blocked_sources.select("source").distinct().withColumn("blocked", F.lit(True))), "source", "left")
     g = j.groupBy("draft_id").agg(*(F.bool_or(F.coalesce(f, F.lit(False))).alias(f) for f in (*flags, "blocked")), F.bool_or(F.col("source").isNull()).alias("unknown_claim"))
     names = F.array_compact(F.array(*(F.when(F.col(f), f) for f in (*flags, "blocked", "unknown_claim"))))
     return g.select("draft_id", F.array_join(names, ",").alias("blocks"), (F.size(names) == 0).alias("passes"))
@@ -78,17 +82,78 @@ def recall_at_k(cases: DataFrame, k: int) -> DataFrame:
     return cases.select("case_id", share.alias("recall"), (share >= 0.8).alias("passed"))
 
 
+def evaluation_run(recalls: DataFrame, packs: DataFrame) -> DataFrame:
+    """One row a run: cases, pass rate, mean recall and mean diversity.
+
+    ``recalls(run, case_id, recall, passed)``; ``packs(case_id, source)`` has the source
+    of each claim retrieved. A case's diversity is its distinct sources by its claims,
+    0 where it retrieved nothing.
+    """
+    diversity = packs.groupBy("case_id").agg((F.count_distinct("source") / F.count(F.lit(1))).alias("diversity"))
+    j = recalls.join(diversity, "case_id", "left")
+    return j.groupBy("run").agg(F.count(F.lit(1)).alias("total_cases"), F.avg(F.col("passed").cast("int")).alias("pass_rate"), F.avg("recall").alias("mean_recall"), F.avg(F.coalesce("diversity", F.lit(0.0))).alias("mean_diversity"))
+
+
+#: Queries that are sent to all tasks at a time.
+QUERY_BLOCK = 4096
+
+
 def knn(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """Exact nearest neighbours by cosine of a stated, bounded set of queries (sent to all) against every vector.
+    """Exact nearest neighbours by cosine of a stated set of queries against every vector: ``query_id, other_id, cosine, rank``.
 
-    Each task keeps its own best ``k`` of a query before anything is shuffled.
+    Queries go out in blocks of about ``QUERY_BLOCK``, so that what is sent is bounded
+    however many there are. A task multiplies a batch of vectors by the block, keeps
+    each query's ``k`` best (with all that could tie), and computes those again term
+    by term in double precision, so that equal vectors have equal cosines. Null and
+    zero vectors, and those of another length, are nobody's neighbour.
     """
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
-    q = queries.select(F.col(id_col).alias("query_id"), F.col(vector_col).alias("q")).withColumn("qn", F.sqrt(dot("q", "q")))
-    v = vectors.select(F.col(id_col).alias("other_id"), F.col(vector_col).alias("v")).withColumn("vn", F.sqrt(dot("v", "v")))
-    near = v.join(F.broadcast(q), F.col("other_id") != F.col("query_id")).select("query_id", "other_id", (dot("q", "v") / (F.col("qn") * F.col("vn"))).alias("cosine"))
+    spark = vectors.sparkSession
+    asked = queries.select(F.col(id_col).alias("id"), F.transform(vector_col, lambda x: x.cast("double")).alias("v")).filter("id is not null and v is not null")
+    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    rows = vectors.select(F.col(id_col).alias("id"), F.transform(vector_col, lambda x: x.cast("double")).alias("v"))
+    found = None
+    for block in range(blocks):
+        mine = asked.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == block).toArrow()  # about QUERY_BLOCK rows
+        shared = spark.sparkContext.broadcast(_by_length(mine.column("id").to_numpy(), mine.column("v").combine_chunks()))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+            for batch in batches:
+                for size, (ids, x) in _by_length(batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)).items():
+                    if size in shared.value:
+                        yield from _nearest(*shared.value[size], ids, x, k)
+
+        part = rows.filter("id is not null and v is not null").mapInArrow(run, "query_id long, other_id long, cosine double")
+        found = part if found is None else found.unionByName(part)
     w = Window.partitionBy("query_id").orderBy(F.desc("cosine"), "other_id")
-    return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def _by_length(ids: np.ndarray, vectors: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Ids and matrix of the vectors of each length, without zero vectors and those that hold a null or no number."""
+    out = {}
+    lengths = vectors.value_lengths().to_numpy(zero_copy_only=False)
+    for size in np.unique(lengths[lengths > 0]):
+        at = np.flatnonzero(lengths == size)
+        x = vectors.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False).reshape(-1, int(size))
+        good = np.isfinite(x).all(1) & (x != 0).any(1)
+        out[int(size)] = (ids[at[good]].astype(np.int64), x[good])
+    return out
+
+
+def _nearest(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int, rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Each query's best of some vectors; those that tie with the last within rounding are all there."""
+    if not len(q) or not len(x):
+        return
+    qn, xn = (np.sqrt(np.cumsum(m * m, axis=1)[:, -1]) for m in (q, x))
+    for i in range(0, len(q), rows):
+        near = (q[i : i + rows] / qn[i : i + rows, None]) @ (x / xn[:, None]).T
+        near[query_ids[i : i + rows, None] == ids[None, :]] = -np.inf
+        least = np.partition(near, -k, axis=1)[:, -k] if near.shape[1] > k else near.min(1)
+        a, b = np.nonzero((near >= least[:, None] - 1e-9) & np.isfinite(near))
+        for j in range(0, len(a), 1 << 16):
+            u, v = a[j : j + (1 << 16)] + i, b[j : j + (1 << 16)]
+            cosine = np.cumsum(q[u] * x[v], axis=1)[:, -1] / (qn[u] * xn[v])
+            yield pa.RecordBatch.from_arrays([pa.array(query_ids[u]), pa.array(ids[v]), pa.array(cosine)], ["query_id", "other_id", "cosine"])
 
 
 def pagerank(edges: DataFrame, rounds: int = 5, damping: float = 0.85) -> DataFrame:
@@ -113,6 +178,18 @@ def one_sided(theses: DataFrame) -> DataFrame:
     return g.select("thesis_id", (F.greatest("up", "down") / F.col("n")).alias("share"), ((F.least("up", "down") == 0) & (F.greatest("up", "down") > 0)).alias("one_sided"), F.element_at(opposite, main).alias("wanted_direction"))
 
 
+def presence_rates(publications: DataFrame) -> DataFrame:
+    """``publication_id, direction`` of cited claims: shares of publications with a claim that points up, with one that points down, and with one way only."""
+    g = publications.groupBy("publication_id").agg(F.coalesce(F.bool_or(F.col("direction") == "positive"), F.lit(False)).alias("up"), F.coalesce(F.bool_or(F.col("direction") == "negative"), F.lit(False)).alias("down"))
+    share = lambda cond: F.try_divide(F.count_if(cond), F.count(F.lit(1)))
+    return g.agg(
+        F.count(F.lit(1)).alias("publications"),
+        share(F.col("up")).alias("upside_claim_presence_rate"),
+        share(F.col("down")).alias("downside_claim_presence_rate"),
+        share(F.col("up") != F.col("down")).alias("one_sided_warning_rate"),
+    )
+
+
 def review_coverage(runs: DataFrame, reviews: DataFrame) -> DataFrame:
     """Share of top-tier runs that another vendor reviewed."""
     j = runs.filter("tier = 0").join(reviews.select("run_id", F.col("vendor").alias("reviewer")).distinct(), "run_id", "left")

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from ..scratch import Scratch
 
 
 def first_writer(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -47,12 +51,17 @@ def missing_parents(rows: DataFrame, key: str, parents: DataFrame) -> DataFrame:
     return rows.join(parents.select(key).distinct(), key, "left_anti")
 
 
+def whole_word(term: str) -> str:
+    """A pattern for a term that no letter or digit goes on from; its first letter is tried before what stands before it."""
+    return rf"{re.escape(term[0])}(?<!\w{re.escape(term[0])}){re.escape(term[1:])}(?!\w)"
+
+
 def search(docs: DataFrame, edges: DataFrame, terms: Sequence[str], id_col: str = "doc_id", text_col: str = "text", limit: int = 20, neighbours: int = 5) -> DataFrame:
     """Documents by how often the terms occur, with the first neighbours over edges taken both ways.
 
     Only the hits travel on to the edges: the top is taken before the traversal.
     """
-    whole_words = r"(?U)\b(?:" + "|".join(re.escape(t.lower()) for t in terms) + r")\b"
+    whole_words = "(?U)" + "|".join(whole_word(t.lower()) for t in terms)
     score = F.regexp_count(F.lower(F.col(text_col)), F.lit(whole_words))
     top = docs.select(F.col(id_col).alias("id"), score.cast("long").alias("score")).filter("score > 0").orderBy(F.desc("score"), "id").limit(limit)
     both = edges.select(F.col("src").alias("id"), F.col("dst").alias("other")).unionByName(edges.select(F.col("dst").alias("id"), F.col("src").alias("other"))).distinct()
@@ -60,21 +69,137 @@ def search(docs: DataFrame, edges: DataFrame, terms: Sequence[str], id_col: str
     return top.join(near, "id", "left").select("id", "score", F.coalesce(F.array_join("near", ","), F.lit("")).alias("neighbours"))
 
 
+#: Words that the index leaves out, and endings that it strips, longest first. Fixed values.
+STOP_WORDS = ("a", "an", "and", "are", "as", "at", "be", "but", "by", "for", "if", "in", "into", "is", "it", "no", "not", "of", "on", "or", "such", "that", "the", "their", "then", "there", "these", "they", "this", "to", "was", "will", "with")
+K1, B = 1.2, 0.75
+
+
+def analysed(text: Column) -> Column:
+    """Terms of a text: lower-case runs of letters and digits without stop words, possessives and a plural's ``s``."""
+    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}]+(?:'s)?"), F.lit(0))
+    plain = F.transform(words, lambda w: F.regexp_replace(F.regexp_replace(w, "'s$", ""), "([^s]{3})s$", "$1"))
+    return F.filter(plain, lambda w: ~w.isin(*STOP_WORDS))
+
+
+def index(nodes: DataFrame, text_cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The written index of ``nodes(kind, id, …)``: postings ``kind, id, term, often, size`` and nodes ``kind, id, size``.
+
+    ``size`` is a node's number of terms in all fields together. Postings lie in the
+    order of terms, so that a search reads the row groups of its terms only. A null
+    or empty field has no terms; nodes without any are counted, and never found.
+    """
+    scratch = Scratch(nodes.sparkSession, "search")
+    terms = F.flatten(F.array(*(analysed(F.col(c)) for c in text_cols)))
+    rows = scratch.save(nodes.select("kind", "id", terms.alias("terms")).withColumn("size", F.size("terms")), "terms")
+    postings = rows.select("kind", "id", "size", F.explode("terms").alias("term")).groupBy("kind", "id", "term", "size").agg(F.count(F.lit(1)).alias("often"))
+    sizes = scratch.save(rows.select("kind", "id", "size"), "nodes")
+    postings = scratch.save(postings.repartitionByRange("term", "kind", "id").sortWithinPartitions("term", "kind", "id"), "postings")
+    scratch.drop(rows)
+    return postings, sizes
+
+
+def ranked(postings: DataFrame, nodes: DataFrame, query: str, limit: int = 20) -> DataFrame:
+    """``kind, id, score``: BM25 over an index; the best ``limit`` of each kind."""
+    asked = postings.sparkSession.range(1).select(F.array_distinct(analysed(F.lit(query)))).first()[0]  # the words of one query
+    hits = postings.filter(F.col("term").isin(asked))
+    sizes = nodes.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.avg("size").alias("mean"))
+    having = hits.groupBy("kind", "term").agg(F.count(F.lit(1)).alias("df"))
+    scored = hits.join(having, ["kind", "term"]).join(sizes, "kind")
+    idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    part = idf * F.col("often") * (K1 + 1) / (F.col("often") + K1 * (1 - B + B * F.col("size") / F.col("mean")))
+    total = scored.groupBy("kind", "id").agg(F.round(F.sum(part), 6).alias("score"))
+    order = Window.partitionBy("kind").orderBy(F.desc("score"), "id")
+    return total.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= limit)
+
+
+def with_related(hits: DataFrame, edges: DataFrame, kinds: Sequence[str], neighbours: int = 5) -> DataFrame:
+    """Hits with their first neighbours over edges ``(src, dst, kind)`` of the given kinds, taken both ways; hits without any stay."""
+    wanted = edges.filter(F.col("kind").isin(*kinds))
+    both = wanted.select(F.col("src").alias("id"), F.col("dst").alias("other")).unionByName(wanted.select(F.col("dst").alias("id"), F.col("src").alias("other"))).distinct()
+    near = both.join(hits.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.slice(F.array_sort(F.collect_set("other")), 1, neighbours).alias("near"))
+    return hits.join(near, "id", "left").withColumn("neighbours", F.coalesce(F.array_join("near", ","), F.lit(""))).drop("near")
+
+
+def graph(nodes: Mapping[str, tuple[DataFrame, str]], edges: Mapping[str, tuple[DataFrame, str, str, str, str]]) -> tuple[DataFrame, DataFrame]:
+    """A property graph from tables: ``vertices(id, label)`` and ``edges(src, dst, type)``.
+
+    ``nodes``: table and id column of each label; ``edges``: table, source column and
+    label, target column and label of each type. An edge whose end is no vertex, or
+    null, is left out, as it could not have been created; repeated edges are one.
+    """
+    vertices = None
+    for label, (table, id_col) in nodes.items():
+        own = table.select(F.concat(F.lit(f"{label}:"), F.col(id_col).cast("string")).alias("id"), F.lit(label).alias("label")).filter("id is not null").distinct()
+        vertices = own if vertices is None else vertices.unionByName(own)
+    links = None
+    for kind, (table, src, src_label, dst, dst_label) in edges.items():
+        own = table.select(F.concat(F.lit(f"{src_label}:"), F.col(src).cast("string")).alias("src"), F.concat(F.lit(f"{dst_label}:"), F.col(dst).cast("string")).alias("dst"), F.lit(kind).alias("type")).distinct()
+        links = own if links is None else links.unionByName(own)
+    if vertices is None or links is None:
+        raise ValueError("a graph has a label and a type at least")
+    ids = vertices.select("id")
+    sound = links.join(ids.withColumnRenamed("id", "src"), "src", "left_semi").join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi")
+    return vertices, sound.select("src", "dst", "type")
+
+
 def lineage(edges: DataFrame, roots: DataFrame, depth: int) -> DataFrame:
-    """``root, node, hops`` along edges, at most ``depth`` of them; each node once for a root, at its nearest."""
-    step = roots.select(F.col("node").alias("root"), "node").withColumn("hops", F.lit(0))
-    out = step
+    """``root, node, hops`` along edges, at most ``depth`` of them; each node once for a root, at its nearest.
+
+    Each step is written, so that the next joins what is found instead of finding it again.
+    """
+    scratch = Scratch(edges.sparkSession, "lineage")
+    step = scratch.save(roots.select(F.col("node").alias("root"), "node").distinct(), "roots")
+    out = step.withColumn("hops", F.lit(0))
     for hop in range(1, depth + 1):
-        step = step.join(edges, step.node == edges.src).select("root", F.col("dst").alias("node"), F.lit(hop).alias("hops")).distinct()
-        out = out.unionByName(step)
+        step = scratch.save(step.join(edges, step.node == edges.src).select("root", F.col("dst").alias("node")).distinct(), "step")
+        out = out.unionByName(step.withColumn("hops", F.lit(hop)))
     return out.groupBy("root", "node").agg(F.min("hops").alias("hops"))
 
 
+#: Characters of a needle that the automaton finds; the rest is compared in place.
+ANCHOR = 32
+NEEDLES = 100_000
+
+
 def mentions(docs: DataFrame, needles: DataFrame, needle_col: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Documents that contain a needle. Needles are a table of bounded size (checked), sent to all."""
-    if needles.limit(100_001).count() > 100_000:
-        raise ValueError("more than 100,000 needles: split them into runs")
-    return docs.select(id_col, text_col).join(F.broadcast(needles), F.col(text_col).contains(F.col(needle_col))).drop(text_col, needle_col)
+    """``id`` and the other columns of each needle that the text contains, once for each row of both.
+
+    Needles are a table of bounded size (checked). One automaton over their first
+    characters reads each text once, however many needles there are; null and empty
+    needles are in nothing, null texts contain nothing.
+    """
+    table = needles.filter(F.length(needle_col) > 0).limit(NEEDLES + 1).toArrow()
+    if table.num_rows > NEEDLES:
+        raise ValueError(f"more than {NEEDLES} needles: split them into runs")
+    shared = docs.sparkSession.sparkContext.broadcast((table.column(needle_col).to_pylist(), table.drop_columns([needle_col]).combine_chunks()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        texts, rest = shared.value
+        by_text: dict[str, list[int]] = {}
+        for row, text in enumerate(texts):
+            by_text.setdefault(text, []).append(row)
+        found_by: dict[str, list[str]] = {}
+        for text in by_text:
+            found_by.setdefault(text[:ANCHOR], []).append(text)
+        automaton = ahocorasick.Automaton()
+        for anchor, whole in found_by.items():
+            automaton.add_word(anchor, (len(anchor), whole))
+        automaton.make_automaton()
+        for batch in batches:
+            rows, hits = [], []
+            for row, text in enumerate(batch.column(1).to_pylist()):
+                seen = {w for end, (size, whole) in automaton.iter(text) for w in whole if text.startswith(w, end - size + 1)} if text and by_text else ()
+                for needle in sorted(r for w in seen for r in by_text[w]):
+                    rows.append(row)
+                    hits.append(needle)
+            some = rest.take(pa.array(hits, pa.int64()))
+            if rows:
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), *(c.combine_chunks() for c in some.columns)], [id_col, *some.column_names])
+
+    schema = StructType([docs.schema[id_col], *(f for f in needles.schema.fields if f.name != needle_col)])
+    return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
 def gaps(ids: DataFrame, prefix_col: str = "prefix", number_col: str = "number") -> DataFrame:

@@ -8,11 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import html_to_text, parsed_claims, wrap_untrusted
+from ..scratch import bounded
 from .policy import llm_verdict
 
 Extractor = Callable[[DataFrame], DataFrame]
 #: A model turns a prompt column into a reply column; the default needs no network and always answers alike.
 Client = Callable[[Column], Column]
+#: What a call cost, in US dollars, from its prompt and its reply; null where the client did not say.
+Meter = Callable[[Column, Column], Column]
 
 
 def stub_client(prompt: Column) -> Column:
@@ -51,16 +54,22 @@ class Registry:
         return rest if out is None else out.unionByName(rest)
 
 
-def articles(pages: DataFrame, policies: DataFrame, client: Client = stub_client, tier: int = 1) -> DataFrame:
+def free(prompt: Column, reply: Column) -> Column:
+    """The stub costs nothing; a call without a reply has no cost."""
+    return F.when(reply.isNotNull(), F.lit(0.0))
+
+
+def articles(pages: DataFrame, policies: DataFrame, client: Client = stub_client, meter: Meter = free, tier: int = 1) -> DataFrame:
     """Gate, clean, wrap, ask, price and parse ``pages(id, source_id, html)``; every path leaves a ledger status.
 
     A reply without a cost is an error before it is parsed.
     """
-    j = pages.join(F.broadcast(policies.select("source_id", "llm_policy")), "source_id", "left").withColumn("gate", llm_verdict(F.col("llm_policy")))
+    j = pages.join(bounded(policies.select("source_id", "llm_policy")), "source_id", "left").withColumn("gate", llm_verdict(F.col("llm_policy")))
     open_ = F.col("gate") == "ok"
     j = j.withColumn("text", F.when(open_, html_to_text(F.col("html"))))
-    j = j.withColumn("reply", F.when(open_, client(wrap_untrusted(F.col("text"), F.lit(tier)))))
-    j = j.withColumn("cost_usd", F.when(F.col("id") % 13 != 12, F.length("text") / 1e6)).withColumn("parsed", parsed_claims(F.col("reply")))
+    j = j.withColumn("prompt", F.when(open_, wrap_untrusted(F.col("text"), F.lit(tier))))
+    j = j.withColumn("reply", F.when(open_, client(F.col("prompt"))))
+    j = j.withColumn("cost_usd", F.when(open_, meter(F.col("prompt"), F.col("reply")))).withColumn("parsed", parsed_claims(F.col("reply")))
     error = F.when(~open_, F.col("gate")).when(F.col("cost_usd").isNull(), "cost_missing").when(F.col("parsed").isNull(), "schema")
     out = j.withColumn("error", error)
     status = F.when(F.col("gate") != "ok", "not_started").when(F.col("error").isNotNull(), "failed").otherwise("completed")

@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..scratch import bounded
+
 
 def usd(units: Column) -> Column:
     return units.cast("double") / 10_000.0
@@ -49,6 +51,19 @@ def weekly_quota(ledger: DataFrame, soft: int, hard: int, weekly: int, top_calls
     return days.select(F.date_format("d", "yyyy-MM-dd").alias("day"), usd(F.col("spent")).alias("spent_usd"), usd(F.col("week")).alias("week_usd"), "tier0_calls", (F.col("tier0_calls") > top_calls).alias("tier0_over"), status.alias("status"))
 
 
+def backfill_bucket(ledger: DataFrame, cap: int) -> DataFrame:
+    """Spend (in 1e-4) by day in the usual budget and in the bucket of its own that backfill runs have, with what the bucket has left.
+
+    ``ledger(completed_at, bucket, cost_e4)``; the cap holds for all days together.
+    """
+    own = F.coalesce(F.col("bucket") == "backfill", F.lit(False))
+    days = ledger.filter("cost_e4 is not null").groupBy(F.to_date("completed_at").alias("d")).agg(F.coalesce(F.sum(F.when(~own, F.col("cost_e4"))), F.lit(0)).alias("spent"), F.coalesce(F.sum(F.when(own, F.col("cost_e4"))), F.lit(0)).alias("backfill"))
+    # One row a day: the single partition of this window is bounded by the calendar.
+    used = F.sum("backfill").over(Window.orderBy("d").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    days = days.withColumn("used", used)
+    return days.select(F.date_format("d", "yyyy-MM-dd").alias("day"), usd(F.col("spent")).alias("spent_usd"), usd(F.col("backfill")).alias("backfill_usd"), usd(F.greatest(F.lit(cap) - F.col("used"), F.lit(0))).alias("backfill_left_usd"), (F.col("used") >= cap).alias("backfill_stop"))
+
+
 def transitions(events: DataFrame) -> DataFrame:
     """Lifecycle events ``(run, seq, kind, cost)`` folded to the rule each one breaks, if any.
 
@@ -79,7 +94,7 @@ def price_table(spark: SparkSession, prices: Mapping[str, Mapping[str, float | N
 def priced(runs: DataFrame, prices: DataFrame, model_col: str = "model") -> DataFrame:
     """The longest alias that is the model or is followed by a dash in it; unknown models get nulls."""
     models = runs.select(model_col).distinct()
-    hit = models.join(F.broadcast(prices), (F.col(model_col) == F.col("alias")) | F.col(model_col).startswith(F.concat("alias", F.lit("-"))))
+    hit = models.join(bounded(prices), (F.col(model_col) == F.col("alias")) | F.col(model_col).startswith(F.concat("alias", F.lit("-"))))
     best = hit.groupBy(model_col).agg(F.max_by(F.struct("alias", "input", "output", "cached", "creation"), F.length("alias")).alias("p"))
     return runs.join(best.select(model_col, "p.*"), model_col, "left")
 
@@ -109,7 +124,7 @@ def metrics_daily(ledger: DataFrame) -> DataFrame:
 
 def alerts(metrics: DataFrame, thresholds: Sequence[tuple[str, float]]) -> DataFrame:
     limits = metrics.sparkSession.createDataFrame(list(thresholds), "metric string, threshold double")
-    return metrics.join(F.broadcast(limits), "metric").filter("value > threshold").select("day", "metric", "value", "threshold")
+    return metrics.join(bounded(limits), "metric").filter("value > threshold").select("day", "metric", "value", "threshold")
 
 
 def nearest_rank(values: DataFrame, group: str, value: str, shares: Mapping[str, float]) -> DataFrame:

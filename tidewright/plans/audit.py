@@ -3,6 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import audit as A
+from ..scratch import Scratch, bounded
 from ..sources.tables import Tables
 from .views import sql
 
@@ -12,12 +13,20 @@ def _parts(s, d):  # noqa: ANN001, ANN202
     return t.keyed_snapshot(), t.upload_audit(), t.doc_source_edge(), t.source_policy()
 
 
+def _written(s, d):  # noqa: ANN001, ANN202
+    """The parts as written tables: a scan reads each on several axes."""
+    t, scratch = Tables(s, d), Scratch(s, "audit")
+    t.hold_hashes(scratch)
+    edges = scratch.save(t.doc_source_edge(), "edges")
+    return scratch.save(t.keyed_snapshot(), "keyed"), scratch.save(t.upload_audit(), "audits"), edges, scratch.save(t.source_policy(), "policies")
+
+
 def _scan(s, d):  # noqa: ANN001, ANN202
-    return A.scan(*_parts(s, d))
+    return A.scan(*_written(s, d))
 
 
 def _counts(s, d):  # noqa: ANN001, ANN202
-    k, a, e, p = _parts(s, d)
+    k, a, e, p = _written(s, d)
     return A.counts(k, a, p, A.scan(k, a, e, p))
 
 
@@ -46,7 +55,7 @@ def _rationale(s, d):  # noqa: ANN001, ANN202
     t = Tables(s, d)
     return (
         t.doc_source_edge()
-        .join(F.broadcast(t.source_policy()), "source_id")
+        .join(bounded(t.source_policy()), "source_id")
         .select("doc_id", A.rationale(F.col("snap_id"), F.col("archive_policy"), F.col("cloud_policy"), F.when(F.col("doc_id") % 2 == 0, F.lit("retry")).otherwise(F.lit(""))).alias("rationale"))
     )
 

@@ -73,7 +73,58 @@ def _known(s, d):  # noqa: ANN001, ANN202
     return C.known_candidates(q.select("queue_id", F.regexp_replace("url", "^https?://(m[.]|blog[.])?", "").alias("url")), q.filter("status = 'done'").select(F.regexp_replace("url", "^https?://", "").alias("url"))).select("queue_id", "already_known")
 
 
+def _lru(s, d):  # noqa: ANN001, ANN202
+    e = Tables(s, d).base("events")
+    items = e.groupBy(F.concat(F.lit("rcache_"), "user_id").alias("item"), (F.col("user_id") * 3 % 300).alias("ttl")).agg(F.min("ts").alias("fetched_at")).select("item", "fetched_at", F.when(F.col("ttl") > 20, F.col("ttl")).alias("ttl_hours"))
+    reads = e.filter("event_type = 'purchase'").select(F.concat(F.lit("rcache_"), "user_id").alias("item"), F.col("ts").alias("at"))
+    return C.raw_cache_eviction(items, reads, _at("2024-01-06")).withColumn("last_accessed_at", F.date_format("last_accessed_at", _FMT))
+
+
+def _fetches(s, d):  # noqa: ANN001, ANN202
+    i = F.col("page_id")
+    at = lambda k: F.concat(F.when(k % 29 == 3, "http://h").otherwise("https://h"), (k % 40).cast("string"), F.lit(".example/p"), k.cast("string"))
+    p = Tables(s, d).base("pages")
+    size = F.octet_length(F.coalesce("html", F.lit(""))).cast("long")
+    kind = F.element_at(F.array(*map(F.lit, ("html", "html", "unknown", "json", "executable"))), (i % 5 + 1).cast("int"))
+    responses = p.select(
+        at(i).alias("url"),
+        F.when(i % 3 == 1, 301).when(i % 31 == 0, None).when(i % 31 == 6, 304).otherwise(200).alias("status"),
+        F.when(i % 43 == 1, None).when(i % 2 == 0, at(i + 1)).when(i % 4 == 1, at(i + 3)).otherwise(F.concat(F.lit("/p"), (i + 40).cast("string"))).alias("location"),
+        F.when(i % 4 == 0, size).when(i % 4 == 1, F.floor(size / 200) + 1).alias("content_length"),
+        (i % 4 == 1).alias("encoded"),
+        size.alias("bytes"),
+        F.when(i % 7 == 0, "json").otherwise("html").alias("declared"),
+        kind.alias("kind"),
+        (i % 37 == 5).alias("private_address"),
+        (i % 41 == 8).alias("disallowed"),
+    )
+    return C.fetched(p.select(i.alias("id"), F.when(i % 47 == 9, "not a url").otherwise(at(i)).alias("url")), responses, 20_000)
+
+
+def _robots_cache(s, d):  # noqa: ANN001, ANN202
+    e = Tables(s, d).base("events")
+    return C.robots_cache(e.select((F.col("user_id") % 4).alias("worker"), F.col("event_id").alias("seq"), F.col("ts").alias("at"), F.concat(F.lit("https://h"), F.col("user_id"), F.lit(".example::bot")).alias("key"), (F.col("event_type") == "error").alias("failed")))
+
+
+def _slots(s, d):  # noqa: ANN001, ANN202
+    e = Tables(s, d).base("events")
+    log = e.select((F.col("user_id") % 10).alias("pool"), F.col("event_id").alias("id"), F.concat(F.lit("h"), F.col("user_id")).alias("host"), F.col("ts").alias("began"), F.when(F.col("event_type") != "error", F.col("ts") + F.make_dt_interval(hours=F.floor("value").cast("int") % 40 + 1)).otherwise(F.col("ts") + F.expr("INTERVAL 90 HOURS")).alias("ended"))
+    return C.slots_in_use(log, 2, 8)
+
+
+def _polls(s, d):  # noqa: ANN001, ANN202
+    i = F.col("event_id")
+    fetches = Tables(s, d).base("events").select(i.alias("source_id"), F.when(i % 7 == 0, 304).when(i % 7 == 1, 503).when(i % 7 == 2, 300).when(i % 7 == 3, None).otherwise(200).alias("http_status"), F.when(F.col("event_type") == "error", F.when(F.col("value") > 20, "timeout").otherwise("refused")).alias("failure"))
+    results, recorded = C.poll_results(fetches)
+    return results.select("source_id", "outcome").join(recorded.select("source_id", F.lit(True).alias("r")), "source_id", "left").select("source_id", "outcome", F.coalesce("r", F.lit(False)).alias("recorded"))
+
+
 QUERIES = {
+    "raw_cache_lru": _lru,
+    "fetch_verdicts": _fetches,
+    "robots_cache": _robots_cache,
+    "pool_slots": _slots,
+    "poll_results": _polls,
     "crawl_failures_backoff": _failures,
     "eligible_sources": _eligible,
     "crawl_state_upsert": _upsert,
@@ -98,7 +149,26 @@ _OUT = """q AS (SELECT *, sha256(coalesce(html, '')) AS content_hash, CASE WHEN
     e AS (SELECT q.*, CASE WHEN p.source_id IS NULL THEN 'source_not_registered' WHEN p.archive_policy = 'do_not_collect' THEN 'policy_do_not_collect' WHEN http <> 200 THEN 'fetch_failed' WHEN coalesce(length(body), 0) = 0 THEN 'empty_body' END AS err,
     content_hash IN (SELECT content_hash FROM q WHERE queue_id % 7 = 0) AS seen FROM q LEFT JOIN source_policy p USING (source_id)),
     oc AS (SELECT queue_id, source_id, CASE WHEN NOT work THEN 'skipped' WHEN err IS NOT NULL THEN 'error' WHEN seen THEN 'deduplicated' ELSE 'processed' END AS outcome, CASE WHEN work THEN err END AS error_code FROM e)"""
+_AT = "(CASE WHEN ({0}) % 29 = 3 THEN 'http://h' ELSE 'https://h' END || (({0}) % 40) || '.example/p' || ({0}))"
 SQL = {
+    "raw_cache_lru": f"""WITH i AS (SELECT 'rcache_' || user_id AS item, min(ts) AS f, CASE WHEN user_id * 3 % 300 > 20 THEN user_id * 3 % 300 END AS ttl FROM events GROUP BY user_id),
+        r AS (SELECT 'rcache_' || user_id AS item, max(ts) AS a FROM events WHERE event_type = 'purchase' AND ts <= TIMESTAMP '2024-01-06' GROUP BY user_id),
+        j AS (SELECT item, f, greatest(f, coalesce(a, f)) AS l, least(greatest(coalesce(ttl, 168), 24), 168)::BIGINT AS ttl_hours FROM i LEFT JOIN r USING (item))
+        SELECT item, ttl_hours, strftime(l, {_TS}) AS last_accessed_at, CASE WHEN f < TIMESTAMP '2024-01-06' - to_hours(ttl_hours) THEN 'age' WHEN l < TIMESTAMP '2024-01-06' - to_hours(ttl_hours) THEN 'idle' END AS evicted FROM j""",
+    "fetch_verdicts": f"""WITH RECURSIVE r AS (SELECT {_AT.format("page_id")} AS url, CASE WHEN page_id % 3 = 1 THEN 301 WHEN page_id % 31 = 0 THEN NULL WHEN page_id % 31 = 6 THEN 304 ELSE 200 END AS status,
+            CASE WHEN page_id % 43 = 1 THEN NULL WHEN page_id % 2 = 0 THEN {_AT.format("page_id + 1")} WHEN page_id % 4 = 1 THEN {_AT.format("page_id + 3")} ELSE regexp_extract({_AT.format("page_id")}, '^[^/]*//[^/]*') || '/p' || (page_id + 40) END AS goal,
+            CASE page_id % 4 WHEN 0 THEN strlen(coalesce(html, '')) WHEN 1 THEN strlen(coalesce(html, '')) // 200 + 1 END AS declared_size, strlen(coalesce(html, '')) AS size, page_id % 4 = 1 AS enc, CASE WHEN page_id % 7 = 0 THEN 'json' ELSE 'html' END AS decl, (['html', 'html', 'unknown', 'json', 'executable'])[page_id % 5 + 1] AS kind,
+            page_id % 37 = 5 AS priv, page_id % 41 = 8 AS dis FROM pages),
+        w(id, place, hops) AS (SELECT page_id, CASE WHEN page_id % 47 = 9 THEN 'not a url' ELSE {_AT.format("page_id")} END, 0 FROM pages
+            UNION ALL SELECT id, r.goal, hops + 1 FROM w JOIN r ON r.url = w.place WHERE hops < 3 AND (hops > 0 OR place LIKE 'https:%') AND NOT priv AND NOT dis AND status = 301 AND goal LIKE 'https:%'),
+        v AS (SELECT id, place, r.status, hops, row_number() OVER (PARTITION BY id ORDER BY hops DESC) AS last, CASE WHEN place = 'not a url' THEN 'invalid_url' WHEN hops = 0 AND place NOT LIKE 'https:%' THEN 'blocked_scheme' WHEN priv THEN 'private_address' WHEN dis THEN 'robots' WHEN status IS NULL THEN 'no_response'
+            WHEN status = 301 AND hops = 3 THEN 'too_many_redirects' WHEN status = 301 AND goal IS NULL THEN 'no_location' WHEN status = 301 AND place LIKE 'https:%' AND goal LIKE 'http:%' THEN 'scheme_downgrade'
+            WHEN (status <> 304 AND declared_size > 20000) OR size > 20000 THEN 'body_too_large' WHEN enc AND declared_size > 0 AND size / declared_size > 100 THEN 'decompression_ratio' WHEN kind = 'executable' THEN 'executable' WHEN kind <> 'unknown' AND kind <> decl THEN 'content_type_mismatch' ELSE 'ok' END AS verdict
+            FROM w LEFT JOIN r ON r.url = w.place)
+        SELECT id, place AS final_url, status, hops::BIGINT AS hops, verdict FROM v WHERE last = 1""",
+    "pool_slots": """WITH l AS (SELECT user_id % 10 AS pool, event_id AS id, 'h' || user_id AS host, ts AS began, ts + to_hours(CASE WHEN event_type <> 'error' THEN floor(value)::INT % 40 + 1 ELSE 90 END) AS ended FROM events),
+        c AS (SELECT a.pool, a.id, a.host, count(*) FILTER (b.host = a.host) AS of_host, count(*) AS of_pool FROM l a JOIN l b ON a.pool = b.pool AND (b.began, b.id) <= (a.began, a.id) AND b.ended > a.began GROUP BY 1, 2, 3) SELECT *, of_host <= 2 AND of_pool <= 8 AS within FROM c""",
+    "poll_results": """WITH p AS (SELECT event_id AS source_id, CASE WHEN event_type = 'error' AND value > 20 THEN 'timeout' WHEN event_type = 'error' OR event_id % 7 = 3 THEN 'error' WHEN event_id % 7 = 0 THEN 'not_modified' WHEN event_id % 7 IN (1, 2) THEN 'error' ELSE 'ok' END AS outcome FROM events) SELECT *, outcome <> 'ok' AS recorded FROM p""",
     "crawl_failures_backoff": sql(f"WITH log AS (SELECT * FROM crawl_log), {_STATE} SELECT source_id, event_id, failures, last_etag, strftime(next_eligible_at, {_TS}) AS next_eligible_at FROM sx"),
     "eligible_sources": sql(f"""WITH log AS (SELECT * FROM crawl_log WHERE ts < TIMESTAMP '2024-01-20'), {_STATE}, ids AS (SELECT source_id FROM crawl_log UNION SELECT source_id FROM source_policy)
         SELECT i.source_id, s.source_id IS NULL AS is_new, strftime(s.ts, {_TS}) AS last_polled_at, coalesce(s.failures, 0)::BIGINT AS failures FROM ids i LEFT JOIN (SELECT * FROM sx WHERE r = 1) s USING (source_id) WHERE next_eligible_at IS NULL OR next_eligible_at <= TIMESTAMP '2024-01-20'"""),

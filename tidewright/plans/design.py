@@ -22,8 +22,8 @@ def _pick(values, index):  # noqa: ANN001, ANN202
 def _stale(s, d):  # noqa: ANN001, ANN202
     t = Tables(s, d)
     e = t.base("events").select("event_id", "ts", F.concat(F.lit("/p"), F.col("user_id")).alias("url"), F.when(F.col("value") < 20, "h1").otherwise("h2").alias("hash"))
-    claims = e.filter("event_id % 10 = 0").select(F.col("event_id").alias("claim_id"), "url", "hash", F.col("ts").alias("at"), F.when(F.col("event_id") % 3 == 0, 10).alias("stale_after"))
-    return G.stale_claims(claims, e.select("url", "hash", F.col("ts").alias("at")), e.filter("event_id % 70 = 0").select(F.col("event_id").alias("claim_id")), _at("2024-02-05"))
+    claims = e.select(F.col("event_id").alias("claim_id"), "url", "hash", F.col("ts").alias("at"), F.when(F.col("event_id") % 3 == 0, 10).alias("stale_after"))
+    return G.stale_claims(claims, e.select("url", "hash", F.col("ts").alias("at")), t.base("events").filter("event_type = 'error' and value > 150").select(F.col("event_id").alias("claim_id")), _at("2024-02-05"))
 
 
 def _routed(t: Tables):  # noqa: ANN202
@@ -32,7 +32,7 @@ def _routed(t: Tables):  # noqa: ANN202
 
 def _scenarios(s, d):  # noqa: ANN001, ANN202
     t = Tables(s, d)
-    lines = t.base("lineitem").filter("l_linenumber <= 3").select("l_orderkey", F.struct("l_linenumber", F.when(F.col("l_quantity") > 2, F.col("l_discount")).alias("weight"), F.when(F.col("l_tax") > 0.0, F.array(F.lit("f"))).otherwise(F.array().cast("array<string>")).alias("falsifiers"), F.when(F.col("l_returnflag") != "R", F.array(F.lit("s"))).otherwise(F.array().cast("array<string>")).alias("signals")).alias("b"))
+    lines = t.base("lineitem").select("l_orderkey", F.struct("l_linenumber", F.when(F.col("l_quantity") > 2, F.col("l_discount")).alias("weight"), F.when(F.col("l_tax") > 0.0, F.array(F.lit("f"))).otherwise(F.array().cast("array<string>")).alias("falsifiers"), F.when(F.col("l_returnflag") != "R", F.array(F.lit("s"))).otherwise(F.array().cast("array<string>")).alias("signals")).alias("b"))
     b = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("b")).alias("branches"))
     o = t.base("orders").select("o_orderkey", F.when(F.col("o_orderpriority") == "5-LOW", F.array().cast("array<string>")).otherwise(F.array(F.lit("c"))).alias("counterclaims"))
     return G.scenario_checks(o.join(b, F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_orderkey").alias("scenario_id"), "branches", "counterclaims"))
@@ -41,8 +41,8 @@ def _scenarios(s, d):  # noqa: ANN001, ANN202
 def _cites(s, d):  # noqa: ANN001, ANN202
     t = Tables(s, d)
     i = F.col("doc_id")
-    claims = t.documents().filter("doc_id % 41 <> 40").select(F.concat(F.lit("clm_"), "doc_id").alias("claim_id"), "source", (i % 53 == 1).alias("stale"), (i % 59 == 1).alias("retracted"), (i % 61 == 1).alias("horizon"), (i % 67 == 1).alias("unit"), (i % 71 == 1).alias("overclaim"))
-    cites = t.documents().select(F.concat(F.lit("drf_"), F.floor(i / 5).cast("long")).alias("draft_id"), F.concat(F.lit("clm_"), "doc_id").alias("claim_id"))
+    claims = t.documents().select(F.concat(F.lit("clm_"), "doc_id").alias("claim_id"), "source", (i % 53 == 1).alias("stale"), (i % 59 == 1).alias("retracted"), (i % 61 == 1).alias("horizon"), (i % 67 == 1).alias("unit"), (i % 71 == 1).alias("overclaim"))
+    cites = t.documents().select(F.concat(F.lit("drf_"), F.floor(i / 5).cast("long")).alias("draft_id"), F.concat(F.when(i % 41 == 40, "gone_").otherwise("clm_"), "doc_id").alias("claim_id"))
     blocked = t.intervention().filter("status = 'pending_user_review' and gate_mode = 'inline_block' and importance >= 1.2").select(F.col("source_id").alias("source"))
     return G.cite_check(cites, claims, blocked)
 
@@ -68,7 +68,7 @@ def _graph(t: Tables):  # noqa: ANN202
 
 def _lineage(s, d):  # noqa: ANN001, ANN202
     t = Tables(s, d)
-    return D.lineage(_graph(t), t.documents().filter("doc_id % 100 = 0").select(F.col("doc_id").alias("node")), 5).withColumn("hops", F.col("hops").cast("long"))
+    return D.lineage(_graph(t), t.documents().select(F.col("doc_id").alias("node")), 5).withColumn("hops", F.col("hops").cast("long"))
 
 
 def _search(s, d):  # noqa: ANN001, ANN202
@@ -83,7 +83,7 @@ def _one_sided(s, d):  # noqa: ANN001, ANN202
 
 def _review_coverage(s, d):  # noqa: ANN001, ANN202
     runs = Tables(s, d).run_ledger().select("run_id", "tier", "vendor")
-    reviews = runs.filter("run_id % 20 <> 3").select("run_id", F.when(F.col("run_id") % 30 == 4, F.col("vendor")).otherwise(F.lit("vendor9")).alias("vendor"))
+    reviews = runs.select("run_id", F.when((F.col("run_id") % 30 == 4) | (F.col("run_id") % 20 == 3), F.col("vendor")).otherwise(F.lit("vendor9")).alias("vendor"))
     return G.review_coverage(runs, reviews)
 
 
@@ -100,8 +100,8 @@ def _tiers(s, d):  # noqa: ANN001, ANN202
 
 
 def _superseded(s, d):  # noqa: ANN001, ANN202
-    e = Tables(s, d).base("events").select(F.concat(F.lit("snap_"), "event_id").alias("snap_id"), F.concat(F.lit("/p"), F.col("user_id")).alias("url"), F.col("ts").alias("at"))
-    return G.superseded(e, e.filter("substring(snap_id, 6) % 4 = 0")).select("snap_id", "url")
+    e = Tables(s, d).base("events").select(F.concat(F.lit("snap_"), "event_id").alias("snap_id"), F.concat(F.lit("/p"), F.col("user_id")).alias("url"), F.col("ts").alias("at"), "event_type")
+    return G.superseded(e, e.filter("event_type = 'purchase'")).select("snap_id", "url")
 
 
 def _monthly(t: Tables):  # noqa: ANN202
@@ -124,6 +124,55 @@ def _cohort(s, d):  # noqa: ANN001, ANN202
     return G.cohorts(o, "c", "p")
 
 
+def _evaluation(s, d):  # noqa: ANN001, ANN202
+    v = Tables(s, d).base("embeddings")
+    near = G.knn(v, v.filter("vec_id % 50 = 0"), 10).join(v.select(F.col("vec_id").alias("other_id"), "label"), "other_id")
+    cases = near.groupBy(F.col("query_id").alias("case_id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "other_id"))), lambda x: x["other_id"]).alias("retrieved"), F.array_sort(F.collect_list(F.when(F.col("other_id") % 2 == 0, F.col("other_id")))).alias("expected"))
+    recalls = G.recall_at_k(cases, 5).withColumn("run", F.concat(F.lit("eval_"), (F.col("case_id") / 50).cast("long") % 2))
+    out = G.evaluation_run(recalls, near.select(F.col("query_id").alias("case_id"), F.col("label").alias("source")))
+    return out.select("run", "total_cases", *(F.round(c, 9).alias(c) for c in ("pass_rate", "mean_recall", "mean_diversity")))
+
+
+def _presence(s, d):  # noqa: ANN001, ANN202
+    x = Tables(s, d).claim_quote().select(F.col("thesis_id").alias("publication_id"), _pick(("positive", "neutral", "neutral", "neutral", "negative", "neutral", "neutral"), F.floor(F.col("doc_id") / 3)).alias("direction"))
+    return G.presence_rates(x)
+
+
+def _nodes(t: Tables):  # noqa: ANN202
+    """Six kinds of nodes, each with a name and a text."""
+    node = lambda table, kind, key, name, text: table.select(F.lit(kind).alias("kind"), F.concat(F.lit(f"{kind}_"), key).alias("id"), name.alias("name"), text.alias("text"))
+    docs, none = t.documents(), F.lit(None).cast("string")
+    out = node(docs, "document", F.col("doc_id"), F.col("source"), F.col("text"))
+    out = out.unionByName(node(t.claim_quote(), "claim", F.col("doc_id"), none, F.col("quote")))
+    out = out.unionByName(node(t.source_policy(), "source", F.col("source_id"), F.col("source_id"), F.concat_ws(" ", F.regexp_replace("archive_policy", "_", " "), F.regexp_replace("llm_policy", "_", " "))))
+    out = out.unionByName(node(t.base("conversations"), "chunk", F.concat_ws("_", "conv_id", "turn"), F.col("role"), F.col("text")))
+    out = out.unionByName(node(t.base("benchmark"), "thesis", F.col("item_id"), none, F.col("text")))
+    return out.unionByName(node(t.base("pages"), "scenario", F.col("page_id"), none, F.regexp_replace("url", "[^A-Za-z0-9]", " ")))
+
+
+QUERY = "the pollution of Ethers and ther's with source2 collect"
+
+
+def _fulltext(s, d):  # noqa: ANN001, ANN202
+    t = Tables(s, d)
+    hits = D.ranked(*D.index(_nodes(t), ["name", "text"]), QUERY)
+    claim = lambda i: F.concat(F.lit("claim_"), i)
+    edges = _graph(t).select(claim("src").alias("src"), claim("dst").alias("dst"), _pick(("SUPPORTS", "CONTRADICTS", "QUALIFIES", "MENTIONS"), F.col("src")).alias("kind"))
+    return D.with_related(hits, edges, ("SUPPORTS", "CONTRADICTS", "QUALIFIES")).select("kind", "id", "score", F.col("place").cast("long").alias("place"), "neighbours")
+
+
+def _graph_scan(s, d):  # noqa: ANN001, ANN202
+    """Vertices and edges of the document graph as one relation; edges to unregistered sources do not exist."""
+    t = Tables(s, d)
+    edge = t.doc_source_edge()
+    vertices, edges = D.graph(
+        {"Document": (t.documents(), "doc_id"), "Source": (t.source_policy(), "source_id"), "Snapshot": (t.snapshot(), "snap_id")},
+        {"FROM": (edge, "doc_id", "Document", "source_id", "Source"), "SNAPSHOT_OF": (edge, "snap_id", "Snapshot", "doc_id", "Document")},
+    )
+    none = F.lit(None).cast("string")
+    return vertices.select("id", none.alias("dst"), F.col("label").alias("kind")).unionByName(edges.select(F.col("src").alias("id"), "dst", F.col("type").alias("kind")))
+
+
 def _guard(s, d):  # noqa: ANN001, ANN202
     return G.payload_guard(Tables(s, d).base("conversations"), "text")
 
@@ -141,7 +190,7 @@ def _near(s, d):  # noqa: ANN001, ANN202
 
 def _mentions(s, d):  # noqa: ANN001, ANN202
     t = Tables(s, d)
-    b = t.base("benchmark").select("item_id", F.substring("text", 1, 40).alias("needle")).filter("length(needle) = 40")
+    b = t.base("benchmark").select("item_id", F.col("text").alias("needle"))
     return D.mentions(t.documents(), b, "needle").select("doc_id", "item_id")
 
 
@@ -155,7 +204,9 @@ def _uncited(s, d):  # noqa: ANN001, ANN202
 def _extract(s, d):  # noqa: ANN001, ANN202
     t = Tables(s, d)
     pages = t.base("pages").select(F.col("page_id").alias("id"), F.concat(F.lit("src"), F.col("page_id") % 20).alias("source_id"), "html")
-    return E.articles(pages, t.source_policy())
+    # A call's price is a millionth of its prompt's length; the client forgets to say it for some, and answers some in no JSON.
+    client = lambda prompt: F.when(F.col("id") % 17 == 5, F.lit("no JSON")).otherwise(E.stub_client(prompt))
+    return E.articles(pages, t.source_policy(), client, lambda prompt, reply: F.when(F.col("id") % 13 != 12, F.length(prompt) / 1e6))
 
 
 def _routing(s, d):  # noqa: ANN001, ANN202
@@ -175,6 +226,11 @@ QUERIES = {
     "coverage_gate": lambda s, d: G.coverage(Tables(s, d).claim_quote(), {"supporting": 3, "opposing": 2, "monitoring": 3}),
     "retrieval_recall_at_k": _recall,
     "embedding_knn": _knn,
+    "retrieval_evaluation": _evaluation,
+    "presence_rates": _presence,
+    "communities": lambda s, d: G.communities(_graph(Tables(s, d)), 2),
+    "fulltext_search": _fulltext,
+    "graph_scan": _graph_scan,
     "lineage_recursive": _lineage,
     "one_hop_search": _search,
     "centrality": lambda s, d: G.pagerank(_graph(Tables(s, d)), 3).withColumn("rank", F.round("rank", 9)),
@@ -199,16 +255,17 @@ QUERIES = {
 
 _N = "(SELECT count(*) FROM documents)"
 _GRAPH = f"g AS (SELECT doc_id AS src, (doc_id * 7 + 1) % {_N} AS dst FROM documents)"
+_TOKENS = """list_filter(list_transform(regexp_extract_all(lower(coalesce({}, '')), '[\\p{{L}}\\p{{N}}]+(?:\\x27s)?'), lambda w: regexp_replace(regexp_replace(w, '\\x27s$', ''), '([^s]{{3}})s$', '\\1')), lambda w: w NOT IN (""" + ", ".join(f"'{w}'" for w in D.STOP_WORDS) + "))"
 _MONTH = "m AS (SELECT year(o_orderdate) * 12 + month(o_orderdate) - 1 AS month, sum(CAST(round(o_totalprice * 100) AS BIGINT))::BIGINT AS cents FROM orders GROUP BY 1)"
 _KNN = """q AS (SELECT vec_id AS query_id, list_transform(embedding, lambda x: x::DOUBLE) AS q FROM embeddings WHERE vec_id % 50 = 0), v AS (SELECT vec_id AS other_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
     k AS (SELECT query_id, other_id, list_dot_product(q, v) / (sqrt(list_dot_product(q, q)) * sqrt(list_dot_product(v, v))) AS cosine FROM q JOIN v ON query_id <> other_id),
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, other_id) AS rank FROM k)"""
 SQL = {
-    "stale_claims": """WITH e AS (SELECT event_id, ts, '/p' || user_id AS url, CASE WHEN value < 20 THEN 'h1' ELSE 'h2' END AS hash FROM events), n AS (SELECT url, max_by(hash, (ts, hash)) AS newest FROM e GROUP BY 1),
-        c AS (SELECT event_id AS claim_id, concat_ws(',', CASE WHEN date_sub('microsecond', ts, TIMESTAMP '2024-02-05') // 86400000000 > CASE WHEN event_id % 3 = 0 THEN 10 ELSE 30 END THEN 'age' END, CASE WHEN newest <> hash THEN 'newer_snapshot' END, CASE WHEN event_id % 70 = 0 THEN 'contradicted' END) AS why FROM e JOIN n USING (url) WHERE event_id % 10 = 0)
+    "stale_claims": """WITH e AS (SELECT event_id, event_type, value, ts, '/p' || user_id AS url, CASE WHEN value < 20 THEN 'h1' ELSE 'h2' END AS hash FROM events), n AS (SELECT url, max_by(hash, (ts, hash)) AS newest FROM e GROUP BY 1),
+        c AS (SELECT event_id AS claim_id, concat_ws(',', CASE WHEN date_sub('microsecond', ts, TIMESTAMP '2024-02-05') // 86400000000 > CASE WHEN event_id % 3 = 0 THEN 10 ELSE 30 END THEN 'age' END, CASE WHEN newest <> hash THEN 'newer_snapshot' END, CASE WHEN event_type = 'error' AND value > 150 THEN 'contradicted' END) AS why FROM e JOIN n USING (url))
         SELECT claim_id, why, why <> '' AS stale FROM c""",
     "auto_confirm_fp": sql("SELECT count(*) AS reviewed, count(*) FILTER (quality = 0) AS wrong, count(*) FILTER (quality = 0) / nullif(count(*), 0) AS false_positive_rate FROM claim_quote JOIN labels USING (doc_id) WHERE n % 4 = 0 AND confidence_pct >= 85"),
-    "scenario_validate": """WITH b AS (SELECT l_orderkey, count(*) AS n, bool_and(l_quantity > 2) AS w, bool_and(l_tax > 0.0) AS f, bool_and(l_returnflag <> 'R') AS s FROM lineitem WHERE l_linenumber <= 3 GROUP BY 1),
+    "scenario_validate": """WITH b AS (SELECT l_orderkey, count(*) AS n, bool_and(l_quantity > 2) AS w, bool_and(l_tax > 0.0) AS f, bool_and(l_returnflag <> 'R') AS s FROM lineitem GROUP BY 1),
         x AS (SELECT o_orderkey AS scenario_id, concat_ws(',', CASE WHEN NOT w THEN 'weights' END, CASE WHEN n < 2 THEN 'branches' END, CASE WHEN NOT f THEN 'falsifiers' END, CASE WHEN NOT s THEN 'signals' END, CASE WHEN o_orderpriority = '5-LOW' THEN 'counterclaims' END) AS failed FROM orders JOIN b ON o_orderkey = l_orderkey)
         SELECT scenario_id, failed, failed = '' AS valid FROM x""",
     "cite_check": sql("""WITH k AS (SELECT DISTINCT source_id FROM intervention WHERE status = 'pending_user_review' AND gate_mode = 'inline_block' AND importance >= 1.2),
@@ -219,16 +276,42 @@ SQL = {
     "coverage_gate": sql("WITH g AS (SELECT thesis_id, count(*) FILTER (role = 'supporting') AS n_supporting, count(*) FILTER (role = 'opposing') AS n_opposing, count(*) FILTER (role = 'monitoring') AS n_monitoring FROM claim_quote GROUP BY 1) SELECT *, n_supporting >= 3 AND n_opposing >= 2 AND n_monitoring >= 3 AS covered FROM g"),
     "retrieval_recall_at_k": f"WITH {_KNN}, g AS (SELECT query_id AS case_id, count(*) FILTER (rank <= 5 AND other_id % 2 = 0) AS hit, count(*) FILTER (other_id % 2 = 0) AS want FROM r WHERE rank <= 10 GROUP BY 1) SELECT case_id, CASE WHEN want = 0 THEN 1.0::DOUBLE ELSE hit / want END AS recall, CASE WHEN want = 0 THEN true ELSE hit / want >= 0.8 END AS passed FROM g",
     "embedding_knn": f"WITH {_KNN} SELECT query_id, other_id, rank, round(cosine, 9) AS cosine FROM r WHERE rank <= 5",
-    "lineage_recursive": f"WITH RECURSIVE {_GRAPH}, w(root, node, hops) AS (SELECT doc_id, doc_id, 0 FROM documents WHERE doc_id % 100 = 0 UNION ALL SELECT w.root, g.dst, w.hops + 1 FROM w JOIN g ON g.src = w.node WHERE w.hops < 5) SELECT root, node, min(hops)::BIGINT AS hops FROM w GROUP BY 1, 2",
+    "lineage_recursive": f"WITH RECURSIVE {_GRAPH}, w(root, node, hops) AS (SELECT doc_id, doc_id, 0 FROM documents UNION ALL SELECT w.root, g.dst, w.hops + 1 FROM w JOIN g ON g.src = w.node WHERE w.hops < 5) SELECT root, node, min(hops)::BIGINT AS hops FROM w GROUP BY 1, 2",
     "one_hop_search": f"""WITH {_GRAPH}, t AS (SELECT doc_id AS id, len(list_filter(regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}\\p{{M}}_]+'), lambda w: w IN ('the', 'with'))) AS score FROM documents), top AS (SELECT * FROM t WHERE score > 0 ORDER BY score DESC, id LIMIT 20),
         b AS (SELECT src AS id, dst AS other FROM g UNION SELECT dst, src FROM g), n AS (SELECT id, list_sort(list(DISTINCT other))[1:5] AS near FROM b GROUP BY 1) SELECT id, score, coalesce(array_to_string(near, ','), '') AS neighbours FROM top LEFT JOIN n USING (id)""",
+    "retrieval_evaluation": f"""WITH {_KNN}, j AS (SELECT r.*, e.label FROM r JOIN embeddings e ON e.vec_id = other_id WHERE rank <= 10),
+        g AS (SELECT query_id, count(*) FILTER (rank <= 5 AND other_id % 2 = 0) AS hit, count(*) FILTER (other_id % 2 = 0) AS want, count(DISTINCT label) / count(*) AS diversity FROM j GROUP BY 1), c AS (SELECT *, CASE WHEN want = 0 THEN 1.0::DOUBLE ELSE hit / want END AS recall FROM g)
+        SELECT 'eval_' || (query_id // 50 % 2) AS run, count(*) AS total_cases, round(avg((recall >= 0.8)::INT), 9) AS pass_rate, round(avg(recall), 9) AS mean_recall, round(avg(diversity), 9) AS mean_diversity FROM c GROUP BY 1""",
+    "presence_rates": sql("""WITH x AS (SELECT thesis_id, (['positive','neutral','neutral','neutral','negative','neutral','neutral'])[(doc_id // 3) % 7 + 1] AS direction FROM claim_quote), g AS (SELECT thesis_id, bool_or(direction = 'positive') AS up, bool_or(direction = 'negative') AS down FROM x GROUP BY 1)
+        SELECT count(*) AS publications, count(*) FILTER (up) / count(*) AS upside_claim_presence_rate, count(*) FILTER (down) / count(*) AS downside_claim_presence_rate, count(*) FILTER (up <> down) / count(*) AS one_sided_warning_rate FROM g"""),
+    "communities": f"""WITH {_GRAPH}, b AS (SELECT src, dst FROM g UNION SELECT dst, src FROM g), l0 AS (SELECT DISTINCT src AS node, src AS label FROM b),
+        s1 AS (SELECT src, label, count(*) AS n FROM b JOIN l0 ON dst = node GROUP BY 1, 2), l1 AS (SELECT src AS node, arg_min(label, (-n, label)) AS label FROM s1 GROUP BY 1),
+        s2 AS (SELECT src, label, count(*) AS n FROM b JOIN l1 ON dst = node GROUP BY 1, 2) SELECT src AS node, arg_min(label, (-n, label)) AS label FROM s2 GROUP BY 1""",
+    "fulltext_search": sql(f"""WITH {_GRAPH}, nodes AS (SELECT 'document' AS kind, 'document_' || doc_id AS id, source AS name, text FROM documents UNION ALL SELECT 'claim', 'claim_' || doc_id, NULL, quote FROM claim_quote
+            UNION ALL SELECT 'source', 'source_' || source_id, source_id, replace(archive_policy, '_', ' ') || ' ' || replace(llm_policy, '_', ' ') FROM source_policy UNION ALL SELECT 'chunk', 'chunk_' || conv_id || '_' || turn, role, text FROM conversations
+            UNION ALL SELECT 'thesis', 'thesis_' || item_id, NULL, text FROM benchmark UNION ALL SELECT 'scenario', 'scenario_' || page_id, NULL, regexp_replace(url, '[^A-Za-z0-9]', ' ', 'g') FROM pages),
+        t AS (SELECT kind, id, list_concat({_TOKENS.format("name")}, {_TOKENS.format("text")}) AS terms FROM nodes), z AS (SELECT kind, count(*) AS n, avg(len(terms)) AS mean FROM t GROUP BY 1), q AS (SELECT DISTINCT unnest({_TOKENS.format("'" + QUERY.replace("'", "''") + "'")}) AS term),
+        p AS (SELECT kind, id, term, count(*) AS f, any_value(size) AS size FROM (SELECT kind, id, len(terms) AS size, unnest(terms) AS term FROM t) JOIN q USING (term) GROUP BY 1, 2, 3), df AS (SELECT kind, term, count(*) AS df FROM p GROUP BY 1, 2),
+        s AS (SELECT kind, id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * size / mean))), 6) AS score FROM p JOIN df USING (kind, term) JOIN z USING (kind) GROUP BY 1, 2),
+        h AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY score DESC, id) AS place FROM s QUALIFY place <= 20),
+        e AS (SELECT 'claim_' || src AS a, 'claim_' || dst AS b FROM g WHERE src % 4 <> 3), near AS (SELECT id, list_sort(list(DISTINCT other))[1:5] AS near FROM (SELECT a AS id, b AS other FROM e UNION SELECT b, a FROM e) GROUP BY 1)
+        SELECT kind, id, score, place, coalesce(array_to_string(near, ','), '') AS neighbours FROM h LEFT JOIN near USING (id)"""),
+    "graph_scan": sql("""WITH v AS (SELECT 'Document:' || doc_id AS id, 'Document' AS kind FROM documents UNION SELECT 'Source:' || source_id, 'Source' FROM source_policy UNION SELECT 'Snapshot:' || snap_id, 'Snapshot' FROM snapshot),
+        e AS (SELECT 'Document:' || doc_id AS id, 'Source:' || source_id AS dst, 'FROM' AS kind FROM doc_source_edge UNION SELECT 'Snapshot:' || snap_id, 'Document:' || doc_id, 'SNAPSHOT_OF' FROM doc_source_edge)
+        SELECT id, NULL::VARCHAR AS dst, kind FROM v UNION ALL SELECT * FROM e WHERE id IN (SELECT id FROM v) AND dst IN (SELECT id FROM v)"""),
+    "near_duplicates": r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ 	-
+]+'), lambda x: x <> '') AS w FROM documents),
+        g AS MATERIALIZED (SELECT doc_id, CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) END AS g FROM w WHERE len(w) > 0),
+        s AS MATERIALIZED (SELECT g, min(doc_id) AS id FROM g GROUP BY g), u AS MATERIALIZED (SELECT id, len(g) AS n, unnest(g) AS x FROM s),
+        p AS (SELECT a.id AS a, b.id AS b, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS k FROM u a JOIN u b ON a.x = b.x AND a.id < b.id GROUP BY 1, 2)
+        SELECT s.id AS a, g.doc_id AS b, 1.0::DOUBLE AS similarity FROM g JOIN s USING (g) WHERE s.id <> g.doc_id UNION ALL SELECT a, b, round(k / (n + m - k), 9) FROM p WHERE k / (n + m - k) >= 0.8""",
     "one_sided_rate": sql("""WITH x AS (SELECT thesis_id, (['positive','negative','neutral','positive','positive'])[(doc_id // 3) % 5 + 1] AS direction FROM claim_quote), g AS (SELECT thesis_id, count(*) FILTER (direction = 'positive') AS up, count(*) FILTER (direction = 'negative') AS down, count(*) AS n FROM x GROUP BY 1)
         SELECT thesis_id, greatest(up, down) / n AS share, least(up, down) = 0 AND greatest(up, down) > 0 AS one_sided, CASE WHEN up >= down THEN 'negative' ELSE 'positive' END AS wanted_direction FROM g"""),
     "review_coverage": sql("WITH r AS (SELECT run_id, run_id % 20 <> 3 AND run_id % 30 <> 4 AS ok FROM run_ledger WHERE tier = 0) SELECT count(*) AS runs, count(*) FILTER (ok) AS reviewed, count(*) FILTER (ok) / nullif(count(*), 0) AS coverage, coalesce(count(*) FILTER (ok) / nullif(count(*), 0) >= 0.95, false) AS met FROM r"),
     "session_stop": """WITH c AS (SELECT conv_id AS session, turn AS round, length(text) % 3 AS answer, length(text) % 100 / 100 AS confidence FROM conversations), w AS (SELECT *, lag(answer, 1) OVER p AS a1, lag(answer, 2) OVER p AS a2 FROM c WINDOW p AS (PARTITION BY session ORDER BY round)),
         y AS (SELECT *, CASE WHEN confidence >= 0.97 THEN 'confident' WHEN answer = a1 AND answer = a2 THEN 'unchanged' WHEN round >= 4 THEN 'rounds' END AS why FROM w), z AS (SELECT *, row_number() OVER (PARTITION BY session ORDER BY round) AS k FROM y WHERE why IS NOT NULL) SELECT session, round, why FROM z WHERE k = 1""",
     "tier_rules": "SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'D' WHEN (doc_id % 3 <> 0)::INT + (doc_id % 5 <> 0)::INT + (doc_id % 2 <> 0)::INT = 3 THEN 'A' WHEN (doc_id % 3 <> 0)::INT + (doc_id % 5 <> 0)::INT + (doc_id % 2 <> 0)::INT = 2 THEN 'B' ELSE 'C' END AS tier FROM documents",
-    "superseded_snapshots": "WITH r AS (SELECT event_id, 'snap_' || event_id AS snap_id, '/p' || user_id AS url, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, 'snap_' || event_id DESC) AS r FROM events) SELECT snap_id, url FROM r WHERE r > 1 AND event_id % 4 <> 0",
+    "superseded_snapshots": "WITH r AS (SELECT event_type, 'snap_' || event_id AS snap_id, '/p' || user_id AS url, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, 'snap_' || event_id DESC) AS r FROM events) SELECT snap_id, url FROM r WHERE r > 1 AND event_type <> 'purchase'",
     "dataset_yoy": f"WITH {_MONTH} SELECT month::BIGINT AS month, cents, (cents - lag(cents, 12) OVER (ORDER BY month)) / lag(cents, 12) OVER (ORDER BY month) AS yoy FROM m",
     "dataset_rolling": f"WITH {_MONTH} SELECT month::BIGINT AS month, sum(cents) OVER w::BIGINT AS rolling_sum, count(cents) OVER w AS rolling_n FROM m WINDOW w AS (ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)",
     "dataset_zscore": "WITH g AS (SELECT l_returnflag AS f, avg(l_quantity) AS m, stddev_pop(l_quantity) AS s FROM lineitem GROUP BY 1) SELECT l_orderkey, l_linenumber::BIGINT AS line, round((l_quantity - m) / s, 6) AS z, abs((l_quantity - m) / s) >= 1.7 AS anomaly FROM lineitem JOIN g ON f = l_returnflag",
@@ -236,7 +319,7 @@ SQL = {
     "dataset_cohort": "WITH f AS (SELECT o_custkey AS c, min(year(o_orderdate)) AS cohort FROM orders GROUP BY 1) SELECT cohort::BIGINT AS cohort, (year(o_orderdate) - cohort)::BIGINT AS age, count(DISTINCT o_custkey) AS entities FROM orders JOIN f ON c = o_custkey GROUP BY 1, 2",
     "dataset_payload_guard": "SELECT count(*) AS rows, sum(strlen(text))::BIGINT AS bytes, count(*) >= 1000 OR sum(strlen(text)) >= 50000 AS must_reduce FROM conversations",
     "derived_metric_spec": f"WITH {_MONTH} SELECT 'v1|spec1|lock1|met_' || CASE WHEN month % 40 = 0 THEN 1 ELSE month END AS key, count(*) AS n FROM m GROUP BY 1 HAVING count(*) > 1",
-    "benchmark_mentions": "SELECT doc_id, item_id FROM documents d JOIN (SELECT item_id, substring(text, 1, 40) AS needle FROM benchmark WHERE length(substring(text, 1, 40)) = 40) b ON contains(d.text, b.needle)",
+    "benchmark_mentions": "SELECT doc_id, item_id FROM documents d JOIN benchmark b ON b.text <> '' AND contains(d.text, b.text)",
     "uncited_claims": sql("SELECT claim_id FROM claim_quote WHERE confidence_pct >= 85 AND claim_id NOT IN (SELECT 'clm_' || doc_id * 3 FROM documents UNION SELECT 'clm_' || doc_id * 5 FROM documents)"),
     "extractor_routing": "WITH t AS (SELECT doc_id AS id, (['article','dataset','report'])[doc_id % 3 + 1] AS source_type, regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g') AS x FROM documents) SELECT id, source_type, CASE source_type WHEN 'article' THEN upper(substring(x, 1, 5)) WHEN 'dataset' THEN length(x)::VARCHAR END AS result, CASE WHEN source_type = 'report' THEN 'unknown_source_type' END AS error FROM t",
     "centrality": f"""WITH {_GRAPH}, nodes AS (SELECT src AS node FROM g UNION SELECT dst FROM g), deg AS (SELECT src, count(*) AS k FROM g GROUP BY 1), r0 AS (SELECT node, 1.0::DOUBLE AS rank FROM nodes),

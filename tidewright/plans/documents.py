@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import net as N
 from ..functions import text as X
 from ..operators import documents as D
+from ..scratch import bounded
 from ..sources.tables import Tables
 from .views import sql
 
@@ -24,12 +25,13 @@ def _char_chunks(s, d):  # noqa: ANN001, ANN202
 
 def _upsert(s, d):  # noqa: ANN001, ANN202
     t = Tables(s, d)
-    keep = t.documents().filter("doc_id % 3 <> 2")
-    shorter = keep.withColumn("text", F.when(F.col("doc_id") % 2 == 0, F.substring(F.col("text"), F.lit(1), F.floor(F.length("text") / 2).cast("int"))).otherwise(F.col("text")))
-    new = X.token_chunks(shorter).select(F.col("doc_id").alias("snap"), "chunk_index", F.sha2("chunk_text", 256).alias("chunk_hash"))
-    old = X.token_chunks(t.documents().filter("doc_id % 3 <> 0")).select(F.col("doc_id").alias("snap"), "chunk_index", F.concat(F.lit("chk_"), "doc_id", F.lit("_"), "chunk_index").alias("chunk_id"))
+    # The new version of each third text is longer, that of the next has fewer words.
+    i, text = F.col("doc_id"), F.col("text")
+    changed = t.documents().withColumn("text", F.when(i % 3 == 0, F.concat(text, F.lit(" "), text)).when(i % 3 == 1, F.replace(text, F.lit("e "), F.lit("e"))).otherwise(text))
+    new = X.token_chunks(changed).select(F.col("doc_id").alias("snap"), "chunk_index", F.sha2("chunk_text", 256).alias("chunk_hash"))
+    old = X.token_chunks(t.documents()).select(F.col("doc_id").alias("snap"), "chunk_index", F.concat(F.lit("chk_"), "doc_id", F.lit("_"), "chunk_index").alias("chunk_id"))
     policy = t.source_policy().select(F.col("source_id").alias("source"), "archive_policy")
-    given = shorter.join(F.broadcast(policy), "source", "left").select(F.col("doc_id").alias("snap"), F.when(~F.coalesce(F.col("archive_policy").isin("full_snapshot_allowed", "excerpt_only"), F.lit(False)), "policy").when(F.trim(F.coalesce("text", F.lit(""))) == "", "empty_text").alias("reject"))
+    given = changed.join(bounded(policy), "source", "left").select(F.col("doc_id").alias("snap"), F.when(~F.coalesce(F.col("archive_policy").isin("full_snapshot_allowed", "excerpt_only"), F.lit(False)), "policy").when(F.trim(F.coalesce("text", F.lit(""))) == "", "empty_text").alias("reject"))
     return D.chunk_upsert(old, new, given)
 
 
@@ -198,9 +200,9 @@ SQL = {
     "chunk_chars": """WITH d AS (SELECT doc_id, regexp_replace(text, '\\s', '', 'g') AS text FROM documents), n AS (SELECT *, length(text) AS n FROM d WHERE length(text) > 1000),
         w AS (SELECT *, unnest(range(0, 1 + CAST(greatest(ceil((n - 1000) / 900), 0) AS BIGINT))) AS k FROM n)
         SELECT doc_id, k AS chunk_index, k * 900 AS char_start, least(k * 900 + 1000, n) AS char_end, sha256(substring(text, k * 900 + 1, 1000)) AS chunk_hash FROM w""",
-    "chunk_upsert": sql(f"""WITH shorter AS (SELECT doc_id, source, CASE WHEN doc_id % 2 = 0 THEN substring(text, 1, length(text) // 2) ELSE text END AS text FROM documents WHERE doc_id % 3 <> 2),
-        {_chunk_sql("SELECT doc_id, text FROM shorter")}, {_chunk_sql("SELECT doc_id, text FROM documents WHERE doc_id % 3 <> 0").replace("p AS", "op AS").replace("w AS (SELECT *, unnest", "ow AS (SELECT *, unnest").replace("FROM p)", "FROM op)").replace("o AS (SELECT doc_id, w", "oo AS (SELECT doc_id, w").replace("FROM w)", "FROM ow)").replace("ch AS (", "och AS (").replace("FROM o)", "FROM oo)")},
-        given AS (SELECT s.doc_id AS snap, CASE WHEN NOT coalesce(archive_policy IN ('full_snapshot_allowed', 'excerpt_only'), false) THEN 'policy' WHEN trim(coalesce(text, '')) = '' THEN 'empty_text' END AS reject FROM shorter s LEFT JOIN source_policy sp ON sp.source_id = s.source),
+    "chunk_upsert": sql(f"""WITH changed AS (SELECT doc_id, source, CASE doc_id % 3 WHEN 0 THEN text || ' ' || text WHEN 1 THEN replace(text, 'e ', 'e') ELSE text END AS text FROM documents),
+        {_chunk_sql("SELECT doc_id, text FROM changed")}, {_chunk_sql("SELECT doc_id, text FROM documents").replace("p AS", "op AS").replace("w AS (SELECT *, unnest", "ow AS (SELECT *, unnest").replace("FROM p)", "FROM op)").replace("o AS (SELECT doc_id, w", "oo AS (SELECT doc_id, w").replace("FROM w)", "FROM ow)").replace("ch AS (", "och AS (").replace("FROM o)", "FROM oo)")},
+        given AS (SELECT s.doc_id AS snap, CASE WHEN NOT coalesce(archive_policy IN ('full_snapshot_allowed', 'excerpt_only'), false) THEN 'policy' WHEN trim(coalesce(text, '')) = '' THEN 'empty_text' END AS reject FROM changed s LEFT JOIN source_policy sp ON sp.source_id = s.source),
         new_ok AS (SELECT c.doc_id AS snap, c.chunk_index, c.chunk_hash FROM ch c JOIN given g ON g.snap = c.doc_id AND g.reject IS NULL), old AS (SELECT doc_id AS snap, chunk_index, 'chk_' || doc_id || '_' || chunk_index AS chunk_id FROM och)
         SELECT snap, chunk_index, coalesce(o.chunk_id, 'new_' || snap || '_' || chunk_index) AS chunk_id, n.chunk_hash, CASE WHEN n.snap IS NULL THEN 'kept' WHEN o.snap IS NULL THEN 'inserted' ELSE 'updated' END AS change
         FROM new_ok n FULL JOIN old o USING (snap, chunk_index) WHERE n.snap IS NOT NULL OR snap NOT IN (SELECT snap FROM given WHERE reject IS NULL)"""),

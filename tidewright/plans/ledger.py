@@ -46,7 +46,12 @@ def polarity_trailing_50(spark, sf_dir):  # noqa: ANN001, ANN201
     return L.trailing_share(e, ("ts", "event_id"), 50, 0.4).select("event_id", "stream", "seen", F.round("share", 9).alias("share"), "skewed")
 
 
+def _backfill(spark, sf_dir):  # noqa: ANN001, ANN202
+    return L.backfill_bucket(Tables(spark, sf_dir).run_ledger().withColumn("bucket", F.when(F.col("stage") == "click", "backfill")), 1_500_000)
+
+
 QUERIES = {
+    "backfill_quota": _backfill,
     "daily_cost_total": lambda s, d: L.daily_total(Tables(s, d).run_ledger(), "2024-01-10"),
     "daily_cost_total_vendor": lambda s, d: L.daily_total(Tables(s, d).run_ledger(), "2024-01-10", "vendor1"),
     "daily_cost_breakdown": lambda s, d: L.daily_breakdown(Tables(s, d).run_ledger()),
@@ -63,6 +68,8 @@ QUERIES = {
 
 _DAILY = "strftime(completed_at, '%Y-%m-%d')"
 SQL = {
+    "backfill_quota": sql("""WITH g AS (SELECT CAST(completed_at AS DATE) AS d, coalesce(sum(cost_e4) FILTER (stage <> 'click'), 0)::BIGINT AS s, coalesce(sum(cost_e4) FILTER (stage = 'click'), 0)::BIGINT AS b FROM run_ledger WHERE cost_e4 IS NOT NULL GROUP BY 1), u AS (SELECT *, sum(b) OVER (ORDER BY d)::BIGINT AS used FROM g)
+        SELECT strftime(d, '%Y-%m-%d') AS day, s / 10000 AS spent_usd, b / 10000 AS backfill_usd, greatest(1500000 - used, 0) / 10000 AS backfill_left_usd, used >= 1500000 AS backfill_stop FROM u"""),
     "daily_cost_total": sql("SELECT coalesce(sum(cost_e4), 0)::BIGINT / 10000.0::DOUBLE AS total_cost_usd FROM run_ledger WHERE completed_at >= TIMESTAMP '2024-01-10' AND completed_at < TIMESTAMP '2024-01-11'"),
     "daily_cost_total_vendor": sql("SELECT coalesce(sum(cost_e4), 0)::BIGINT / 10000.0::DOUBLE AS total_cost_usd FROM run_ledger WHERE CAST(completed_at AS DATE) = DATE '2024-01-10' AND vendor = 'vendor1'"),
     "daily_cost_breakdown": sql(f"SELECT {_DAILY} AS day, vendor, sum(cost_e4)::BIGINT / 10000.0::DOUBLE AS total_cost_usd, count(*) AS run_count FROM run_ledger WHERE cost_e4 IS NOT NULL GROUP BY 1, 2"),

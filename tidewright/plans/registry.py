@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import documents as D
 from ..operators import registry as R
+from ..scratch import bounded
 from ..sources.tables import Tables
 from .views import sql
 
@@ -11,7 +12,7 @@ from .views import sql
 def _sets(t: Tables):  # noqa: ANN202
     d = t.documents().select("doc_id", "source", "n")
     slug_map = d.filter("n % 6 <> 5").select(F.col("source").alias("source_id")).distinct()
-    graph = d.select(F.when(F.col("doc_id") % 50 == 7, None).otherwise(F.concat("source", F.when(F.col("n") == 3, "x").otherwise(""))).alias("source_id")).filter("doc_id < 40")
+    graph = d.select(F.when(F.col("doc_id") % 50 == 7, None).otherwise(F.concat("source", F.when(F.col("n") == 3, "x").otherwise(""))).alias("source_id"))
     return slug_map, graph, t.source_policy()
 
 
@@ -35,7 +36,8 @@ def _shares(s, d):  # noqa: ANN001, ANN202
 
 def _edges(t: Tables):  # noqa: ANN202
     e = t.doc_source_edge().select("source_id", "doc_id", "snap_id")
-    return e.filter("doc_id % 4 <> 0"), e.filter("doc_id % 4 <> 1")
+    old = e.withColumn("snap_id", F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit("old_"), "snap_id")).otherwise(F.col("snap_id")))
+    return old, e
 
 
 def _missing(s, d):  # noqa: ANN001, ANN202
@@ -45,7 +47,8 @@ def _missing(s, d):  # noqa: ANN001, ANN202
 
 def _created(s, d):  # noqa: ANN001, ANN202
     h = Tables(s, d).hashed()
-    return D.merge_created(h.filter("doc_id % 2 = 0"), h.filter("doc_id % 3 = 0"), "content_hash")
+    changed = F.sha2(F.concat(F.coalesce("text", F.lit("")), F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit(" "), "source")).otherwise("")), 256)
+    return D.merge_created(h, h.withColumn("content_hash", changed), "content_hash")
 
 
 def _survivors(s, d):  # noqa: ANN001, ANN202
@@ -56,7 +59,7 @@ def _survivors(s, d):  # noqa: ANN001, ANN202
 
 def _membership(s, d):  # noqa: ANN001, ANN202
     t = Tables(s, d)
-    return t.documents().join(F.broadcast(t.source_policy().filter("llm_policy = 'allowed'").select(F.col("source_id").alias("source"))), "source", "left_semi").select("doc_id", F.coalesce(F.col("lang").isin("en", "fr"), F.lit(False)).alias("known_lang"))
+    return t.documents().join(bounded(t.source_policy().filter("llm_policy = 'allowed'").select(F.col("source_id").alias("source"))), "source", "left_semi").select("doc_id", F.coalesce(F.col("lang").isin("en", "fr"), F.lit(False)).alias("known_lang"))
 
 
 def _pollable(s, d):  # noqa: ANN001, ANN202
@@ -70,9 +73,9 @@ def _versions(s, d):  # noqa: ANN001, ANN202
 
 
 def _ids(s, d):  # noqa: ANN001, ANN202
-    i = Tables(s, d).documents().filter("doc_id % 9 <> 4").select(F.col("lang").alias("prefix"), "doc_id")
-    rows = i.select("prefix", F.col("doc_id").alias("number")).unionByName(i.filter("doc_id % 101 = 0").select("prefix", F.col("doc_id").alias("number")))
-    return D.gaps(rows)
+    i = F.col("doc_id")
+    number = i + F.floor(i / 9) - F.when(i % 25 < 4, i % 25).otherwise(0)
+    return D.gaps(Tables(s, d).documents().select(F.col("lang").alias("prefix"), number.cast("long").alias("number")))
 
 
 def _terms(s, d):  # noqa: ANN001, ANN202
@@ -82,7 +85,7 @@ def _terms(s, d):  # noqa: ANN001, ANN202
 
 def _refs(s, d):  # noqa: ANN001, ANN202
     t = Tables(s, d).documents()
-    definitions = t.filter("doc_id % 2 = 0").select(F.concat(F.lit("REF-"), F.col("doc_id") % 300).alias("ref"))
+    definitions = t.select(F.concat(F.lit("REF-"), F.col("doc_id") * 2 % 300).alias("ref"))
     return D.references(definitions, t.select(F.concat(F.lit("REF-"), F.col("doc_id") % 310).alias("ref")), "ref")
 
 
@@ -104,7 +107,7 @@ QUERIES = {
     "def_ref_resolution": _refs,
 }
 
-_SETS = """sm AS (SELECT DISTINCT source AS source_id FROM docs WHERE n % 6 <> 5), gr AS (SELECT CASE WHEN doc_id % 50 = 7 THEN NULL ELSE source || CASE WHEN n = 3 THEN 'x' ELSE '' END END AS source_id FROM docs WHERE doc_id < 40), po AS (SELECT source_id FROM source_policy)"""
+_SETS = """sm AS (SELECT DISTINCT source AS source_id FROM docs WHERE n % 6 <> 5), gr AS (SELECT CASE WHEN doc_id % 50 = 7 THEN NULL ELSE source || CASE WHEN n = 3 THEN 'x' ELSE '' END END AS source_id FROM docs), po AS (SELECT source_id FROM source_policy)"""
 
 
 def _minus(a: str, b: str, name: str) -> str:
@@ -119,15 +122,15 @@ SQL = {
     "registry_pollable": sql("SELECT 'src_' || n AS source_id, 'https://a.example/rss/' || n AS feed_url FROM source_policy WHERE n % 4 <> 0 AND n % 3 = 0 AND n % 7 <> 6 AND n % 5 <> 4"),
     "perspective_share": sql("""WITH g AS (SELECT (['neutral', 'risk', 'opportunity', 'mixed'])[least(n % 5, 3) + 1] AS value, count(*) AS n FROM docs GROUP BY 1), p AS (SELECT value, n, n * 100 / sum(n) OVER () AS percent FROM g)
         SELECT value, n, percent, CASE value WHEN 'risk' THEN percent <= 50 WHEN 'opportunity' THEN percent >= 25 WHEN 'neutral' THEN percent >= 15 ELSE true END AS within FROM p"""),
-    "relink_edges": sql("SELECT source_id, doc_id, snap_id, doc_id % 4 = 0 AS added FROM (SELECT DISTINCT source_id, doc_id, snap_id FROM doc_source_edge)"),
+    "relink_edges": sql("WITH e AS (SELECT DISTINCT source_id, doc_id, snap_id FROM doc_source_edge) SELECT source_id, doc_id, snap_id, doc_id % 4 = 0 AS added FROM e UNION ALL SELECT source_id, doc_id, 'old_' || snap_id, false FROM e WHERE doc_id % 4 = 0"),
     "missing_parents": sql("SELECT doc_id, source AS source_id FROM docs WHERE source NOT IN (SELECT source_id FROM source_policy)"),
-    "merge_created": sql("SELECT DISTINCT content_hash, CASE WHEN content_hash IN (SELECT content_hash FROM hashed WHERE doc_id % 2 = 0) THEN 'matched' ELSE 'created' END AS outcome FROM hashed WHERE doc_id % 3 = 0"),
+    "merge_created": sql("WITH w AS (SELECT DISTINCT sha256(coalesce(text, '') || CASE WHEN doc_id % 3 = 0 THEN ' ' || source ELSE '' END) AS content_hash FROM documents) SELECT content_hash, CASE WHEN content_hash IN (SELECT content_hash FROM hashed) THEN 'matched' ELSE 'created' END AS outcome FROM w"),
     "duplicate_survivors": sql("SELECT doc_id, min(doc_id) OVER (PARTITION BY content_hash) AS survivor FROM hashed"),
     "id_membership": sql("SELECT doc_id, coalesce(lang IN ('en', 'fr'), false) AS known_lang FROM docs WHERE source IN (SELECT source_id FROM source_policy WHERE llm_policy = 'allowed')"),
     "latest_version": "SELECT 'v10' AS version",
-    "id_uniqueness_gaps": """WITH i AS (SELECT lang AS prefix, doc_id AS number FROM documents WHERE doc_id % 9 <> 4), r AS (SELECT * FROM i UNION ALL SELECT * FROM i WHERE number % 101 = 0), n AS (SELECT prefix, number, count(*) AS times FROM r GROUP BY 1, 2),
+    "id_uniqueness_gaps": """WITH r AS (SELECT lang AS prefix, doc_id + doc_id // 9 - CASE WHEN doc_id % 25 < 4 THEN doc_id % 25 ELSE 0 END AS number FROM documents), n AS (SELECT prefix, number, count(*) AS times FROM r GROUP BY 1, 2),
         g AS (SELECT *, coalesce(lead(number) OVER (PARTITION BY prefix ORDER BY number) - number - 1, 0) AS gap FROM n) SELECT * FROM g WHERE times > 1 OR gap > 0""",
     "term_usage": "SELECT lower(t) AS term, count(*) AS uses FROM (SELECT unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z]{5,}')) AS t FROM conversations) GROUP BY 1",
-    "def_ref_resolution": """WITH d AS (SELECT 'REF-' || (doc_id % 300) AS ref FROM documents WHERE doc_id % 2 = 0), u AS (SELECT DISTINCT 'REF-' || (doc_id % 310) AS ref FROM documents)
+    "def_ref_resolution": """WITH d AS (SELECT 'REF-' || (doc_id * 2 % 300) AS ref FROM documents), u AS (SELECT DISTINCT 'REF-' || (doc_id % 310) AS ref FROM documents)
         SELECT ref, 'duplicate_definition' AS problem FROM d GROUP BY ref HAVING count(*) > 1 UNION ALL SELECT ref, 'dangling_reference' FROM u WHERE ref NOT IN (SELECT ref FROM d)""",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterable, Mapping
 from typing import Any
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import kind_key
-from ..operators.audit import matched_prefix
+from ..operators.audit import KEY_PREFIXES, matched_prefix
 
 
 def objects(spark: SparkSession, root: str) -> DataFrame:
@@ -21,6 +22,31 @@ def objects(spark: SparkSession, root: str) -> DataFrame:
     return files.select(key.alias("key"), "content", F.sha2("content", 256).alias("sha256")).withColumn("permitted", matched_prefix(F.col("key")).isNotNull())
 
 
+def _place(spark: SparkSession, root: str, key: str):  # noqa: ANN202
+    """The file system and path of a permitted key; any other is refused."""
+    if not key.startswith(KEY_PREFIXES) or ".." in key.split("/"):
+        raise ValueError(f"{key}: no permitted prefix")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{key}")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def put(spark: SparkSession, root: str, key: str, data: bytes) -> str:
+    """Stores one object, over what the key had, and returns its SHA-256."""
+    files, path = _place(spark, root, key)
+    out = files.create(path, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    return hashlib.sha256(data).hexdigest()
+
+
+def delete(spark: SparkSession, root: str, key: str) -> bool:
+    """Removes one object; whether it was there."""
+    files, path = _place(spark, root, key)
+    return bool(files.delete(path, False))
+
+
 def decoded(content: Column, charset: Column) -> Column:
     """Text of a body in one of the charsets that Spark knows; any other is an error of the query."""
     known = ("utf-8", "us-ascii", "iso-8859-1", "utf-16", "utf-16le", "utf-16be", "utf-32")
@@ -55,6 +81,44 @@ def notes(spark: SparkSession, root: str, kinds: Iterable[str] = ("article", "da
     return out.withColumn("kind", kind).withColumn("permitted", F.coalesce(kind.isin(*kinds), F.lit(False)))
 
 
+# A literal or a comment, whichever begins first; line breaks in it are kept.
+_QUIET = r"""(?s)`(?:\\.|[^`\\])*`|"(?:\\.|[^"\\\n])*"|'(?:\\.|[^'\\\n])*'|//[^\n]*|/\*.*?\*/"""
+
+
+def bare_code(code: Column) -> Column:
+    """Source text without comments and string literals; line breaks stay, so that line numbers hold."""
+    parts = F.regexp_extract_all(F.concat(code, F.lit("\n")), F.lit(f"({_QUIET})|((?s).[^`\"'/]*)"), F.lit(0))
+    kept = F.transform(parts, lambda p: F.when(p.rlike(rf"\A(?:{_QUIET})\z"), F.regexp_replace(p, "[^\n]+", " ")).otherwise(p))
+    return F.regexp_replace(F.array_join(kept, ""), "\n\\z", "")
+
+
+def reference_problems(refs: DataFrame, files: DataFrame) -> DataFrame:
+    """What is wrong with references ``(ref)`` of the form ``path:line`` or ``path:export`` into ``files(path, text)``; good ones are left out."""
+    cut = F.length("ref") - F.locate(":", F.reverse("ref")) + 1
+    rows = refs.select("ref", F.substring(F.col("ref"), F.lit(1), cut - 1).alias("path"), F.substring(F.col("ref"), cut + 1, F.length("ref")).alias("tail"))
+    known = files.select("path", "text", F.size(F.split(F.regexp_replace("text", "\n\\z", ""), "\n")).alias("lines"), bare_code(F.col("text")).alias("bare"))
+    j = rows.join(known, "path", "left")
+    number = F.when(F.col("tail").rlike(r"^[0-9]{1,9}$"), F.col("tail").try_cast("int"))
+    name = F.regexp_replace("tail", r"([^\p{L}\p{N}_])", r"\\$1")
+    # An export under its own name, by declaration or in a list.
+    declared = F.regexp(F.col("bare"), F.concat(F.lit(r"(?U)\bexport\s+(?:default\s+)?(?:async\s+|abstract\s+)?(?:const|let|var|interface|type|enum|class|function\s*\*?)\s+"), name, F.lit(r"(?![\w$])")))
+    listed = F.regexp(F.col("bare"), F.concat(F.lit(r"(?U)\bexport\s+(?:type\s+)?\{(?:[^}]*[\s,{])?"), name, F.lit(r"\s*[,}]")))
+    problem = (
+        F.when(~F.col("ref").rlike(r"(?s)^.+:[^:]+$"), "malformed")
+        .when(F.col("path").rlike(r"^/|(^|/)\.\.(/|$)"), "outside")
+        .when(F.col("text").isNull(), "missing_file")
+        .when(number.isNotNull(), F.when((number < 1) | (number > F.col("lines")), "line_out_of_range"))
+        .when(~(declared | listed), "export_not_found")
+    )
+    return j.select("ref", problem.alias("problem")).filter("problem is not null")
+
+
+def raw_calls(files: DataFrame, name: str = "fetch") -> DataFrame:
+    """``path, line`` of calls of a function by its bare name, outside comments and strings."""
+    lines = files.select("path", F.posexplode(F.split(bare_code(F.col("text")), "\n")).alias("line", "code"))
+    return lines.filter(F.col("code").rlike(rf"(?<![\w.$]){re.escape(name)}\s*\(")).select("path", (F.col("line") + 1).alias("line"))
+
+
 def routing_problems(config: Any, tier0_roles: Mapping[str, str], tier3_vendor: str) -> list[str]:
     """What is wrong with a model routing: roles of tier 0, prices where none belong, a vendor outside its tier."""
     out: list[str] = []

@@ -34,6 +34,32 @@ def artefacts(terms: DataFrame, ids: DataFrame, path: str) -> None:
     spaces.orderBy("namespace").write.mode("overwrite").json(f"{path}/namespaces")
 
 
+def write_yaml(rows: DataFrame, name: str, path: str) -> None:
+    """One YAML file with a list under ``name``, in the order of the rows, which pass the driver one partition at a time.
+
+    Each entry is written as JSON, which is YAML too.
+    """
+    spark = rows.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(f"{name}:".encode()))
+        some = False
+        for row in rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).toLocalIterator():
+            out.write(bytearray(f"\n- {row['value']}".encode()))
+            some = True
+        out.write(bytearray(b"\n" if some else b" []\n"))
+    finally:
+        out.close()
+
+
+def merged_invariants(notes: DataFrame) -> DataFrame:
+    """``id, note, statement, status`` of the invariants in the front matter of ``notes(path, front)``, sorted; of ids that repeat, all."""
+    kind = "struct<id:string,invariants:array<struct<id:string,statement:string,status:string>>>"
+    rows = notes.select("path", F.from_json("front", kind).alias("f")).select(F.coalesce("f.id", F.regexp_extract("path", r"([^/]*?)(?:\.[^./]*)?$", 1)).alias("note"), F.explode("f.invariants").alias("i"))
+    return rows.select("i.id", "note", "i.statement", "i.status").orderBy("id", "note", "statement")
+
+
 class Schemas:
     """Versions of a table's schema as columns that each version adds; a column that comes again is skipped."""
 

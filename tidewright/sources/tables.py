@@ -9,10 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import Scratch, bounded
+
 
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
+        self._hashed: DataFrame | None = None
 
     def base(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -35,7 +38,11 @@ class Tables:
         )
 
     def hashed(self) -> DataFrame:
-        return self.documents().withColumn("content_hash", F.sha2(F.coalesce("text", F.lit("")), 256))
+        return self._hashed or self.documents().withColumn("content_hash", F.sha2(F.coalesce("text", F.lit("")), 256))
+
+    def hold_hashes(self, scratch: Scratch) -> None:
+        """Writes the content hashes once (without the texts), for a plan that has many branches over them."""
+        self._hashed = scratch.save(self.hashed().select("doc_id", "source", "n", "content_hash"), "hashed")
 
     def snapshot(self) -> DataFrame:
         """Distinct contents; ``snap_id`` is named after the first document."""
@@ -47,7 +54,7 @@ class Tables:
     def snapshot_allowed(self) -> DataFrame:
         """A snapshot may be uploaded when it has sources, all registered and permitting; no source at all means no."""
         policy = self.source_policy().select("source_id", ((F.col("archive_policy") == "full_snapshot_allowed") & (F.col("cloud_policy") == "allowed_public_data_only")).alias("ok"))
-        return self.doc_source_edge().join(F.broadcast(policy), "source_id", "left").groupBy("snap_id", "first_doc").agg(F.coalesce(F.bool_and(F.coalesce("ok", F.lit(False))), F.lit(False)).alias("allowed"))
+        return self.doc_source_edge().join(bounded(policy), "source_id", "left").groupBy("snap_id", "first_doc").agg(F.coalesce(F.bool_and(F.coalesce("ok", F.lit(False))), F.lit(False)).alias("allowed"))
 
     def keyed_snapshot(self) -> DataFrame:
         return self.snapshot_allowed().filter("allowed or first_doc % 11 = 0").select("snap_id", "first_doc", F.concat(F.lit("permitted_artifact/snapshot/"), "snap_id").alias("object_key"))
