@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewright.llm import decontaminate, jaccard_join, line_dedup, packing, quality
-from tidewright.llm.scratch import Scratch
+from tidewright.scratch import Scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
