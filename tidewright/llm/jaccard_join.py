@@ -33,8 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import Scratch, small
 from .components import components
-from .scratch import Scratch, small
 from .words import shingle_sets
 
 #: Counters of the sketch that orders grams; every partition sends this many.
