@@ -143,3 +143,5 @@ def test_sniffing(spark):
     for body, want in cases.items():
         assert one(spark, bytearray(body), N.sniffed, "binary") == want
     assert one(spark, "text/xml; q", lambda c: N.charset(F.lit("text/html; charset=ISO-8859-1"), c)) == "iso-8859-1"
+    for said, want in (("x; charset='UTF-8'", "utf-8"), ('x; charset="euc-kr";a=b', "euc-kr"), ("x; charset=utf-8\"", "utf-8"), ("x; charset=", "big5"), (None, "big5"), ("x", "big5")):
+        assert one(spark, " <?xml version='1.0' encoding='Big5'?>", lambda c, said=said: N.charset(F.lit(said), c)) == want

@@ -95,3 +95,9 @@ def test_references_into_code(spark):
     got = {r["ref"]: r["problem"] for r in files.reference_problems(spark.createDataFrame([(r,) for r in refs], "ref string"), sources).collect()}
     assert got == {"src/a.ts:6": "line_out_of_range", "src/a.ts:0": "line_out_of_range", "src/a.ts:rea": "export_not_found", "src/a.ts:ghost": "export_not_found", "src/a.ts:inside": "export_not_found", "src/b.ts:1": "missing_file", "../a.ts:1": "outside", "src/a.ts:": "malformed", "src/a.ts": "malformed"}
     assert [tuple(r) for r in files.raw_calls(sources).collect()] == [("src/a.ts", 5)]
+
+
+def test_charsets(spark):
+    rows = [(b"x\xe9\x80\x93", "ISO-8859-1", "xé€“"), ("한국 뉴스".encode("cp949"), "euc-kr", "한국 뉴스"), ("日本".encode("shift_jis"), "Shift_JIS", "日本"), ("\ufeffя".encode(), "utf-8", "я"), (b"a\xffb", "utf8", "a\ufffdb"), ("я".encode("utf-16-be"), "utf-16be", "я"), ("я".encode("cp1251"), "windows-1251", "я"), (b"a\x81", "big5", "a\ufffd"), (None, "utf-8", None), (b"x", None, None)]
+    body = spark.createDataFrame([(None if b is None else bytearray(b), c, w) for b, c, w in rows], "b binary, c string, w string")
+    assert [r["t"] for r in body.select(files.decoded(F.col("b"), F.col("c")).alias("t")).collect()] == [w for *_, w in rows]

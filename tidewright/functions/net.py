@@ -205,6 +205,6 @@ def parse_feeds(bodies: DataFrame, body_col: str = "body") -> DataFrame:
 
 def charset(content_type: Column, head: Column) -> Column:
     """From the header, else from the prolog in the first 200 bytes, else UTF-8."""
-    said = F.nullif(F.regexp_extract(content_type, r"(?i)charset\s*=\s*\"?([\w.:-]+)", 1), F.lit(""))
-    prolog = F.nullif(F.regexp_extract(F.substring(head, 1, 200), r"""(?i)^<\?xml[^>]*encoding=["']([\w.:-]+)""", 1), F.lit(""))
+    said = F.nullif(F.regexp_extract(content_type, r"""(?i)charset=[^\w\s;]*([\w.+-]*[\w])""", 1), F.lit(""))
+    prolog = F.nullif(F.regexp_extract(F.substring(head, 1, 200), r"""(?i)<\?xml[^?>]*encoding=["']([^"']+)["']""", 1), F.lit(""))
     return F.lower(F.coalesce(said, prolog, F.lit("utf-8")))

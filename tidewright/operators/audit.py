@@ -6,7 +6,7 @@ relation and the scan is their union.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import bounded
@@ -140,5 +140,6 @@ def surrogate_id(prefix: str, at: Column, *key: Column) -> Column:
 
 
 def survivors(rows: DataFrame, key: str, id_col: str) -> DataFrame:
-    """Each row with the smallest id of its key, to which edges are redirected."""
-    return rows.withColumn("survivor", F.min(id_col).over(Window.partitionBy(key)))
+    """Each row with the smallest id of its key, to which edges are redirected; an aggregate and a join, so that a key with very many rows is no window partition."""
+    least = rows.groupBy(F.col(key).alias("__key")).agg(F.min(id_col).alias("survivor"))
+    return rows.join(least, F.col(key).eqNullSafe(F.col("__key"))).drop("__key")

@@ -47,13 +47,45 @@ def delete(spark: SparkSession, root: str, key: str) -> bool:
     return bool(files.delete(path, False))
 
 
+# Labels that the web takes for Windows-1252, and what its bytes from 0x80 to 0x9F stand for (U+0081 and four others as they are).
+WESTERN = ("ascii", "us-ascii", "iso-8859-1", "iso8859-1", "iso88591", "iso_8859-1", "latin1", "l1", "cp1252", "x-cp1252", "windows-1252")
+_WESTERN_BYTES = "\x80\x82\x83\x84\x85\x86\x87\x88\x89\x8a\x8b\x8c\x8e\x91\x92\x93\x94\x95\x96\x97\x98\x99\x9a\x9b\x9c\x9e\x9f"
+_WESTERN_CHARS = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+#: Labels that the engine decodes itself.
+_NATIVE = {"utf-8": "utf-8", "utf8": "utf-8", "utf-16": "utf-16le", "utf-16le": "utf-16le", "utf-16be": "utf-16be"}
+#: Other labels of the web, by the codec that reads them in Python.
+_OTHER = {
+    "euc-kr": "cp949", "ks_c_5601-1987": "cp949", "korean": "cp949", "windows-949": "cp949", "euc-jp": "euc_jp", "shift_jis": "cp932", "shift-jis": "cp932", "sjis": "cp932", "iso-2022-jp": "iso2022_jp", "big5": "big5hkscs", "gbk": "gb18030", "gb2312": "gb18030", "gb18030": "gb18030",
+    "koi8-r": "koi8_r", "koi8-u": "koi8_u", "macintosh": "mac_roman", "iso-8859-9": "cp1254", "latin5": "cp1254", **{f"iso-8859-{n}": f"iso8859_{n}" for n in (2, 3, 4, 5, 6, 7, 8, 10, 13, 14, 15, 16)}, **{f"windows-{n}": f"cp{n}" for n in (1250, 1251, 1253, 1254, 1255, 1256, 1257, 1258)},
+}
+
+
+@F.pandas_udf(T.StringType())  # type: ignore[call-overload]
+def _by_codec(bodies, codecs):  # noqa: ANN001, ANN202
+    import pandas as pd
+
+    return pd.Series([None if b is None or c is None else bytes(b).decode(c, "replace") for b, c in zip(bodies, codecs, strict=True)], dtype=object)
+
+
 def decoded(content: Column, charset: Column) -> Column:
-    """Text of a body in one of the charsets that Spark knows; any other is an error of the query."""
-    known = ("utf-8", "us-ascii", "iso-8859-1", "utf-16", "utf-16le", "utf-16be", "utf-32")
-    out = F.when(~charset.isin(*known), F.raise_error(F.concat(F.lit("unknown charset "), charset)))
-    for name in known:
-        out = out.when(charset == name, F.decode(content, name))
-    return out
+    """Text of a body in a charset of the web, by its label; a label that is none of them is an error of the query.
+
+    UTF-8, UTF-16 and the western labels are read by the engine; only bodies in other
+    charsets are sent to Python. Bytes that mean nothing become U+FFFD, a byte-order
+    mark goes.
+    """
+    label = F.lower(F.trim(charset))
+    codec = F.lit(None).cast("string")
+    for name, own in _OTHER.items():
+        codec = F.when(label == name, F.lit(own)).otherwise(codec)
+    known = label.isin(*WESTERN, *_NATIVE, *_OTHER)
+    out = F.when(label.isNotNull() & ~known, F.raise_error(F.concat(F.lit("unknown charset "), charset)))
+    out = out.when(label.isin(*WESTERN), F.translate(F.decode(content, "iso-8859-1"), _WESTERN_BYTES, _WESTERN_CHARS))
+    for name, own in _NATIVE.items():
+        # What is no UTF-8 is replaced when it is made valid, not when it is cast.
+        out = out.when(label == name, F.make_valid_utf8(content.cast("string")) if own == "utf-8" else F.decode(content, own))
+    out = out.otherwise(_by_codec(F.when(codec.isNotNull(), content), codec))
+    return F.regexp_replace(out, r"^\x{FEFF}", "")
 
 
 @F.pandas_udf(T.StringType())  # type: ignore[call-overload]
