@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -221,36 +222,69 @@ def references(definitions: DataFrame, uses: DataFrame, key: str) -> DataFrame:
     return twice.unionByName(loose)
 
 
+#: Frequent grams that the order of grams knows, 16 bytes each.
+HEAVY = 1_000_000
+
+
+def _prefixes(frequent, least: float):  # noqa: ANN001, ANN202
+    """The first grams of each set ``(k, g)`` in the common order, with the set's size and their place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, often = frequent.value
+        for batch in batches:
+            columns: list[list[np.ndarray]] = [[], [], [], []]
+            for k, grams in zip(batch.column(0).to_numpy(zero_copy_only=False), batch.column(1), strict=True):
+                g = grams.values.to_numpy(zero_copy_only=False)
+                at = np.minimum(np.searchsorted(known, g), max(0, len(known) - 1))
+                weight = np.where(known[at] == g, often[at], 0) if len(known) else np.zeros(len(g), np.int64)
+                size = len(g) - int(np.ceil(len(g) * least - 1e-9)) + 1
+                first = g[np.lexsort((g, weight))[:size]]
+                for column, values in zip(columns, (np.full(len(first), k), np.full(len(first), len(g)), np.arange(len(first)), first), strict=True):
+                    column.append(values)
+            if columns[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(t)) for c, t in zip(columns, (np.int64, np.int32, np.int32, np.int64), strict=True)], ["k", "n", "pos", "gram"])
+
+    return run
+
+
 def shingle_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, least: float = 0.8) -> DataFrame:
     """``a, b, similarity``: near-duplicate pairs by the share of common shingles; none is missed.
 
     Documents with equal shingles are copies: each is paired, at 1, with the smallest
     id of its group only, and the group is one set in what follows. Two sets that are
-    near share a gram among the first of both in one order, rarest first (a prefix
-    filter), where enough grams still follow; only such pairs are compared.
+    near share a gram among the first of both in one order (a prefix filter), where
+    enough grams still follow; only such pairs are compared. In that order the most
+    frequent grams (at most ``HEAVY``, sent to all) come last, by frequency, the others
+    by hash: any order is right, this one keeps grams of many sets out of prefixes.
 
     A text shorter than a shingle is one shingle; one without words has none, and is
     nobody's duplicate. Rows that repeat an id are no pair.
     """
+    scratch = Scratch(docs.sparkSession, "near-duplicates")
     tokens = F.filter(F.split(F.lower(F.coalesce(text_col, F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
     rows = docs.select(F.col(id_col).alias("id"), tokens.alias("t")).filter(F.size("t") > 0)
     several = F.transform(F.sequence(F.lit(1), F.greatest(F.size("t") - words + 1, F.lit(1))), lambda i: F.xxhash64(*(F.element_at("t", i + k) for k in range(words))))
     rows = rows.select("id", F.array_sort(F.array_distinct(F.when(F.size("t") >= words, several).otherwise(F.array(F.xxhash64("t"))))).alias("g"))
-    rows = rows.select("id", "g", F.struct(F.xxhash64("g").alias("k"), F.xxhash64(F.lit(1), "g").alias("k2")).alias("key"))
-    sets = rows.groupBy("key").agg(F.min("id").alias("id"), F.first("g").alias("g"))
-    copies = rows.select("key", F.col("id").alias("b")).join(sets.select("key", F.col("id").alias("a")), "key").filter(~F.col("a").eqNullSafe(F.col("b"))).select("a", "b", F.lit(1.0).alias("similarity")).distinct()
-
-    grams = sets.select("key.k", F.size("g").alias("n"), F.explode("g").alias("gram"))
-    shared = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
-    # Grams of one set only come first in the order, and pair nothing.
-    ordered = grams.join(shared, "gram").groupBy("k", "n").agg(F.array_sort(F.collect_list(F.struct("often", "gram"))).alias("s"))
-    prefix = F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1
-    lone = F.col("n") - F.size("s")
-    posted = ordered.select("k", "n", lone.alias("lone"), F.posexplode(F.slice("s", F.lit(1), F.greatest(prefix - lone, F.lit(0)).cast("int"))).alias("at", "x"))
-    posted = posted.select("k", "n", (F.col("lone") + F.col("at")).alias("pos"), "x.gram")
-    enough = f"least(x.n, y.n) >= {least} * greatest(x.n, y.n) - 1e-9 and (1 + least(x.n - x.pos - 1, y.n - y.pos - 1)) * {1 + least} >= {least} * (x.n + y.n) - 1e-9"
+    rows = scratch.save(rows.select("id", "g", F.xxhash64("g").alias("k"), F.xxhash64(F.lit(1), "g").alias("k2")), "rows")
+    ids = rows.groupBy("k", "k2").agg(F.min("id").alias("a"))
+    copies = rows.select("k", "k2", F.col("id").alias("b")).join(ids, ["k", "k2"]).filter(~F.col("a").eqNullSafe(F.col("b"))).select("a", "b", F.lit(1.0).alias("similarity")).distinct()
+    # One row a set: the grams of one of its rows, which an aggregate of ids alone has chosen.
+    sets = scratch.save(rows.dropDuplicates(["k", "k2"]).select("k", "k2", "g").join(ids, ["k", "k2"]).select("k", F.col("a").alias("id"), "g"), "sets")
+
+    counted = scratch.save(sets.select(F.explode("g").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("often")).filter("often > 2"), "counts")
+    by_size = {r["log"]: r["n"] for r in counted.groupBy(F.floor(F.log2("often")).cast("int").alias("log")).agg(F.count(F.lit(1)).alias("n")).collect()}  # at most 64 rows
+    log, room = 64, HEAVY
+    while log > 1 and room >= by_size.get(log - 1, 0):
+        log -= 1
+        room -= by_size.get(log, 0)
+    top = counted.filter(F.col("often") >= F.lit(1 << min(log, 62))).toArrow()  # at most HEAVY rows
+    grams, often = top.column("gram").to_numpy(), top.column("often").to_numpy()
+    order = np.argsort(grams)
+    frequent = docs.sparkSession.sparkContext.broadcast((grams[order], often[order]))
+    posted = scratch.save(sets.select("k", "g").mapInArrow(_prefixes(frequent, least), "k long, n int, pos int, gram long"), "postings")
+    enough = f"least(x.n, y.n) >= {least} * greatest(x.n, y.n) - 1e-9 and (1 + least(x.n - x.pos - 1, y.n - y.pos - 1)) * {1 + least} >= {least} * (cast(x.n as bigint) + y.n) - 1e-9"
     pairs = posted.alias("x").join(posted.alias("y"), F.expr(f"x.gram = y.gram and x.k < y.k and {enough}")).select(F.col("x.k").alias("p"), F.col("y.k").alias("q")).distinct()
-    side = lambda k, i, g: sets.select(F.col("key.k").alias(k), F.col("id").alias(i), F.col("g").alias(g))
+    side = lambda k, i, g: sets.select(F.col("k").alias(k), F.col("id").alias(i), F.col("g").alias(g))
     both = pairs.join(side("p", "ip", "gp"), "p").join(side("q", "iq", "gq"), "q").filter(~F.col("ip").eqNullSafe(F.col("iq")))
     common = F.size(F.array_intersect("gp", "gq"))
     near = both.select(F.least("ip", "iq").alias("a"), F.when(F.col("ip") <= F.col("iq"), F.col("iq")).when(F.col("ip") > F.col("iq"), F.col("ip")).alias("b"), (common / (F.size("gp") + F.size("gq") - common)).alias("similarity"))
