@@ -7,11 +7,12 @@ of a bounded sample of the documents, beside numbers that are no personal data.
 It reads whole texts in overlapping windows; each is decoded by Viterbi under the
 CRF's transitions, and the spans of all windows of a text are reconciled: pieces
 cut by a window's edge give way to whole ones or are joined, then the longer
-span wins. A span of the model is kept only if what it spells is valid (Luhn, parts of
-at most 255, digits of a telephone number) and it meets no base span.
+span wins. A span of the model is kept only if it can be what it is said to be (Luhn, four
+parts of at most 255, the digits of a telephone number, one "at" before a host) and
+it meets no base span; how it is spelled is for the model to tell.
 
-A span holds a digit, an at sign or a bracketed "at". A window without one can
-give no span and is not decoded; this changes no result (tests compare).
+A span holds a digit, an at sign, a bracketed "at" or the word "dot". A window without
+one can give no span and is not decoded; this changes no result (tests compare).
 
 Defined cases: null and empty texts have no spans; rows that repeat an id are
 each searched; null ids are kept; offsets count code points, ends exclusive; an
@@ -103,7 +104,7 @@ _FORBID = np.where(_ALLOWED, 0, -1e4).astype(np.float32)
 _START = np.where(np.arange(LABELS) % 2 == 0, -1e4, 0).astype(np.float32)
 _START[0] = 0
 HIDDEN, WINDOW, STRIDE = 16, 96, 48
-SEED = re.compile(r"[0-9@]|[(\[{<] ?[Aa][Tt] ?[)\]}>]")
+SEED = re.compile(r"[0-9@]|[(\[{<] ?[Aa][Tt] ?[)\]}>]| [Dd][Oo][Tt] ")
 
 
 def char_codes(text: str) -> np.ndarray:
@@ -247,19 +248,24 @@ def _example(rng: random.Random) -> tuple[str, str | None]:
     kind = rng.choice([*KINDS, None, None])
     if kind == "email":
         name, host, top = word(2, 9) + rng.choice(["", "." + d(2), "_" + word(2, 5), d(2)]), rng.choice([word(3, 8), "mail" + d(1) + ".example", word(2, 6) + "-" + word(2, 5)]), rng.choice(["com", "org", "net", "de", "fr", "es"])
-        at, dot = rng.choice([("@", "."), ("@", "."), ("@", "."), (" (at) ", " (dot) "), ("(at)", "."), (" [at] ", " [dot] "), ("[at]", "[dot]"), (" @ ", "."), ("{at}", ".")])
+        at, dot = rng.choice([("@", "."), ("@", "."), ("@", "."), (" (at) ", " (dot) "), ("(at)", "."), (" [at] ", " [dot] "), ("[at]", "[dot]"), (" @ ", "."), ("{at}", "."), (" at ", " dot "), ("@", " . "), ("<at>", "<dot>")])
         return name + at + (host + "." + top).replace(".", dot), kind
     if kind == "ip":
-        return rng.choice([".", ".", "[.]", "(.)", " . "]).join(str(rng.randint(0, 255)) for _ in range(4)), kind
+        return rng.choice([".", ".", "[.]", "(.)", " . ", "[dot]", " dot "]).join(str(rng.randint(0, 255)) for _ in range(4)), kind
     if kind == "card":
-        c, s = _card(rng), rng.choice(["", "", " ", "-", ".", "/", "_"])
-        return s.join(c[i : i + 4] for i in range(0, 16, 4)), kind
+        c, s, n = _card(rng), rng.choice(["", "", " ", "-", ".", "/", "_"]), rng.choice([4, 4, 4, 8, 6])
+        return s.join(c[i : i + n] for i in range(0, 16, n)), kind
     if kind == "phone":
         a, b, c = d(3), d(3), d(4)
+        parts = rng.choice([(2, 2, 2, 2, 2), (4, 3, 3), (2, 4, 4), (3, 2, 2, 2), (4, 7), (3, 4, 4), (5, 6)])
+        if rng.random() < 0.5:
+            head = rng.choice(["+", "+", "00"]) + str(rng.randint(1, 99)) + rng.choice([" ", "-", ".", " (0)", "/"]) if len(parts) < 4 or rng.random() < 0.4 else "0"
+            rest = rng.choice([" ", " ", "-", ".", "/"]).join(d(n) for n in parts)
+            return head + (rest[1:] if head == "0" else rest), kind
         return rng.choice([f"+1 ({a}) {b}-{c}", f"+{rng.randint(1, 99)} {a} {b} {c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"1-{a}-{b}-{c}", f"00{rng.randint(1, 99)} {a} {b} {c}", f"({a}){b}-{c}"]), kind
     return rng.choice([
         d(rng.randint(1, 7)), f"{d(4)}-{d(2)}-{d(2)}", f"{d(2)}/{d(2)}/{d(4)}", f"{d(2)}:{d(2)}", f"{d(1)}.{d(1)}.{d(1)}", f"{d(3)}.{d(2)}", f"v{d(1)}.{d(2)}", "".join(rng.choice("0123456789abcdef") for _ in range(40)),
-        f'token = "{"".join(rng.choice("0123456789abcdef") for _ in range(40))}"', "AKIA" + "".join(rng.choice("ABCDEFGHIJ0123456789") for _ in range(16)), f"CC BY-NC {d(1)}.0", f"@{word(3, 8)}", f"{word(3, 6)} @ {word(3, 6)}", d(rng.randint(20, 30)), f"http://{word(3, 8)}.example.net/{d(5)}", f"({d(4)})", f"| {d(2)} | {d(3)} |",
+        f'token = "{"".join(rng.choice("0123456789abcdef") for _ in range(40))}"', "AKIA" + "".join(rng.choice("ABCDEFGHIJ0123456789") for _ in range(16)), f"CC BY-NC {d(1)}.0", f"@{word(3, 8)}", f"{word(3, 6)} @ {word(3, 6)}", d(rng.randint(20, 30)), f"{d(4)}-{d(2)}-{d(2)} {d(2)}:{d(2)}", f"{d(2)}.{d(2)}.{d(4)}", f"{d(1)},{d(3)},{d(3)}", f"{d(3)} {d(3)}", f"{d(4)}-{d(4)}", f"{word(3, 6)} at {word(3, 6)} dot", f"the {word(3, 6)} dot {word(3, 6)}", f"{d(1)}.{d(2)}.{d(3)}-{d(1)}", f"http://{word(3, 8)}.example.net/{d(5)}", f"({d(4)})", f"| {d(2)} | {d(3)} |",
     ]), None
 
 
@@ -293,7 +299,7 @@ def examples(texts: list[str], windows: int = 4000, seed: int = 11) -> tuple[np.
     return codes, labels
 
 
-def train(texts: list[str], windows: int = 4000, epochs: int = 4, batch: int = 64, rate: float = 0.02) -> Network:
+def train(texts: list[str], windows: int = 8000, epochs: int = 4, batch: int = 64, rate: float = 0.02) -> Network:
     net = network()
     codes, labels = examples(texts, windows)
     parts = net.parts()
@@ -314,24 +320,38 @@ def train(texts: list[str], windows: int = 4000, epochs: int = 4, batch: int = 6
 
 # ---- spans of the model -----------------------------------------------------
 
-_EMAIL_FORM = re.compile(r"[A-Za-z0-9._%+-]+ ?(?:@|[(\[{<] ?at ?[)\]}>]) ?[A-Za-z0-9-]+(?: ?(?:\.|[(\[{<] ?(?:dot|\.) ?[)\]}>]) ?[A-Za-z0-9-]+)+", re.I)
-_IP_FORM = re.compile(r"[0-9]{1,3}(?: ?[(\[{]?\.[)\]}]? ?[0-9]{1,3}){3}")
-_PHONE_FORM = re.compile(r"(?:00[0-9]{1,3}[ .-]|\+?[0-9]{1,3}[ .-])?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}")
+_AT = re.compile(r"@|[(\[{<] ?at ?[)\]}>]| at ", re.I)
+_DOT = re.compile(r" ?[(\[{<] ?(?:dot|\.) ?[)\]}>] ?| dot | ?\. ?", re.I)
+_MOST_CHARS = 80
 
 
 def valid(kind: str, text: str, start: int, end: int) -> bool:
-    """Whether the span spells what it is said to be, and no digit goes on beside it."""
+    """Whether the span can be what it is said to be, and no digit or letter goes on beside it.
+
+    Only what the kind is made of is asked for (its numbers, their size and checksum, or
+    one "at" with a host of several parts behind it); how it is spelled is the model's
+    decision.
+    """
     got = text[start:end]
-    if (start and text[start - 1].isalnum()) or (end < len(text) and text[end].isalnum()):
+    if not 5 <= len(got) <= _MOST_CHARS or "\n" in got or (start and text[start - 1].isalnum()) or (end < len(text) and text[end].isalnum()):
         return False
     digits = re.sub("[^0-9]", "", got)
     if kind == "email":
-        return bool(_EMAIL_FORM.fullmatch(got))
+        ats = list(_AT.finditer(got))
+        if len(ats) != 1:
+            return False
+        local, host = got[: ats[0].start()].strip(), _DOT.split(got[ats[0].end() :].strip())
+        return bool(local) and local[0].isalnum() and len(host) > 1 and not any(c.isspace() for part in (local, *host) for c in part) and all(part.replace("-", "").isalnum() for part in host) and len(host[-1]) > 1
+    apart = re.split("[0-9]+", got)
+    if any(c.isalpha() for part in apart for c in part.lower().replace("dot", "")):
+        return False
     if kind == "ip":
-        return bool(_IP_FORM.fullmatch(got)) and all(int(p) <= 255 for p in re.findall("[0-9]+", got))
+        return len(apart) == 5 and not apart[0] and not apart[-1] and all(_DOT.fullmatch(part) for part in apart[1:-1]) and all(is_octet(part) for part in re.findall("[0-9]+", got))
     if kind == "card":
-        return bool(re.fullmatch(r"[0-9](?:[ ./_-]?[0-9])+", got)) and 16 <= len(digits) <= 19 and luhn(digits)
-    return bool(_PHONE_FORM.fullmatch(got))
+        return 16 <= len(digits) <= 19 and luhn(digits) and all(len(part) <= 1 for part in apart)
+    # A telephone number says that it is one, by its start or by its length and parts.
+    stated = got.startswith(("+", "00", "("))
+    return (8 if stated else 9) <= len(digits) <= 15 and all(len(part) <= 3 and set(part) <= set(" ()./-+") for part in apart) and (stated or len(apart) >= 4)
 
 
 def reconcile(pieces: list[tuple[str, int, int, bool]]) -> list[Span]:
