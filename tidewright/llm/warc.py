@@ -36,6 +36,7 @@ LEAST_REVISIT = 1000
 #: All records carry this date: archives of equal tables are equal.
 DATE = "2024-01-01T00:00:00Z"
 _LEVEL = 3
+_BUFFER = 1 << 20
 
 
 def _open(path: str) -> tuple[fs.FileSystem, str]:
@@ -43,10 +44,14 @@ def _open(path: str) -> tuple[fs.FileSystem, str]:
     return found, local
 
 
-def _put(path: str, data: bytes) -> None:
+def _create(path: str) -> Any:
     where, local = _open(path)
     where.create_dir(local.rsplit("/", 1)[0], recursive=True)
-    with where.open_output_stream(local, compression=None) as out:
+    return where.open_output_stream(local, compression=None, buffer_size=_BUFFER)
+
+
+def _put(path: str, data: bytes) -> None:
+    with _create(path) as out:
         out.write(data)
 
 
@@ -140,28 +145,31 @@ def write(pages: DataFrame, folder: str, scratch: Scratch, id_col: str = "page_i
     return scratch.save(rows.mapInArrow(run, "path string, records long, bytes long"), "archives")
 
 
-def members(data: bytes) -> Iterator[tuple[str, bytes]]:
-    """Record id and own gzip member of every record of a whole-file stream (or of members)."""
-    with gzip.GzipFile(fileobj=io.BytesIO(data)) as stream:
+def members(source: Any) -> Iterator[tuple[str, bytes]]:
+    """Record id and own gzip member of every record of a whole-file stream (or of members): bytes, or a file read as it comes."""
+    with gzip.GzipFile(fileobj=io.BytesIO(source) if isinstance(source, bytes) else source) as stream:
         for headers, _, raw in records(io.BufferedReader(stream, 1 << 16)):  # type: ignore[arg-type]
             z = zlib.compressobj(_LEVEL, zlib.DEFLATED, 31)
             yield headers["warc-record-id"], z.compress(raw) + z.flush()
 
 
 def normalise(archives: DataFrame, folder: str, scratch: Scratch) -> DataFrame:
-    """Rewrites each archive; ``path, index_path, records`` of the new ones."""
+    """Rewrites each archive; ``path, index_path, records`` of the new ones.
+
+    Archives of any size pass as streams: a task holds one record at a time.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                out, index = io.BytesIO(), []
-                for name, member in members(_get(path)):
-                    index.append({"id": name, "offset": out.tell(), "length": len(member)})
-                    out.write(member)
-                to = f"{folder}/{uuid.uuid4().hex}.warc.gz"
-                _put(to, out.getvalue())
-                _put(f"{to}.idx", "".join(json.dumps(x) + "\n" for x in index).encode())
-                yield pa.RecordBatch.from_arrays([pa.array([to]), pa.array([f"{to}.idx"]), pa.array([len(index)], pa.int64())], ["path", "index_path", "records"])
+                to, offset, n = f"{folder}/{uuid.uuid4().hex}.warc.gz", 0, 0
+                where, local = _open(path)
+                with where.open_input_stream(local, compression=None, buffer_size=_BUFFER) as source, _create(to) as out, _create(f"{to}.idx") as index:
+                    for name, member in members(source):
+                        out.write(member)
+                        index.write(json.dumps({"id": name, "offset": offset, "length": len(member)}).encode() + b"\n")
+                        offset, n = offset + len(member), n + 1
+                yield pa.RecordBatch.from_arrays([pa.array([to]), pa.array([f"{to}.idx"]), pa.array([n], pa.int64())], ["path", "index_path", "records"])
 
     spread = archives.select("path").repartition(max(1, archives.count()), "path")
     return scratch.save(spread.mapInArrow(run, "path string, index_path string, records long"), "normalised")
@@ -173,7 +181,7 @@ def read_one(path: str, offset: int, length: int) -> tuple[dict[str, str], bytes
 
 
 def read(archives: DataFrame, with_payload: bool = False) -> DataFrame:
-    """Every record of normalised archives, each inflated alone at the place its index gives."""
+    """Every record of normalised archives, each inflated alone at the place its index gives; index and archive are read as they come."""
     names = ["key", "url", "kind", "digest", "payload_bytes", "refers_to", "block_digest"] + ["payload"] * with_payload
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,20 +191,32 @@ def read(archives: DataFrame, with_payload: bool = False) -> DataFrame:
             tail = (text or "none").strip("<>").rsplit(":", 1)[-1]
             return None if tail == "none" else int(tail)
 
+        def batch_of(rows: list[list[Any]]) -> pa.RecordBatch:
+            types = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), *([pa.binary()] * with_payload)]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+
         for batch in batches:
             for path, index_path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                data, places = _get(path), [json.loads(x) for x in _get(index_path).splitlines()]
-                for k in range(0, len(places), 1000):
-                    rows = []
-                    for place in places[k : k + 1000]:
-                        headers, block, _ = next(records(io.BytesIO(gzip.decompress(data[place["offset"] : place["offset"] + place["length"]]))))
+                (where, local), (_, local_index) = _open(path), _open(index_path)
+                rows, held_bytes = [], 0
+                with where.open_input_stream(local, compression=None, buffer_size=_BUFFER) as data, where.open_input_stream(local_index, compression=None, buffer_size=_BUFFER) as index:
+                    at = 0
+                    for place in map(json.loads, io.BufferedReader(index)):
+                        if place["offset"] != at:
+                            raise ValueError(f"{index_path} leaves a gap at {at}")
+                        at += place["length"]
+                        headers, block, _ = next(records(io.BytesIO(gzip.decompress(data.read(place["length"])))))
                         digest = headers["warc-payload-digest"].removeprefix("sha1:")
                         held = hashlib.sha1(block).hexdigest() if headers["warc-type"] == "response" else None
                         if held not in (None, digest):
                             raise ValueError(f"{headers['warc-record-id']} does not hold the payload of its digest")
                         rows.append([number(headers["warc-record-id"]), headers["warc-target-uri"], headers["warc-type"], digest, int(headers["x-payload-length"]), number(headers.get("warc-refers-to")), held, *([block] * with_payload)])
-                    types = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), *([pa.binary()] * with_payload)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+                        held_bytes += len(block) * with_payload
+                        if len(rows) == 1000 or held_bytes > _BUFFER << 4:
+                            yield batch_of(rows)
+                            rows, held_bytes = [], 0
+                if rows:
+                    yield batch_of(rows)
 
     ddl = "key long, url string, kind string, digest string, payload_bytes long, refers_to long, block_digest string" + ", payload binary" * with_payload
     spread = archives.select("path", "index_path").repartition(max(1, archives.count()), "path")
