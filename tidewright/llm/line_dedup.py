@@ -56,7 +56,12 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, i
     flags = scratch.save(flags.select("doc", F.col("flags.gone").alias("gone_flags")), "flags")
     scratch.drop(lines, touched)
 
-    mine = ["__doc", "__flags"]
+    mine = []  # two names that no column has
+    while len(mine) < 2:
+        name = "__own" + "_" * len(mine)
+        while name in docs.columns or name in mine:
+            name += "_"
+        mine.append(name)
     out = docs.drop("n_lines", "n_dropped").withColumn(mine[0], doc).join(flags.select(F.col("doc").alias(mine[0]), F.col("gone_flags").alias(mine[1])), mine[0], "left")
     split = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")
     kept = F.array_join(F.zip_with(split, F.col(mine[1]), lambda line, gone: F.when(~gone, line)), "\n")
