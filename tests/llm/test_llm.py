@@ -76,6 +76,9 @@ def test_line_dedup(spark, odd):
     assert line_dedup.drop_common_lines(empty(spark)).count() == 0
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+    clash = odd.withColumnsRenamed({"key": "__own", "n_lines": "__own_"}).withColumn("__doc", F.lit(5))
+    again = line_dedup.drop_common_lines(clash, 10, 1)
+    assert set(again.columns) == {*clash.columns, "n_lines", "n_dropped"} and again.filter("__own = 'k' and __own_ = 7 and __doc = 5").count() == len(rows)
 
 
 # ---- 2 ----------------------------------------------------------------------
@@ -349,6 +352,20 @@ def test_warc(spark):
     assert warc.round_trip(pages.filter("false")).count() == 0
 
 
+def test_warc_many_archives(spark, monkeypatch):
+    """Archives smaller than the rows of a task, one of them of a single long record."""
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 3000)
+    rows = [(i, "u", chr(97 + i % 26) * (500 + 97 * i)) for i in range(60)] + [(100, "u", "long " * 40_000), (101, "u", "long " * 40_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    scratch = Scratch(spark, "warc-test")
+    whole = warc.write(pages, f"{scratch.root}/whole", scratch)
+    assert whole.count() > 20
+    tidy = warc.normalise(whole, f"{scratch.root}/members", scratch)
+    got = {r["key"]: r for r in warc.read(tidy, with_payload=True).collect()}
+    assert {k: (r["payload_bytes"], r["kind"]) for k, r in got.items()} == {i: (len(t), "revisit" if i == 100 else "response") for i, _, t in rows}
+    assert all(bytes(got[i]["payload"]).decode() == t for i, _, t in rows if i != 100) and got[100]["refers_to"] == 101
+
+
 def test_warc_members(tmp_path):
     parts = [warc.record(i, "u", bytes([i]) * 50, "d", "response", None) for i in range(5)]
     whole = gzip.compress(b"".join(parts))
@@ -393,8 +410,9 @@ def test_octets_with_many_zeros():
 
 
 @pytest.fixture(scope="module")
-def net():
-    return personal_data.train(["the of and was shed in heather onto that reed"] * 3, windows=1500, epochs=3)
+def net(small):
+    """Trained as the query trains it, between passages of documents."""
+    return personal_data.train([t[0][:4000] for t in duckdb.sql(f"select text from {table(small, 'documents')} where text <> '' order by doc_id").fetchall()])
 
 
 def test_model_spans(net):
@@ -414,6 +432,23 @@ def test_model_spans(net):
     assert hit["false"] == 0
 
 
+#: Spellings that the training examples are not written in.
+HELD_OUT = (
+    ("phone", "0049 89 123-4567"), ("phone", "(030) 1234 5678"), ("phone", "+33.6.12.34.56.78"), ("phone", "020-7946-0958"), ("phone", "+1 415 555 26 71"), ("email", "anna-lena@post . example . org"), ("email", "joe (at) mail . example . net"), ("email", "kim.lee [at] site [dot] co [dot] uk"),
+    ("email", "max at example dot org"), ("email", "a_b{at}c{dot}de"), ("ip", "10 . 20 . 30 . 40"), ("ip", "192[.]168[.]0[.]1"), ("ip", "172(dot)16(dot)4(dot)9"), ("card", "4539 578763 621486"), ("card", "4539.5787.6362.1486"), ("card", "4539/5787/6362/1486"), ("card", "45 39 57 87 63 62 14 86"),
+)
+
+
+def test_model_on_spellings_it_was_not_taught(net):
+    hits = []
+    for kind, got in HELD_OUT:
+        text = f"Please write to {got} before the end of the week."
+        hits.append((kind, 16, 16 + len(got)) in personal_data.find(net, [text])[0][1])
+    assert sum(hits) >= 0.7 * len(HELD_OUT), [x for x, hit in zip(HELD_OUT, hits, strict=True) if not hit]
+    clean = "On 2024-01-15 at 10:20, version 1.2.3 of 12,345 lines (2019-2024) sold 1990 copies; see section 4.5.6.7.8 and order 20240115-77."
+    assert personal_data.find(net, [clean])[0][1] == plain_spans(clean)
+
+
 def test_gate_changes_nothing(net, small):
     texts = [t[0] or "" for t in duckdb.sql(f"select text from {table(small, 'documents')} limit 60").fetchall()] + ["", "1", "@" * 300, "mail (at) host (dot) org " * 20]
     assert personal_data.find(net, texts) == personal_data.find(net, texts, gate=False)
@@ -710,6 +745,35 @@ def test_trees():
     assert (quality.fit(x[:50], np.ones(50)).score(x[:3]) > 0.9).all()
 
 
+def plain_features(text):
+    data = text.encode()
+    n = len(data)
+    if not n:
+        return [0.0] * len(quality.FEATURES)
+    kind = lambda b: "lower" if 97 <= b <= 122 else "upper" if 65 <= b <= 90 else "digit" if 48 <= b <= 57 else "blank" if b in b" \t\x0b\x0c\r" else "line" if b == 10 else "high" if b > 127 else "mark" if b in b".,;:!?'\"-()" else "other"
+    share = Counter(map(kind, data))
+    lines = data.split(b"\n")
+    found = re.findall(rb"[^\x20\x09-\x0d]+", data)
+    folded = [w.lower() for w in found]
+    size = [len(w) for w in found]
+    mean = lambda x: sum(x) / len(x)
+    some = bool(found)
+    return [
+        math.log1p(n), math.log1p(len(found)), math.log1p(len(lines)), *(share[k] / n for k in ("other", "lower", "upper", "digit", "blank", "high", "mark")),
+        mean(size) if some else 0, math.sqrt(mean([(x - mean(size)) ** 2 for x in size])) if some else 0, math.log1p(max(size)) if some else 0, len(set(folded)) / len(folded) if some else 0, max(Counter(folded).values()) / len(folded) if some else 0,
+        mean([a == b for a, b in zip(folded, folded[1:], strict=False)]) if len(found) > 1 else 0, mean([kind(w[-1]) in ("other", "digit") for w in found]) if some else 0,
+        math.log1p(mean([len(x) for x in lines])), 1 - len(set(lines)) / len(lines) if len(lines) > 1 else 0, mean([len(x) < 40 for x in lines]), len(found) / len(lines),
+    ]
+
+
+def test_quality_features(odd):
+    texts = [t for _, t in rows_of(odd)] + ["A a\tA! 7% é-é\n\nx\nx", "\n", "....", "one 1 one 2 TWO two two" * 3, "\x0b\x0c\r"]
+    got = quality.features(pa.array(texts, pa.string()))
+    assert got.shape == (len(texts), len(quality.FEATURES))
+    for row, text in zip(got, texts, strict=True):
+        assert row.tolist() == pytest.approx(plain_features(text or ""), rel=1e-9, abs=1e-12), text and text[:40]
+
+
 def test_quality_of_repeated_ids(spark):
     """An id that many rows repeat brings no more than the documented number of rows, the same ones for any order."""
     docs = spark.createDataFrame([(i % 4, f"text {i} " * (i % 9 + 1), 0.5) for i in range(400)], "doc_id long, text string, score double")
@@ -780,3 +844,44 @@ def test_pipeline_stages(spark, small, tmp_path):
         else:
             assert set(after) == set(before)
         docs = out
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    """Nulls in every column, rows and ids that repeat, a long text, then no rows at all, go through all stages."""
+    import corpus_pipeline
+
+    rng = random.Random(6)
+    prose = lambda n: " ".join("".join(rng.choice("aeioulnrst") for _ in range(rng.randint(2, 8))) for _ in range(n)) + "."
+    passage, body = prose(40), prose(300)
+    long = "\n".join(prose(20) for _ in range(2000))
+    texts = [(1, body), (2, body), (2, prose(200)), (None, prose(150)), (None, body), (3, prose(100) + " " + passage + " " + prose(9)), (4, None), (5, ""), (6, long), (7, prose(120)), (7, prose(120)), (8, "\n".join(["a common line of text"] * 3 + [prose(60)]))]
+    texts += [(20 + i, prose(80) + "\nA COMMON line of text \n" + prose(70)) for i in range(14)] + [(40, prose(90)), (40, prose(90))]
+    rows = [(i, t, None if k % 3 else "en", None if k % 4 else "src1", None if k % 5 else 7) for k, (i, t) in enumerate(texts)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([(i, 1, 0) for i in range(1, 60)] + [(None, 0, 0), (9, None, 0), (900, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, passage), (None, None), (2, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame(rows, schema)
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, str(tmp_path))
+        out.write.parquet(f"{tmp_path}/{k}")
+        out = spark.read.parquet(f"{tmp_path}/{k}")
+        assert name == "best_fit_packing" or out.columns == docs.columns
+        n, ids = out.count(), [r["doc_id"] for r in out.select("doc_id").collect()]
+        if name == "quality_classifier":
+            assert n == len(rows)  # all labels of these are good
+        elif name == "line_dedup":
+            assert n == len(rows) and out.filter("lower(text) like '%common line%'").count() == 0 and out.filter("text is null").count() == 0
+        elif name == "ngram_jaccard_join":
+            assert n == len(rows) - 2 and ids.count(2) == 1 and ids.count(None) == 1  # the copies of row 1 alone
+        elif name == "benchmark_decontamination":
+            assert n == len(rows) - 3 and 3 not in ids
+        else:
+            assert out.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+            placed = out.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"))
+            assert placed.filter("n <> end or n > 2048").count() == 0
+        docs = out
+    docs = spark.createDataFrame([], schema)
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/none{k}")
+        docs = spark.read.parquet(f"{tmp_path}/none{k}")
+        assert docs.count() == 0
