@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator, Mapping, Sequence
 
@@ -9,8 +10,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
 
+from ..functions.words import shingle_sets
 from ..scratch import Scratch
 
 
@@ -222,23 +225,53 @@ def references(definitions: DataFrame, uses: DataFrame, key: str) -> DataFrame:
     return twice.unionByName(loose)
 
 
-#: Frequent grams that the order of grams knows, 16 bytes each.
-HEAVY = 1_000_000
+#: Counters of the sketch that orders grams.
+SKETCH = 1 << 18
 
 
-def _prefixes(frequent, least: float):  # noqa: ANN001, ANN202
-    """The first grams of each set ``(k, g)`` in the common order, with the set's size and their place."""
+def _shingled(words: int, schema: pa.Schema):  # noqa: ANN202
+    """The set of each text with words: two hashes of it, its size, and its sorted grams as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, often = frequent.value
+        for batch in batches:
+            rows, keys, sizes, grams = [], [], [], []
+            for row, g in enumerate(shingle_sets(batch.column(1), words)):
+                if len(g):
+                    data = g.tobytes()
+                    rows.append(row)
+                    keys.append(np.frombuffer(hashlib.blake2b(data, digest_size=16).digest(), np.int64))
+                    sizes.append(len(g))
+                    grams.append(data)
+            if rows:
+                key = np.stack(keys)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array(key[:, 0]), pa.array(key[:, 1]), pa.array(sizes, pa.int32()), pa.array(grams, pa.binary())], schema=schema)
+
+    return run
+
+
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counters = np.zeros(SKETCH, np.int64)
+    for batch in batches:
+        for data in batch.column(0):
+            np.add.at(counters, (np.frombuffer(data.as_buffer(), np.uint64) & np.uint64(SKETCH - 1)).astype(np.int64), 1)
+    used = np.flatnonzero(counters)
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counters[used])], ["counter", "often"])
+
+
+def _prefixes(sketch, least: float):  # noqa: ANN001, ANN202
+    """The first grams of each set in the common order, with the set's size and their place; copies within a task post once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often, seen = sketch.value, set()
         for batch in batches:
             columns: list[list[np.ndarray]] = [[], [], [], []]
-            for k, grams in zip(batch.column(0).to_numpy(zero_copy_only=False), batch.column(1), strict=True):
-                g = grams.values.to_numpy(zero_copy_only=False)
-                at = np.minimum(np.searchsorted(known, g), max(0, len(known) - 1))
-                weight = np.where(known[at] == g, often[at], 0) if len(known) else np.zeros(len(g), np.int64)
+            for k, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if k in seen:
+                    continue
+                seen.add(k)
+                g = np.frombuffer(data.as_buffer(), np.uint64)
                 size = len(g) - int(np.ceil(len(g) * least - 1e-9)) + 1
-                first = g[np.lexsort((g, weight))[:size]]
+                first = g[np.lexsort((g, often[(g & np.uint64(SKETCH - 1)).astype(np.int64)]))[:size]].view(np.int64)
                 for column, values in zip(columns, (np.full(len(first), k), np.full(len(first), len(g)), np.arange(len(first)), first), strict=True):
                     column.append(values)
             if columns[0]:
@@ -247,45 +280,59 @@ def _prefixes(frequent, least: float):  # noqa: ANN001, ANN202
     return run
 
 
+def _similar(least: float):  # noqa: ANN202
+    """``p, q, similarity`` of the pairs that are near, from both sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            share = np.zeros(len(batch))
+            for row, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
+                u, v = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                both = len(np.intersect1d(u, v, assume_unique=True))
+                share[row] = both / (len(u) + len(v) - both)
+            near = pa.array(np.flatnonzero(share >= least))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(near), batch.column(1).take(near), pa.array(share).take(near)], ["p", "q", "similarity"])
+
+    return run
+
+
 def shingle_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, least: float = 0.8) -> DataFrame:
     """``a, b, similarity``: near-duplicate pairs by the share of common shingles; none is missed.
 
     Documents with equal shingles are copies: each is paired, at 1, with the smallest
     id of its group only, and the group is one set in what follows. Two sets that are
     near share a gram among the first of both in one order (a prefix filter), where
-    enough grams still follow; only such pairs are compared. In that order the most
-    frequent grams (at most ``HEAVY``, sent to all) come last, by frequency, the others
-    by hash: any order is right, this one keeps grams of many sets out of prefixes.
+    enough grams still follow; only such pairs are compared. Grams come in the order of
+    a count sketch over all documents, then of their hash: any order that is the same
+    for all is right, this one keeps grams of very many sets out of prefixes.
 
     A text shorter than a shingle is one shingle; one without words has none, and is
-    nobody's duplicate. Rows that repeat an id are no pair.
+    nobody's duplicate. Rows that repeat an id are no pair. Different texts that are
+    near are each a pair, so that a group of them gives as many rows as it has pairs.
     """
-    scratch = Scratch(docs.sparkSession, "near-duplicates")
-    tokens = F.filter(F.split(F.lower(F.coalesce(text_col, F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    rows = docs.select(F.col(id_col).alias("id"), tokens.alias("t")).filter(F.size("t") > 0)
-    several = F.transform(F.sequence(F.lit(1), F.greatest(F.size("t") - words + 1, F.lit(1))), lambda i: F.xxhash64(*(F.element_at("t", i + k) for k in range(words))))
-    rows = rows.select("id", F.array_sort(F.array_distinct(F.when(F.size("t") >= words, several).otherwise(F.array(F.xxhash64("t"))))).alias("g"))
-    rows = scratch.save(rows.select("id", "g", F.xxhash64("g").alias("k"), F.xxhash64(F.lit(1), "g").alias("k2")), "rows")
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "near-duplicates")
+    schema = StructType([StructField("id", docs.schema[id_col].dataType), *StructType.fromDDL("k long, k2 long, n int, g binary").fields])
+    texts = docs.select(F.col(id_col).alias("id"), F.lower(text_col).alias("text"))
+    rows = scratch.save(texts.mapInArrow(_shingled(words, to_arrow_schema(schema)), schema), "sets")
     ids = rows.groupBy("k", "k2").agg(F.min("id").alias("a"))
     copies = rows.select("k", "k2", F.col("id").alias("b")).join(ids, ["k", "k2"]).filter(~F.col("a").eqNullSafe(F.col("b"))).select("a", "b", F.lit(1.0).alias("similarity")).distinct()
-    # One row a set: the grams of one of its rows, which an aggregate of ids alone has chosen.
-    sets = scratch.save(rows.dropDuplicates(["k", "k2"]).select("k", "k2", "g").join(ids, ["k", "k2"]).select("k", F.col("a").alias("id"), "g"), "sets")
-
-    counted = scratch.save(sets.select(F.explode("g").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("often")).filter("often > 2"), "counts")
-    by_size = {r["log"]: r["n"] for r in counted.groupBy(F.floor(F.log2("often")).cast("int").alias("log")).agg(F.count(F.lit(1)).alias("n")).collect()}  # at most 64 rows
-    log, room = 64, HEAVY
-    while log > 1 and room >= by_size.get(log - 1, 0):
-        log -= 1
-        room -= by_size.get(log, 0)
-    top = counted.filter(F.col("often") >= F.lit(1 << min(log, 62))).toArrow()  # at most HEAVY rows
-    grams, often = top.column("gram").to_numpy(), top.column("often").to_numpy()
-    order = np.argsort(grams)
-    frequent = docs.sparkSession.sparkContext.broadcast((grams[order], often[order]))
-    posted = scratch.save(sets.select("k", "g").mapInArrow(_prefixes(frequent, least), "k long, n int, pos int, gram long"), "postings")
+
+    counted = rows.select("g").mapInArrow(_sketched, "counter long, often long").groupBy("counter").agg(F.sum("often").alias("often")).toArrow()  # at most SKETCH rows
+    often = np.zeros(SKETCH, np.int64)
+    often[counted.column("counter").to_numpy()] = counted.column("often").to_numpy()
+    sketch = spark.sparkContext.broadcast(often)
+    posted = rows.select("k", "g").mapInArrow(_prefixes(sketch, least), "k long, n int, pos int, gram long")
+    shared = scratch.save(posted, "posted")
+    several = shared.groupBy("gram").agg(F.min("k").alias("first"), F.max("k").alias("last")).filter("first <> last").select("gram")
+    lists = scratch.save(shared.join(several, "gram").distinct(), "lists")
+    scratch.drop(shared)
     enough = f"least(x.n, y.n) >= {least} * greatest(x.n, y.n) - 1e-9 and (1 + least(x.n - x.pos - 1, y.n - y.pos - 1)) * {1 + least} >= {least} * (cast(x.n as bigint) + y.n) - 1e-9"
-    pairs = posted.alias("x").join(posted.alias("y"), F.expr(f"x.gram = y.gram and x.k < y.k and {enough}")).select(F.col("x.k").alias("p"), F.col("y.k").alias("q")).distinct()
-    side = lambda k, i, g: sets.select(F.col("k").alias(k), F.col("id").alias(i), F.col("g").alias(g))
-    both = pairs.join(side("p", "ip", "gp"), "p").join(side("q", "iq", "gq"), "q").filter(~F.col("ip").eqNullSafe(F.col("iq")))
-    common = F.size(F.array_intersect("gp", "gq"))
-    near = both.select(F.least("ip", "iq").alias("a"), F.when(F.col("ip") <= F.col("iq"), F.col("iq")).when(F.col("ip") > F.col("iq"), F.col("ip")).alias("b"), (common / (F.size("gp") + F.size("gq") - common)).alias("similarity"))
-    return copies.unionByName(near.filter(F.col("similarity") >= least).distinct())
+    pairs = scratch.save(lists.alias("x").join(lists.alias("y"), F.expr(f"x.gram = y.gram and x.k < y.k and {enough}")).select(F.col("x.k").alias("p"), F.col("y.k").alias("q")).distinct(), "pairs")
+    wanted = pairs.select(F.explode(F.array("p", "q")).alias("k")).distinct()
+    sets = scratch.save(rows.select("k", "g").join(wanted, "k", "left_semi").dropDuplicates(["k"]), "wanted")
+    side = lambda k, g: sets.select(F.col("k").alias(k), F.col("g").alias(g))
+    near = pairs.join(side("p", "gp"), "p").join(side("q", "gq"), "q").select("p", "q", "gp", "gq").mapInArrow(_similar(least), "p long, q long, similarity double")
+    named = lambda k, i: ids.select(F.col("k").alias(k), F.col("a").alias(i))
+    near = near.join(named("p", "ip"), "p").join(named("q", "iq"), "q").filter(~F.col("ip").eqNullSafe(F.col("iq")))
+    near = near.select(F.least("ip", "iq").alias("a"), F.when(F.col("ip") <= F.col("iq"), F.col("iq")).when(F.col("ip") > F.col("iq"), F.col("ip")).alias("b"), "similarity")
+    return copies.unionByName(near.distinct())
