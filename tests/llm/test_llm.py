@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidewright.llm import components, decontaminate, embedding_dedup, jaccard_join, language_model, line_dedup, packing, personal_data, quality, queries, token_counts, tokens, warc
 from tidewright.scratch import Scratch
-from tidewright.llm.words import shingle_sets
+from tidewright.functions.words import shingle_sets
 
 DOCS = "doc_id long, text string, n_lines long, key string"
 

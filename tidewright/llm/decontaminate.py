@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import mix
+from ..functions.words import mix
 
 Q = 10
 RATE = 0.08

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .words import chunks, word_hashes, word_spans
+from ..functions.words import chunks, word_hashes, word_spans
 
 #: Labelled rows that are fitted on at most.
 MAX_ROWS = 20_000
