@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from ..functions.words import shingle_sets
 from ..scratch import Scratch
@@ -229,47 +229,45 @@ def references(definitions: DataFrame, uses: DataFrame, key: str) -> DataFrame:
 SKETCH = 1 << 18
 
 
-def _shingled(words: int, schema: pa.Schema):  # noqa: ANN202
-    """The set of each text with words: two hashes of it, its size, and its sorted grams as bytes."""
+def _set_key(grams: np.ndarray) -> np.ndarray:
+    return np.frombuffer(hashlib.blake2b(grams.tobytes(), digest_size=16).digest(), np.int64)
+
+
+def _keyed(words: int, schema: pa.Schema):  # noqa: ANN202
+    """Kind 0: the id of each text with words and two hashes of its set; 1: a counter of the sketch in ``k`` and its count in ``k2``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters = np.zeros(SKETCH, np.int64)
+
+        def rows(kind: int, ids: pa.Array, k: np.ndarray, k2: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), ids, pa.array(k), pa.array(k2)], schema=schema)
+
         for batch in batches:
-            rows, keys, sizes, grams = [], [], [], []
+            at, keys = [], [np.zeros(2, np.int64)]
             for row, g in enumerate(shingle_sets(batch.column(1), words)):
                 if len(g):
-                    data = g.tobytes()
-                    rows.append(row)
-                    keys.append(np.frombuffer(hashlib.blake2b(data, digest_size=16).digest(), np.int64))
-                    sizes.append(len(g))
-                    grams.append(data)
-            if rows:
-                key = np.stack(keys)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array(key[:, 0]), pa.array(key[:, 1]), pa.array(sizes, pa.int32()), pa.array(grams, pa.binary())], schema=schema)
+                    np.add.at(counters, (g & np.uint64(SKETCH - 1)).astype(np.int64), 1)
+                    at.append(row)
+                    keys.append(_set_key(g))
+            key = np.stack(keys)[1:]
+            yield rows(0, batch.column(0).take(pa.array(at, pa.int64())), key[:, 0], key[:, 1])
+        used = np.flatnonzero(counters)
+        yield rows(1, pa.nulls(len(used), schema.field("id").type), used, counters[used])
 
     return run
 
 
-def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counters = np.zeros(SKETCH, np.int64)
-    for batch in batches:
-        for data in batch.column(0):
-            np.add.at(counters, (np.frombuffer(data.as_buffer(), np.uint64) & np.uint64(SKETCH - 1)).astype(np.int64), 1)
-    used = np.flatnonzero(counters)
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counters[used])], ["counter", "often"])
-
-
-def _prefixes(sketch, least: float):  # noqa: ANN001, ANN202
-    """The first grams of each set in the common order, with the set's size and their place; copies within a task post once."""
+def _prefixes(sketch, words: int, least: float):  # noqa: ANN001, ANN202
+    """The first grams of each text's set in the common order, with the set's size and their place; copies within a task post once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, seen = sketch.value, set()
         for batch in batches:
             columns: list[list[np.ndarray]] = [[], [], [], []]
-            for k, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if k in seen:
+            for g in shingle_sets(batch.column(0), words):
+                if not len(g) or (k := int(_set_key(g)[0])) in seen:
                     continue
                 seen.add(k)
-                g = np.frombuffer(data.as_buffer(), np.uint64)
                 size = len(g) - int(np.ceil(len(g) * least - 1e-9)) + 1
                 first = g[np.lexsort((g, often[(g & np.uint64(SKETCH - 1)).astype(np.int64)]))[:size]].view(np.int64)
                 for column, values in zip(columns, (np.full(len(first), k), np.full(len(first), len(g)), np.arange(len(first)), first), strict=True):
@@ -280,6 +278,17 @@ def _prefixes(sketch, least: float):  # noqa: ANN001, ANN202
     return run
 
 
+def _grams(words: int):  # noqa: ANN202
+    """``k`` and the sorted grams, as bytes, of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = list(shingle_sets(batch.column(0), words))
+            yield pa.RecordBatch.from_arrays([pa.array([int(_set_key(g)[0]) for g in sets], pa.int64()), pa.array([g.tobytes() for g in sets], pa.binary())], ["k", "g"])
+
+    return run
+
+
 def _similar(least: float):  # noqa: ANN202
     """``p, q, similarity`` of the pairs that are near, from both sets."""
 
@@ -311,25 +320,28 @@ def shingle_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     near are each a pair, so that a group of them gives as many rows as it has pairs.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "near-duplicates")
-    schema = StructType([StructField("id", docs.schema[id_col].dataType), *StructType.fromDDL("k long, k2 long, n int, g binary").fields])
+    schema = StructType([StructField("kind", IntegerType()), StructField("id", docs.schema[id_col].dataType), StructField("k", LongType()), StructField("k2", LongType())])
     texts = docs.select(F.col(id_col).alias("id"), F.lower(text_col).alias("text"))
-    rows = scratch.save(texts.mapInArrow(_shingled(words, to_arrow_schema(schema)), schema), "sets")
+    keyed = scratch.save(texts.mapInArrow(_keyed(words, to_arrow_schema(schema)), schema), "keys")
+    rows = keyed.filter("kind = 0").drop("kind")
     ids = rows.groupBy("k", "k2").agg(F.min("id").alias("a"))
     copies = rows.select("k", "k2", F.col("id").alias("b")).join(ids, ["k", "k2"]).filter(~F.col("a").eqNullSafe(F.col("b"))).select("a", "b", F.lit(1.0).alias("similarity")).distinct()
 
-    counted = rows.select("g").mapInArrow(_sketched, "counter long, often long").groupBy("counter").agg(F.sum("often").alias("often")).toArrow()  # at most SKETCH rows
+    counted = keyed.filter("kind = 1").groupBy("k").agg(F.sum("k2").alias("often")).toArrow()  # at most SKETCH rows
     often = np.zeros(SKETCH, np.int64)
-    often[counted.column("counter").to_numpy()] = counted.column("often").to_numpy()
+    often[counted.column("k").to_numpy()] = counted.column("often").to_numpy()
     sketch = spark.sparkContext.broadcast(often)
-    posted = rows.select("k", "g").mapInArrow(_prefixes(sketch, least), "k long, n int, pos int, gram long")
-    shared = scratch.save(posted, "posted")
-    several = shared.groupBy("gram").agg(F.min("k").alias("first"), F.max("k").alias("last")).filter("first <> last").select("gram")
-    lists = scratch.save(shared.join(several, "gram").distinct(), "lists")
-    scratch.drop(shared)
+    posted = scratch.save(texts.select("text").mapInArrow(_prefixes(sketch, words, least), "k long, n int, pos int, gram long"), "posted")
+    several = posted.groupBy("gram").agg(F.min("k").alias("first"), F.max("k").alias("last")).filter("first <> last").select("gram")
+    lists = scratch.save(posted.join(several, "gram").distinct(), "lists")
+    scratch.drop(posted)
     enough = f"least(x.n, y.n) >= {least} * greatest(x.n, y.n) - 1e-9 and (1 + least(x.n - x.pos - 1, y.n - y.pos - 1)) * {1 + least} >= {least} * (cast(x.n as bigint) + y.n) - 1e-9"
     pairs = scratch.save(lists.alias("x").join(lists.alias("y"), F.expr(f"x.gram = y.gram and x.k < y.k and {enough}")).select(F.col("x.k").alias("p"), F.col("y.k").alias("q")).distinct(), "pairs")
     wanted = pairs.select(F.explode(F.array("p", "q")).alias("k")).distinct()
-    sets = scratch.save(rows.select("k", "g").join(wanted, "k", "left_semi").dropDuplicates(["k"]), "wanted")
+    # Only texts of sets that a pair has are read again; an id may stand for several texts.
+    needed = rows.join(wanted, "k", "left_semi").groupBy("k").agg(F.min(F.struct(F.col("id").isNull(), "id")).alias("first")).select(F.col("first.id").alias("need")).distinct()
+    again = texts.join(needed, F.col("id").eqNullSafe(F.col("need")), "left_semi").select("text").mapInArrow(_grams(words), "k long, g binary")
+    sets = scratch.save(again.join(wanted, "k", "left_semi").dropDuplicates(["k"]), "wanted")
     side = lambda k, g: sets.select(F.col("k").alias(k), F.col("g").alias(g))
     near = pairs.join(side("p", "gp"), "p").join(side("q", "gq"), "q").select("p", "q", "gp", "gq").mapInArrow(_similar(least), "p long, q long, similarity double")
     named = lambda k, i: ids.select(F.col("k").alias(k), F.col("a").alias(i))
