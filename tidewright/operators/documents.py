@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from ..functions.words import shingle_sets
-from ..scratch import Scratch
+from ..scratch import Scratch, batches_of
 
 
 def first_writer(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -341,9 +341,12 @@ def shingle_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # Only texts of sets that a pair has are read again; an id may stand for several texts.
     needed = rows.join(wanted, "k", "left_semi").groupBy("k").agg(F.min(F.struct(F.col("id").isNull(), "id")).alias("first")).select(F.col("first.id").alias("need")).distinct()
     again = texts.join(needed, F.col("id").eqNullSafe(F.col("need")), "left_semi").select("text").mapInArrow(_grams(words), "k long, g binary")
-    sets = scratch.save(again.join(wanted, "k", "left_semi").dropDuplicates(["k"]), "wanted")
+    with batches_of(spark, 1000):
+        sets = scratch.save(again.join(wanted, "k", "left_semi").dropDuplicates(["k"]), "wanted")
     side = lambda k, g: sets.select(F.col("k").alias(k), F.col("g").alias(g))
-    near = pairs.join(side("p", "gp"), "p").join(side("q", "gq"), "q").select("p", "q", "gp", "gq").mapInArrow(_similar(least), "p long, q long, similarity double")
+    both = pairs.join(side("p", "gp"), "p").join(side("q", "gq"), "q").select("p", "q", "gp", "gq")
+    with batches_of(spark, 500):
+        near = scratch.save(both.mapInArrow(_similar(least), "p long, q long, similarity double"), "near")
     named = lambda k, i: ids.select(F.col("k").alias(k), F.col("a").alias(i))
     near = near.join(named("p", "ip"), "p").join(named("q", "iq"), "q").filter(~F.col("ip").eqNullSafe(F.col("iq")))
     near = near.select(F.least("ip", "iq").alias("a"), F.when(F.col("ip") <= F.col("iq"), F.col("iq")).when(F.col("ip") > F.col("iq"), F.col("ip")).alias("b"), "similarity")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -60,6 +62,18 @@ def small(df: DataFrame, most_rows: int) -> bool:
     return df.limit(most_rows + 1).count() <= most_rows
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Smaller Arrow batches for tables of long values that are written within."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def bounded(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
     """A table to broadcast, whose query fails where it has more than ``most_rows`` rows; it never sends more than one beyond."""
     some = df.limit(most_rows + 1).withColumn("__rows", F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))))  # one partition of the rows that are sent anyway
