@@ -142,17 +142,26 @@ def test_near_duplicates_by_brute_force(spark):
         w = (text or "").lower().split()
         if w:
             grams[i] = frozenset(tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4)))
-    first = {g: min(i for i in grams if grams[i] == g) for g in grams.values()}
-    want = {(first[g], i, 1.0) for i, g in grams.items() if first[g] != i}
-    for a in first.values():
-        for b in first.values():
-            same = len(grams[a] & grams[b]) / len(grams[a] | grams[b])
-            if a < b and same >= 0.8:
-                want.add((a, b, same))
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    got = [tuple(r) for r in documents.shingle_pairs(docs).collect()]
-    assert len(got) == len(set(got)) and sorted(got) == sorted(want)
-    assert (3, 4, 1.0) in want and any(s < 1 for *_, s in want)
+    low = {i: i for i in range(len(texts))}
+
+    def top(i):
+        while low[i] != i:
+            i = low[i]
+        return i
+
+    linked = 0
+    for a in grams:
+        for b in grams:
+            if a < b and len(grams[a] & grams[b]) >= 0.8 * len(grams[a] | grams[b]):
+                linked += grams[a] != grams[b]
+                low[max(top(a), top(b))] = min(top(a), top(b))
+    want = sorted([(i, top(i)) for i in range(len(texts))] + [(None, top(8)), (5, 5), (None, None)], key=repr)
+    # A null id whose text is a copy, a row that repeats an id, a null id alone.
+    rows = [*enumerate(texts), (None, texts[8]), (5, None), (None, "nothing like any other text here")]
+    docs = spark.createDataFrame([(i, t, 7, 8) for i, t in rows], "doc_id long, text string, k int, id int").repartition(3)
+    got = sorted(map(tuple, documents.near_duplicates(docs).collect()), key=repr)
+    assert got == want and linked > 20 and (4, 3) in got and (7, 6) in got
+    assert documents.near_duplicates(docs.filter("false")).count() == 0
 
 
 def test_surrogate_ids(spark, small):

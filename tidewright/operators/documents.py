@@ -15,6 +15,7 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from ..functions.words import shingle_sets
 from ..scratch import Scratch, batches_of
+from .components import components
 
 
 def first_writer(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -229,30 +230,24 @@ def references(definitions: DataFrame, uses: DataFrame, key: str) -> DataFrame:
 SKETCH = 1 << 18
 
 
-def _set_key(grams: np.ndarray) -> np.ndarray:
-    return np.frombuffer(hashlib.blake2b(grams.tobytes(), digest_size=16).digest(), np.int64)
+def _set_key(grams: np.ndarray) -> int:
+    """A 64-bit hash: two different sets have the same with a chance of 2**-64 a pair."""
+    return int.from_bytes(hashlib.blake2b(grams.tobytes(), digest_size=8).digest(), "big", signed=True)
 
 
 def _keyed(words: int, schema: pa.Schema):  # noqa: ANN202
-    """Kind 0: the id of each text with words and two hashes of its set; 1: a counter of the sketch in ``k`` and its count in ``k2``."""
+    """Kind 0: each row's id and the hash of its set in ``k`` (null without words); 1: a counter of the sketch in ``k`` and its count in ``often``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = np.zeros(SKETCH, np.int64)
-
-        def rows(kind: int, ids: pa.Array, k: np.ndarray, k2: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int32)), ids, pa.array(k), pa.array(k2)], schema=schema)
-
         for batch in batches:
-            at, keys = [], [np.zeros(2, np.int64)]
-            for row, g in enumerate(shingle_sets(batch.column(1), words)):
-                if len(g):
-                    np.add.at(counters, (g & np.uint64(SKETCH - 1)).astype(np.int64), 1)
-                    at.append(row)
-                    keys.append(_set_key(g))
-            key = np.stack(keys)[1:]
-            yield rows(0, batch.column(0).take(pa.array(at, pa.int64())), key[:, 0], key[:, 1])
+            keys = []
+            for g in shingle_sets(batch.column(1), words):
+                np.add.at(counters, (g & np.uint64(SKETCH - 1)).astype(np.int64), 1)
+                keys.append(_set_key(g) if len(g) else None)
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(keys), np.int32)), batch.column(0), pa.array(keys, pa.int64()), pa.nulls(len(keys), pa.int64())], schema=schema)
         used = np.flatnonzero(counters)
-        yield rows(1, pa.nulls(len(used), schema.field("id").type), used, counters[used])
+        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(used), np.int32)), pa.nulls(len(used), schema.field("id").type), pa.array(used), pa.array(counters[used])], schema=schema)
 
     return run
 
@@ -265,7 +260,7 @@ def _prefixes(sketch, words: int, least: float):  # noqa: ANN001, ANN202
         for batch in batches:
             columns: list[list[np.ndarray]] = [[], [], [], []]
             for g in shingle_sets(batch.column(0), words):
-                if not len(g) or (k := int(_set_key(g)[0])) in seen:
+                if not len(g) or (k := _set_key(g)) in seen:
                     continue
                 seen.add(k)
                 size = len(g) - int(np.ceil(len(g) * least - 1e-9)) + 1
@@ -284,50 +279,52 @@ def _grams(words: int):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = list(shingle_sets(batch.column(0), words))
-            yield pa.RecordBatch.from_arrays([pa.array([int(_set_key(g)[0]) for g in sets], pa.int64()), pa.array([g.tobytes() for g in sets], pa.binary())], ["k", "g"])
+            yield pa.RecordBatch.from_arrays([pa.array([_set_key(g) for g in sets], pa.int64()), pa.array([g.tobytes() for g in sets], pa.binary())], ["k", "g"])
 
     return run
 
 
-def _similar(least: float):  # noqa: ANN202
-    """``p, q, similarity`` of the pairs that are near, from both sets."""
+def _linked(least: float):  # noqa: ANN202
+    """``a, b`` of the pairs that are near, from both sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            share = np.zeros(len(batch))
+            good = []
             for row, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
                 u, v = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = len(np.intersect1d(u, v, assume_unique=True))
-                share[row] = both / (len(u) + len(v) - both)
-            near = pa.array(np.flatnonzero(share >= least))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(near), batch.column(1).take(near), pa.array(share).take(near)], ["p", "q", "similarity"])
+                if both / (len(u) + len(v) - both) >= least:
+                    good.append(row)
+            near = pa.array(good, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(near), batch.column(1).take(near)], ["a", "b"])
 
     return run
 
 
-def shingle_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, least: float = 0.8) -> DataFrame:
-    """``a, b, similarity``: near-duplicate pairs by the share of common shingles; none is missed.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, least: float = 0.8) -> DataFrame:
+    """``id, class_id`` of each row: the smallest id reachable over links; no link is missed.
 
-    Documents with equal shingles are copies: each is paired, at 1, with the smallest
-    id of its group only, and the group is one set in what follows. Two sets that are
-    near share a gram among the first of both in one order (a prefix filter), where
-    enough grams still follow; only such pairs are compared. Grams come in the order of
-    a count sketch over all documents, then of their hash: any order that is the same
-    for all is right, this one keeps grams of very many sets out of prefixes.
+    Two documents link when they share at least ``least`` of all their distinct
+    shingles. Documents with equal shingles are one set in what follows. Two sets that
+    link share a gram among the first of both in one order (a prefix filter), where
+    enough grams still follow. Grams come in the order of a count sketch over all
+    documents, then of their hash: any order that is the same for all is right, this
+    one keeps grams of very many sets out of prefixes. Each posting is first compared
+    with one anchor of its gram and length class; what links is contracted, and only
+    sets of different classes are paired after, so that a large group of near copies
+    costs a pair for each member and gram.
 
     A text shorter than a shingle is one shingle; one without words has none, and is
-    nobody's duplicate. Rows that repeat an id are no pair. Different texts that are
-    near are each a pair, so that a group of them gives as many rows as it has pairs.
+    alone. Rows that repeat an id are one document's, and each is returned; a null id is
+    the smallest only where no row of the class has one. Extra columns are ignored.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "near-duplicates")
-    schema = StructType([StructField("kind", IntegerType()), StructField("id", docs.schema[id_col].dataType), StructField("k", LongType()), StructField("k2", LongType())])
+    schema = StructType([StructField("kind", IntegerType()), StructField("id", docs.schema[id_col].dataType), StructField("k", LongType()), StructField("often", LongType())])
     texts = docs.select(F.col(id_col).alias("id"), F.lower(text_col).alias("text"))
     keyed = scratch.save(texts.mapInArrow(_keyed(words, to_arrow_schema(schema)), schema), "keys")
-    rows = keyed.filter("kind = 0").drop("kind")
-    ids = rows.groupBy("k", "k2").agg(F.min("id").alias("a"))
-    copies = rows.select("k", "k2", F.col("id").alias("b")).join(ids, ["k", "k2"]).filter(~F.col("a").eqNullSafe(F.col("b"))).select("a", "b", F.lit(1.0).alias("similarity")).distinct()
+    rows = keyed.filter("kind = 0").select("id", "k")
 
-    counted = keyed.filter("kind = 1").groupBy("k").agg(F.sum("k2").alias("often")).toArrow()  # at most SKETCH rows
+    counted = keyed.filter("kind = 1").groupBy("k").agg(F.sum("often").alias("often")).toArrow()  # at most SKETCH rows
     often = np.zeros(SKETCH, np.int64)
     often[counted.column("k").to_numpy()] = counted.column("often").to_numpy()
     sketch = spark.sparkContext.broadcast(often)
@@ -336,18 +333,40 @@ def shingle_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     lists = scratch.save(posted.join(several, "gram").distinct(), "lists")
     scratch.drop(posted)
     enough = f"least(x.n, y.n) >= {least} * greatest(x.n, y.n) - 1e-9 and (1 + least(x.n - x.pos - 1, y.n - y.pos - 1)) * {1 + least} >= {least} * (cast(x.n as bigint) + y.n) - 1e-9"
-    pairs = scratch.save(lists.alias("x").join(lists.alias("y"), F.expr(f"x.gram = y.gram and x.k < y.k and {enough}")).select(F.col("x.k").alias("p"), F.col("y.k").alias("q")).distinct(), "pairs")
-    wanted = pairs.select(F.explode(F.array("p", "q")).alias("k")).distinct()
-    # Only texts of sets that a pair has are read again; an id may stand for several texts.
-    needed = rows.join(wanted, "k", "left_semi").groupBy("k").agg(F.min(F.struct(F.col("id").isNull(), "id")).alias("first")).select(F.col("first.id").alias("need")).distinct()
-    again = texts.join(needed, F.col("id").eqNullSafe(F.col("need")), "left_semi").select("text").mapInArrow(_grams(words), "k long, g binary")
-    with batches_of(spark, 1000):
-        sets = scratch.save(again.join(wanted, "k", "left_semi").dropDuplicates(["k"]), "wanted")
-    side = lambda k, g: sets.select(F.col("k").alias(k), F.col("g").alias(g))
-    both = pairs.join(side("p", "gp"), "p").join(side("q", "gq"), "q").select("p", "q", "gp", "gq")
-    with batches_of(spark, 500):
-        near = scratch.save(both.mapInArrow(_similar(least), "p long, q long, similarity double"), "near")
-    named = lambda k, i: ids.select(F.col("k").alias(k), F.col("a").alias(i))
-    near = near.join(named("p", "ip"), "p").join(named("q", "iq"), "q").filter(~F.col("ip").eqNullSafe(F.col("iq")))
-    near = near.select(F.least("ip", "iq").alias("a"), F.when(F.col("ip") <= F.col("iq"), F.col("iq")).when(F.col("ip") > F.col("iq"), F.col("ip")).alias("b"), "similarity")
-    return copies.unionByName(near.distinct())
+
+    def links(pairs: DataFrame, name: str) -> DataFrame:
+        """Which of the pairs ``(p, q)`` link; only texts of sets that a pair has are read again."""
+        pairs = scratch.save(pairs.distinct(), f"{name}-pairs")
+        wanted = pairs.select(F.explode(F.array("p", "q")).alias("k")).distinct()
+        # One id for each set; it may stand for several texts.
+        needed = rows.join(wanted, "k", "left_semi").groupBy("k").agg(F.min(F.struct(F.col("id").isNull(), "id")).alias("first")).select(F.col("first.id").alias("need")).distinct()
+        again = texts.join(needed, F.col("id").eqNullSafe(F.col("need")), "left_semi").select("text").mapInArrow(_grams(words), "k long, g binary")
+        with batches_of(spark, 1000):
+            sets = scratch.save(again.join(wanted, "k", "left_semi").dropDuplicates(["k"]), f"{name}-sets")
+        side = lambda k, g: sets.select(F.col("k").alias(k), F.col("g").alias(g))
+        both = pairs.join(side("p", "gp"), "p").join(side("q", "gq"), "q").select("p", "q", "gp", "gq")
+        with batches_of(spark, 500):
+            found = scratch.save(both.mapInArrow(_linked(least), "a long, b long"), f"{name}-links")
+        scratch.drop(pairs, sets)
+        return found
+
+    # The set that has a gram earliest has the fewest grams of its own: the middle of a group of near copies.
+    length = F.floor(F.log("n") / float(-np.log(least))).cast("int") if least < 1 else F.col("n")
+    classed = lists.withColumn("c", length)
+    anchors = classed.groupBy("gram", "c").agg(F.min(F.struct("pos", "n", "k")).alias("anchor")).select("gram", "c", "anchor.*")
+    first = classed.alias("x").join(anchors.alias("y"), F.expr(f"x.gram = y.gram and abs(x.c - y.c) <= 1 and x.k <> y.k and {enough}"))
+    found = links(first.select(F.least("x.k", "y.k").alias("p"), F.greatest("x.k", "y.k").alias("q")), "anchors")
+    groups = components(found, scratch)
+    rooted = scratch.save(lists.join(groups.select(F.col("node").alias("k"), "root"), "k", "left").withColumn("root", F.coalesce("root", "k")), "rooted")
+    # Two sets in one list have met as set and anchor.
+    mixed = rooted.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("sets")).filter("low <> high and sets > 2").select("gram")
+    open_lists = scratch.save(rooted.join(mixed, "gram"), "mixed")
+    across = open_lists.alias("x").join(open_lists.alias("y"), F.expr(f"x.gram = y.gram and x.k < y.k and x.root <> y.root and {enough}"))
+    more = links(across.select(F.col("x.k").alias("p"), F.col("y.k").alias("q")), "across")
+    if not more.isEmpty():
+        groups = components(found.unionByName(more), scratch)
+    scratch.drop(lists, rooted, open_lists)
+
+    named = scratch.save(rows.join(groups.select(F.col("node").alias("k"), "root"), "k", "left").select("id", "k", F.coalesce("root", "k").alias("root")), "rooted-rows")
+    heads = named.filter("root is not null").groupBy("root").agg(F.min("id").alias("class_id"))
+    return named.join(heads, "root", "left").select("id", F.coalesce("class_id", "id").alias("class_id"))

@@ -185,7 +185,7 @@ def _spec(s, d):  # noqa: ANN001, ANN202
 
 
 def _near(s, d):  # noqa: ANN001, ANN202
-    return D.shingle_pairs(Tables(s, d).documents()).withColumn("similarity", F.round("similarity", 9))
+    return D.near_duplicates(Tables(s, d).documents()).select(F.col("id").alias("doc_id"), "class_id")
 
 
 def _mentions(s, d):  # noqa: ANN001, ANN202
@@ -299,12 +299,13 @@ SQL = {
     "graph_scan": sql("""WITH v AS (SELECT 'Document:' || doc_id AS id, 'Document' AS kind FROM documents UNION SELECT 'Source:' || source_id, 'Source' FROM source_policy UNION SELECT 'Snapshot:' || snap_id, 'Snapshot' FROM snapshot),
         e AS (SELECT 'Document:' || doc_id AS id, 'Source:' || source_id AS dst, 'FROM' AS kind FROM doc_source_edge UNION SELECT 'Snapshot:' || snap_id, 'Document:' || doc_id, 'SNAPSHOT_OF' FROM doc_source_edge)
         SELECT id, NULL::VARCHAR AS dst, kind FROM v UNION ALL SELECT * FROM e WHERE id IN (SELECT id FROM v) AND dst IN (SELECT id FROM v)"""),
-    "near_duplicates": r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ 	-
+    "near_duplicates": r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ 	-
 ]+'), lambda x: x <> '') AS w FROM documents),
         g AS MATERIALIZED (SELECT doc_id, CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) END AS g FROM w WHERE len(w) > 0),
         s AS MATERIALIZED (SELECT g, min(doc_id) AS id FROM g GROUP BY g), u AS MATERIALIZED (SELECT id, len(g) AS n, unnest(g) AS x FROM s),
-        p AS (SELECT a.id AS a, b.id AS b, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS k FROM u a JOIN u b ON a.x = b.x AND a.id < b.id GROUP BY 1, 2)
-        SELECT s.id AS a, g.doc_id AS b, 1.0::DOUBLE AS similarity FROM g JOIN s USING (g) WHERE s.id <> g.doc_id UNION ALL SELECT a, b, round(k / (n + m - k), 9) FROM p WHERE k / (n + m - k) >= 0.8""",
+        p AS MATERIALIZED (SELECT a.id AS a, b.id AS b FROM u a JOIN u b ON a.x = b.x AND a.id <> b.id GROUP BY 1, 2 HAVING count(*) / (any_value(a.n) + any_value(b.n) - count(*)) >= 0.8),
+        reach(v, r) AS (SELECT id, id FROM s UNION SELECT reach.v, p.b FROM reach JOIN p ON reach.r = p.a), c AS (SELECT v, min(r) AS class_id FROM reach GROUP BY v)
+        SELECT d.doc_id, coalesce(c.class_id, d.doc_id) AS class_id FROM documents d LEFT JOIN g ON g.doc_id = d.doc_id LEFT JOIN s ON s.g = g.g LEFT JOIN c ON c.v = s.id""",
     "one_sided_rate": sql("""WITH x AS (SELECT thesis_id, (['positive','negative','neutral','positive','positive'])[(doc_id // 3) % 5 + 1] AS direction FROM claim_quote), g AS (SELECT thesis_id, count(*) FILTER (direction = 'positive') AS up, count(*) FILTER (direction = 'negative') AS down, count(*) AS n FROM x GROUP BY 1)
         SELECT thesis_id, greatest(up, down) / n AS share, least(up, down) = 0 AND greatest(up, down) > 0 AS one_sided, CASE WHEN up >= down THEN 'negative' ELSE 'positive' END AS wanted_direction FROM g"""),
     "review_coverage": sql("WITH r AS (SELECT run_id, run_id % 20 <> 3 AND run_id % 30 <> 4 AS ok FROM run_ledger WHERE tier = 0) SELECT count(*) AS runs, count(*) FILTER (ok) AS reviewed, count(*) FILTER (ok) / nullif(count(*), 0) AS coverage, coalesce(count(*) FILTER (ok) / nullif(count(*), 0) >= 0.95, false) AS met FROM r"),
