@@ -18,9 +18,10 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidewright.llm import components, decontaminate, embedding_dedup, jaccard_join, language_model, line_dedup, packing, personal_data, quality, queries, token_counts, tokens, warc
-from tidewright.scratch import Scratch
 from tidewright.functions.words import shingle_sets
+from tidewright.llm import decontaminate, embedding_dedup, jaccard_join, language_model, line_dedup, packing, personal_data, quality, queries, token_counts, tokens, warc
+from tidewright.operators import components
+from tidewright.scratch import Scratch
 
 DOCS = "doc_id long, text string, n_lines long, key string"
 

@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import components
 from ..scratch import Scratch
-from .components import components
 
 #: Vectors of a label that a cell should hold.
 CELL = 2048

@@ -34,8 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.words import shingle_sets
+from ..operators.components import components
 from ..scratch import Scratch, small
-from .components import components
 
 #: Counters of the sketch that orders grams; every partition sends this many.
 SKETCH = 1 << 18
