@@ -56,20 +56,17 @@ def missing_parents(rows: DataFrame, key: str, parents: DataFrame) -> DataFrame:
     return rows.join(parents.select(key).distinct(), key, "left_anti")
 
 
-def whole_word(term: str) -> str:
-    """A pattern for a term that no letter or digit goes on from; its first letter is tried before what stands before it."""
-    return rf"{re.escape(term[0])}(?<!\w{re.escape(term[0])}){re.escape(term[1:])}(?!\w)"
-
-
 def search(docs: DataFrame, edges: DataFrame, terms: Sequence[str], id_col: str = "doc_id", text_col: str = "text", limit: int = 20, neighbours: int = 5) -> DataFrame:
     """Documents by how often the terms occur, with the first neighbours over edges taken both ways.
 
     Only the hits travel on to the edges: the top is taken before the traversal.
     """
-    whole_words = "(?U)" + "|".join(whole_word(t.lower()) for t in terms)
+    whole_words = r"(?U)\b(?:" + "|".join(re.escape(t.lower()) for t in terms) + r")\b"
     score = F.regexp_count(F.lower(F.col(text_col)), F.lit(whole_words))
-    top = docs.select(F.col(id_col).alias("id"), score.cast("long").alias("score")).filter("score > 0").orderBy(F.desc("score"), "id").limit(limit)
-    both = edges.select(F.col("src").alias("id"), F.col("dst").alias("other")).unionByName(edges.select(F.col("dst").alias("id"), F.col("src").alias("other"))).distinct()
+    hits = docs.select(F.col(id_col).alias("id"), score.cast("long").alias("score")).orderBy(F.desc("score"), "id").limit(limit)  # what scores 0 comes last
+    top = docs.sparkSession.createDataFrame([r for r in hits.collect() if r["score"]], hits.schema)  # `limit` rows, so that the texts are read once
+    ends = lambda a, b: F.struct(F.col(a).alias("id"), F.col(b).alias("other"))
+    both = edges.select(F.inline(F.array(ends("src", "dst"), ends("dst", "src"))))
     near = both.join(F.broadcast(top.select("id")), "id").groupBy("id").agg(F.slice(F.array_sort(F.collect_set("other")), 1, neighbours).alias("near"))
     return top.join(near, "id", "left").select("id", "score", F.coalesce(F.array_join("near", ","), F.lit("")).alias("neighbours"))
 

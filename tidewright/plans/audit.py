@@ -13,20 +13,19 @@ def _parts(s, d):  # noqa: ANN001, ANN202
     return t.keyed_snapshot(), t.upload_audit(), t.doc_source_edge(), t.source_policy()
 
 
-def _written(s, d):  # noqa: ANN001, ANN202
-    """The parts as written tables: a scan reads each on several axes."""
-    t, scratch = Tables(s, d), Scratch(s, "audit")
-    t.hold_hashes(scratch)
-    edges = scratch.save(t.doc_source_edge(), "edges")
-    return scratch.save(t.keyed_snapshot(), "keyed"), scratch.save(t.upload_audit(), "audits"), edges, scratch.save(t.source_policy(), "policies")
+def _hashed_once(s, d):  # noqa: ANN001, ANN202
+    """The parts over written hashes: a scan reads them on several axes, and the texts once."""
+    t = Tables(s, d)
+    t.hold_hashes(Scratch(s, "audit"))
+    return t.keyed_snapshot(), t.upload_audit(), t.doc_source_edge(), t.source_policy()
 
 
 def _scan(s, d):  # noqa: ANN001, ANN202
-    return A.scan(*_written(s, d))
+    return A.scan(*_hashed_once(s, d))
 
 
 def _counts(s, d):  # noqa: ANN001, ANN202
-    k, a, e, p = _written(s, d)
+    k, a, e, p = _hashed_once(s, d)
     return A.counts(k, a, p, A.scan(k, a, e, p))
 
 

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
@@ -76,6 +76,6 @@ def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
 
 def bounded(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
     """A table to broadcast, whose query fails where it has more than ``most_rows`` rows; it never sends more than one beyond."""
-    some = df.limit(most_rows + 1).withColumn("__rows", F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))))  # one partition of the rows that are sent anyway
+    some = df.limit(most_rows + 1).withColumn("__row", F.monotonically_increasing_id())  # behind a limit there is one partition, numbered from 0
     refused = F.raise_error(F.lit(f"more than {most_rows} rows to broadcast: join them without a hint"))
-    return F.broadcast(some.filter(F.when(F.col("__rows") > most_rows, refused).otherwise(F.lit(True))).drop("__rows"))
+    return F.broadcast(some.filter(F.when(F.col("__row") >= most_rows, refused).otherwise(F.lit(True))).drop("__row"))
