@@ -300,10 +300,14 @@ def test_nearest_neighbours_in_blocks(spark, monkeypatch):
         assert {(r["query_id"], r["other_id"], r["rank"]) for r in design.knn(vectors, queries, 6).collect()} == want
 
 
-def test_bounded_broadcasts(spark):
+def test_bounded_broadcasts(spark, tmp_path):
     from tidewright.scratch import bounded
 
     rows = spark.range(30)
-    assert rows.join(bounded(spark.range(10), 10), "id").count() == 10
-    with pytest.raises(Exception, match="more than 9 rows"):
-        rows.join(bounded(spark.range(10), 9), "id").count()
+    rows.limit(10).repartition(3).write.parquet(f"{tmp_path}/ten")
+    ten = spark.read.parquet(f"{tmp_path}/ten")
+    for small in (spark.range(10), ten, ten.distinct()):
+        assert rows.join(bounded(small, 10), "id").count() == 10 and rows.join(bounded(small), "id").count() == 10
+    for large in (spark.range(11), ten, ten.distinct()):
+        with pytest.raises(Exception, match="more than 9 rows"):
+            rows.join(bounded(large, 9), "id").count()
