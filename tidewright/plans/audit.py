@@ -41,7 +41,7 @@ def _axis1(s, d):  # noqa: ANN001, ANN202
 
 def _pairing(s, d):  # noqa: ANN001, ANN202
     a = Tables(s, d).upload_audit()
-    events = a.filter("first_doc % 9 <> 0").select("attempt_id", F.lit("attempted").alias("decision")).unionByName(a.filter("first_doc % 8 <> 0").select("attempt_id", "decision")).unionByName(a.filter("first_doc % 10 = 3").select("attempt_id", "decision"))
+    events = a.filter("snap_id is not null").select("attempt_id", F.lit("attempted").alias("decision")).unionByName(a.filter("rationale <> 'no id here'").select("attempt_id", "decision")).unionByName(a.filter("decision = 'skipped_toctou'").select("attempt_id", "decision"))
     return A.pairing(events)
 
 
@@ -124,7 +124,7 @@ SQL = {
     "audit_counts": sql(f"""WITH {_ALL} SELECT (SELECT count(*) FROM resolved WHERE decision = 'uploaded' AND snap IS NOT NULL) AS uploaded_rows, (SELECT count(*) FROM resolved WHERE decision = 'set_r2_key_failed_neo4j' AND snap IS NOT NULL) AS set_failed_rows,
         (SELECT count(*) FROM resolved WHERE decision = 'skipped_toctou' AND snap IS NOT NULL) AS skipped_rows, (SELECT count(*) FROM resolved WHERE snap IS NULL) AS malformed_rows, (SELECT count(*) FROM keyed_snapshot) AS keyed_snapshots,
         (SELECT count(*) FROM source_policy) AS policy_rows, (SELECT count(*) FROM v) AS violations, (SELECT count(*) FROM v) = 0 AS aligned"""),
-    "audit_pairing": sql("""WITH e AS (SELECT attempt_id, 'attempted' AS decision FROM upload_audit WHERE first_doc % 9 <> 0 UNION ALL SELECT attempt_id, decision FROM upload_audit WHERE first_doc % 8 <> 0 UNION ALL SELECT attempt_id, decision FROM upload_audit WHERE first_doc % 10 = 3),
+    "audit_pairing": sql("""WITH e AS (SELECT attempt_id, 'attempted' AS decision FROM upload_audit WHERE snap_id IS NOT NULL UNION ALL SELECT attempt_id, decision FROM upload_audit WHERE rationale <> 'no id here' UNION ALL SELECT attempt_id, decision FROM upload_audit WHERE decision = 'skipped_toctou'),
         g AS (SELECT attempt_id, count(*) FILTER (decision = 'attempted') AS attempts, count(*) FILTER (decision <> 'attempted') AS outcomes FROM e GROUP BY 1)
         SELECT *, CASE WHEN attempts = 0 THEN 'outcome_only' WHEN outcomes = 0 THEN 'in_flight' WHEN attempts = 1 AND outcomes = 1 THEN 'paired' ELSE 'ambiguous' END AS state FROM g"""),
     "upload_outcome": sql("""WITH f AS (SELECT snap_id, allowed OR first_doc % 3 = 0 AS allowed_before, allowed OR first_doc % 2 = 0 AS allowed_after, first_doc % 5 <> 0 AS set_ok FROM snapshot_allowed)

@@ -42,7 +42,7 @@ def _keep_last(s, d):  # noqa: ANN001, ANN202
 def _enqueue(s, d):  # noqa: ANN001, ANN202
     q = Tables(s, d).queue()
     items = q.select((F.col("queue_id") % 3).alias("run"), "source_id", F.regexp_replace("url", r"[?#].*", "").alias("url"), F.col("queue_id").alias("position"))
-    active = q.filter("status in ('pending', 'processing') and queue_id % 5 = 0").select("source_id", F.regexp_replace("url", r"[?#].*", "").alias("url"))
+    active = q.filter("status in ('pending', 'processing')").select("source_id", F.regexp_replace("url", r"[?#].*", "").alias("url"))
     return C.enqueue(items, active, 20).select("run", "source_id", "url", "position", F.col("nth").cast("long").alias("nth"))
 
 
@@ -53,7 +53,7 @@ def _claim(s, d):  # noqa: ANN001, ANN202
 def _outcomes(t: Tables):  # noqa: ANN202
     i = F.col("queue_id")
     q = t.queue().withColumns({"content_hash": F.sha2(F.coalesce("html", F.lit("")), 256), "http_status": F.when(i % 9 == 4, 404).otherwise(200), "body": F.when(i % 16 == 8, "").otherwise(F.col("html"))})
-    known = q.filter("queue_id % 7 = 0").select("content_hash")
+    known = q.filter("url like '%?%'").select("content_hash")
     return C.process(q, t.source_policy(), known, _at("2024-01-01T12:00:00"))
 
 
@@ -147,7 +147,7 @@ _VISITS = """v AS (SELECT 'src' || (user_id % 20) AS source_id, '/p' || user_id
 _TS = "'%Y-%m-%d %H:%M:%S.%f'"
 _OUT = """q AS (SELECT *, sha256(coalesce(html, '')) AS content_hash, CASE WHEN queue_id % 9 = 4 THEN 404 ELSE 200 END AS http, CASE WHEN queue_id % 16 = 8 THEN '' ELSE html END AS body, status = 'pending' OR (status = 'processing' AND coalesce(discovered_at < TIMESTAMP '2024-01-01 11:00:00', false)) AS work FROM queue),
     e AS (SELECT q.*, CASE WHEN p.source_id IS NULL THEN 'source_not_registered' WHEN p.archive_policy = 'do_not_collect' THEN 'policy_do_not_collect' WHEN http <> 200 THEN 'fetch_failed' WHEN coalesce(length(body), 0) = 0 THEN 'empty_body' END AS err,
-    content_hash IN (SELECT content_hash FROM q WHERE queue_id % 7 = 0) AS seen FROM q LEFT JOIN source_policy p USING (source_id)),
+    content_hash IN (SELECT content_hash FROM q WHERE url LIKE '%?%') AS seen FROM q LEFT JOIN source_policy p USING (source_id)),
     oc AS (SELECT queue_id, source_id, CASE WHEN NOT work THEN 'skipped' WHEN err IS NOT NULL THEN 'error' WHEN seen THEN 'deduplicated' ELSE 'processed' END AS outcome, CASE WHEN work THEN err END AS error_code FROM e)"""
 _AT = "(CASE WHEN ({0}) % 29 = 3 THEN 'http://h' ELSE 'https://h' END || (({0}) % 40) || '.example/p' || ({0}))"
 SQL = {
@@ -175,7 +175,7 @@ SQL = {
     "crawl_state_upsert": sql(f"""WITH o AS (SELECT source_id, max(ts) AS p, max_by(etag, (ts, event_id)) FILTER (etag IS NOT NULL) AS e FROM crawl_log WHERE ts < TIMESTAMP '2024-01-10' GROUP BY 1), n AS (SELECT source_id, max(ts) AS p, max_by(etag, (ts, event_id)) FILTER (etag IS NOT NULL) AS e FROM crawl_log WHERE ts >= TIMESTAMP '2024-01-28' GROUP BY 1)
         SELECT source_id, strftime(coalesce(n.p, o.p), {_TS}) AS last_polled_at, coalesce(n.e, o.e) AS last_etag, o.p IS NULL AS is_new FROM o FULL JOIN n USING (source_id)"""),
     "keep_last_source": sql("SELECT source_id, max(event_id) AS event_id, max_by(outcome, event_id) AS outcome FROM crawl_log GROUP BY 1"),
-    "enqueue_dedup_capped": sql("""WITH a AS (SELECT DISTINCT source_id, regexp_replace(url, '[?#].*', '') AS url FROM queue WHERE status IN ('pending', 'processing') AND queue_id % 5 = 0),
+    "enqueue_dedup_capped": sql("""WITH a AS (SELECT DISTINCT source_id, regexp_replace(url, '[?#].*', '') AS url FROM queue WHERE status IN ('pending', 'processing')),
         f AS (SELECT queue_id % 3 AS run, source_id, regexp_replace(url, '[?#].*', '') AS url, min(queue_id) AS position FROM queue q WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.source_id = q.source_id AND a.url = regexp_replace(q.url, '[?#].*', '')) GROUP BY 1, 2, 3),
         n AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY position, source_id, url) AS nth FROM f) SELECT * FROM n WHERE nth <= 20"""),
     "claim_batch": sql("SELECT queue_id, source_id, url FROM queue WHERE status = 'pending' ORDER BY discovered_at NULLS FIRST, queue_id LIMIT 100"),
