@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embedding_dedup, jaccard_join, language_model, line_dedup, packing, personal_data, quality, token_counts, warc
+from . import alignment, decontaminate, embedding_dedup, jaccard_join, language_model, line_dedup, packing, personal_data, quality, token_counts, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -142,6 +142,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs.select("doc_id", "text"), trees).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.score_links(_read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -153,6 +157,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op4_warc": OP4_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op9_embedding_near_dedup": OP9_SQL}

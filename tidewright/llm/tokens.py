@@ -63,5 +63,24 @@ def encode(text: str | None, path: str) -> np.ndarray:
     return np.array(fast.encode(text, allowed_special={SPECIAL}), np.uint32)
 
 
+@lru_cache(maxsize=2)
+def _plain(path: str) -> Any:
+    """The tokenizer file itself, with the special token's string as ordinary text."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+
+    slow = Tokenizer.from_file(path)
+    slow.encode_special_tokens = True
+    return slow
+
+
+def encode_plain(text: str, path: str) -> list[int]:
+    """The ids of a text in which the special token's string is ordinary text."""
+    fast = _fast(path)
+    if fast is None or has_long_run(text):
+        return _plain(path).encode(text, add_special_tokens=False).ids
+    return fast.encode_ordinary(text)
+
+
 def document_ids(text: str | None, path: str) -> np.ndarray:
     return np.append(encode(text, path), np.uint32(END_ID))
