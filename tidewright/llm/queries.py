@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, decontaminate, embedding_dedup, jaccard_join, language_model, line_dedup, packing, personal_data, quality, token_counts, warc
+from . import alignment, code_compression, decontaminate, embedding_dedup, jaccard_join, language_model, line_dedup, packing, personal_data, quality, token_counts, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -146,6 +146,45 @@ def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
     return alignment.score_links(_read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op13_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = code_compression.compress(_read(spark, sf_dir, "embeddings"))
+    code = F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    rows = code_compression.with_label_error(coded)
+    return rows.select(F.col("id").alias("vec_id"), code.alias("code"), "error", "label_error", F.lit(code_compression.books_sha256(books)).alias("codebooks_sha256"))
+
+
+def _op13_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    # The nearest entry of each part; of equal distances the lower entry.
+    near = """SELECT v.r, v.p, min_by(b.e, (list_sum(list_transform(list_zip(v.x, b.x), lambda z: (z[1] - z[2]) ** 2))::HUGEINT * 1000 + b.e)) AS e,
+              min(list_sum(list_transform(list_zip(v.x, b.x), lambda z: (z[1] - z[2]) ** 2)))::BIGINT AS d FROM parts v JOIN {book} b ON b.p = v.p GROUP BY v.r, v.p"""
+    steps = []
+    for k in range(rounds):
+        mean = f"""SELECT p, e, list(c ORDER BY j) AS x FROM (
+            SELECT v.p, n.e, j, floor(sum(v.x[j])::DOUBLE / count(*))::BIGINT AS c FROM near{k} n JOIN parts v ON v.r = n.r AND v.p = n.p, range(1, (SELECT max(len(x)) FROM parts) + 1) t(j) GROUP BY v.p, n.e, j
+            ) GROUP BY p, e"""
+        steps += [f"near{k} AS MATERIALIZED ({near.format(book=f'book{k}')})", f"mean{k} AS MATERIALIZED ({mean})", f"book{k + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.x, b.x) AS x FROM book{k} b LEFT JOIN mean{k} m ON m.p = b.p AND m.e = b.e)"]
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x
+  FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT r, p, list_slice(x, (p * len(x) / {parts})::BIGINT + 1, ((p + 1) * len(x) / {parts})::BIGINT) AS x FROM kept, range({parts}) t(p)
+), book0 AS MATERIALIZED (
+  SELECT p, r - 1 AS e, x FROM parts WHERE r <= {entries}
+), {', '.join(steps)}, coded AS MATERIALIZED ({near.format(book=f'book{rounds}')}
+), vectors AS (
+  SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM coded GROUP BY r
+), books AS (
+  SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS s FROM book{rounds}
+)
+SELECT k.vec_id, v.code, v.error, (sum(v.error) OVER (PARTITION BY k.label))::BIGINT AS label_error, b.s AS codebooks_sha256
+FROM kept k JOIN vectors v ON v.r = k.r, books b
+"""
+
+
+OP13_SQL = _op13_sql()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -158,6 +197,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
+    "op13_code_compression": op13_code_compression,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op4_warc": OP4_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op9_embedding_near_dedup": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op4_warc": OP4_SQL, "op6_ngram_jaccard_join": OP6_SQL, "op9_embedding_near_dedup": OP9_SQL, "op13_code_compression": OP13_SQL}
