@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, code_compression, decontaminate, embedding_dedup, jaccard_join, language_model, line_dedup, packing, personal_data, quality, token_counts, warc
+from . import alignment, code_compression, decontaminate, embedding_dedup, jaccard_join, language_model, license_scan, line_dedup, packing, personal_data, quality, token_counts, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -146,6 +146,16 @@ def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
     return alignment.score_links(_read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(_read(spark, sf_dir, "documents"))
+    named = lambda *columns: F.array_join(F.array_sort(F.array_distinct(F.concat(*(F.transform(c, lambda d: d["label"]) for c in columns)))), ",")
+    start = F.transform("base", lambda d: d["start"])
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", F.size("base").cast("long").alias("n_base"), F.array_min(start).alias("first_word"), F.array_max(start).alias("last_word"),
+        named("base").alias("base_labels"), named("base", "found").alias("labels"), "score",
+    )
+
+
 def op13_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = code_compression.compress(_read(spark, sf_dir, "embeddings"))
     code = F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
@@ -197,6 +207,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
+    "op12_license_scan": op12_license_scan,
     "op13_code_compression": op13_code_compression,
 }
 
