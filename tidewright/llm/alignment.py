@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -49,7 +50,7 @@ from .tokens import encode_plain, vocabulary
 
 BLOCK_BYTES = 4 << 20
 #: Stretches whose tokens a worker remembers, and the longest that it does.
-REMEMBERED, MOST_CHARS = 150_000, 64
+REMEMBERED, MOST_CHARS = 200_000, 64
 
 _STRETCH = re.compile(r"(?<=\S)(?= )")
 #: Where splitting at each single space would not give the stretches.
@@ -107,21 +108,35 @@ class Vocabularies:
         self.splits = not any(re.search("[^▁]▁", p) for p in names)
         self.blank = [names.index("▁")]
         self.a_bytes, self.b_bytes = (np.array([len(x) for x in t], np.int64) for t in (self.a, self.b))
-        self.seen: dict[str, tuple[list[int], list[int]] | None] = {}
+        self.seen: dict[str, tuple[bytes, bytes] | None] = {}
         # Each token as text before what follows it: another of the group, the other tokenizer's, the next group.
         decimal = [str(i).encode() for i in range(max(len(self.a), len(self.b)))]
         self.written = [d + end for end, n in ((b",", len(self.a)), (b"|", len(self.a)), (b",", len(self.b)), (b";", len(self.b))) for d in decimal[:n]]
 
-    def _tokens(self, stretches: list[str]) -> list[tuple[list[int], list[int]] | None]:
-        """Of each stretch, which starts with a space, the ids of A and B, or None where either's bytes differ."""
-        out: list[tuple[list[int], list[int]] | None] = []
-        for text, b in zip(stretches, self.pieces.encode([s[1:] for s in stretches], num_threads=1), strict=True):
-            a = encode_plain(text, self.a_path)
-            b = b if text != " " else self.blank
-            raw = text.encode()
-            good = b"".join(map(self.a.__getitem__, a)) == raw == b"".join(map(self.b.__getitem__, b))
-            out.append((a, b) if good else None)
-        return out
+    def _ids_of_a(self, stretches: list[str]) -> list[bytes]:
+        """Short stretches that end in no white space are cut as one text: no token crosses from one to the next."""
+        alone = [len(s) > MOST_CHARS or s[-1].isspace() for s in stretches]
+        whole = [s for s, x in zip(stretches, alone, strict=True) if not x]
+        ids = np.array(encode_plain("".join(whole), self.a_path), np.int32)
+        ends = np.cumsum([len(s.encode()) for s in whole], dtype=np.int64)
+        to = (np.searchsorted(np.cumsum(self.a_bytes[ids]), ends, "right") * 4).tolist()
+        raw = ids.tobytes()
+        cut = iter([raw[i:j] for i, j in zip([0, *to], to, strict=False)])
+        return [array("i", encode_plain(s, self.a_path)).tobytes() if x else next(cut) for s, x in zip(stretches, alone, strict=True)]
+
+    def _tokens(self, stretches: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """Of each stretch, which starts with a space, the ids of A and B as 32-bit integers, or None where either's bytes differ."""
+        ids_a = self._ids_of_a(stretches)
+        ids_b = [array("i", b if s != " " else self.blank).tobytes() for s, b in zip(stretches, self.pieces.encode([s[1:] for s in stretches], num_threads=1), strict=True)]
+        raw = [s.encode() for s in stretches]
+        bad: set[int] = set()
+        for ids, table, size in ((ids_a, self.a, self.a_bytes), (ids_b, self.b, self.b_bytes)):
+            # Told from all joined bytes and the lengths of each, or else one by one.
+            flat = np.frombuffer(b"".join(ids), np.int32)
+            total = np.concatenate(([0], np.cumsum(size[flat])))[np.cumsum([0, *map(len, ids)]) // 4]
+            if not np.array_equal(np.diff(total), [*map(len, raw)]) or b"".join(map(table.__getitem__, flat.tolist())) != b"".join(raw):
+                bad.update(k for k, (x, r) in enumerate(zip(ids, raw, strict=True)) if b"".join(map(table.__getitem__, np.frombuffer(x, np.int32).tolist())) != r)
+        return [None if k in bad else pair for k, pair in enumerate(zip(ids_a, ids_b, strict=True))]
 
     def stretches(self, text: str) -> list[str]:
         if not self.splits:
@@ -130,26 +145,20 @@ class Vocabularies:
             return _STRETCH.split(f" {text}")
         return [f" {word}" for word in text.split(" ")]
 
-    def encode(self, texts: list[str | None]) -> list[tuple[list[int], list[int]]]:
+    def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
+        """The ids of A and of B in each text, as 32-bit integers."""
         parts = [self.stretches(t) if t else [] for t in texts]
-        if len(self.seen) > REMEMBERED:
-            self.seen.clear()
-        new = list({s: None for part in parts for s in part if s not in self.seen})
+        met = {s for part in parts for s in part}
+        new = list(met.difference(self.seen))
         tokens = dict(zip(new, self._tokens(new), strict=True))
-        long = {s: v for s, v in tokens.items() if len(s) > MOST_CHARS}
-        self.seen.update((s, v) for s, v in tokens.items() if s not in long)
+        if len(self.seen) + len(new) > REMEMBERED:
+            self.seen = {s: self.seen[s] for s in met.intersection(self.seen)}
+        found = self.seen | tokens
+        self.seen.update((s, v) for s, v in tokens.items() if len(s) <= MOST_CHARS and len(self.seen) < REMEMBERED)
         out = []
         for part in parts:
-            a: list[int] = []
-            b: list[int] = []
-            for s in part:
-                found = long[s] if s in long else self.seen[s]
-                if found is None:
-                    a, b = [], []
-                    break
-                a += found[0]
-                b += found[1]
-            out.append((a, b))
+            values = [found[s] for s in part]
+            out.append((b"", b"") if None in values else (b"".join([v[0] for v in values]), b"".join([v[1] for v in values])))
         return out
 
 
@@ -177,8 +186,8 @@ class Aligned(NamedTuple):
 
 def align_block(texts: list[str | None], words: Vocabularies) -> Aligned:
     tokens = words.encode(texts)
-    a_of, b_of = (np.concatenate(([0], np.cumsum([len(t[k]) for t in tokens], dtype=np.int64))) for k in (0, 1))
-    a, b = (np.fromiter((i for t in tokens for i in t[k]), np.int64, int(of[-1])) for k, of in ((0, a_of), (1, b_of)))
+    a_of, b_of = (np.concatenate(([0], np.cumsum([len(t[k]) // 4 for t in tokens], dtype=np.int64))) for k in (0, 1))
+    a, b = (np.frombuffer(b"".join([t[k] for t in tokens]), np.int32).astype(np.int64) for k in (0, 1))
     a_end, b_end = np.cumsum(words.a_bytes[a]), np.cumsum(words.b_bytes[b])
     byte_of = np.concatenate(([0], a_end))[a_of]
     n = int(byte_of[-1])
