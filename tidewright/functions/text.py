@@ -2,94 +2,49 @@
 
 from __future__ import annotations
 
-import re
-import unicodedata
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed values of the cleaning pipeline.
-DANGEROUS_TAGS = ("script", "style", "noscript", "iframe", "object", "embed")
-NAMED_ENTITIES = {
-    "&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " ",
-    "&AMP;": "&", "&LT;": "<", "&GT;": ">", "&QUOT;": '"', "&NBSP;": " ", "&#39;": "'",
-}
-MOST_DECODES = 100
-_ENTITY = re.compile(r"&(?:(?i:(?P<open>lt|gt|quot|amp))(?!;)|(?P<named>amp|lt|gt|quot|apos|nbsp|AMP|LT|GT|QUOT|NBSP);|#(?:(?P<dec>[0-9]+);|[xX](?P<hex>[0-9a-fA-F]+);|(?P<dec7>[0-9]{1,7})(?![0-9;])|[xX](?P<hex6>[0-9a-fA-F]{1,6})(?![0-9a-fA-F;])))")
-_WELL_FORMED_TAG = r"""</?[a-zA-Z][^"'>]*(?:(?:"[^"]*"|'[^']*')[^"'>]*)*>"""
-_BROKEN_TAG = r"(?s)</?[a-zA-Z].*?(?:>|\z)"
-_DECLARATIONS = (
-    (r"(?s)<!--.*?-->", ""), (r"(?s)<!--.*\z", ""), (r"(?si)<!\[CDATA\[(.*?)\]\]>", " $1 "), (r"(?si)<!\[CDATA\[.*\z", ""),
-    (r"<![^>]*>", ""), (r"(?s)<\?.*?\?>", ""), (r"(?s)<\?.*\z", ""),
-)
-TIER_CHARS = {0: 16_000, 1: 16_000, 2: 8_000, 3: 4_000}
-
-
-def strip_declarations(html: Column) -> Column:
-    """Comments, CDATA marks, doctypes and instructions; what is not closed goes to the end."""
-    for pattern, to in _DECLARATIONS:
-        html = F.regexp_replace(html, pattern, to)
-    return html
+from . import markup
+from .markup import DANGEROUS_TAGS, decode_entities  # noqa: F401
 
-
-def strip_dangerous(html: Column) -> Column:
-    """Elements that carry code: from a kind's first opening to its last closing, or a lone one (to the end, if it does not close itself)."""
-    for tag in DANGEROUS_TAGS:
-        html = F.regexp_replace(html, rf"(?si)<{tag}\b[^>]*(?:>.*</{tag}\s*>|(?<=/)>|>.*)", "")
-    # What only came together where an element was cut out.
-    return F.regexp_replace(html, rf"(?si)<(?:{'|'.join(DANGEROUS_TAGS)})\b[^>]*(?:(?<=/)>|>.*)", "")
+TIER_CHARS = {0: 16_000, 1: 16_000, 2: 8_000, 3: 4_000}
 
 
-def strip_tags(html: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(html, _WELL_FORMED_TAG, " "), _BROKEN_TAG, " ")
+def _mapped(f: Callable[[str], str], of: Column) -> Column:
+    """A function of one string, over Arrow batches; nulls stay null."""
 
+    @F.arrow_udf(T.StringType())  # type: ignore[call-overload]
+    def run(values: pa.Array) -> pa.Array:
+        return pa.array([None if v is None else f(v) for v in values.to_pylist()], pa.string())
 
-def _character(m: re.Match[str]) -> str:
-    """What one entity stands for; nothing beyond the last code point, however many digits it has."""
-    kind, value = m.lastgroup or "", m[m.lastgroup or 0]
-    if kind == "named":
-        return NAMED_ENTITIES[f"&{value};"]
-    if kind == "open":
-        return NAMED_ENTITIES[f"&{value.lower()};"]
-    digits = value.lstrip("0")
-    if len(digits) > 7:
-        return ""
-    point = int(digits or "0", 16 if kind.startswith("hex") else 10)
-    return chr(point) if point <= 0x10FFFF else ""
+    return run(of)
 
 
-def decode_entities(text: str) -> str:
-    """Decodes until nothing changes; text that never settles is dropped."""
-    for _ in range(MOST_DECODES + 1):
-        text, found = _ENTITY.subn(_character, text)
-        if not found:
-            return text
-    return ""
+def strip_declarations(html: Column) -> Column:
+    """Comments, CDATA marks, doctypes and instructions; what is not closed goes to the end."""
+    return F.coalesce(_mapped(markup.strip_declarations, F.when(html.contains("<"), html)), html)
 
 
-@F.pandas_udf(T.StringType())  # type: ignore[call-overload]
-def _decoded(texts):  # noqa: ANN001, ANN202
-    return texts.map(lambda t: None if t is None else decode_entities(t).encode("utf-8", "replace").decode())
+def strip_dangerous(html: Column) -> Column:
+    """Elements that carry code: from a kind's first opening to its last closing, or a lone one (to the end, if it does not close itself)."""
+    return F.coalesce(_mapped(markup.strip_dangerous, F.when(html.contains("<"), html)), html)
 
 
 def html_to_text(html: Column) -> Column:
-    """Plain text of a page; only entity decoding leaves the JVM, and only text with an ampersand is sent for it."""
-    once = strip_tags(strip_dangerous(strip_declarations(F.coalesce(html, F.lit("")))))
-    decoded = F.coalesce(_decoded(F.when(F.contains(once, F.lit("&")), once)), once)
-    again = strip_tags(strip_dangerous(strip_declarations(decoded)))
-    return F.btrim(F.regexp_replace(again, r"(?U)[\s\x{feff}]+", " "))
-
-
-@F.pandas_udf(T.StringType())  # type: ignore[call-overload]
-def _nfc(texts):  # noqa: ANN001, ANN202
-    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
+    """Plain text of a page; only pages with markup or entities leave the JVM."""
+    html = F.coalesce(html, F.lit(""))
+    text = F.coalesce(_mapped(markup.to_text, F.when(html.contains("<") | html.contains("&"), html)), html)
+    return F.btrim(F.regexp_replace(text, r"(?U)[\s\x{feff}]++", " "))
 
 
 def normalize(text: Column) -> Column:
     """NFC (only texts that are not all ASCII are sent for it), runs of white space as one blank, none at the ends."""
-    composed = F.coalesce(_nfc(F.when(text.rlike(r"[^\x00-\x7F]"), text)), text)
+    composed = F.coalesce(_mapped(markup.compose, F.when(text.rlike(r"[^\x00-\x7F]"), text)), text)
     return F.btrim(F.regexp_replace(composed, r"(?U)[\s\x{feff}]+", " "))
 
 

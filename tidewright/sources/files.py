@@ -7,10 +7,12 @@ import re
 from collections.abc import Iterable, Mapping
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import markup
 from ..functions.text import kind_key
 from ..operators.audit import KEY_PREFIXES, matched_prefix
 
@@ -113,15 +115,14 @@ def notes(spark: SparkSession, root: str, kinds: Iterable[str] = ("article", "da
     return out.withColumn("kind", kind).withColumn("permitted", F.coalesce(kind.isin(*kinds), F.lit(False)))
 
 
-# A literal or a comment, whichever begins first; line breaks in it are kept.
-_QUIET = r"""(?s)`(?:\\.|[^`\\])*`|"(?:\\.|[^"\\\n])*"|'(?:\\.|[^'\\\n])*'|//[^\n]*|/\*.*?\*/"""
+@F.arrow_udf(T.StringType())  # type: ignore[call-overload]
+def _bare(texts: pa.Array) -> pa.Array:
+    return pa.array([None if t is None else markup.bare_code(t) for t in texts.to_pylist()], pa.string())
 
 
 def bare_code(code: Column) -> Column:
     """Source text without comments and string literals; line breaks stay, so that line numbers hold."""
-    parts = F.regexp_extract_all(F.concat(code, F.lit("\n")), F.lit(f"({_QUIET})|((?s).[^`\"'/]*)"), F.lit(0))
-    kept = F.transform(parts, lambda p: F.when(p.rlike(rf"\A(?:{_QUIET})\z"), F.regexp_replace(p, "[^\n]+", " ")).otherwise(p))
-    return F.regexp_replace(F.array_join(kept, ""), "\n\\z", "")
+    return _bare(code)
 
 
 def reference_problems(refs: DataFrame, files: DataFrame) -> DataFrame:
