@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import crawl as C
 from ..sources.tables import Tables
+from ..streaming import queue as Q
 from .views import sql
 
 _FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -57,6 +58,28 @@ def _outcomes(t: Tables):  # noqa: ANN202
     return C.process(q, t.source_policy(), known, _at("2024-01-01T12:00:00"))
 
 
+def _replayed(s, d):  # noqa: ANN001, ANN202
+    """A log in which workers claim, keep, lose and finish rows, through the stream."""
+    t, i = Tables(s, d), F.col("queue_id")
+    q = t.queue().join(t.source_policy().select("source_id", "archive_policy"), "source_id", "left")
+    status, failure = F.when(i % 9 == 4, 404).otherwise(200), F.when(i % 23 == 5, "refused")
+    size = F.when(i % 16 == 8, 0).otherwise(F.length("html"))
+    code = Q.error_code(F.col("archive_policy"), failure, status, size, i % 19 == 2)
+
+    def event(k, kind, minutes, worker=None, when=None):  # noqa: ANN001, ANN202
+        e = F.struct(F.lit(k).alias("k"), F.lit(kind).alias("kind"), F.lit(minutes).cast("int").alias("m") if isinstance(minutes, int) else minutes.alias("m"), F.lit(worker).cast("string").alias("worker"))
+        return e if when is None else F.when(when, e)
+
+    events = F.array(
+        event(0, "discovered", 0), event(1, "claimed", 10, "a", i % 7 != 0), event(2, "heartbeat", 50, "a", i % 3 == 0), event(3, "fetched", F.when(i % 5 < 3, 30).otherwise(100), "a"),
+        event(4, "claimed", 115, "b", i % 2 == 0), event(5, "fetched", 120, "b", i % 2 == 0),
+    )
+    start = F.coalesce(F.col("discovered_at").cast("timestamp"), F.lit(dt.datetime(2024, 1, 1)).cast("timestamp"))
+    rows = q.select("queue_id", "source_id", start.alias("t0"), code.alias("error_code"), (i % 6 == 1).alias("known"), F.explode(F.array_compact(events)).alias("e"))
+    log = rows.select("queue_id", "source_id", (F.col("t0") + F.make_dt_interval(mins=F.col("e.m"))).alias("at"), (i * 10 + F.col("e.k")).alias("event_id"), "e.kind", "e.worker", F.when(F.col("e.kind") == "fetched", F.col("error_code")).alias("error_code"), "known")
+    return Q.latest(Q.replay(log)).select("queue_id", "source_id", "status", "outcome", "error_code", "claims", "reclaims", "skipped")
+
+
 def _visits(t: Tables):  # noqa: ANN202
     e = t.base("events")
     kind = F.element_at(F.array(*map(F.lit, ("news", "data", "other"))), (F.col("user_id") % 3 + 1).cast("int"))
@@ -132,6 +155,7 @@ QUERIES = {
     "enqueue_dedup_capped": _enqueue,
     "claim_batch": _claim,
     "pending_by_source": lambda s, d: C.pending_by_source(Tables(s, d).queue(), _at("2024-01-01T12:00:00")),
+    "queue_replay": _replayed,
     "queue_outcomes": lambda s, d: _outcomes(Tables(s, d)),
     "queue_outcome_counts": lambda s, d: C.outcome_counts(_outcomes(Tables(s, d))),
     "revisit_schedule": lambda s, d: C.revisit(_visits(Tables(s, d))).select("id", "changed", F.col("streak").cast("long").alias("streak"), "revisit_hours"),
@@ -180,6 +204,14 @@ SQL = {
         n AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY position, source_id, url) AS nth FROM f) SELECT * FROM n WHERE nth <= 20"""),
     "claim_batch": sql("SELECT queue_id, source_id, url FROM queue WHERE status = 'pending' ORDER BY discovered_at NULLS FIRST, queue_id LIMIT 100"),
     "pending_by_source": sql("SELECT source_id, count(*) FILTER (status = 'pending') AS pending, count(*) FILTER (status = 'processing' AND discovered_at < TIMESTAMP '2024-01-01 11:00:00') AS stale, count(*) AS total FROM queue GROUP BY 1"),
+    "queue_replay": sql("""WITH e AS (SELECT q.queue_id, q.source_id, queue_id % 7 <> 0 AS c, queue_id % 5 < 3 AS f30, queue_id % 3 = 0 AS hb, queue_id % 2 = 0 AS ev,
+            CASE WHEN p.source_id IS NULL THEN 'source_not_found_in_graph' WHEN p.archive_policy = 'do_not_collect' THEN 'policy_do_not_collect' WHEN queue_id % 23 = 5 THEN 'runtime_error' WHEN queue_id % 9 = 4 THEN 'http_status'
+                WHEN queue_id % 16 = 8 OR coalesce(length(html), 0) = 0 THEN 'empty_body' WHEN queue_id % 19 = 2 THEN 'dedup_prohibited_source' END AS err FROM queue q LEFT JOIN source_policy p USING (source_id)),
+        f AS (SELECT *, c AND NOT f30 AND NOT hb AS lost, (c AND (f30 OR hb)) AS by_a FROM e), g AS (SELECT *, NOT by_a AND ev AS by_b FROM f)
+        SELECT queue_id, source_id, CASE WHEN NOT by_a AND NOT by_b THEN 'pending' WHEN err IS NOT NULL THEN 'error' ELSE 'done' END AS status,
+            CASE WHEN NOT by_a AND NOT by_b THEN CASE WHEN lost THEN 'reclaimed' ELSE 'pending' END WHEN err IS NOT NULL THEN 'error' WHEN queue_id % 6 = 1 THEN 'deduplicated' ELSE 'processed' END AS outcome,
+            CASE WHEN by_a OR by_b THEN err END AS error_code, c::BIGINT + by_b::BIGINT AS claims, lost::BIGINT AS reclaims,
+            CASE WHEN by_a THEN (hb AND f30)::BIGINT + 2 * ev::BIGINT ELSE 1 + (hb AND NOT c)::BIGINT END AS skipped FROM g"""),
     "queue_outcomes": sql(f"WITH {_OUT} SELECT * FROM oc"),
     "queue_outcome_counts": sql(f"WITH {_OUT} SELECT count(*) FILTER (outcome = 'processed') AS processed, count(*) FILTER (outcome = 'deduplicated') AS deduplicated, count(*) FILTER (outcome = 'error') AS error FROM oc"),
     "revisit_schedule": f"""WITH {_VISITS}, c AS (SELECT *, coalesce(hash <> lag(hash) OVER (PARTITION BY source_id, url ORDER BY seen_at, id), true) AS changed FROM v), i AS (SELECT *, sum(changed::INT) OVER (PARTITION BY source_id, url ORDER BY seen_at, id) AS k FROM c),
