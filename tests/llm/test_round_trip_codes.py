@@ -54,8 +54,9 @@ def plain_alignment(text, both):
         i += p <= q
         j += q <= p
     groups, i, j = [], 0, 0
+    at_a, at_b = ({e: k for k, e in enumerate(x)} for x in (end_a, end_b))
     for cut in sorted(set(end_a) & set(end_b)):
-        k, m = end_a.index(cut) + 1, end_b.index(cut) + 1
+        k, m = at_a[cut] + 1, at_b[cut] + 1
         groups.append((x.ids[i:k], ids_b[j:m]))
         i, j = k, m
     return x.ids, ids_b, groups, links

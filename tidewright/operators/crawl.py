@@ -9,25 +9,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..scratch import bounded
+from .ranges import Last, Since, scan
 
 #: Consecutive failures after which a source rests, and for how long.
 FAILURES = 5
 REST = "INTERVAL 24 HOURS"
 
 
-def failure_state(log: DataFrame) -> DataFrame:
+def failure_state(log: DataFrame, ranges: int | None = None) -> DataFrame:
     """Each fetch with the count of failures in a row, the last validator seen, and when the source is eligible again.
 
-    Islands between successes are numbered by a running count of resets.
+    A source of any size is scanned range by range, see :mod:`.ranges`.
     """
-    order = Window.partitionBy("source_id").orderBy("ts", "event_id")
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     failed = F.col("outcome").isin("error", "timeout")
-    out = log.withColumn("__island", F.sum((~failed).cast("int")).over(upto))
-    run = Window.partitionBy("source_id", "__island").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = out.withColumn("failures", F.sum(failed.cast("int")).over(run)).withColumn("last_etag", F.last("etag", ignorenulls=True).over(upto))
+    out = scan(log, ["source_id"], ["ts", "event_id"], {"failures": Since(~failed, failed), "last_etag": Last(F.col("etag"))}, ranges)
     rest = F.when(failed & (F.col("failures") >= FAILURES), F.col("ts") + F.expr(REST))
-    return out.withColumn("next_eligible_at", rest).drop("__island")
+    return out.withColumn("next_eligible_at", rest)
 
 
 def latest_state(log: DataFrame) -> DataFrame:
@@ -99,25 +96,21 @@ def outcome_counts(outcomes: DataFrame) -> DataFrame:
     return outcomes.agg(*(F.count_if(F.col("outcome") == o).alias(o) for o in ("processed", "deduplicated", "error")))
 
 
-def revisit(seen: DataFrame) -> DataFrame:
+def revisit(seen: DataFrame, ranges: int | None = None) -> DataFrame:
     """When a page is due again: by content type, sooner after a change, later after each two unchanged visits."""
-    order = Window.partitionBy("source_id", "url").orderBy("at", "id")
-    changed = F.coalesce(F.col("hash") != F.lag("hash").over(order), F.lit(True))
-    out = seen.withColumn("changed", changed)
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = out.withColumn("__island", F.sum(F.col("changed").cast("int")).over(upto))
-    out = out.withColumn("streak", F.row_number().over(Window.partitionBy("source_id", "url", "__island").orderBy("at", "id")) - 1)
+    keys, order = ["source_id", "url"], ["at", "id"]
+    visits = seen.withColumn("__one", F.struct("hash"))  # of a visit before, also if its hash is null
+    changed = F.coalesce(F.col("hash") != F.col("__before.hash"), F.lit(True))
+    out = scan(visits, keys, order, {"__before": Last(F.col("__one"), before=True)}, ranges).withColumn("changed", changed).drop("__one", "__before")
+    out = scan(out, keys, order, {"streak": Since(F.col("changed"), F.lit(True))}, ranges).withColumn("streak", F.col("streak") - 1)
     hours = F.when(F.col("kind") == "news", F.when(F.col("streak") < 2, 72).otherwise(168)).when(F.col("kind") == "data", F.when(F.col("streak") < 2, 168).otherwise(720)).otherwise(F.when(F.col("streak") < 2, 720).otherwise(2160))
-    return out.withColumn("revisit_hours", hours.cast("long")).drop("__island")
+    return out.withColumn("revisit_hours", hours.cast("long"))
 
 
-def fetch_counters(seen: DataFrame) -> DataFrame:
+def fetch_counters(seen: DataFrame, ranges: int | None = None) -> DataFrame:
     """Changes, unchanged visits and failures of each page."""
-    order = Window.partitionBy("source_id", "url").orderBy("at", "id")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    last = F.last(F.when(~F.col("failed"), F.col("hash")), ignorenulls=True).over(before)
-    s = seen.withColumn("__last", last)
     ok = ~F.col("failed")
+    s = scan(seen, ["source_id", "url"], ["at", "id"], {"__last": Last(F.when(ok, F.col("hash")), before=True)}, ranges)
     return s.groupBy("source_id", "url").agg(
         F.count_if(ok & F.col("__last").isNotNull() & (F.col("hash") != F.col("__last"))).alias("changes"),
         F.count_if(ok & (F.col("hash") == F.col("__last"))).alias("unchanged"),

@@ -16,6 +16,7 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from ..functions.words import shingle_sets
 from ..scratch import Scratch, batches_of
 from .components import components
+from .ranges import Next, scan
 
 
 def first_writer(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -204,11 +205,10 @@ def mentions(docs: DataFrame, needles: DataFrame, needle_col: str, id_col: str =
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
-def gaps(ids: DataFrame, prefix_col: str = "prefix", number_col: str = "number") -> DataFrame:
-    """Duplicates, and the numbers missing between one id and the next, by prefix."""
+def gaps(ids: DataFrame, prefix_col: str = "prefix", number_col: str = "number", ranges: int | None = None) -> DataFrame:
+    """Duplicates, and the numbers missing between one id and the next, by prefix; a prefix may hold all ids."""
     n = ids.groupBy(prefix_col, number_col).agg(F.count(F.lit(1)).alias("times"))
-    w = Window.partitionBy(prefix_col).orderBy(number_col)
-    out = n.withColumn("next", F.lead(number_col).over(w)).withColumn("gap", F.coalesce(F.col("next") - F.col(number_col) - 1, F.lit(0)))
+    out = scan(n, [prefix_col], [number_col], {"next": Next(F.col(number_col))}, ranges).withColumn("gap", F.coalesce(F.col("next") - F.col(number_col) - 1, F.lit(0)))
     return out.filter("times > 1 or gap > 0").select(prefix_col, number_col, "times", "gap")
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..scratch import bounded
+from .ranges import ranked
 
 
 def usd(units: Column) -> Column:
@@ -128,8 +129,8 @@ def alerts(metrics: DataFrame, thresholds: Sequence[tuple[str, float]]) -> DataF
 
 
 def nearest_rank(values: DataFrame, group: str, value: str, shares: Mapping[str, float]) -> DataFrame:
-    """Percentiles at index ``ceil(n * p) - 1`` of the sorted values."""
-    return values.groupBy(group).agg(*(F.expr(f"percentile_disc({p}) within group (order by {value})").alias(name) for name, p in shares.items()))
+    """Percentiles at index ``ceil(n * p) - 1`` of the sorted values; no task holds a group, see :func:`.ranges.ranked`."""
+    return ranked(values, group, value, shares)
 
 
 def rule_candidates(ignored: DataFrame, key: str, least: int) -> DataFrame:
