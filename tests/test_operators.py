@@ -300,14 +300,23 @@ def test_nearest_neighbours_in_blocks(spark, monkeypatch):
         assert {(r["query_id"], r["other_id"], r["rank"]) for r in design.knn(vectors, queries, 6).collect()} == want
 
 
-def test_bounded_broadcasts(spark, tmp_path):
-    from tidewright.scratch import bounded
-
-    rows = spark.range(30)
-    rows.limit(10).repartition(3).write.parquet(f"{tmp_path}/ten")
-    ten = spark.read.parquet(f"{tmp_path}/ten")
-    for small in (spark.range(10), ten, ten.distinct()):
-        assert rows.join(bounded(small, 10), "id").count() == 10 and rows.join(bounded(small), "id").count() == 10
-    for large in (spark.range(11), ten, ten.distinct()):
-        with pytest.raises(Exception, match="more than 9 rows"):
-            rows.join(bounded(large, 9), "id").count()
+def test_policies_of_any_number(spark):
+    """Side tables have no limit; whether one is sent to all tasks is the planner's choice, by its size."""
+    policies = spark.range(200_001).select(F.concat(F.lit("s"), "id").alias("source_id"), F.when(F.col("id") % 2 == 0, "allowed").otherwise("denied").alias("llm_policy"))
+    rows = spark.createDataFrame([("s200000",), ("s1",), ("none",), (None,)], "source_id string")
+    got = {r.source_id: (r.llm_policy, r.error) for r in policy.lookup(rows, policies, "llm_policy").collect()}
+    assert got == {"s200000": ("allowed", None), "s1": ("denied", None), "none": (None, "source_not_registered"), None: (None, "source_not_registered")}
+
+
+def test_mentions_of_any_number_of_needles(spark):
+    """200,001 needles of all lengths, some that hold others, against plain containment."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdé ") for _ in range(rng.randint(1, 12)))
+    texts = [(i, " ".join(word() for _ in range(rng.randint(0, 60)))) for i in range(60)] + [(7, None), (None, "abc"), (8, ""), (9, "needle 123456 é")]
+    wanted = [(k, word()) for k in range(150)] + [(150, None), (151, ""), (152, "é"), (153, "needle 123456 é"), (154, "needle 123456 é"), (155, "needle 123456 è")]
+    filler = spark.range(200_001).select((F.col("id") + 1000).alias("n"), F.concat(F.lit("needle "), F.col("id"), F.lit(" none such")).alias("s"))
+    needles = spark.createDataFrame(wanted, "n long, s string").unionByName(filler)
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.n) for r in documents.mentions(docs, needles, "s").collect()), key=repr)
+    assert got == sorted(((i, n) for i, t in texts for n, s in wanted if t and s and s in t), key=repr)
+    assert documents.mentions(docs, needles.limit(0), "s").count() == 0

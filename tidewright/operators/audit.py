@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..scratch import bounded
 
 # Forms and names that stored rows already carry.
 SNAP_ID = r"^snap_[A-Za-z0-9_-]+$"
@@ -61,7 +60,7 @@ def audit_without_key(keyed: DataFrame, audits: DataFrame) -> DataFrame:
 
 def restricted_keys(keyed: DataFrame, edges: DataFrame, policies: DataFrame) -> DataFrame:
     """Keyed snapshots with a source that does not permit the upload now, or is not registered."""
-    rows = keyed.join(edges.select("snap_id", "source_id").distinct(), "snap_id").join(bounded(policies.select("source_id", "archive_policy", "cloud_policy")), "source_id", "left")
+    rows = keyed.join(edges.select("snap_id", "source_id").distinct(), "snap_id").join(policies.select("source_id", "archive_policy", "cloud_policy"), "source_id", "left")
     rows = rows.filter("archive_policy is null or archive_policy <> 'full_snapshot_allowed' or cloud_policy <> 'allowed_public_data_only'")
     name = F.lit("<unregistered>")
     return rows.groupBy("snap_id", "object_key").agg(

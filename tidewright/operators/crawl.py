@@ -8,7 +8,6 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..scratch import bounded
 from .ranges import Last, Since, scan
 
 #: Consecutive failures after which a source rests, and for how long.
@@ -79,7 +78,7 @@ def process(queue: DataFrame, policies: DataFrame, known: DataFrame, now: Column
     ``known`` has the content hashes that are stored already.
     """
     reclaimed = (F.col("status") == "processing") & (F.col("discovered_at") < now - F.expr("INTERVAL 1 HOUR"))
-    due = queue.withColumn("work", (F.col("status") == "pending") | reclaimed).join(bounded(policies.select("source_id", "archive_policy")), "source_id", "left")
+    due = queue.withColumn("work", (F.col("status") == "pending") | reclaimed).join(policies.select("source_id", "archive_policy"), "source_id", "left")
     due = due.join(known.select("content_hash").distinct().withColumn("__seen", F.lit(True)), "content_hash", "left")
     error = (
         F.when(F.col("archive_policy").isNull(), "source_not_registered")

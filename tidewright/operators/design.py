@@ -9,7 +9,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..scratch import bounded
 
 
 def stale_claims(claims: DataFrame, snapshots: DataFrame, contradicted: DataFrame, now: Column, default_days: int = 30) -> DataFrame:
@@ -53,7 +52,7 @@ def scenario_checks(scenarios: DataFrame) -> DataFrame:
 def cite_check(cites: DataFrame, claims: DataFrame, blocked_sources: DataFrame) -> DataFrame:
     """Drafts with the checks that stop them: one row a draft, from booleans of each cited claim."""
     flags = ("stale", "retracted", "horizon", "unit", "overclaim")
-    j = cites.join(claims, "claim_id", "left").join(bounded(blocked_sources.select("source").distinct().withColumn("blocked", F.lit(True))), "source", "left")
+    j = cites.join(claims, "claim_id", "left").join(blocked_sources.select("source").distinct().withColumn("blocked", F.lit(True)), "source", "left")
     g = j.groupBy("draft_id").agg(*(F.bool_or(F.coalesce(f, F.lit(False))).alias(f) for f in (*flags, "blocked")), F.bool_or(F.col("source").isNull()).alias("unknown_claim"))
     names = F.array_compact(F.array(*(F.when(F.col(f), f) for f in (*flags, "blocked", "unknown_claim"))))
     return g.select("draft_id", F.array_join(names, ",").alias("blocks"), (F.size(names) == 0).alias("passes"))

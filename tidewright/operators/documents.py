@@ -16,6 +16,7 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from ..functions.words import shingle_sets
 from ..scratch import Scratch, batches_of
 from .components import components
+from .mentions import mentions  # noqa: F401
 from .ranges import Next, scan
 
 
@@ -159,52 +160,6 @@ def lineage(edges: DataFrame, roots: DataFrame, depth: int) -> DataFrame:
     return out.groupBy("root", "node").agg(F.min("hops").alias("hops"))
 
 
-#: Characters of a needle that the automaton finds; the rest is compared in place.
-ANCHOR = 32
-NEEDLES = 100_000
-
-
-def mentions(docs: DataFrame, needles: DataFrame, needle_col: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id`` and the other columns of each needle that the text contains, once for each row of both.
-
-    Needles are a table of bounded size (checked). One automaton over their first
-    characters reads each text once, however many needles there are; null and empty
-    needles are in nothing, null texts contain nothing.
-    """
-    table = needles.filter(F.length(needle_col) > 0).limit(NEEDLES + 1).toArrow()
-    if table.num_rows > NEEDLES:
-        raise ValueError(f"more than {NEEDLES} needles: split them into runs")
-    shared = docs.sparkSession.sparkContext.broadcast((table.column(needle_col).to_pylist(), table.drop_columns([needle_col]).combine_chunks()))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import ahocorasick
-
-        texts, rest = shared.value
-        by_text: dict[str, list[int]] = {}
-        for row, text in enumerate(texts):
-            by_text.setdefault(text, []).append(row)
-        found_by: dict[str, list[str]] = {}
-        for text in by_text:
-            found_by.setdefault(text[:ANCHOR], []).append(text)
-        automaton = ahocorasick.Automaton()
-        for anchor, whole in found_by.items():
-            automaton.add_word(anchor, (len(anchor), whole))
-        automaton.make_automaton()
-        for batch in batches:
-            rows, hits = [], []
-            for row, text in enumerate(batch.column(1).to_pylist()):
-                seen = {w for end, (size, whole) in automaton.iter(text) for w in whole if text.startswith(w, end - size + 1)} if text and by_text else ()
-                for needle in sorted(r for w in seen for r in by_text[w]):
-                    rows.append(row)
-                    hits.append(needle)
-            some = rest.take(pa.array(hits, pa.int64()))
-            if rows:
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), *(c.combine_chunks() for c in some.columns)], [id_col, *some.column_names])
-
-    schema = StructType([docs.schema[id_col], *(f for f in needles.schema.fields if f.name != needle_col)])
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
-
-
 def gaps(ids: DataFrame, prefix_col: str = "prefix", number_col: str = "number", ranges: int | None = None) -> DataFrame:
     """Duplicates, and the numbers missing between one id and the next, by prefix; a prefix may hold all ids."""
     n = ids.groupBy(prefix_col, number_col).agg(F.count(F.lit(1)).alias("times"))

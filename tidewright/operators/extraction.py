@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import html_to_text, parsed_claims, wrap_untrusted
-from ..scratch import bounded
 from .policy import llm_verdict
 
 Extractor = Callable[[DataFrame], DataFrame]
@@ -64,7 +63,7 @@ def articles(pages: DataFrame, policies: DataFrame, client: Client = stub_client
 
     A reply without a cost is an error before it is parsed.
     """
-    j = pages.join(bounded(policies.select("source_id", "llm_policy")), "source_id", "left").withColumn("gate", llm_verdict(F.col("llm_policy")))
+    j = pages.join(policies.select("source_id", "llm_policy"), "source_id", "left").withColumn("gate", llm_verdict(F.col("llm_policy")))
     open_ = F.col("gate") == "ok"
     j = j.withColumn("text", F.when(open_, html_to_text(F.col("html"))))
     j = j.withColumn("prompt", F.when(open_, wrap_untrusted(F.col("text"), F.lit(tier))))

@@ -12,7 +12,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..scratch import bounded
 from .ranges import ranked
 
 
@@ -94,8 +93,10 @@ def price_table(spark: SparkSession, prices: Mapping[str, Mapping[str, float | N
 
 def priced(runs: DataFrame, prices: DataFrame, model_col: str = "model") -> DataFrame:
     """The longest alias that is the model or is followed by a dash in it; unknown models get nulls."""
-    models = runs.select(model_col).distinct()
-    hit = models.join(bounded(prices), (F.col(model_col) == F.col("alias")) | F.col(model_col).startswith(F.concat("alias", F.lit("-"))))
+    parts = F.split(model_col, "-")
+    starts = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, F.lit(1), k), "-"))
+    models = runs.select(model_col).distinct().select(model_col, F.explode(starts).alias("alias"))
+    hit = models.join(prices, "alias")
     best = hit.groupBy(model_col).agg(F.max_by(F.struct("alias", "input", "output", "cached", "creation"), F.length("alias")).alias("p"))
     return runs.join(best.select(model_col, "p.*"), model_col, "left")
 
@@ -125,7 +126,7 @@ def metrics_daily(ledger: DataFrame) -> DataFrame:
 
 def alerts(metrics: DataFrame, thresholds: Sequence[tuple[str, float]]) -> DataFrame:
     limits = metrics.sparkSession.createDataFrame(list(thresholds), "metric string, threshold double")
-    return metrics.join(bounded(limits), "metric").filter("value > threshold").select("day", "metric", "value", "threshold")
+    return metrics.join(limits, "metric").filter("value > threshold").select("day", "metric", "value", "threshold")
 
 
 def nearest_rank(values: DataFrame, group: str, value: str, shares: Mapping[str, float]) -> DataFrame:

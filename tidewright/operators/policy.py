@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..scratch import bounded
 
 # Enums, the stage matrix and the names of wire services.
 ARCHIVE = ("full_snapshot_allowed", "excerpt_only", "metadata_only", "do_not_collect")
@@ -90,7 +89,7 @@ def gate(rows: DataFrame) -> DataFrame:
 
 def lookup(rows: DataFrame, policies: DataFrame, value: str) -> DataFrame:
     """The policy of each row's source; a missing one is an error, not a default."""
-    out = rows.join(bounded(policies.select("source_id", value)), "source_id", "left")
+    out = rows.join(policies.select("source_id", value), "source_id", "left")
     return out.withColumn("error", F.when(F.col(value).isNull(), "source_not_registered"))
 
 
@@ -157,7 +156,7 @@ def review(actions: DataFrame, pending: DataFrame, days: int = 7) -> DataFrame:
 def create_interventions(rows: DataFrame, sources: DataFrame) -> DataFrame:
     """Clamps the score and links to the source; a row without its source is an error."""
     known = sources.select("source_id", F.lit(True).alias("known"))
-    out = rows.join(bounded(known), "source_id", "left")
+    out = rows.join(known, "source_id", "left")
     return out.select("intervention_id", "source_id", F.greatest(F.lit(0.0), F.least(F.lit(1.0), "importance")).alias("importance"), F.when(F.col("known").isNull(), "source_missing").alias("error"))
 
 

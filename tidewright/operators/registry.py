@@ -9,7 +9,6 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..scratch import bounded
 from .policy import ARCHIVE, CLOUD, LLM
 
 REQUIRED = ("slug", "name", "publisher", "url")
@@ -61,7 +60,7 @@ def pollable(registry: DataFrame, slug_map: DataFrame, slug: str | None = None)
     out = registry.filter("coalesce(active_v0, true) and access_method = 'rss' and reliability_tier = 0 and rss_url rlike '^https?://'")
     if slug is not None:
         out = out.filter(F.col("slug") == slug)
-    out = out.join(bounded(slug_map), "slug", "left")
+    out = out.join(slug_map, "slug", "left")
     checked = F.when(F.col("source_id").isNull(), F.raise_error(F.concat(F.lit("no source id for slug "), "slug"))).otherwise(F.col("source_id"))
     return out.select(checked.alias("source_id"), F.col("rss_url").alias("feed_url"))
 
@@ -86,7 +85,7 @@ def id_counts(graph: DataFrame) -> DataFrame:
 
 def resolve(rows: DataFrame, registry: DataFrame) -> DataFrame:
     """Names from the registry by slug; a slug that it does not know is its own name."""
-    return rows.join(bounded(registry.select("slug", "name", "url")), "slug", "left").select("slug", F.coalesce("name", "slug").alias("name"), "url")
+    return rows.join(registry.select("slug", "name", "url"), "slug", "left").select("slug", F.coalesce("name", "slug").alias("name"), "url")
 
 
 def upsert(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import audit as A
-from ..scratch import Scratch, bounded
+from ..scratch import Scratch
 from ..sources.tables import Tables
 from .views import sql
 
@@ -54,7 +54,7 @@ def _rationale(s, d):  # noqa: ANN001, ANN202
     t = Tables(s, d)
     return (
         t.doc_source_edge()
-        .join(bounded(t.source_policy()), "source_id")
+        .join(t.source_policy(), "source_id")
         .select("doc_id", A.rationale(F.col("snap_id"), F.col("archive_policy"), F.col("cloud_policy"), F.when(F.col("doc_id") % 2 == 0, F.lit("retry")).otherwise(F.lit(""))).alias("rationale"))
     )
 

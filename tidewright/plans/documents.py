@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from ..functions import net as N
 from ..functions import text as X
 from ..operators import documents as D
-from ..scratch import bounded
 from ..sources.tables import Tables
 from .views import sql
 
@@ -31,7 +30,7 @@ def _upsert(s, d):  # noqa: ANN001, ANN202
     new = X.token_chunks(changed).select(F.col("doc_id").alias("snap"), "chunk_index", F.sha2("chunk_text", 256).alias("chunk_hash"))
     old = X.token_chunks(t.documents()).select(F.col("doc_id").alias("snap"), "chunk_index", F.concat(F.lit("chk_"), "doc_id", F.lit("_"), "chunk_index").alias("chunk_id"))
     policy = t.source_policy().select(F.col("source_id").alias("source"), "archive_policy")
-    given = changed.join(bounded(policy), "source", "left").select(F.col("doc_id").alias("snap"), F.when(~F.coalesce(F.col("archive_policy").isin("full_snapshot_allowed", "excerpt_only"), F.lit(False)), "policy").when(F.trim(F.coalesce("text", F.lit(""))) == "", "empty_text").alias("reject"))
+    given = changed.join(policy, "source", "left").select(F.col("doc_id").alias("snap"), F.when(~F.coalesce(F.col("archive_policy").isin("full_snapshot_allowed", "excerpt_only"), F.lit(False)), "policy").when(F.trim(F.coalesce("text", F.lit(""))) == "", "empty_text").alias("reject"))
     return D.chunk_upsert(old, new, given)
 
 

@@ -3,7 +3,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import policy as P
-from ..scratch import bounded
 from ..sources.tables import Tables
 from .views import sql
 
@@ -17,7 +16,7 @@ def _pick(values, index):  # noqa: ANN001, ANN202
 def _gate_rows(t: Tables):  # noqa: ANN202
     d = t.documents().select("doc_id", F.col("source").alias("sid"))
     p = t.source_policy().select(F.col("source_id").alias("sid"), "archive_policy", "cloud_policy", "llm_policy")
-    x = d.join(bounded(p), "sid", "left")
+    x = d.join(p, "sid", "left")
     i = F.col("doc_id")
     return x.select(
         "doc_id",
@@ -81,7 +80,7 @@ def _kind(s, d):  # noqa: ANN001, ANN202
 def _create_claims(s, d):  # noqa: ANN001, ANN202
     t = Tables(s, d)
     ok = P.claim_kind(_claims(t)).filter("error is null")
-    return ok.join(bounded(t.source_policy().select(F.col("source_id").alias("source"))), "source", "left_semi").select(F.concat(F.lit("mcl_"), "doc_id").alias("claim_id"), F.col("source").alias("source_id"), "kind", "confidence")
+    return ok.join(t.source_policy().select(F.col("source_id").alias("source")), "source", "left_semi").select(F.concat(F.lit("mcl_"), "doc_id").alias("claim_id"), F.col("source").alias("source_id"), "kind", "confidence")
 
 
 def _llm_gate(s, d):  # noqa: ANN001, ANN202

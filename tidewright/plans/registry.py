@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from ..operators import documents as D
 from ..operators import registry as R
-from ..scratch import bounded
 from ..sources.tables import Tables
 from .views import sql
 
@@ -59,7 +58,7 @@ def _survivors(s, d):  # noqa: ANN001, ANN202
 
 def _membership(s, d):  # noqa: ANN001, ANN202
     t = Tables(s, d)
-    return t.documents().join(bounded(t.source_policy().filter("llm_policy = 'allowed'").select(F.col("source_id").alias("source"))), "source", "left_semi").select("doc_id", F.coalesce(F.col("lang").isin("en", "fr"), F.lit(False)).alias("known_lang"))
+    return t.documents().join(t.source_policy().filter("llm_policy = 'allowed'").select(F.col("source_id").alias("source")), "source", "left_semi").select("doc_id", F.coalesce(F.col("lang").isin("en", "fr"), F.lit(False)).alias("known_lang"))
 
 
 def _pollable(s, d):  # noqa: ANN001, ANN202

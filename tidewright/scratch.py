@@ -72,12 +72,3 @@ def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(key, before)
-
-
-def bounded(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
-    """A table to broadcast, whose query fails where it has more than ``most_rows`` rows; it never sends more than one beyond."""
-    # Behind a limit there is one partition. The planner leaves the limit out only where the table cannot have more rows; its parts are then numbered each.
-    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    some = df.limit(most_rows + 1).withColumn("__row", place)
-    refused = F.raise_error(F.lit(f"more than {most_rows} rows to broadcast: join them without a hint"))
-    return F.broadcast(some.filter(F.when(F.col("__row") >= most_rows, refused).otherwise(F.lit(True))).drop("__row"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..scratch import Scratch, bounded
+from ..scratch import Scratch
 
 
 class Tables:
@@ -54,7 +54,7 @@ class Tables:
     def snapshot_allowed(self) -> DataFrame:
         """A snapshot may be uploaded when it has sources, all registered and permitting; no source at all means no."""
         policy = self.source_policy().select("source_id", ((F.col("archive_policy") == "full_snapshot_allowed") & (F.col("cloud_policy") == "allowed_public_data_only")).alias("ok"))
-        return self.doc_source_edge().join(bounded(policy), "source_id", "left").groupBy("snap_id", "first_doc").agg(F.coalesce(F.bool_and(F.coalesce("ok", F.lit(False))), F.lit(False)).alias("allowed"))
+        return self.doc_source_edge().join(policy, "source_id", "left").groupBy("snap_id", "first_doc").agg(F.coalesce(F.bool_and(F.coalesce("ok", F.lit(False))), F.lit(False)).alias("allowed"))
 
     def keyed_snapshot(self) -> DataFrame:
         return self.snapshot_allowed().filter("allowed or first_doc % 11 = 0").select("snap_id", "first_doc", F.concat(F.lit("permitted_artifact/snapshot/"), "snap_id").alias("object_key"))
