@@ -320,3 +320,27 @@ def test_mentions_of_any_number_of_needles(spark):
     got = sorted(((r.doc_id, r.n) for r in documents.mentions(docs, needles, "s").collect()), key=repr)
     assert got == sorted(((i, n) for i, t in texts for n, s in wanted if t and s and s in t), key=repr)
     assert documents.mentions(docs, needles.limit(0), "s").count() == 0
+
+
+def test_lineage_of_any_depth(spark):
+    """A chain of 300, a cycle, a diamond and a null: every node at its nearest, and an end."""
+    pairs = [(k, k + 1) for k in range(300)] + [(1000, 1001), (1001, 1002), (1002, 1000), (2000, 2001), (2000, 2002), (2001, 2003), (2002, 2003), (2003, 2004), (2000, 2004), (None, 1), (5, None)]
+    edges = spark.createDataFrame(pairs, "src long, dst long")
+    after = {}
+    for a, b in pairs:
+        if a is not None and b is not None:
+            after.setdefault(a, []).append(b)
+    want = set()
+    for root in (0, 250, 1000, 2000, 9999):
+        near, at = {root: 0}, [root]
+        while at:
+            at = [b for a in at for b in after.get(a, []) if b not in near and not near.update({b: near[a] + 1})]
+        want |= {(root, n, h) for n, h in near.items()}
+    roots = spark.createDataFrame([(r,) for r in (0, 250, 1000, 2000, 9999)], "node long")
+    assert {tuple(r) for r in documents.lineage(edges, roots).collect()} == want
+
+
+def test_citations(spark):
+    ids = spark.createDataFrame([(x,) for x in ("a1", "a2", "a-3", "a.4", "a5", "a-6", "b7", None)], "claim_id string")
+    works = spark.createDataFrame([(["a1"], "see a2, xa5 and a5_"), ([], "(a-3) a-66 axx4 a?6"), (None, None), ([], "a.4"), ([], "xa-6"), (["zz"], "")], "listed array<string>, body string")
+    assert sorted(r.claim_id for r in documents.cited(ids, works).collect()) == ["a-3", "a.4", "a1", "a2"]

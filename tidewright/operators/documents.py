@@ -146,18 +146,71 @@ def graph(nodes: Mapping[str, tuple[DataFrame, str]], edges: Mapping[str, tuple[
     return vertices, sound.select("src", "dst", "type")
 
 
-def lineage(edges: DataFrame, roots: DataFrame, depth: int) -> DataFrame:
-    """``root, node, hops`` along edges, at most ``depth`` of them; each node once for a root, at its nearest.
-
-    Each step is written, so that the next joins what is found instead of finding it again.
+def lineage(edges: DataFrame, roots: DataFrame, depth: int | None = None) -> DataFrame:
+    """``root, node, hops`` along edges, each node once for a root, at its nearest; all that a root leads to, or ``depth`` steps of it.
+
+    Without a depth, walks double in length: what was found within ``2**k`` steps is
+    joined with the walks of exactly ``2**k``, until a round finds nothing. A shortest
+    walk is put together from such walks, so that rounds grow as the logarithm of the depth,
+    and cycles end. Each round is written, so that the next joins what is found instead of
+    finding it again.
     """
     scratch = Scratch(edges.sparkSession, "lineage")
-    step = scratch.save(roots.select(F.col("node").alias("root"), "node").distinct(), "roots")
-    out = step.withColumn("hops", F.lit(0))
-    for hop in range(1, depth + 1):
-        step = scratch.save(step.join(edges, step.node == edges.src).select("root", F.col("dst").alias("node")).distinct(), "step")
-        out = out.unionByName(step.withColumn("hops", F.lit(hop)))
-    return out.groupBy("root", "node").agg(F.min("hops").alias("hops"))
+    start = scratch.save(roots.select(F.col("node").alias("root"), "node").distinct(), "roots")
+    if depth is not None:
+        step, out = start, start.withColumn("hops", F.lit(0))
+        for hop in range(1, depth + 1):
+            step = scratch.save(step.join(edges, step.node == edges.src).select("root", F.col("dst").alias("node")).distinct(), "step")
+            out = out.unionByName(step.withColumn("hops", F.lit(hop)))
+        return out.groupBy("root", "node").agg(F.min("hops").alias("hops"))
+    found = start.withColumn("hops", F.lit(0))
+    walks = scratch.save(edges.filter("src is not null and dst is not null").select("src", "dst").distinct(), "walks")
+    length = 1
+    while True:
+        further = found.join(walks, F.col("node") == F.col("src")).select("root", F.col("dst").alias("node"), F.col("hops") + length).toDF("root", "node", "hops")
+        new = scratch.save(further.groupBy("root", "node").agg(F.min("hops").alias("hops")).join(found.select("root", "node"), ["root", "node"], "left_anti"), "new")
+        if new.isEmpty():
+            return found
+        found, length = found.unionByName(new), length * 2
+        again = walks.select(F.col("src").alias("__mid"), F.col("dst").alias("__end"))
+        longer = scratch.save(walks.join(again, F.col("dst") == F.col("__mid")).select("src", F.col("__end").alias("dst")).distinct(), "walks")
+        scratch.drop(walks)
+        walks = longer
+
+
+def trace(edges: DataFrame, roots: DataFrame, path: Sequence[str]) -> DataFrame:
+    """``root``, a column for each type of ``path`` with the node that an edge ``(src, dst, type)`` of it leads to, and ``hops``.
+
+    One row for each way along the types. A way may end before the last type (a claim
+    without a snapshot); ways that end earlier are left out.
+    """
+    out = roots.select(F.col("node").alias("root"), F.col("node").alias("__at"))
+    for k, kind in enumerate(path):
+        step = edges.filter(F.col("type") == kind).select(F.col("src").alias("__at"), F.col("dst").alias(kind)).distinct()
+        out = out.join(step, "__at", "inner" if k < len(path) - 1 else "left").withColumn("__at", F.col(kind))
+    return out.drop("__at").withColumn("hops", F.lit(len(path) - 1).cast("long") + F.col(path[-1]).isNotNull().cast("long"))
+
+
+#: What may stand in a word around an id.
+_WORD = "[A-Za-z0-9_]"
+
+
+def cited(ids: DataFrame, works: DataFrame, id_col: str = "claim_id") -> DataFrame:
+    """Which of ``ids`` a work ``(listed array, body)`` cites: in its list, or as a whole word of its body.
+
+    Ids that are words are joined with the words of bodies; others, which hold marks
+    between words, are sought by their rare runs and judged at both ends.
+    """
+    wanted = ids.select(F.col(id_col).alias("id")).filter("id is not null").distinct()
+    listed = works.select(F.explode("listed").alias("id"))
+    words = works.select(F.explode(F.array_distinct(F.regexp_extract_all(F.coalesce("body", F.lit("")), F.lit(f"({_WORD}+)")))).alias("id"))
+    by_word = wanted.join(listed.unionByName(words).distinct(), "id", "left_semi")
+    odd = wanted.filter(~F.col("id").rlike(f"^{_WORD}+$")).join(listed, "id", "left_anti")
+    bodies = works.filter(F.length("body") > 0).select(F.xxhash64("body").alias("k"), "body").distinct()
+    near = mentions(bodies, odd.select("id", F.col("id").alias("needle")), "needle", "k", "body").join(bodies, "k")
+    quoted = F.regexp_replace("id", r"([^\p{L}\p{N}_])", r"\\$1")
+    whole = near.filter(F.regexp(F.col("body"), F.concat(F.lit(f"(?<!{_WORD})"), quoted, F.lit(f"(?!{_WORD})"))))
+    return by_word.unionByName(whole.select("id").distinct()).select(F.col("id").alias(id_col))
 
 
 def gaps(ids: DataFrame, prefix_col: str = "prefix", number_col: str = "number", ranges: int | None = None) -> DataFrame:

@@ -71,6 +71,40 @@ def _lineage(s, d):  # noqa: ANN001, ANN202
     return D.lineage(_graph(t), t.documents().select(F.col("doc_id").alias("node")), 5).withColumn("hops", F.col("hops").cast("long"))
 
 
+def _revisions(s, d):  # noqa: ANN001, ANN202
+    """Each document supersedes the one at a third of its number: a forest as deep as the logarithm of its size."""
+    docs = Tables(s, d).documents()
+    edges = docs.filter("doc_id > 0").select(F.col("doc_id").alias("src"), F.floor(F.col("doc_id") / 3).cast("long").alias("dst"))
+    return D.lineage(edges, docs.select(F.col("doc_id").alias("node"))).withColumn("hops", F.col("hops").cast("long"))
+
+
+_TRACE = ("draft", "thesis", "revision", "claim", "snapshot")
+
+
+def _trace(s, d):  # noqa: ANN001, ANN202
+    """Two theses a publication; claims that were entered by hand have no snapshot."""
+    t = Tables(s, d)
+    claims = t.claim_quote().select("thesis_id", "claim_id", "doc_id")
+    n = F.regexp_extract("thesis_id", "([0-9]+)", 1).cast("long")
+    theses = claims.select("thesis_id").distinct().withColumn("n", n)
+    link = lambda rows, src, dst, kind: rows.select(F.expr(src).alias("src"), F.expr(dst).alias("dst"), F.lit(kind).alias("type"))
+    edges = link(theses, "'pub_' || (n div 2)", "'drf_' || n", "draft")
+    edges = edges.unionByName(link(theses, "'drf_' || n", "thesis_id", "thesis")).unionByName(link(theses, "thesis_id", "'scn_' || n || '_r1'", "revision"))
+    edges = edges.unionByName(link(claims.withColumn("n", n), "'scn_' || n || '_r1'", "claim_id", "claim"))
+    edges = edges.unionByName(link(claims.filter("doc_id % 20 <> 0").join(t.documents().select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("h")), "doc_id"), "claim_id", "'snap_' || substr(h, 1, 16)", "snapshot"))
+    return D.trace(edges, edges.filter("type = 'draft'").select(F.col("src").alias("node")).distinct(), _TRACE)
+
+
+def _cited_bodies(s, d):  # noqa: ANN001, ANN202
+    """Promoted claims that no scenario cites, in its list or its body; ids of every fifth hold a dash."""
+    t = Tables(s, d)
+    name = lambda i: F.concat(F.lit("clm_"), i.cast("string"), F.when(i % 5 == 0, "-b").otherwise(""))
+    i = F.col("doc_id")
+    promoted = t.claim_quote().filter("confidence_pct >= 85").select(name(i).alias("claim_id"))
+    body = F.concat(F.coalesce("text", F.lit("")), F.lit(" see "), name(i * 3), F.lit(", ("), name(i * 5), F.lit("); not x"), name(i * 2), F.lit(" nor "), name(i * 7), F.lit("_c"))
+    return promoted.join(D.cited(promoted, t.documents().select(F.array(name(i * 11)).alias("listed"), body.alias("body"))), "claim_id", "left_anti")
+
+
 def _search(s, d):  # noqa: ANN001, ANN202
     t = Tables(s, d)
     return D.search(t.documents(), _graph(t), ["the", "with"])
@@ -232,6 +266,9 @@ QUERIES = {
     "fulltext_search": _fulltext,
     "graph_scan": _graph_scan,
     "lineage_recursive": _lineage,
+    "revision_lineage": _revisions,
+    "publication_trace": _trace,
+    "uncited_in_bodies": _cited_bodies,
     "one_hop_search": _search,
     "centrality": lambda s, d: G.pagerank(_graph(Tables(s, d)), 3).withColumn("rank", F.round("rank", 9)),
     "one_sided_rate": _one_sided,
@@ -277,6 +314,13 @@ SQL = {
     "retrieval_recall_at_k": f"WITH {_KNN}, g AS (SELECT query_id AS case_id, count(*) FILTER (rank <= 5 AND other_id % 2 = 0) AS hit, count(*) FILTER (other_id % 2 = 0) AS want FROM r WHERE rank <= 10 GROUP BY 1) SELECT case_id, CASE WHEN want = 0 THEN 1.0::DOUBLE ELSE hit / want END AS recall, CASE WHEN want = 0 THEN true ELSE hit / want >= 0.8 END AS passed FROM g",
     "embedding_knn": f"WITH {_KNN} SELECT query_id, other_id, rank, round(cosine, 9) AS cosine FROM r WHERE rank <= 5",
     "lineage_recursive": f"WITH RECURSIVE {_GRAPH}, w(root, node, hops) AS (SELECT doc_id, doc_id, 0 FROM documents UNION ALL SELECT w.root, g.dst, w.hops + 1 FROM w JOIN g ON g.src = w.node WHERE w.hops < 5) SELECT root, node, min(hops)::BIGINT AS hops FROM w GROUP BY 1, 2",
+    "revision_lineage": "WITH RECURSIVE w(root, node, hops) AS (SELECT doc_id, doc_id, 0 FROM documents UNION ALL SELECT root, node // 3, hops + 1 FROM w WHERE node > 0) SELECT root, node, min(hops)::BIGINT AS hops FROM w GROUP BY 1, 2",
+    "publication_trace": sql("""WITH c AS (SELECT q.claim_id, q.thesis_id, q.doc_id, regexp_extract(q.thesis_id, '([0-9]+)', 1)::BIGINT AS n, 'snap_' || substring(sha256(coalesce(text, '')), 1, 16) AS snap FROM claim_quote q)
+        SELECT 'pub_' || (n // 2) AS root, 'drf_' || n AS draft, thesis_id AS thesis, 'scn_' || n || '_r1' AS revision, claim_id AS claim, CASE WHEN doc_id % 20 <> 0 THEN snap END AS snapshot, 4 + (doc_id % 20 <> 0)::BIGINT AS hops FROM c"""),
+    "uncited_in_bodies": sql("""WITH n AS (SELECT doc_id, k, 'clm_' || (doc_id * k) || CASE WHEN doc_id * k % 5 = 0 THEN '-b' ELSE '' END AS id FROM documents, (VALUES (1), (3), (5), (11)) v(k)),
+        w AS (SELECT id FROM n WHERE k IN (3, 5, 11))
+        SELECT n.id AS claim_id FROM claim_quote q JOIN n USING (doc_id) WHERE k = 1 AND confidence_pct >= 85 AND n.id NOT IN (SELECT id FROM w)
+        AND NOT (n.id NOT LIKE '%-b' AND n.id IN (SELECT regexp_replace(id, '-b$', '') FROM w)) AND n.id NOT IN (SELECT unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9_]+')) FROM documents)"""),
     "one_hop_search": f"""WITH {_GRAPH}, t AS (SELECT doc_id AS id, len(list_filter(regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}\\p{{M}}_]+'), lambda w: w IN ('the', 'with'))) AS score FROM documents), top AS (SELECT * FROM t WHERE score > 0 ORDER BY score DESC, id LIMIT 20),
         b AS (SELECT src AS id, dst AS other FROM g UNION SELECT dst, src FROM g), n AS (SELECT id, list_sort(list(DISTINCT other))[1:5] AS near FROM b GROUP BY 1) SELECT id, score, coalesce(array_to_string(near, ','), '') AS neighbours FROM top LEFT JOIN n USING (id)""",
     "retrieval_evaluation": f"""WITH {_KNN}, j AS (SELECT r.*, e.label FROM r JOIN embeddings e ON e.vec_id = other_id WHERE rank <= 10),
