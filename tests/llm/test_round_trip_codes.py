@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewright.llm import alignment, code_compression, license_rules, license_scan, queries, tokens
+from tidewright.llm import alignment, code_compression, license_rules, license_scan, personal_data, queries, tokens
 
 # --- alignment ---------------------------------------------------------------------------------------------------------------
 
@@ -219,3 +221,42 @@ def test_codes(spark, monkeypatch):
     assert code_compression.with_label_error(code_compression.compress(df.limit(0))[0]).count() == 0
     with pytest.raises(Exception, match="would not fit"):
         code_compression.compress(df.withColumn("embedding", F.transform("embedding", lambda x: x * 1e30)), parts=4)[0].count()
+
+
+# --- personal data -----------------------------------------------------------------------------------------------------------
+
+
+def plain_reconcile(pieces):
+    out = []
+    for kind in personal_data.KINDS:
+        whole = sorted({(a, b) for k, a, b, cut in pieces if k == kind and not cut})
+        mine = whole + [(a, b) for k, a, b, cut in pieces if k == kind and cut and not any(a < y and x < b for x, y in whole)]
+        joined = []
+        for a, b in sorted(mine):
+            if joined and a <= joined[-1][1]:
+                joined[-1][1] = max(b, joined[-1][1])
+            else:
+                joined.append([a, b])
+        out += [(kind, a, b) for a, b in joined]
+    kept = []
+    for kind, a, b in sorted(out, key=lambda s: (s[1] - s[2], s[1])):
+        if all(b <= x or y <= a for _, x, y in kept):
+            kept.append((kind, a, b))
+    return kept
+
+
+def test_spans_of_all_windows_are_reconciled_as_by_comparing_all():
+    rng = random.Random(2)
+    for _ in range(300):
+        pieces = [(rng.choice(personal_data.KINDS), a := rng.randint(0, 200), a + rng.randint(1, 30), rng.random() < 0.4) for _ in range(rng.randint(0, 40))]
+        assert personal_data.reconcile(pieces) == plain_reconcile(pieces)
+
+
+def test_a_long_log_and_long_spans():
+    """Time in proportion to the number of spans, and no limit to the length of one."""
+    pieces = [("ip", 24 * k, 24 * k + 11, False) for k in range(100_000)] + [("email", 24 * k + 12, 24 * k + 20, k % 2 == 0) for k in range(100_000)]
+    start = time.process_time()
+    assert len(personal_data.reconcile(pieces)) == 200_000
+    assert time.process_time() - start < 4
+    long = "x" * 70 + " [at] " + "y" * 60 + " [dot] org"
+    assert personal_data.valid("email", f"mail {long} now", 5, 5 + len(long))

@@ -24,8 +24,11 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -322,7 +325,6 @@ def train(texts: list[str], windows: int = 8000, epochs: int = 4, batch: int = 6
 
 _AT = re.compile(r"@|[(\[{<] ?at ?[)\]}>]| at ", re.I)
 _DOT = re.compile(r" ?[(\[{<] ?(?:dot|\.) ?[)\]}>] ?| dot | ?\. ?", re.I)
-_MOST_CHARS = 80
 
 
 def valid(kind: str, text: str, start: int, end: int) -> bool:
@@ -333,7 +335,7 @@ def valid(kind: str, text: str, start: int, end: int) -> bool:
     decision.
     """
     got = text[start:end]
-    if not 5 <= len(got) <= _MOST_CHARS or "\n" in got or (start and text[start - 1].isalnum()) or (end < len(text) and text[end].isalnum()):
+    if len(got) < 5 or "\n" in got or (start and text[start - 1].isalnum()) or (end < len(text) and text[end].isalnum()):
         return False
     digits = re.sub("[^0-9]", "", got)
     if kind == "email":
@@ -354,12 +356,26 @@ def valid(kind: str, text: str, start: int, end: int) -> bool:
     return (8 if stated else 9) <= len(digits) <= 15 and all(len(part) <= 3 and set(part) <= set(" ()./-+") for part in apart) and (stated or len(apart) >= 4)
 
 
+class Cover:
+    """Intervals that are asked which of them an interval overlaps, by bisection."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]) -> None:
+        ordered = sorted(spans)
+        self.starts = [a for a, _ in ordered]
+        self.furthest = list(accumulate((b for _, b in ordered), max))  # end of those up to each
+
+    def meets(self, start: int, end: int) -> bool:
+        k = bisect_left(self.starts, end)
+        return k > 0 and self.furthest[k - 1] > start
+
+
 def reconcile(pieces: list[tuple[str, int, int, bool]]) -> list[Span]:
     """Spans of all windows of a text (``cut``: by a window's edge) as disjoint ones."""
     out: list[Span] = []
     for kind in KINDS:
-        whole = sorted({(a, b) for k, a, b, cut in pieces if k == kind and not cut})
-        mine = whole + [(a, b) for k, a, b, cut in pieces if k == kind and cut and not any(a < y and x < b for x, y in whole)]
+        whole = {(a, b) for k, a, b, cut in pieces if k == kind and not cut}
+        cover = Cover(whole)
+        mine = [*whole, *((a, b) for k, a, b, cut in pieces if k == kind and cut and not cover.meets(a, b))]
         joined: list[list[int]] = []
         for a, b in sorted(mine):
             if joined and a <= joined[-1][1]:
@@ -368,8 +384,13 @@ def reconcile(pieces: list[tuple[str, int, int, bool]]) -> list[Span]:
                 joined.append([a, b])
         out += [(kind, a, b) for a, b in joined]
     kept: list[Span] = []
+    starts: list[int] = []  # of kept spans, which are disjoint, with their ends
+    ends: list[int] = []
     for kind, a, b in sorted(out, key=lambda s: (s[1] - s[2], s[1])):
-        if all(b <= x or y <= a for _, x, y in kept):
+        k = bisect_left(starts, a)
+        if (k == 0 or ends[k - 1] <= a) and (k == len(starts) or b <= starts[k]):
+            starts.insert(k, a)
+            ends.insert(k, b)
             kept.append((kind, a, b))
     return kept
 
@@ -420,13 +441,14 @@ def find(net: Network, texts: list[str], gate: bool = True) -> list[tuple[list[S
     out = []
     for text, more in zip(texts, model_spans(net, texts, gate), strict=True):
         base = base_spans(text)
+        cover = Cover((a, b) for _, a, b in base)
         extra = []
         for kind, a, b in more:
             while a < b and text[a] in " \n.,;:":
                 a += 1
             while a < b and text[b - 1] in " \n.,;:":
                 b -= 1
-            if valid(kind, text, a, b) and all(b <= x or y <= a for _, x, y in base):
+            if not cover.meets(a, b) and valid(kind, text, a, b):
                 extra.append((kind, a, b))
         out.append((base, sorted(base + extra, key=lambda s: (KINDS.index(s[0]), s[1]))))
     return out
@@ -438,7 +460,13 @@ def fit(docs: DataFrame, text_col: str = "text", sample: int = 300, chars: int =
     bound = rows.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
     got = [] if bound is None else rows.filter(F.col("h") <= bound).select("h", F.substring(F.col("t"), (1 + F.pmod(F.col("h"), F.greatest(F.length("t") - chars, F.lit(0)) + 1)).cast("int"), F.lit(chars)).alias("t")).groupBy("h").agg(F.first("t").alias("t")).collect()
     got.sort(key=lambda r: r["h"])
-    return train([r["t"] for r in got])
+    return _trained(tuple(r["t"] for r in got))
+
+
+@lru_cache(maxsize=4)
+def _trained(texts: tuple[str, ...]) -> Network:
+    """The weights that a sample gives are the same each time; the driver keeps the last ones."""
+    return train(list(texts))
 
 
 def joined(spans: list[Span]) -> str:
