@@ -383,10 +383,27 @@ def reconcile(pieces: list[tuple[str, int, int, bool]]) -> list[Span]:
             else:
                 joined.append([a, b])
         out += [(kind, a, b) for a, b in joined]
+    # Spans that no chain of overlaps connects are chosen apart.
+    kept: list[Span] = []
+    near: list[Span] = []
+    reach = 0
+    for span in sorted(out, key=lambda s: s[1]):
+        if near and span[1] >= reach:
+            kept += _longest(near)
+            near = []
+        near.append(span)
+        reach = max(reach, span[2])
+    return sorted(kept + _longest(near), key=lambda s: (s[1] - s[2], s[1]))
+
+
+def _longest(spans: list[Span]) -> list[Span]:
+    """Of overlapping spans the longer ones, the earlier of equal ones."""
+    if len(spans) < 2:
+        return spans
     kept: list[Span] = []
     starts: list[int] = []  # of kept spans, which are disjoint, with their ends
     ends: list[int] = []
-    for kind, a, b in sorted(out, key=lambda s: (s[1] - s[2], s[1])):
+    for kind, a, b in sorted(spans, key=lambda s: (s[1] - s[2], s[1], KINDS.index(s[0]))):
         k = bisect_left(starts, a)
         if (k == 0 or ends[k - 1] <= a) and (k == len(starts) or b <= starts[k]):
             starts.insert(k, a)
