@@ -58,24 +58,8 @@ def missing_parents(rows: DataFrame, key: str, parents: DataFrame) -> DataFrame:
     return rows.join(parents.select(key).distinct(), key, "left_anti")
 
 
-def search(docs: DataFrame, edges: DataFrame, terms: Sequence[str], id_col: str = "doc_id", text_col: str = "text", limit: int = 20, neighbours: int = 5) -> DataFrame:
-    """Documents by how often the terms occur, with the first neighbours over edges taken both ways.
-
-    Only the hits travel on to the edges: the top is taken before the traversal.
-    """
-    whole_words = r"(?U)\b(?:" + "|".join(re.escape(t.lower()) for t in terms) + r")\b"
-    score = F.regexp_count(F.lower(F.col(text_col)), F.lit(whole_words))
-    hits = docs.select(F.col(id_col).alias("id"), score.cast("long").alias("score")).orderBy(F.desc("score"), "id").limit(limit)  # what scores 0 comes last
-    top = docs.sparkSession.createDataFrame([r for r in hits.collect() if r["score"]], hits.schema)  # `limit` rows, so that the texts are read once
-    ends = lambda a, b: F.struct(F.col(a).alias("id"), F.col(b).alias("other"))
-    both = edges.select(F.inline(F.array(ends("src", "dst"), ends("dst", "src"))))
-    near = both.join(F.broadcast(top.select("id")), "id").groupBy("id").agg(F.slice(F.array_sort(F.collect_set("other")), 1, neighbours).alias("near"))
-    return top.join(near, "id", "left").select("id", "score", F.coalesce(F.array_join("near", ","), F.lit("")).alias("neighbours"))
-
-
 #: Words that the index leaves out, and endings that it strips, longest first. Fixed values.
 STOP_WORDS = ("a", "an", "and", "are", "as", "at", "be", "but", "by", "for", "if", "in", "into", "is", "it", "no", "not", "of", "on", "or", "such", "that", "the", "their", "then", "there", "these", "they", "this", "to", "was", "will", "with")
-K1, B = 1.2, 0.75
 
 
 def analysed(text: Column) -> Column:
@@ -85,43 +69,9 @@ def analysed(text: Column) -> Column:
     return F.filter(plain, lambda w: ~w.isin(*STOP_WORDS))
 
 
-def index(nodes: DataFrame, text_cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """The written index of ``nodes(kind, id, …)``: postings ``kind, id, term, often, size`` and nodes ``kind, id, size``.
-
-    ``size`` is a node's number of terms in all fields together. Postings lie in the
-    order of terms, so that a search reads the row groups of its terms only. A null
-    or empty field has no terms; nodes without any are counted, and never found.
-    """
-    scratch = Scratch(nodes.sparkSession, "search")
-    terms = F.flatten(F.array(*(analysed(F.col(c)) for c in text_cols)))
-    rows = scratch.save(nodes.select("kind", "id", terms.alias("terms")).withColumn("size", F.size("terms")), "terms")
-    postings = rows.select("kind", "id", "size", F.explode("terms").alias("term")).groupBy("kind", "id", "term", "size").agg(F.count(F.lit(1)).alias("often"))
-    sizes = scratch.save(rows.select("kind", "id", "size"), "nodes")
-    postings = scratch.save(postings.repartitionByRange("term", "kind", "id").sortWithinPartitions("term", "kind", "id"), "postings")
-    scratch.drop(rows)
-    return postings, sizes
-
-
-def ranked(postings: DataFrame, nodes: DataFrame, query: str, limit: int = 20) -> DataFrame:
-    """``kind, id, score``: BM25 over an index; the best ``limit`` of each kind."""
-    asked = postings.sparkSession.range(1).select(F.array_distinct(analysed(F.lit(query)))).first()[0]  # the words of one query
-    hits = postings.filter(F.col("term").isin(asked))
-    sizes = nodes.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.avg("size").alias("mean"))
-    having = hits.groupBy("kind", "term").agg(F.count(F.lit(1)).alias("df"))
-    scored = hits.join(having, ["kind", "term"]).join(sizes, "kind")
-    idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    part = idf * F.col("often") * (K1 + 1) / (F.col("often") + K1 * (1 - B + B * F.col("size") / F.col("mean")))
-    total = scored.groupBy("kind", "id").agg(F.round(F.sum(part), 6).alias("score"))
-    order = Window.partitionBy("kind").orderBy(F.desc("score"), "id")
-    return total.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= limit)
-
-
-def with_related(hits: DataFrame, edges: DataFrame, kinds: Sequence[str], neighbours: int = 5) -> DataFrame:
-    """Hits with their first neighbours over edges ``(src, dst, kind)`` of the given kinds, taken both ways; hits without any stay."""
-    wanted = edges.filter(F.col("kind").isin(*kinds))
-    both = wanted.select(F.col("src").alias("id"), F.col("dst").alias("other")).unionByName(wanted.select(F.col("dst").alias("id"), F.col("src").alias("other"))).distinct()
-    near = both.join(hits.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.slice(F.array_sort(F.collect_set("other")), 1, neighbours).alias("near"))
-    return hits.join(near, "id", "left").withColumn("neighbours", F.coalesce(F.array_join("near", ","), F.lit(""))).drop("near")
+def every_word(text: Column) -> Column:
+    """Lower-case runs of letters, digits, marks and underscores, all of them."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}\p{M}_]+"), F.lit(0))
 
 
 def graph(nodes: Mapping[str, tuple[DataFrame, str]], edges: Mapping[str, tuple[DataFrame, str, str, str, str]]) -> tuple[DataFrame, DataFrame]:

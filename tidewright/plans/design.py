@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ..operators import design as G
 from ..operators import documents as D
 from ..operators import extraction as E
+from ..operators.search_index import SearchIndex
+from ..scratch import Scratch
 from ..sources.tables import Tables
 from .views import sql
 
@@ -106,8 +108,8 @@ def _cited_bodies(s, d):  # noqa: ANN001, ANN202
 
 
 def _search(s, d):  # noqa: ANN001, ANN202
-    t = Tables(s, d)
-    return D.search(t.documents(), _graph(t), ["the", "with"])
+    found = claim_index(s, d).one_hop("the with")
+    return found.select(F.col("id").cast("long").alias("id"), F.col("score").cast("long").alias("score"), "neighbours")
 
 
 def _one_sided(s, d):  # noqa: ANN001, ANN202
@@ -187,12 +189,27 @@ def _nodes(t: Tables):  # noqa: ANN202
 QUERY = "the pollution of Ethers and ther's with source2 collect"
 
 
-def _fulltext(s, d):  # noqa: ANN001, ANN202
+def text_index(s, d):  # noqa: ANN001, ANN201
+    """All six kinds in two segments, with the claims' edges."""
     t = Tables(s, d)
-    hits = D.ranked(*D.index(_nodes(t), ["name", "text"]), QUERY)
     claim = lambda i: F.concat(F.lit("claim_"), i)
     edges = _graph(t).select(claim("src").alias("src"), claim("dst").alias("dst"), _pick(("SUPPORTS", "CONTRADICTS", "QUALIFIES", "MENTIONS"), F.col("src")).alias("kind"))
-    return D.with_related(hits, edges, ("SUPPORTS", "CONTRADICTS", "QUALIFIES")).select("kind", "id", "score", F.col("place").cast("long").alias("place"), "neighbours")
+    nodes, index = _nodes(t), SearchIndex(s, Scratch(s, "search").path("index"), D.analysed)
+    own = F.col("kind").isin("document", "claim")
+    return index.add(nodes.filter(own), ["name", "text"], edges).add(nodes.filter(~own), ["name", "text"])
+
+
+def claim_index(s, d):  # noqa: ANN001, ANN201
+    """Documents by the occurrences of their words, with the edges between them."""
+    t = Tables(s, d)
+    index = SearchIndex(s, Scratch(s, "search").path("claims"), D.every_word, "count")
+    nodes = t.documents().select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), "text")
+    return index.add(nodes, ["text"], _graph(t).withColumn("kind", F.lit("LINK")))
+
+
+def _fulltext(s, d):  # noqa: ANN001, ANN202
+    found = text_index(s, d).one_hop(QUERY, kinds=("SUPPORTS", "CONTRADICTS", "QUALIFIES"))
+    return found.select("kind", "id", "score", F.col("place").cast("long").alias("place"), "neighbours")
 
 
 def _graph_scan(s, d):  # noqa: ANN001, ANN202
