@@ -44,7 +44,7 @@ def test_search(spark, tmp_path, score, monkeypatch):
     nodes = [(rng.choice(["a", "a", "b"]), f"n{i:04}", rng.choice([None, "", f"w{pick()}"]), " ".join(WORDS[pick()] for _ in range(rng.choice([0, 3, 10, 60])))) for i in range(900)]
     df = spark.createDataFrame(nodes, "kind string, id string, name string, text string").repartition(3)
     edges = spark.createDataFrame([("n0001", "n0002", "X"), ("n0002", "n0001", "X"), ("n0001", "n0003", "Y"), ("n0001", None, "X")], "src string, dst string, kind string")
-    monkeypatch.setattr(S, "BLOCK", 8)
+    monkeypatch.setattr(S, "PRUNE_FROM", 16)
     whole = S.SearchIndex(spark, f"{tmp_path}/one", words, score).add(df, ["name", "text"], edges, block=8)
     parts = S.SearchIndex(spark, f"{tmp_path}/two", words, score).add(df.filter("id < 'n0600'"), ["name", "text"], block=8).add(df.filter("id >= 'n0600'"), ["name", "text"], edges, block=8)
     again = S.SearchIndex(spark, f"{tmp_path}/two", words, score).open()

@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 K1, B = 1.2, 0.75
 BLOCK = 512
+#: Postings of a query from which a bound is looked for first. Results are the same either way.
+PRUNE_FROM = 200_000
 _POSTINGS = "kind string, term string, first boolean, max_often int, min_size int, ids array<string>, often array<int>, size array<int>"
 _TERMS = "segment long, kind string, term string, df long, min_size int, max_often int"
 _KINDS = "segment long, kind string, n long, total long"
@@ -112,14 +114,16 @@ class SearchIndex:
 
     def _weights(self, asked: list[str]) -> dict[tuple[str, str], dict[str, float]]:
         """Of each kind and term of a query: its weight, mean size, and the best that a posting can have."""
-        stats = self.terms.filter(F.col("term").isin(asked)).groupBy("kind", "term").agg(F.sum("df").alias("df"), F.min("min_size").alias("size"), F.max("max_often").alias("often"), F.max("df").alias("largest"))
+        stats: dict[tuple[str, str], list[Any]] = {}
+        for r in self.terms.filter(F.col("term").isin(asked)).collect():  # segments times kinds times the query's words
+            stats.setdefault((r.kind, r.term), []).append(r)
         out = {}
-        for r in stats.collect():  # kinds times the query's words
-            n, total = self._kinds[r.kind]
-            idf = math.log(1 + (n - r.df + 0.5) / (r.df + 0.5)) if self.score == "bm25" else 1.0
-            room = K1 * (1 - B + B * r["size"] / (total / n)) if self.score == "bm25" else 0.0
-            best = idf * (r.often * (K1 + 1) / (r.often + room) if self.score == "bm25" else r.often)
-            out[r.kind, r.term] = {"idf": idf, "mean": total / n, "room": room, "best": best, "often": r.often, "largest": r.largest}
+        for (kind, term), found in sorted(stats.items()):
+            (n, total), df, often, size = self._kinds[kind], sum(r.df for r in found), max(r.max_often for r in found), min(r.min_size for r in found)
+            idf = math.log(1 + (n - df + 0.5) / (df + 0.5)) if self.score == "bm25" else 1.0
+            room = K1 * (1 - B + B * size / (total / n)) if self.score == "bm25" else 0.0
+            best = idf * (often * (K1 + 1) / (often + room) if self.score == "bm25" else often)
+            out[kind, term] = {"idf": idf, "mean": total / n, "room": room, "best": best, "often": often, "df": df}
         return out
 
     def _least_often(self, w: dict[str, float], missing: float) -> float:
@@ -133,9 +137,14 @@ class SearchIndex:
 
     def _scores(self, rows: DataFrame, weights: dict[tuple[str, str], dict[str, float]]) -> DataFrame:
         """Of ``rows(kind, term, id, often, size)``."""
-        table = self.spark.createDataFrame([(k, t, w["idf"], w["mean"]) for (k, t), w in weights.items()], "kind string, term string, idf double, mean double")
-        part = F.col("idf") * self._part(F.col("often"), F.col("size"), F.col("mean"))
-        return rows.join(F.broadcast(table), ["kind", "term"]).groupBy("kind", "id").agg(F.round(F.sum(part), 6).alias("score"))  # kinds times words
+        def of(name: str) -> Column:
+            out = F.lit(None).cast("double")
+            for (kind, term), w in weights.items():  # kinds times words
+                out = F.when((F.col("kind") == kind) & (F.col("term") == term), w[name]).otherwise(out)
+            return out
+
+        part = of("idf") * self._part(F.col("often"), F.col("size"), of("mean"))
+        return rows.select("kind", "id", part.alias("part")).groupBy("kind", "id").agg(F.round(F.sum("part"), 6).alias("score"))
 
     @staticmethod
     def _unpacked(blocks: DataFrame) -> DataFrame:
@@ -166,7 +175,7 @@ class SearchIndex:
         weights = self._weights(asked) if asked else {}
         of = {key: (F.col("term") == key[1]) & (F.col("kind") == key[0]) for key in weights}
         reached: dict[str, float] = {}
-        if any(w["largest"] > BLOCK for w in weights.values()):
+        if sum(w["df"] for w in weights.values()) > PRUNE_FROM:  # else reading all is less than asking twice
             leading = self._scores(self._unpacked(self.postings.filter(F.col("first") & self._any(list(of.values())))), weights)
             best = self._in_full([r.id for r in self._top(leading, limit).select("id").collect()], weights)  # results of each kind
             last = self._top(best, limit).groupBy("kind").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n"))
@@ -192,6 +201,9 @@ class SearchIndex:
         hits = found.collect()  # the best of each kind
         near = self.edges.filter(F.col("src").isin(sorted({r.id for r in hits})))
         near = near if kinds is None else near.filter(F.col("kind").isin(*kinds))
-        first = near.select("src", "dst").distinct().withColumn("__n", F.row_number().over(Window.partitionBy("src").orderBy(F.col("dst").try_cast("bigint").asc_nulls_last(), "dst"))).filter(F.col("__n") <= neighbours)
-        lists = first.groupBy(F.col("src").alias("id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__n", "dst"))), lambda x: x["dst"]), ",").alias("neighbours"))
-        return self.spark.createDataFrame(hits, found.schema).join(F.broadcast(lists), "id", "left").select("kind", "id", "score", "place", F.coalesce("neighbours", F.lit("")).alias("neighbours"))  # hits at most
+        first = near.select("src", "dst").distinct().withColumn("n", F.row_number().over(Window.partitionBy("src").orderBy(F.col("dst").try_cast("bigint").asc_nulls_last(), "dst"))).filter(F.col("n") <= neighbours)
+        lists: dict[str, list[str]] = {}
+        for r in sorted(first.collect(), key=lambda r: r.n):  # some for each hit
+            lists.setdefault(r.src, []).append(r.dst)
+        rows = [(r.kind, r.id, r.score, r.place, ",".join(lists.get(r.id, []))) for r in hits]
+        return self.spark.createDataFrame(rows, "kind string, id string, score double, place int, neighbours string")
