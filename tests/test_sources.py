@@ -101,3 +101,27 @@ def test_charsets(spark):
     rows = [(b"x\xe9\x80\x93", "ISO-8859-1", "xé€“"), ("한국 뉴스".encode("cp949"), "euc-kr", "한국 뉴스"), ("日本".encode("shift_jis"), "Shift_JIS", "日本"), ("\ufeffя".encode(), "utf-8", "я"), (b"a\xffb", "utf8", "a\ufffdb"), ("я".encode("utf-16-be"), "utf-16be", "я"), ("я".encode("cp1251"), "windows-1251", "я"), (b"a\x81", "big5", "a\ufffd"), (None, "utf-8", None), (b"x", None, None)]
     body = spark.createDataFrame([(None if b is None else bytearray(b), c, w) for b, c, w in rows], "b binary, c string, w string")
     assert [r["t"] for r in body.select(files.decoded(F.col("b"), F.col("c")).alias("t")).collect()] == [w for *_, w in rows]
+
+
+def test_ledger_has_one_row_a_key(spark, tmp_path, monkeypatch):
+    """Writers at a time, a job that is run again, a task that fails, and a commit that is never named."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    schema = "id string, v int"
+    kind = spark.createDataFrame([], schema).schema
+    ledger = lambda: sinks.Ledger(spark, f"{tmp_path}/l", kind, "id")
+    rows = lambda keys, v: spark.createDataFrame([(k, v) for k in keys], schema)
+    with ThreadPoolExecutor(4) as pool:
+        added = list(pool.map(lambda v: ledger().append(rows(["a", "b", f"own{v}", None, "a"], v)), range(4)))
+    got = ledger().read().collect()
+    assert sorted(r.id for r in got) == ["a", "b", "own0", "own1", "own2", "own3"] and sum(added) == 6
+    assert ledger().append(rows(["c"], 1), "job") == 1 and ledger().append(rows(["c", "d"], 2), "job") == 0
+    bad = rows(["e"], 3).withColumn("v", F.when(F.col("id") == "e", F.raise_error(F.lit("no"))).otherwise(1).cast("int"))
+    with pytest.raises(Exception, match="no"):
+        ledger().append(bad)
+    assert {r.id for r in ledger().read().collect()} == {"a", "b", "c", "own0", "own1", "own2", "own3"}
+    assert ledger().append(rows(["e"], 4)) == 1
+    (tmp_path / "l" / "_commits" / "000000099").touch()
+    monkeypatch.setattr(sinks.Ledger, "PATIENCE", 1)
+    with pytest.raises(RuntimeError, match="not named"):
+        ledger().append(rows(["f"], 5))

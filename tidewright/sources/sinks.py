@@ -2,23 +2,107 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import time
+import uuid
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+class Ledger:
+    """An append-only table below ``path`` in which each value of ``key`` has one row, whoever writes.
+
+    A batch is written to a folder of its own by Spark's committer, so that failed and
+    repeated tasks leave nothing. It is seen when ``_commits/<n>`` names it, a file that
+    only one writer can create. The one that comes second takes the first's keys out
+    of its batch and tries the next number. A batch keeps the name of its job: a job
+    that is run again finds itself committed, and adds nothing. A commit that was begun and not
+    named within :data:`PATIENCE` seconds stops other writers with an error, rather than let a
+    key in twice.
+    """
+
+    PATIENCE = 60
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str) -> None:
+        self.spark, self.path, self.schema, self.key = spark, path.rstrip("/"), schema, key
+        self._jvm = spark._jvm
+        self._fs = self._at("").getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _at(self, name: str):  # noqa: ANN202
+        return self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+
+    def _begun(self) -> dict[int, int]:
+        """Numbers of commits with the bytes of their files."""
+        there = self._fs.listStatus(self._at("_commits")) if self._fs.exists(self._at("_commits")) else []
+        return {int(s.getPath().getName()): s.getLen() for s in there if s.getPath().getName().isdigit()}
+
+    def batches(self) -> list[str]:
+        """Names of the batches that are seen, in the order of their commits."""
+        end = time.monotonic() + self.PATIENCE
+        while not all((begun := self._begun()).values()):
+            if time.monotonic() > end:
+                raise RuntimeError(f"a commit of {self.path} was begun and not named: {[n for n, size in begun.items() if not size]}")
+            time.sleep(0.2)
+        if not begun:
+            return []
+        named = self.spark.read.text([f"{self.path}/_commits/{n:09d}" for n in begun]).select(F.col("_metadata.file_name").alias("n"), "value")
+        return [r.value for r in sorted(named.collect(), key=lambda r: r.n)]  # a row for each batch
+
+    def read(self, batches: Sequence[str] | None = None) -> DataFrame:
+        names = self.batches() if batches is None else batches
+        paths = [f"{self.path}/{n}" for n in names if self._fs.exists(self._at(n))]
+        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
+
+    def _commit(self, number: int, name: str) -> bool:
+        """False if another writer has this number."""
+        where = self._at(f"_commits/{number:09d}")
+        if not self._fs.createNewFile(where):
+            return False
+        out = self._fs.create(where, True)
+        try:
+            out.write(bytearray(name.encode()))
+        finally:
+            out.close()
+        return True
+
+    def append(self, rows: DataFrame, job: str | None = None) -> int:
+        """Adds the rows whose key is not there yet; of rows of one key, any one. What is there never changes. Returns how many it added."""
+        job = job or uuid.uuid4().hex
+        seen = self.batches()
+        if any(n.rsplit(".", 1)[0] == job for n in seen):
+            return 0
+        self._fs.mkdirs(self._at("_commits"))
+        fresh = rows.select(*self.schema.names).filter(F.col(self.key).isNotNull()).dropDuplicates([self.key]).join(self.read(seen).select(self.key), self.key, "left_anti").select(*self.schema.names)
+        name = f"{job}.{uuid.uuid4().hex[:8]}"
+        fresh.write.parquet(f"{self.path}/{name}")
+        while True:
+            now = self.batches()
+            begun = self._begun()
+            if len(begun) != len(now):
+                continue  # another one has begun since
+            number = 1 + max(begun, default=0)
+            others = [n for n in now if n not in seen]
+            if any(n.rsplit(".", 1)[0] == job for n in others):  # the same job, run twice at a time
+                self._fs.delete(self._at(name), True)
+                return 0
+            if others:
+                kept = self.read([name]).join(self.read(others).select(self.key), self.key, "left_anti").select(*self.schema.names)
+                again = f"{job}.{uuid.uuid4().hex[:8]}"
+                kept.write.parquet(f"{self.path}/{again}")
+                self._fs.delete(self._at(name), True)
+                name, seen = again, now
+                continue
+            if self._commit(number, name):
+                return self.read([name]).count()
+
+
 def append(rows: DataFrame, path: str, key: str) -> DataFrame:
-    """Adds the rows whose key the ledger has not yet; what is there never changes. Returns what was added."""
-    spark = rows.sparkSession
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fresh = rows.dropDuplicates([key])
-    if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
-        fresh = fresh.join(spark.read.schema(rows.schema).parquet(path).select(key), key, "left_anti").select(*rows.columns)
-    fresh.write.mode("append").parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    """Adds the rows whose key the ledger has not yet; what is there never changes. Returns the ledger."""
+    ledger = Ledger(rows.sparkSession, path, rows.schema, key)
+    ledger.append(rows)
+    return ledger.read()
 
 
 def report(violations: DataFrame, path: str) -> int:
