@@ -84,6 +84,49 @@ def transitions(events: DataFrame) -> DataFrame:
     return events.withColumn("error", error)
 
 
+# What a run can say of itself.
+RUN_STAGES = ("discover", "extract", "dossier", "scenario", "thesis", "cite_check", "publication")
+RUN_VENDORS = ("openai", "anthropic", "google")
+TOKENS = ("input_tokens", "output_tokens", "cached_tokens")
+
+
+def run_problems(calls: DataFrame) -> DataFrame:
+    """Adds ``problem``: the first rule that a call of the run ledger breaks by itself, or null.
+
+    ``calls(kind, tier, stage, vendor, model_id, override_reason, session_id, cost double, input_tokens double,
+    output_tokens double, cached_tokens double)``. A start is judged by what it names; a completion must, a failure may, say a finite
+    cost, whole numbers of tokens and a model.
+    """
+    start = F.col("kind") == "start"
+    blank = lambda c: F.coalesce(F.trim(c) == "", F.lit(True))
+    said = lambda c: F.col(c).isNotNull()
+    endless = lambda c: F.isnan(c) | (F.abs(c) == float("inf"))
+    problem = (
+        F.when(start & ~F.coalesce(F.col("tier").between(0, 3), F.lit(False)), "invalid_tier")
+        .when(start & ~F.coalesce(F.col("stage").isin(*RUN_STAGES), F.lit(False)), "invalid_stage")
+        .when(start & ~F.coalesce(F.col("vendor").isin(*RUN_VENDORS), F.lit(False)), "invalid_vendor")
+        .when(start & blank("model_id"), "model_missing")
+        .when(start & (F.col("vendor") != RUN_VENDORS[0]) & blank("override_reason"), "override_reason_missing")
+        .when(start & said("session_id") & ~F.startswith(F.trim("session_id"), F.lit("sess_")), "invalid_session")
+        .when((F.col("kind") == "complete") & ~said("cost"), "cost_missing")
+        .when(~start & said("cost") & (endless("cost") | (F.col("cost") < 0)), "invalid_cost")
+    )
+    for c in TOKENS:
+        problem = problem.when(~start & said(c) & (endless(c) | (F.col(c) < 0) | (F.col(c) != F.floor(c))), f"invalid_{c}")
+    return calls.withColumn("problem", problem.when(~start & said("model_id") & blank("model_id"), "model_missing"))
+
+
+def run_states(calls: DataFrame) -> DataFrame:
+    """Each run after its sound calls ``(run, seq, …)``: its first start, then the first end after that; the end's model replaces the start's."""
+    sound = run_problems(calls).filter("problem is null")
+    rest = ("vendor", "model_id", "cost", *TOKENS)
+    started = sound.filter("kind = 'start'").groupBy("run").agg(F.min_by(F.struct("seq", *rest), "seq").alias("s"))
+    ended = sound.filter("kind <> 'start'").join(started.select("run", F.col("s.seq").alias("__from")), "run").filter(F.col("seq") > F.col("__from"))
+    end = ended.groupBy("run").agg(F.min_by(F.struct("kind", *rest), "seq").alias("e"))
+    status = F.when(F.col("e").isNull(), "running").when(F.col("e.kind") == "complete", "completed").otherwise("failed")
+    return started.join(end, "run", "left").select("run", status.alias("status"), "s.vendor", F.coalesce("e.model_id", "s.model_id").alias("model_id"), "e.cost", *(F.col(f"e.{c}").cast("long").alias(c) for c in TOKENS))
+
+
 def price_table(spark: SparkSession, prices: Mapping[str, Mapping[str, float | None]]) -> DataFrame:
     """``alias, input, output, cached, creation`` in USD per million tokens."""
     number = lambda x: None if x is None else float(x)

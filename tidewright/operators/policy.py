@@ -36,23 +36,39 @@ def is_wire_service(name: Column) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
-def risks(source_id: Column, archive: Column, cloud: Column, llm: Column, action: Column, name: Column) -> Column:
-    """Names of all risks that an action bears, in their fixed order."""
+def _says(*parts: str | Column) -> Column:
+    """Text put together from columns, null ones as a dash."""
+    return F.concat(*(F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("-")) for p in parts))
+
+
+def _detectors(source_id: Column, archive: Column, cloud: Column, llm: Column, action: Column, name: Column) -> tuple[tuple[str, Column, Column], ...]:
+    """Name, condition and reason of each risk, in their fixed order."""
     calls = action.isin("external_llm_call_with_raw_text", "external_llm_call_with_excerpt")
     whole = action.isin("extract_full_text", "chunk_create")
     unregistered, nameless = source_id.isNull(), F.coalesce(F.trim(name) == "", F.lit(True))
     full = archive == "full_snapshot_allowed"
-    rules = (
-        ("external_llm_raw_text_unauthorized", calls & (unregistered | (llm != "allowed"))),
-        ("paywalled_source_fetch", whole & archive.isin("metadata_only", "excerpt_only")),
-        ("terms_violation", ~action.isin("image_inclusion", "publication_preflight") & (unregistered | (archive == "do_not_collect"))),
-        ("wire_service_full_text", whole & F.when(nameless, ~unregistered).otherwise(is_wire_service(name))),
-        ("article_raw_quote_or_cache", action.isin("quote_storage", "raw_cache") & ~full),
-        ("image_inclusion_without_license", action == "image_inclusion"),
-        ("raw_embedding", (action == "embed") & ~full),
-        ("raw_cloud_upload", (action == "r2_upload") & ~(full & (cloud == "allowed_public_data_only"))),
+    needs_full = _says(action, " needs archive_policy full_snapshot_allowed, not ", archive)
+    return (
+        ("external_llm_raw_text_unauthorized", calls & (unregistered | (llm != "allowed")), F.when(unregistered, _says(action, " for a source that is not registered")).otherwise(_says(action, " needs llm_policy allowed, not ", llm))),
+        ("paywalled_source_fetch", whole & archive.isin("metadata_only", "excerpt_only"), _says(action, " of a source with archive_policy ", archive)),
+        ("terms_violation", ~action.isin("image_inclusion", "publication_preflight") & (unregistered | (archive == "do_not_collect")), F.when(unregistered, _says(action, ": the terms of an unregistered source are not known")).otherwise(_says(action, ": the terms forbid collection"))),
+        ("wire_service_full_text", whole & F.when(nameless, ~unregistered).otherwise(is_wire_service(name)), F.when(nameless, _says(action, ": source ", source_id, " has no name, and may be a wire service")).otherwise(_says(action, " of a wire service: ", name))),
+        ("article_raw_quote_or_cache", action.isin("quote_storage", "raw_cache") & ~full, needs_full),
+        ("image_inclusion_without_license", action == "image_inclusion", _says("no licences of images are kept")),
+        ("raw_embedding", (action == "embed") & ~full, needs_full),
+        ("raw_cloud_upload", (action == "r2_upload") & ~(full & (cloud == "allowed_public_data_only")), _says(action, " needs archive_policy full_snapshot_allowed, not ", archive, ", and cloud_policy allowed_public_data_only, not ", cloud)),
     )
-    return F.array_compact(F.array(*(F.when(rule, F.lit(label)) for label, rule in rules)))
+
+
+def risks(source_id: Column, archive: Column, cloud: Column, llm: Column, action: Column, name: Column) -> Column:
+    """Names of all risks that an action bears, in their fixed order."""
+    return F.array_compact(F.array(*(F.when(rule, F.lit(label)) for label, rule, _ in _detectors(source_id, archive, cloud, llm, action, name))))
+
+
+def explained_risks(source_id: Column, archive: Column, cloud: Column, llm: Column, action: Column, name: Column) -> Column:
+    """The risks of :func:`risks` as structs of ``trigger`` and ``rationale``: what the decision was made on."""
+    found = _detectors(source_id, archive, cloud, llm, action, name)
+    return F.array_compact(F.array(*(F.when(rule, F.struct(F.lit(label).alias("trigger"), why.alias("rationale"))) for label, rule, why in found)))
 
 
 def gate(rows: DataFrame) -> DataFrame:

@@ -21,6 +21,21 @@ def llm_cost_variants(spark, sf_dir):  # noqa: ANN001, ANN201
     return runs.select("run_id", "model", F.col("alias").alias("price_key"), L.cost_subtracting_cached().alias("cost_shared"), L.cost_separate_buckets().alias("cost_separate"))
 
 
+def _calls(t: Tables):  # noqa: ANN202
+    """Calls of the run ledger, many of them wrong in one way or another."""
+    e, i = t.base("events"), F.col("event_id")
+    kind = F.element_at(F.array(*map(F.lit, ("start", "complete", "fail"))), F.when(F.col("event_type").isin("view", "signup"), 1).when(F.col("event_type") == "error", 3).otherwise(2))
+    pick = lambda values, n: F.element_at(F.array(*map(F.lit, values)), (n % len(values) + 1).cast("int"))
+    number = lambda n, odd: F.when(i % odd == 3, -1.0).when(i % odd == 5, 1.5).when(i % odd == 6, None).otherwise((n % 1000).cast("double"))
+    return e.select(
+        F.col("user_id").alias("run"), F.struct("ts", "event_id").alias("seq"), "event_id", kind.alias("kind"), (i % 11 - 1).alias("tier"), pick((*L.RUN_STAGES, "nap"), F.floor(i / 3)).alias("stage"),
+        pick(("openai", "anthropic", "openai", "google", "openai", "acme"), F.floor(i / 2)).alias("vendor"), F.when(i % 13 == 2, " ").when(i % 13 == 4, None).otherwise(F.concat(F.lit("m"), i % 5)).alias("model_id"),
+        F.when(i % 3 > 0, "why").alias("override_reason"), F.when(i % 7 == 1, "run_1").when(i % 7 < 4, F.concat(F.lit(" sess_"), i)).alias("session_id"),
+        F.when(i % 17 == 3, F.lit("NaN").cast("double")).when(i % 17 == 4, F.lit("Infinity").cast("double")).when(i % 17 == 5, -0.5).when(i % 17 == 6, None).otherwise(F.round(F.col("value"), 2)).alias("cost"),
+        number(i * 37, 19).alias("input_tokens"), number(i * 13, 23).alias("output_tokens"), number(i * 7, 29).alias("cached_tokens"),
+    )
+
+
 def _lifecycle(t: Tables):  # noqa: ANN202
     e = t.base("events")
     kind = F.element_at(F.array(*map(F.lit, ("start", "complete", "fail"))), F.when(F.col("event_type").isin("view", "signup"), 1).when(F.col("event_type") == "error", 3).otherwise(2))
@@ -57,6 +72,8 @@ QUERIES = {
     "daily_cost_breakdown": lambda s, d: L.daily_breakdown(Tables(s, d).run_ledger()),
     "weekly_quota_status": _quota,
     "run_terminal_violations": run_terminal_violations,
+    "run_validation": lambda s, d: L.run_problems(_calls(Tables(s, d))).select("event_id", "kind", "problem"),
+    "run_states": lambda s, d: L.run_states(_calls(Tables(s, d))),
     "llm_cost_variants": llm_cost_variants,
     "cache_hit_and_cost_kpis": lambda s, d: L.kpis(Tables(s, d).run_ledger(), Tables(s, d).claim_quote()),
     "metrics_daily": lambda s, d: L.metrics_daily(Tables(s, d).run_ledger()),
@@ -67,7 +84,22 @@ QUERIES = {
 }
 
 _DAILY = "strftime(completed_at, '%Y-%m-%d')"
+_TOKEN = lambda n, odd: f"CASE event_id % {odd} WHEN 3 THEN -1.0 WHEN 5 THEN 1.5 WHEN 6 THEN NULL ELSE (event_id * {n} % 1000)::DOUBLE END::DOUBLE"
+_CALLS = f"""c AS (SELECT user_id AS run, ts, event_id, CASE WHEN event_type IN ('view', 'signup') THEN 'start' WHEN event_type = 'error' THEN 'fail' ELSE 'complete' END AS kind, event_id % 11 - 1 AS tier,
+        (['discover','extract','dossier','scenario','thesis','cite_check','publication','nap'])[event_id // 3 % 8 + 1] AS stage, (['openai','anthropic','openai','google','openai','acme'])[event_id // 2 % 6 + 1] AS vendor,
+        CASE event_id % 13 WHEN 2 THEN ' ' WHEN 4 THEN NULL ELSE 'm' || (event_id % 5) END AS model_id, event_id % 3 > 0 AS why, CASE WHEN event_id % 7 = 1 THEN 'run_1' WHEN event_id % 7 < 4 THEN ' sess_' || event_id END AS session_id,
+        CASE event_id % 17 WHEN 3 THEN 'NaN'::DOUBLE WHEN 4 THEN 'Infinity'::DOUBLE WHEN 5 THEN -0.5 WHEN 6 THEN NULL ELSE round(value, 2) END::DOUBLE AS cost,
+        {_TOKEN(37, 19)} AS input_tokens, {_TOKEN(13, 23)} AS output_tokens, {_TOKEN(7, 29)} AS cached_tokens FROM events),
+    p AS (SELECT *, CASE WHEN kind = 'start' THEN CASE WHEN tier NOT BETWEEN 0 AND 3 THEN 'invalid_tier' WHEN stage = 'nap' THEN 'invalid_stage' WHEN vendor = 'acme' THEN 'invalid_vendor' WHEN coalesce(trim(model_id), '') = '' THEN 'model_missing'
+        WHEN vendor <> 'openai' AND NOT why THEN 'override_reason_missing' WHEN session_id = 'run_1' THEN 'invalid_session' END
+        ELSE CASE WHEN kind = 'complete' AND cost IS NULL THEN 'cost_missing' WHEN NOT isfinite(cost) OR cost < 0 THEN 'invalid_cost' WHEN event_id % 19 IN (3, 5) THEN 'invalid_input_tokens' WHEN event_id % 23 IN (3, 5) THEN 'invalid_output_tokens'
+        WHEN event_id % 29 IN (3, 5) THEN 'invalid_cached_tokens' WHEN trim(model_id) = '' THEN 'model_missing' END END AS problem FROM c)"""
 SQL = {
+    "run_validation": f"WITH {_CALLS} SELECT event_id, kind, problem FROM p",
+    "run_states": f"""WITH {_CALLS}, s AS (SELECT * FROM p WHERE problem IS NULL AND kind = 'start' QUALIFY row_number() OVER (PARTITION BY run ORDER BY ts, event_id) = 1),
+        e AS (SELECT p.* FROM p JOIN s ON s.run = p.run AND (p.ts, p.event_id) > (s.ts, s.event_id) WHERE p.problem IS NULL AND p.kind <> 'start' QUALIFY row_number() OVER (PARTITION BY p.run ORDER BY p.ts, p.event_id) = 1)
+        SELECT s.run, CASE WHEN e.kind IS NULL THEN 'running' WHEN e.kind = 'complete' THEN 'completed' ELSE 'failed' END AS status, s.vendor, coalesce(e.model_id, s.model_id) AS model_id, e.cost,
+        e.input_tokens::BIGINT AS input_tokens, e.output_tokens::BIGINT AS output_tokens, e.cached_tokens::BIGINT AS cached_tokens FROM s LEFT JOIN e USING (run)""",
     "backfill_quota": sql("""WITH g AS (SELECT CAST(completed_at AS DATE) AS d, coalesce(sum(cost_e4) FILTER (stage <> 'click'), 0)::BIGINT AS s, coalesce(sum(cost_e4) FILTER (stage = 'click'), 0)::BIGINT AS b FROM run_ledger WHERE cost_e4 IS NOT NULL GROUP BY 1), u AS (SELECT *, sum(b) OVER (ORDER BY d)::BIGINT AS used FROM g)
         SELECT strftime(d, '%Y-%m-%d') AS day, s / 10000 AS spent_usd, b / 10000 AS backfill_usd, greatest(1500000 - used, 0) / 10000 AS backfill_left_usd, used >= 1500000 AS backfill_stop FROM u"""),
     "daily_cost_total": sql("SELECT coalesce(sum(cost_e4), 0)::BIGINT / 10000.0::DOUBLE AS total_cost_usd FROM run_ledger WHERE completed_at >= TIMESTAMP '2024-01-10' AND completed_at < TIMESTAMP '2024-01-11'"),

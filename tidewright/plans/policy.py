@@ -34,6 +34,12 @@ def _gate(s, d):  # noqa: ANN001, ANN202
     return P.gate(_gate_rows(Tables(s, d))).select("doc_id", "error", "triggers", "gate_mode", "decision")
 
 
+def _rationale(s, d):  # noqa: ANN001, ANN202
+    rows = _gate_rows(Tables(s, d))
+    found = P.explained_risks(*(F.col(c) for c in ("source_id", "archive", "cloud", "llm", "action", "source_name")))
+    return rows.select("doc_id", F.posexplode(found).alias("place", "x")).select("doc_id", F.col("place").cast("long").alias("place"), "x.trigger", "x.rationale")
+
+
 def _wire(s, d):  # noqa: ANN001, ANN202
     x = _gate_rows(Tables(s, d))
     return x.groupBy("source_name", P.is_wire_service(F.col("source_name")).alias("wire")).agg(F.count(F.lit(1)).alias("n"))
@@ -109,6 +115,7 @@ QUERIES = {
     "policy_lookup": _lookup,
     "llm_gate": _llm_gate,
     "policy_gate": _gate,
+    "policy_gate_rationale": _rationale,
     "wire_service": _wire,
     "severity": lambda s, d: _severities(Tables(s, d)).select("intervention_id", "gate_mode", "severity"),
     "batch_report": _report,
@@ -147,6 +154,17 @@ _CLAIMS = """c AS (SELECT doc_id, source, CASE WHEN doc_id % 3 = 0 THEN substrin
 SQL = {
     "policy_lookup": sql("SELECT d.doc_id, p.archive_policy, CASE WHEN p.source_id IS NULL THEN 'source_not_registered' END AS error FROM documents d LEFT JOIN source_policy p ON p.source_id = d.source"),
     "llm_gate": sql("SELECT d.doc_id, CASE WHEN p.source_id IS NULL THEN 'error_not_registered' WHEN llm_policy = 'allowed' THEN 'ok' ELSE 'error_' || llm_policy END AS verdict FROM documents d LEFT JOIN source_policy p ON p.source_id = d.source"),
+    "policy_gate_rationale": sql(f"""WITH {_ROWS}, nf AS (SELECT *, action || ' needs archive_policy full_snapshot_allowed, not ' || archive AS need, archive <> 'full_snapshot_allowed' AS part, coalesce(trim(source_name), '') = '' AS nameless FROM w),
+        r AS (SELECT doc_id, unnest([
+            {{'n': 1, 't': 'external_llm_raw_text_unauthorized', 'w': action LIKE 'external_llm%' AND (source_id IS NULL OR llm <> 'allowed'), 'r': CASE WHEN source_id IS NULL THEN action || ' for a source that is not registered' ELSE action || ' needs llm_policy allowed, not ' || llm END}},
+            {{'n': 2, 't': 'paywalled_source_fetch', 'w': action IN ('extract_full_text', 'chunk_create') AND archive IN ('metadata_only', 'excerpt_only'), 'r': action || ' of a source with archive_policy ' || archive}},
+            {{'n': 3, 't': 'terms_violation', 'w': action NOT IN ('image_inclusion', 'publication_preflight') AND (source_id IS NULL OR archive = 'do_not_collect'), 'r': CASE WHEN source_id IS NULL THEN action || ': the terms of an unregistered source are not known' ELSE action || ': the terms forbid collection' END}},
+            {{'n': 4, 't': 'wire_service_full_text', 'w': action IN ('extract_full_text', 'chunk_create') AND (CASE WHEN nameless THEN source_id IS NOT NULL ELSE wire END), 'r': CASE WHEN nameless THEN action || ': source ' || source_id || ' has no name, and may be a wire service' ELSE action || ' of a wire service: ' || source_name END}},
+            {{'n': 5, 't': 'article_raw_quote_or_cache', 'w': action IN ('quote_storage', 'raw_cache') AND part, 'r': need}},
+            {{'n': 6, 't': 'image_inclusion_without_license', 'w': action = 'image_inclusion', 'r': 'no licences of images are kept'}},
+            {{'n': 7, 't': 'raw_embedding', 'w': action = 'embed' AND part, 'r': need}},
+            {{'n': 8, 't': 'raw_cloud_upload', 'w': action = 'r2_upload' AND NOT (archive = 'full_snapshot_allowed' AND cloud = 'allowed_public_data_only'), 'r': need || ', and cloud_policy allowed_public_data_only, not ' || cloud}}]) AS x FROM nf)
+        SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY x.n) - 1 AS place, x.t AS trigger, x.r AS rationale FROM r WHERE x.w"""),
     "policy_gate": sql(f"""WITH {_ROWS}, e AS (SELECT *, CASE WHEN stage NOT IN {_in(P.STAGES)} THEN 'invalid_stage' WHEN action NOT IN {_in(P.ACTIONS)} THEN 'invalid_action' WHEN archive NOT IN {_in(("unknown", *P.ARCHIVE))} THEN 'invalid_archive'
         WHEN source_id IS NOT NULL AND archive = 'unknown' THEN 'registered_unknown_archive' WHEN source_id IS NOT NULL AND cloud = 'unknown' THEN 'registered_unknown_cloud' WHEN source_id IS NOT NULL AND llm = 'unknown' THEN 'registered_unknown_llm'
         WHEN source_id IS NULL AND archive <> 'unknown' THEN 'unregistered_known_archive' WHEN source_id IS NULL AND cloud <> 'unknown' THEN 'unregistered_known_cloud' WHEN source_id IS NULL AND llm <> 'unknown' THEN 'unregistered_known_llm' END AS ie,
