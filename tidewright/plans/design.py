@@ -8,6 +8,7 @@ from ..operators import design as G
 from ..operators import documents as D
 from ..operators import extraction as E
 from ..operators.search_index import SearchIndex
+from ..operators.vector_index import VectorIndex
 from ..scratch import Scratch
 from ..sources.tables import Tables
 from .views import sql
@@ -63,6 +64,13 @@ def _knn(s, d):  # noqa: ANN001, ANN202
     return G.knn(v, v.filter("vec_id % 50 = 0"), 5).select("query_id", "other_id", F.col("rank").cast("long").alias("rank"), F.round("cosine", 9).alias("cosine"))
 
 
+def _ann(s, d):  # noqa: ANN001, ANN202
+    """Each query's neighbours over the index; what share of the exact ones they are is tested."""
+    v = Tables(s, d).base("embeddings")
+    found = VectorIndex(v).search(v.filter("vec_id % 50 = 0"), 5)
+    return found.select("query_id", "other_id", F.col("rank").cast("long").alias("rank"), F.round("cosine", 9).alias("cosine"))
+
+
 def _graph(t: Tables):  # noqa: ANN202
     n = t.documents().count()
     return t.documents().select(F.col("doc_id").alias("src"), ((F.col("doc_id") * 7 + 1) % n).alias("dst"))
@@ -282,6 +290,7 @@ QUERIES = {
     "communities": lambda s, d: G.communities(_graph(Tables(s, d)), 2),
     "fulltext_search": _fulltext,
     "graph_scan": _graph_scan,
+    "embedding_ann": _ann,
     "lineage_recursive": _lineage,
     "revision_lineage": _revisions,
     "publication_trace": _trace,
