@@ -344,3 +344,24 @@ def test_citations(spark):
     ids = spark.createDataFrame([(x,) for x in ("a1", "a2", "a-3", "a.4", "a5", "a-6", "b7", None)], "claim_id string")
     works = spark.createDataFrame([(["a1"], "see a2, xa5 and a5_"), ([], "(a-3) a-66 axx4 a?6"), (None, None), ([], "a.4"), ([], "xa-6"), (["zz"], "")], "listed array<string>, body string")
     assert sorted(r.claim_id for r in documents.cited(ids, works).collect()) == ["a-3", "a.4", "a1", "a2"]
+
+
+def test_metric_specifications(spark):
+    from tidewright.operators import metric_specs as M
+
+    table = spark.createDataFrame([("a", 1, 5), ("a", 2, 7), ("a", 3, 0), ("b", 1, None), ("b", 2, 4), (None, 1, 1)], "g string, t int, v long")
+    spec = {"id": "m", "group": ["g", "t"], "value": "v * 2", "function": "sum", "order": "t", "window": 2}
+    got = {(r.g, r.t): r.value for r in M.compiled(table, spec).collect()}
+    assert got == {("a", 1): 10.0, ("a", 2): 24.0, ("a", 3): 14.0, ("b", 1): None, ("b", 2): 8.0, (None, 1): 2.0}
+    assert {r.value for r in M.compiled(table, {"id": "n", "group": [], "value": "v", "function": "count", "filter": "v > 0"}).collect()} == {4.0}
+    change = {k: v for k, v in spec.items() if k != "window"} | {"change": 1}
+    assert {(r.g, r.t): r.value for r in M.compiled(table, change).filter("g = 'a'").collect()} == {("a", 1): None, ("a", 2): 0.4, ("a", 3): -1.0}
+    import json
+
+    assert M.spec_sha256(spec) == M.spec_sha256(json.dumps(dict(reversed(spec.items())), indent=2)) != M.spec_sha256({**spec, "window": 3})
+    both = M.derived({"x": table}, [("x", spec), ("x", json.dumps(spec)), ("x", change)], "v1", {"a": "1"})
+    assert both.count() == 12 and both.select("spec_sha256").distinct().count() == 2
+    assert M.derived({"x": table}, [("x", spec)], "v1", {"a": "2"}).first().lock_sha256 != both.first().lock_sha256
+    for bad in ("[", {"id": "x"}, {**spec, "function": "median"}, {**spec, "more": 1}, {**spec, "order": "v"}, {**spec, "window": 0}, {**spec, "change": 1}, {**spec, "group": [1]}, {**spec, "window": True}):
+        with pytest.raises(ValueError):
+            M.parsed(bad)

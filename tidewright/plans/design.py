@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import design as G
 from ..operators import documents as D
 from ..operators import extraction as E
+from ..operators import metric_specs as M
 from ..operators.search_index import SearchIndex
 from ..operators.vector_index import VectorIndex
 from ..scratch import Scratch
@@ -243,6 +244,23 @@ def _spec(s, d):  # noqa: ANN001, ANN202
     return G.repeated_keys(out, ["key"])
 
 
+#: Two specifications as they would lie in files, one of them twice with other blanks.
+SPECS = (
+    ("lineitem", {"id": "met_quantity", "group": ["l_returnflag", "month"], "value": "cast(round(l_quantity * 100) as bigint)", "function": "sum", "filter": "l_linestatus = 'F'", "order": "month", "window": 3}),
+    ("orders", '{"id": "met_orders", "group": ["o_orderpriority", "year"], "value": "o_orderkey", "function": "count", "order": "year", "change": 1, "decimals": 9}'),
+    ("orders", '{ "function": "count", "id": "met_orders", "group": ["o_orderpriority", "year"], "value": "o_orderkey", "order": "year", "change": 1, "decimals": 9 }'),
+)
+
+
+def _derived(s, d):  # noqa: ANN001, ANN202
+    t = Tables(s, d)
+    tables = {
+        "lineitem": t.base("lineitem").withColumn("month", F.date_format("l_shipdate", "yyyy-MM")),
+        "orders": t.base("orders").withColumn("year", F.year("o_orderdate")),
+    }
+    return M.derived(tables, SPECS, "vintage_1", {"engine": "1"}).select("metric", "spec_sha256", "dimensions", "value")
+
+
 def _near(s, d):  # noqa: ANN001, ANN202
     return D.near_duplicates(Tables(s, d).documents()).select(F.col("id").alias("doc_id"), "class_id")
 
@@ -291,6 +309,7 @@ QUERIES = {
     "fulltext_search": _fulltext,
     "graph_scan": _graph_scan,
     "embedding_ann": _ann,
+    "derived_metrics": _derived,
     "lineage_recursive": _lineage,
     "revision_lineage": _revisions,
     "publication_trace": _trace,
@@ -340,6 +359,11 @@ SQL = {
     "retrieval_recall_at_k": f"WITH {_KNN}, g AS (SELECT query_id AS case_id, count(*) FILTER (rank <= 5 AND other_id % 2 = 0) AS hit, count(*) FILTER (other_id % 2 = 0) AS want FROM r WHERE rank <= 10 GROUP BY 1) SELECT case_id, CASE WHEN want = 0 THEN 1.0::DOUBLE ELSE hit / want END AS recall, CASE WHEN want = 0 THEN true ELSE hit / want >= 0.8 END AS passed FROM g",
     "embedding_knn": f"WITH {_KNN} SELECT query_id, other_id, rank, round(cosine, 9) AS cosine FROM r WHERE rank <= 5",
     "lineage_recursive": f"WITH RECURSIVE {_GRAPH}, w(root, node, hops) AS (SELECT doc_id, doc_id, 0 FROM documents UNION ALL SELECT w.root, g.dst, w.hops + 1 FROM w JOIN g ON g.src = w.node WHERE w.hops < 5) SELECT root, node, min(hops)::BIGINT AS hops FROM w GROUP BY 1, 2",
+    "derived_metrics": f"""WITH q AS (SELECT l_returnflag, strftime(l_shipdate, '%Y-%m') AS month, sum(CAST(round(l_quantity * 100) AS BIGINT)) AS v FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1, 2),
+        o AS (SELECT o_orderpriority, year(o_orderdate) AS year, count(*) AS v FROM orders GROUP BY 1, 2), c AS (SELECT *, lag(v) OVER (PARTITION BY o_orderpriority ORDER BY year) AS b FROM o)
+        SELECT 'met_quantity' AS metric, '{M.spec_sha256(SPECS[0][1])}' AS spec_sha256, '{{"l_returnflag":"' || l_returnflag || '","month":"' || month || '"}}' AS dimensions,
+            (sum(v) OVER (PARTITION BY l_returnflag ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))::DOUBLE AS value FROM q
+        UNION ALL SELECT 'met_orders', '{M.spec_sha256(SPECS[1][1])}', '{{"o_orderpriority":"' || o_orderpriority || '","year":' || year || '}}', round((v - b)::DOUBLE / b, 9) FROM c""",
     "revision_lineage": "WITH RECURSIVE w(root, node, hops) AS (SELECT doc_id, doc_id, 0 FROM documents UNION ALL SELECT root, node // 3, hops + 1 FROM w WHERE node > 0) SELECT root, node, min(hops)::BIGINT AS hops FROM w GROUP BY 1, 2",
     "publication_trace": sql("""WITH c AS (SELECT q.claim_id, q.thesis_id, q.doc_id, regexp_extract(q.thesis_id, '([0-9]+)', 1)::BIGINT AS n, 'snap_' || substring(sha256(coalesce(text, '')), 1, 16) AS snap FROM claim_quote q)
         SELECT 'pub_' || (n // 2) AS root, 'drf_' || n AS draft, thesis_id AS thesis, 'scn_' || n || '_r1' AS revision, claim_id AS claim, CASE WHEN doc_id % 20 <> 0 THEN snap END AS snapshot, 4 + (doc_id % 20 <> 0)::BIGINT AS hops FROM c"""),
