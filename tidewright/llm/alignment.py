@@ -48,7 +48,7 @@ from ..scratch import Scratch
 from .block_lookup import entries, look_up, numbers
 from .tokens import encode_plain, vocabulary
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Stretches whose tokens a worker remembers, and the longest that it does.
 REMEMBERED, MOST_CHARS = 200_000, 64
 
@@ -102,6 +102,7 @@ class Vocabularies:
 
         self.a_path, self.pieces = a, sentencepiece.SentencePieceProcessor(model_file=b)
         bytes_of, slow = _byte_level(), _plain(a)
+        _plain.cache_clear()  # needed again for very long runs only
         self.a = [bytes(bytes_of[c] for c in slow.id_to_token(i)) if i < 50256 else slow.id_to_token(i).encode() for i in range(slow.get_vocab_size())]
         names = [self.pieces.id_to_piece(i) for i in range(self.pieces.vocab_size())]
         self.b = [bytes([int(p[3:5], 16)]) if self.pieces.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
