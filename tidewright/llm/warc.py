@@ -6,10 +6,14 @@ writes every record as a gzip member of its own and beside each archive an index
 of record id, offset and length, so that any record can be read alone.
 ``read`` parses normalised archives; ``read_one`` seeks to one record.
 
-Files are written by tasks through ``pyarrow.fs`` under names that depend on the
-task's partition and attempt only where an attempt is retried; a reader gets the
-list of files from the tasks that succeeded, so that a lost or repeated task
-leaves no record twice. Null payloads are empty; a null url is ``urn:none``.
+Files are written by tasks through ``pyarrow.fs`` under random names; a reader gets
+the list of files from the tasks that succeeded, so that a lost or repeated task
+leaves no record twice, and what it wrote is never read (it goes with the scratch
+folder).
+
+Defined cases: null payloads are empty; a null url is ``urn:none``; rows that repeat an
+id are records of their own; a row without an id is a response, and no others revisit it;
+an empty table gives no archives and no rows; extra columns are not read.
 """
 
 from __future__ import annotations
