@@ -365,3 +365,14 @@ def test_metric_specifications(spark):
     for bad in ("[", {"id": "x"}, {**spec, "function": "median"}, {**spec, "more": 1}, {**spec, "order": "v"}, {**spec, "window": 0}, {**spec, "change": 1}, {**spec, "group": [1]}, {**spec, "window": True}):
         with pytest.raises(ValueError):
             M.parsed(bad)
+
+
+def test_scratch_tables_are_closed(spark):
+    from tidewright.scratch import Scratch
+
+    scratch = Scratch(spark, "closed")
+    df = scratch.save(spark.range(3), "a")
+    assert df.count() == 3
+    scratch.close()
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch.root)
+    assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)

@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
+_open: list[Scratch] = []
+
+
+@atexit.register
+def _close_all() -> None:
+    for scratch in list(_open):
+        with suppress(Exception):  # the session, or its gateway, may be gone
+            scratch.close()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,13 +40,21 @@ class Scratch:
     """Parquet tables under one fresh folder of the shared directory.
 
     A table that a returned DataFrame still reads must stay; all others are
-    dropped as soon as what follows them is written.
+    dropped as soon as what follows them is written. :meth:`close` removes what is left,
+    once its results are read; the end of the driver's program closes all.
     """
 
     def __init__(self, spark: SparkSession, label: str) -> None:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
         self._n = 0
+        _open.append(self)
+
+    def close(self) -> None:
+        """Removes the folder with all its tables; DataFrames that read them can't be used any more."""
+        if self in _open:
+            _open.remove(self)
+        self.drop(self.root)
 
     def path(self, name: str) -> str:
         self._n += 1
