@@ -11,8 +11,8 @@ import pytest
 from tidewright.plans import catalogue
 
 QUERIES, SQL = catalogue.queries(), catalogue.oracle_sql()
-#: Held against plain code in test_operators.py; the approximate neighbours against exact ones in test_vector_index.py.
-NO_SQL = {"html_to_text_full", "surrogate_id", "extract_pipeline", "robots_cache", "embedding_ann"}
+#: Held against plain code in test_operators.py; the approximate neighbours in test_vector_index.py, the communities in test_modularity.py.
+NO_SQL = {"html_to_text_full", "surrogate_id", "extract_pipeline", "robots_cache", "embedding_ann", "modular_communities"}
 
 
 @pytest.fixture(scope="module")

@@ -8,6 +8,7 @@ from ..operators import design as G
 from ..operators import documents as D
 from ..operators import extraction as E
 from ..operators import metric_specs as M
+from ..operators.modularity import modular_communities
 from ..operators.search_index import SearchIndex
 from ..operators.vector_index import VectorIndex
 from ..scratch import Scratch
@@ -309,6 +310,7 @@ QUERIES = {
     "fulltext_search": _fulltext,
     "graph_scan": _graph_scan,
     "embedding_ann": _ann,
+    "modular_communities": lambda s, d: modular_communities(_graph(Tables(s, d))),
     "derived_metrics": _derived,
     "lineage_recursive": _lineage,
     "revision_lineage": _revisions,
