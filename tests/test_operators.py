@@ -376,3 +376,17 @@ def test_scratch_tables_are_closed(spark):
     scratch.close()
     path = spark._jvm.org.apache.hadoop.fs.Path(scratch.root)
     assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def test_ids_in_documents(spark):
+    from tidewright.functions.markup import content_lines
+    from tidewright.operators import doc_ids
+
+    text = "# REQ-001: a\n| REQ-002 | x |\n```\nQ-100\n~~~\n```\nsee `AC-001`, [DEC-001](https://x/Q-101 \"t\") ``Q-102`` ![Q-103](y)\n\tQ-104\n<!-- Q-105\nQ-106 --> TASK-001\n## Removed Q-005: b\n### Note Q-006 is open\n[Q-107]: http://z\nXREQ-001 REQ-0012345 REQ-001-x REQ-001#y\n- ASM-001: c"
+    assert [n for n, _ in content_lines("a\n````\nb\n```\nc\n````\nd\n    e\nf<!--g\nh\ni-->j")] == [1, 7, 9, 10, 11]
+    docs = spark.createDataFrame([("docs/a.md", text), ("docs/b.md", "| REQ-001 | y |\n| REQ-002 | y |\nREQ-009"), ("docs/adr/0007-x.md", None), ("docs/adr/ADR-0008-y.md", "# ADR-0009: z"), (None, "Q-005")], "path string, text string")
+    found = doc_ids.found_ids(docs)
+    roles = {(r.id, r.role) for r in found.collect()}
+    assert {i for i, role in roles if role == "canonical"} == {"REQ-001", "Q-005", "ASM-001", "ADR-0007", "ADR-0009"} and {i for i, role in roles if role == "table"} == {"REQ-001", "REQ-002"}
+    assert {i for i, role in roles if role == "reference"} == {"REQ-001", "REQ-002", "REQ-009", "AC-001", "DEC-001", "TASK-001", "Q-005", "Q-006", "ASM-001", "ADR-0009"}
+    assert {tuple(r) for r in doc_ids.problems(found).collect()} == {("REQ-002", "duplicate_definition", 2), ("REQ-009", "dangling_reference", 1), ("AC-001", "dangling_reference", 1), ("DEC-001", "dangling_reference", 1), ("TASK-001", "dangling_reference", 1), ("Q-006", "dangling_reference", 1)}

@@ -207,3 +207,33 @@ def bare_code(code: str) -> str:
         out += [code[at:i], _LINE.sub(" ", code[i:end])]
         at = end
     return "".join(out) + code[at:]
+
+
+_FENCE = re.compile(r" {0,3}(`{3,}|~{3,})(.*)")
+
+
+def content_lines(text: str) -> list[tuple[int, str]]:
+    """Lines of a Markdown text with their numbers, without fenced and indented code and without HTML comments."""
+    out, fence, comment = [], "", False
+    for number, line in enumerate(text.split("\n"), 1):
+        mark = _FENCE.match(line)
+        if fence:
+            if mark and mark[1][0] == fence[0] and len(mark[1]) >= len(fence) and not mark[2].strip():
+                fence = ""
+            continue
+        if not comment:
+            if mark and not (mark[1][0] == "`" and "`" in mark[2]):
+                fence = mark[1]
+                continue
+            if line.startswith(("    ", "\t")):
+                continue
+        kept, at = [], 0
+        while at < len(line):
+            end = line.find("-->" if comment else "<!--", at)
+            if not comment:
+                kept.append(line[at:] if end < 0 else line[at:end])
+            if end < 0:
+                break
+            at, comment = end + (3 if comment else 4), not comment
+        out.append((number, "".join(kept)))
+    return out

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import doc_ids as DI
 from ..operators import documents as D
 from ..operators import registry as R
 from ..sources.tables import Tables
@@ -88,7 +89,21 @@ def _refs(s, d):  # noqa: ANN001, ANN202
     return D.references(definitions, t.select(F.concat(F.lit("REF-"), F.col("doc_id") % 310).alias("ref")), "ref")
 
 
+def _doc_ids(s, d):  # noqa: ANN001, ANN202
+    """Every document's text with headings, tables, links and code that name ids."""
+    i = F.col("doc_id")
+    n = lambda k, mod: F.lpad((i * k % mod + 100).cast("string"), 3, "0")
+    text = F.concat(
+        F.coalesce("text", F.lit("")), F.lit("\n\n## `REQ-"), n(1, 700), F.lit("`: title\n| DEC-"), n(3, 500), F.lit(" | row |\nsee AC-"), n(7, 300), F.lit(" and [the DEC-"), n(5, 600), F.lit("](https://a.example/NFR-101)\n"),
+        F.lit("```\nTASK-123\n```\n    SPIKE-123\n<!-- TRACE-123 -->\n- ASM-"), n(11, 800), F.lit(": so\nhttps://a.example/TEST-123 ![NFR-102](x)\n"),
+    )
+    path = F.when(i % 10 == 0, F.concat(F.lit("docs/adr/"), F.lpad((i % 4000 + 100).cast("string"), 4, "0"), F.lit("-x.md"))).otherwise(F.concat(F.lit("docs/"), i.cast("string"), F.lit(".md")))
+    found = DI.found_ids(Tables(s, d).documents().select(path.alias("path"), text.alias("text")))
+    return DI.problems(found)
+
+
 QUERIES = {
+    "doc_id_problems": _doc_ids,
     "registry_preflight": lambda s, d: R.preflight(*_sets(Tables(s, d))),
     "registry_id_counts": lambda s, d: R.id_counts(_sets(Tables(s, d))[1]),
     "registry_resolve": _resolve,
@@ -114,6 +129,11 @@ def _minus(a: str, b: str, name: str) -> str:
 
 
 SQL = {
+    "doc_id_problems": """WITH c AS (SELECT 'REQ-' || (doc_id % 700 + 100) AS id, 'c' AS role FROM documents UNION ALL SELECT 'ASM-' || (doc_id * 11 % 800 + 100), 'c' FROM documents
+            UNION ALL SELECT 'ADR-' || lpad((doc_id % 4000 + 100)::VARCHAR, 4, '0'), 'c' FROM documents WHERE doc_id % 10 = 0 UNION ALL SELECT 'DEC-' || (doc_id * 3 % 500 + 100), 't' FROM documents),
+        r AS (SELECT 'AC-' || (doc_id * 7 % 300 + 100) AS id, 'r' AS role FROM documents UNION ALL SELECT 'DEC-' || (doc_id * 5 % 600 + 100), 'r' FROM documents UNION ALL SELECT id, 'r' FROM c WHERE id NOT LIKE 'ADR%'),
+        g AS (SELECT id, count(*) FILTER (role = 'c') AS c, count(*) FILTER (role = 't') AS t, count(*) FILTER (role = 'r') AS r FROM (SELECT * FROM c UNION ALL SELECT * FROM r) GROUP BY 1), d AS (SELECT *, CASE WHEN c > 0 THEN c ELSE t END AS n FROM g)
+        SELECT id, CASE WHEN n > 1 THEN 'duplicate_definition' ELSE 'dangling_reference' END AS problem, CASE WHEN n > 1 THEN n ELSE r END AS places FROM d WHERE n <> 1""",
     "registry_preflight": sql(f"WITH {_SETS} {_minus('sm', 'gr', 'slug_map_minus_graph')} UNION ALL {_minus('gr', 'sm', 'graph_minus_slug_map')} UNION ALL {_minus('po', 'sm', 'policy_minus_slug_map')} UNION ALL {_minus('sm', 'po', 'slug_map_minus_policy')}"),
     "registry_id_counts": sql(f"WITH {_SETS} SELECT source_id, count(*) AS n FROM gr WHERE source_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1 UNION ALL SELECT NULL, count(*) - count(source_id) FROM gr"),
     "registry_resolve": sql("WITH r AS (SELECT source_id AS slug, 'Name ' || n AS name, 'https://a.example/' || n AS url FROM source_policy WHERE n % 3 <> 1) SELECT d.slug, coalesce(r.name, d.slug) AS name, r.url FROM (SELECT DISTINCT source AS slug FROM docs) d LEFT JOIN r USING (slug)"),
