@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .ranges import ranked
+from .ranges import Since, ranked, scan
 
 
 def usd(units: Column) -> Column:
@@ -184,6 +184,27 @@ def rule_candidates(ignored: DataFrame, key: str, least: int) -> DataFrame:
     return ignored.groupBy(key).agg(F.count(F.lit(1)).alias("times")).filter(F.col("times") >= least).join(nth, key)
 
 
+#: Archive policies from the loosest to the strictest. Rules are only proposed towards the strict end.
+STRICTER = ("full_snapshot_allowed", "excerpt_only", "metadata_only", "do_not_collect")
+
+
+def domain_rules(cases: DataFrame, current: DataFrame, least: int) -> DataFrame:
+    """Rules for whole domains, where ``cases(id, url, at, wanted)`` asked for a policy ``least`` times or more.
+
+    ``domain, rule, times, reached_at, proposed``: the strictest policy that was wanted, if it is stricter than the domain's
+    ``current(domain, policy)``; a domain without one has the loosest. A user confirms a rule; none is relaxed. A
+    domain of any size is counted range by range.
+    """
+    host = F.lower(F.try_parse_url("url", F.lit("HOST")))
+    rows = cases.select(F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1).alias("domain"), "at", "id", F.array_position(F.array(*map(F.lit, STRICTER)), F.col("wanted")).alias("level"))
+    rows = rows.filter("domain <> '' and level > 0")
+    nth = scan(rows, ["domain"], ["at", "id"], {"nth": Since(F.lit(False), F.lit(True))}).filter(F.col("nth") == least).select("domain", F.col("at").alias("reached_at"))
+    found = rows.groupBy("domain").agg(F.count(F.lit(1)).alias("times"), F.max("level").alias("level")).join(nth, "domain")
+    now = current.select("domain", F.array_position(F.array(*map(F.lit, STRICTER)), F.col("policy")).alias("now"))
+    out = found.join(now, "domain", "left").filter(F.col("level") > F.greatest(F.coalesce("now", F.lit(1)), F.lit(1)))
+    return out.select("domain", F.concat(F.lit("*."), "domain").alias("rule"), "times", "reached_at", F.element_at(F.array(*map(F.lit, STRICTER)), F.col("level").cast("int")).alias("proposed"))
+
+
 def trailing_share(rows: DataFrame, order: Sequence[str], size: int, most: float) -> DataFrame:
     """Rows of ``direction`` in order with the share of the commoner of ``positive``, ``negative`` among the last ``size`` of each stream."""
     w = Window.partitionBy("stream").orderBy(*order).rowsBetween(-(size - 1), 0)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..operators import ledger as L
@@ -55,6 +57,17 @@ def policy_learning_pattern1(spark, sf_dir):  # noqa: ANN001, ANN201
     return L.rule_candidates(i, "source_id", 3).select("source_id", "times", F.date_format("reached_at", "yyyy-MM-dd HH:mm:ss").alias("reached_at"))
 
 
+def policy_learning_pattern2(spark, sf_dir):  # noqa: ANN001, ANN201
+    """Pages that were blocked, by domain; every third domain has an archive policy of its own."""
+    i = F.col("queue_id")
+    pick = lambda n: F.element_at(F.array(*map(F.lit, L.STRICTER)), (n % 4 + 1).cast("int"))
+    q = Tables(spark, sf_dir).queue().withColumn("at", F.coalesce("discovered_at", F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")))
+    cases = q.filter(i % 3 > 0).select(i.alias("id"), "url", "at", pick(F.floor(i / 3)).alias("wanted"))
+    domain = F.regexp_extract(F.lower(F.try_parse_url("url", F.lit("HOST"))), r"([^.]+\.[^.]+)$", 1)
+    current = q.select(domain.alias("domain")).distinct().filter(F.length("domain") % 3 == 0).select("domain", pick(F.length("domain")).alias("policy"))
+    return L.domain_rules(cases, current, 3).withColumn("reached_at", F.date_format("reached_at", "yyyy-MM-dd HH:mm:ss"))
+
+
 def polarity_trailing_50(spark, sf_dir):  # noqa: ANN001, ANN201
     e = Tables(spark, sf_dir).base("events").filter("event_type in ('click', 'purchase', 'error')")
     e = e.select("event_id", "ts", F.when(F.col("event_type") == "error", "negative").when(F.col("value") > 30, "positive").otherwise("neutral").alias("direction"), (F.col("user_id") % 7).alias("stream"))
@@ -80,6 +93,7 @@ QUERIES = {
     "metric_alerts": lambda s, d: L.alerts(L.metrics_daily(Tables(s, d).run_ledger()), [("error", 0.5), ("click", 0.49), ("purchase", 0.55)]),
     "value_percentiles": lambda s, d: L.nearest_rank(Tables(s, d).base("events"), "event_type", "value", {"p50": 0.5, "p95": 0.95}),
     "policy_learning_pattern1": policy_learning_pattern1,
+    "policy_learning_pattern2": policy_learning_pattern2,
     "polarity_trailing_50": polarity_trailing_50,
 }
 
@@ -126,6 +140,10 @@ SQL = {
     "metric_alerts": sql(f"""WITH m AS (SELECT {_DAILY} AS day, stage AS metric, sum(cost_e4)::BIGINT / count(*) / 10000.0::DOUBLE AS value FROM run_ledger WHERE cost_e4 IS NOT NULL GROUP BY 1, 2),
         t(metric, threshold) AS (VALUES ('error', 0.5::DOUBLE), ('click', 0.49::DOUBLE), ('purchase', 0.55::DOUBLE)) SELECT day, metric, value, threshold FROM m JOIN t USING (metric) WHERE value > threshold"""),
     "value_percentiles": "SELECT event_type, quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.95) AS p95 FROM events GROUP BY 1",
+    "policy_learning_pattern2": sql("""WITH q AS (SELECT queue_id, lower(regexp_extract(url, '^https?://(?:[^/?#]*[.])?([^./?#:]+[.][^./?#:]+)', 1)) AS domain, coalesce(discovered_at, TIMESTAMP '2024-01-01') AS at_ FROM queue),
+        c AS (SELECT domain, at_, queue_id, queue_id // 3 % 4 + 1 AS level FROM q WHERE queue_id % 3 > 0 AND domain <> ''), n AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY at_, queue_id) AS nth, count(*) OVER (PARTITION BY domain) AS times, max(level) OVER (PARTITION BY domain) AS top FROM c)
+        SELECT domain, '*.' || domain AS rule, times, strftime(at_, '%Y-%m-%d %H:%M:%S') AS reached_at, (['full_snapshot_allowed','excerpt_only','metadata_only','do_not_collect'])[top] AS proposed FROM n
+        WHERE nth = 3 AND top > CASE WHEN length(domain) % 3 = 0 THEN length(domain) % 4 + 1 ELSE 1 END"""),
     "policy_learning_pattern1": sql("""WITH i AS (SELECT source_id, created_at, row_number() OVER (PARTITION BY source_id ORDER BY created_at, intervention_id) AS nth, count(*) OVER (PARTITION BY source_id) AS times FROM intervention WHERE status = 'resolved_ignore')
         SELECT source_id, times, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS reached_at FROM i WHERE nth = 3"""),
     "polarity_trailing_50": """WITH e AS (SELECT event_id, ts, user_id % 7 AS stream, CASE WHEN event_type = 'error' THEN 'negative' WHEN value > 30 THEN 'positive' ELSE 'neutral' END AS direction FROM events WHERE event_type IN ('click', 'purchase', 'error')),
