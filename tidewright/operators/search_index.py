@@ -17,6 +17,7 @@ on frequencies goes down to the reader.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
@@ -31,7 +32,8 @@ PRUNE_FROM = 200_000
 _POSTINGS = "kind string, term string, first boolean, max_often int, min_size int, ids array<string>, often array<int>, size array<int>"
 _TERMS = "segment long, kind string, term string, df long, min_size int, max_often int"
 _KINDS = "segment long, kind string, n long, total long"
-_NODES = "segment long, kind string, id string, terms array<string>, size int"
+_COUNTED = "kind string, id string, terms array<string>, often array<int>, size int"
+_NODES = f"segment long, {_COUNTED}"
 _EDGES = "segment long, src string, dst string, kind string"
 _SCORES = ("bm25", "count")
 Analyser = Callable[[Column], Column]
@@ -58,6 +60,16 @@ def _blocks(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
     return run
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different terms of each node with how often it has them, in place of all of them."""
+    for batch in batches:
+        counts = [Counter(terms) for terms in batch.column("terms").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("kind"), batch.column("id"), pa.array([list(c) for c in counts], pa.list_(pa.string())), pa.array([list(c.values()) for c in counts], pa.list_(pa.int32())), pa.array([c.total() for c in counts], pa.int32())],
+            ["kind", "id", "terms", "often", "size"],
+        )
+
+
 class SearchIndex:
     """An index below ``path``. ``analyser`` makes the terms of a text and of a query; ``score`` is BM25 within a kind, or the number of occurrences."""
 
@@ -89,12 +101,12 @@ class SearchIndex:
         number = segment if segment is not None else max(self._segments, default=0) + 1
         if number in self._segments:
             raise ValueError(f"there is a segment {number}")
-        write = lambda df, name: df.write.mode("append").option("parquet.block.size", str(8 << 20)).parquet(f"{self.path}/{name}")
+        write = lambda df, name: df.write.mode("append").option("parquet.block.size", str(8 << 20)).option("compression", "zstd").parquet(f"{self.path}/{name}")
         numbered = lambda df: df.select(F.lit(number).cast("long").alias("segment"), "*")
-        terms = nodes.select("kind", F.col("id").cast("string").alias("id"), F.flatten(F.array(*(self.analyser(F.col(c)) for c in text_cols))).alias("terms")).withColumn("size", F.size("terms"))
-        write(numbered(terms.repartitionByRange("id").sortWithinPartitions("id")), "nodes")
+        terms = nodes.select("kind", F.col("id").cast("string").alias("id"), F.flatten(F.array(*(self.analyser(F.col(c)) for c in text_cols))).alias("terms"))
+        write(numbered(terms.mapInArrow(_counted, _COUNTED).repartitionByRange("id").sortWithinPartitions("id")), "nodes")
         rows = self.spark.read.schema(_NODES).parquet(f"{self.path}/nodes").filter(F.col("segment") == number)
-        postings = rows.select("kind", "id", "size", F.explode("terms").alias("term")).groupBy("kind", "id", "term", "size").agg(F.count(F.lit(1)).cast("int").alias("often"))
+        postings = rows.select("kind", "id", "size", F.explode(F.arrays_zip("terms", "often")).alias("p")).select("kind", "id", "size", F.col("p.terms").alias("term"), "p.often")
         order = [F.col("term"), F.col("kind"), F.desc("often"), F.col("size"), F.col("id")]
         write(numbered(postings.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_blocks(block), _POSTINGS)), "postings")
         written = self.spark.read.schema(f"segment long, {_POSTINGS}").parquet(f"{self.path}/postings").filter(F.col("segment") == number)
@@ -153,8 +165,8 @@ class SearchIndex:
 
     def _in_full(self, ids: list[str], weights: dict[tuple[str, str], dict[str, float]]) -> DataFrame:
         asked = sorted({t for _, t in weights})
-        words = self.nodes.filter(F.col("id").isin(ids)).select("kind", "id", "size", F.explode("terms").alias("term")).filter(F.col("term").isin(asked))
-        return self._scores(words.groupBy("kind", "term", "id", "size").agg(F.count(F.lit(1)).alias("often")), weights)
+        words = self.nodes.filter(F.col("id").isin(ids)).select("kind", "id", "size", F.explode(F.arrays_zip("terms", "often")).alias("p"))
+        return self._scores(words.select("kind", "id", "size", F.col("p.terms").alias("term"), "p.often").filter(F.col("term").isin(asked)), weights)
 
     def _part(self, often: Column, size: Column, mean: Column) -> Column:
         return often * (K1 + 1) / (often + K1 * (1 - B + B * size / mean)) if self.score == "bm25" else often.cast("double")
