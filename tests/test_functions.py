@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tidewright.functions import markup
 from tidewright.functions import net as N
 from tidewright.functions import text as X
 
@@ -145,3 +147,14 @@ def test_sniffing(spark):
     assert one(spark, "text/xml; q", lambda c: N.charset(F.lit("text/html; charset=ISO-8859-1"), c)) == "iso-8859-1"
     for said, want in (("x; charset='UTF-8'", "utf-8"), ('x; charset="euc-kr";a=b', "euc-kr"), ("x; charset=utf-8\"", "utf-8"), ("x; charset=", "big5"), (None, "big5"), ("x", "big5")):
         assert one(spark, " <?xml version='1.0' encoding='Big5'?>", lambda c, said=said: N.charset(F.lit(said), c)) == want
+
+
+def test_pages_leave_a_batch_in_runs(spark):
+    """Python holds a run of a batch at a time, and rows stay in place over runs, nulls, empty and very long pages."""
+    pages = [None if i % 11 == 3 else "" if i % 11 == 5 else f"<p>{i} &amp; {'x' * (i % 7) * 300}</p>" for i in range(3000)]
+    pages[17] = "<b>" + "y" * 3_000_000
+    parts = list(X._in_runs(markup.to_text, iter([pa.array(pages), pa.array([], pa.string())])))
+    assert len(parts) > 4 and max(p.nbytes for p in parts if len(p) > 1) <= 1 << 20
+    assert [v for p in parts for v in p.to_pylist()] == [None if p is None else markup.to_text(p) for p in pages]
+    got = spark.createDataFrame(list(enumerate(pages)), "i int, html string").coalesce(1).select("i", X.html_to_text(F.col("html")).alias("text")).collect()
+    assert {r.i: r.text for r in got} == {i: " ".join(markup.to_text(p or "").split()) for i, p in enumerate(pages)}

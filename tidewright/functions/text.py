@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -10,17 +10,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import markup
+from .batches import text_runs
 from .markup import DANGEROUS_TAGS, decode_entities  # noqa: F401
 
 TIER_CHARS = {0: 16_000, 1: 16_000, 2: 8_000, 3: 4_000}
 
 
+def _in_runs(f: Callable[[str], str], batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        for values in text_runs(batch):
+            yield pa.array([None if v is None else f(v) for v in values.to_pylist()], pa.string())
+
+
 def _mapped(f: Callable[[str], str], of: Column) -> Column:
-    """A function of one string, over Arrow batches; nulls stay null."""
+    """A function of one string, over runs of Arrow batches; nulls stay null."""
 
     @F.arrow_udf(T.StringType())  # type: ignore[call-overload]
-    def run(values: pa.Array) -> pa.Array:
-        return pa.array([None if v is None else f(v) for v in values.to_pylist()], pa.string())
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return _in_runs(f, batches)
 
     return run(of)
 
