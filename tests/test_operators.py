@@ -7,6 +7,8 @@ import html
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -300,6 +302,25 @@ def test_nearest_neighbours_in_blocks(spark, monkeypatch):
         assert {(r["query_id"], r["other_id"], r["rank"]) for r in design.knn(vectors, queries, 6).collect()} == want
 
 
+def test_nearest_neighbours_hold_the_best_only():
+    """A batch in which all vectors tie costs ``k`` rows a query, and no matrix of all pairs."""
+    import tracemalloc
+
+    ids, x = np.arange(30_000), np.tile([1.0, 2.0], (30_000, 1))
+    x[29_990:] *= -1
+    batch = pa.RecordBatch.from_arrays([pa.array(ids), pa.array(list(x), pa.list_(pa.float64()))], ["id", "v"])
+    tracemalloc.start()
+    held = None
+    for i in range(0, len(ids), design.VECTOR_RUN):
+        part = batch.slice(i, design.VECTOR_RUN)
+        ((own, v),) = design._by_length(part.column(0).to_numpy(), part.column(1)).values()
+        held = design._nearest(ids[:600], x[:600], own, v, 3, held)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert held[0].tolist() == np.repeat(np.arange(600), 3).tolist() and held[1][:6].tolist() == [1, 2, 3, 0, 2, 3] and held[1][-3:].tolist() == [0, 1, 2]
+    assert peak < 120e6
+
+
 def test_policies_of_any_number(spark):
     """Side tables have no limit; whether one is sent to all tasks is the planner's choice, by its size."""
     policies = spark.range(200_001).select(F.concat(F.lit("s"), "id").alias("source_id"), F.when(F.col("id") % 2 == 0, "allowed").otherwise("denied").alias("llm_policy"))

@@ -93,18 +93,19 @@ def evaluation_run(recalls: DataFrame, packs: DataFrame) -> DataFrame:
     return j.groupBy("run").agg(F.count(F.lit(1)).alias("total_cases"), F.avg(F.col("passed").cast("int")).alias("pass_rate"), F.avg("recall").alias("mean_recall"), F.avg(F.coalesce("diversity", F.lit(0.0))).alias("mean_diversity"))
 
 
-#: Queries that are sent to all tasks at a time.
-QUERY_BLOCK = 4096
+#: Queries that are sent to all tasks at a time, and vectors that they are multiplied by at a time.
+QUERY_BLOCK, VECTOR_RUN = 4096, 2048
 
 
 def knn(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """Exact nearest neighbours by cosine of a stated set of queries against every vector: ``query_id, other_id, cosine, rank``.
 
     Queries go out in blocks of about ``QUERY_BLOCK``, so that what is sent is bounded
-    however many there are. A task multiplies a batch of vectors by the block, keeps
-    each query's ``k`` best (with all that could tie), and computes those again term
-    by term in double precision, so that equal vectors have equal cosines. Null and
-    zero vectors, and those of another length, are nobody's neighbour.
+    however many there are. A task multiplies ``VECTOR_RUN`` vectors at a time by the
+    block, computes the best (with all that could tie) again term by term in double
+    precision, so that equal vectors have equal cosines, and holds each query's ``k``
+    best of all its rows. Null and zero vectors, and those of another length, are
+    nobody's neighbour.
     """
     spark = vectors.sparkSession
     asked = queries.select(F.col(id_col).alias("id"), F.transform(vector_col, lambda x: x.cast("double")).alias("v")).filter("id is not null and v is not null")
@@ -116,10 +117,17 @@ def knn(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id",
         shared = spark.sparkContext.broadcast(_by_length(mine.column("id").to_numpy(), mine.column("v").combine_chunks()))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+            held: dict[int, _Held] = {}
             for batch in batches:
-                for size, (ids, x) in _by_length(batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)).items():
-                    if size in shared.value:
-                        yield from _nearest(*shared.value[size], ids, x, k)
+                for i in range(0, batch.num_rows, VECTOR_RUN):
+                    part = batch.slice(i, VECTOR_RUN)
+                    for size, (ids, x) in _by_length(part.column(0).to_numpy(zero_copy_only=False), part.column(1)).items():
+                        if size in shared.value:
+                            held[size] = _nearest(*shared.value[size], ids, x, k, held.get(size))
+            for size, (row, other, cosine) in held.items():
+                for i in range(0, len(row), 1 << 16):
+                    at = slice(i, i + (1 << 16))
+                    yield pa.RecordBatch.from_arrays([pa.array(shared.value[size][0][row[at]]), pa.array(other[at]), pa.array(cosine[at])], ["query_id", "other_id", "cosine"])
 
         part = rows.filter("id is not null and v is not null").mapInArrow(run, "query_id long, other_id long, cosine double")
         found = part if found is None else found.unionByName(part)
@@ -139,20 +147,42 @@ def _by_length(ids: np.ndarray, vectors: pa.Array) -> dict[int, tuple[np.ndarray
     return out
 
 
-def _nearest(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int, rows: int = 1024) -> Iterator[pa.RecordBatch]:
-    """Each query's best of some vectors; those that tie with the last within rounding are all there."""
+#: Place of the query in its block, id of the other vector, cosine; at most ``k`` of each query, in the order of queries.
+_Held = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _best(row: np.ndarray, other: np.ndarray, cosine: np.ndarray, k: int) -> _Held:
+    """Each query's first ``k`` by cosine, then id; no number is the largest, as Spark has it."""
+    order = np.lexsort((other, -np.nan_to_num(cosine, nan=np.inf), row))
+    place = np.arange(len(order)) - np.searchsorted(row[order], row[order], "left")
+    chosen = order[place < k]
+    return row[chosen], other[chosen], cosine[chosen]
+
+
+def _nearest(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int, held: _Held | None = None, rows: int = 512) -> _Held:
+    """Each query's ``k`` best of what was ``held`` and of some vectors; those that tie with the last within rounding are all looked at."""
+    held = held or (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
     if not len(q) or not len(x):
-        return
+        return held
+    bound = np.full(len(q), -np.inf)
+    first = np.searchsorted(held[0], np.arange(len(q)))
+    full = np.flatnonzero(np.append(first[1:], len(held[0])) - first == k)
+    bound[full] = held[2][first[full] + k - 1]
     qn, xn = (np.sqrt(np.cumsum(m * m, axis=1)[:, -1]) for m in (q, x))
+    unit = (x / xn[:, None]).T
+    step = max(1, (1 << 20) // x.shape[1])
     for i in range(0, len(q), rows):
-        near = (q[i : i + rows] / qn[i : i + rows, None]) @ (x / xn[:, None]).T
-        near[query_ids[i : i + rows, None] == ids[None, :]] = -np.inf
+        near = (q[i : i + rows] / qn[i : i + rows, None]) @ unit
+        near[(query_ids[i : i + rows, None] == ids[None, :]) | ~np.isfinite(near)] = -np.inf
         least = np.partition(near, -k, axis=1)[:, -k] if near.shape[1] > k else near.min(1)
-        a, b = np.nonzero((near >= least[:, None] - 1e-9) & np.isfinite(near))
-        for j in range(0, len(a), 1 << 16):
-            u, v = a[j : j + (1 << 16)] + i, b[j : j + (1 << 16)]
-            cosine = np.cumsum(q[u] * x[v], axis=1)[:, -1] / (qn[u] * xn[v])
-            yield pa.RecordBatch.from_arrays([pa.array(query_ids[u]), pa.array(ids[v]), pa.array(cosine)], ["query_id", "other_id", "cosine"])
+        a, b = np.nonzero((near >= np.fmax(least, bound[i : i + rows])[:, None] - 1e-9) & np.isfinite(near))
+        a += i
+        cosine = np.empty(len(a))
+        for j in range(0, len(a), step):
+            u, v = a[j : j + step], b[j : j + step]
+            cosine[j : j + step] = np.cumsum(q[u] * x[v], axis=1)[:, -1] / (qn[u] * xn[v])
+        held = tuple(np.concatenate((h, n)) for h, n in zip(held, _best(a, ids[b], cosine, k), strict=True))
+    return _best(*held, k)
 
 
 def pagerank(edges: DataFrame, rounds: int = 5, damping: float = 0.85) -> DataFrame:
