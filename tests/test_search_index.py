@@ -6,6 +6,7 @@ import math
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -59,3 +60,14 @@ def test_search(spark, tmp_path, score, monkeypatch):
     assert near.get("n0001", "n0002") == "n0002" and near.get("n0003", "") == ""
     with pytest.raises(ValueError, match="segment 1"):
         whole.add(df, ["text"], segment=1)
+
+
+def test_terms_are_counted_in_runs():
+    """Of a batch of long texts, Python holds the terms of a run at a time."""
+    terms = [["a", "b", "a"] * 4000 if i % 2 else None for i in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["d"] * 40), pa.array([str(i) for i in range(40)]), pa.array(terms, pa.list_(pa.string()))], ["kind", "id", "terms"])
+    parts = list(S._counted(iter([batch])))
+    assert len(parts) > 3 and max(sum(p.column("size").to_pylist()) for p in parts) <= 1 << 16
+    rows = [r for p in parts for r in p.to_pylist()]
+    assert [r["id"] for r in rows] == [str(i) for i in range(40)]
+    assert rows[0]["terms"] == [] and rows[1] == {"kind": "d", "id": "1", "terms": ["a", "b"], "often": [8000, 4000], "size": 12000}

@@ -25,8 +25,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.batches import list_runs
+from ..scratch import batches_of
+
 K1, B = 1.2, 0.75
 BLOCK = 512
+#: Nodes, with all their terms, in an Arrow batch.
+ROWS = 500
 #: Postings of a query from which a bound is looked for first. Results are the same either way.
 PRUNE_FROM = 200_000
 _POSTINGS = "kind string, term string, first boolean, max_often int, min_size int, ids array<string>, often array<int>, size array<int>"
@@ -63,11 +68,12 @@ def _blocks(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The different terms of each node with how often it has them, in place of all of them."""
     for batch in batches:
-        counts = [Counter(terms) for terms in batch.column("terms").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("kind"), batch.column("id"), pa.array([list(c) for c in counts], pa.list_(pa.string())), pa.array([list(c.values()) for c in counts], pa.list_(pa.int32())), pa.array([c.total() for c in counts], pa.int32())],
-            ["kind", "id", "terms", "often", "size"],
-        )
+        for part in list_runs(batch, "terms"):
+            counts = [Counter(terms) for terms in part.column("terms").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("kind"), part.column("id"), pa.array([list(c) for c in counts], pa.list_(pa.string())), pa.array([list(c.values()) for c in counts], pa.list_(pa.int32())), pa.array([c.total() for c in counts], pa.int32())],
+                ["kind", "id", "terms", "often", "size"],
+            )
 
 
 class SearchIndex:
@@ -104,7 +110,8 @@ class SearchIndex:
         write = lambda df, name: df.write.mode("append").option("parquet.block.size", str(8 << 20)).option("compression", "zstd").parquet(f"{self.path}/{name}")
         numbered = lambda df: df.select(F.lit(number).cast("long").alias("segment"), "*")
         terms = nodes.select("kind", F.col("id").cast("string").alias("id"), F.flatten(F.array(*(self.analyser(F.col(c)) for c in text_cols))).alias("terms"))
-        write(numbered(terms.mapInArrow(_counted, _COUNTED).repartitionByRange("id").sortWithinPartitions("id")), "nodes")
+        with batches_of(self.spark, ROWS):
+            write(numbered(terms.mapInArrow(_counted, _COUNTED).repartitionByRange("id").sortWithinPartitions("id")), "nodes")
         rows = self.spark.read.schema(_NODES).parquet(f"{self.path}/nodes").filter(F.col("segment") == number)
         postings = rows.select("kind", "id", "size", F.explode(F.arrays_zip("terms", "often")).alias("p")).select("kind", "id", "size", F.col("p.terms").alias("term"), "p.often")
         order = [F.col("term"), F.col("kind"), F.desc("often"), F.col("size"), F.col("id")]
