@@ -158,3 +158,22 @@ def test_pages_leave_a_batch_in_runs(spark):
     assert [v for p in parts for v in p.to_pylist()] == [None if p is None else markup.to_text(p) for p in pages]
     got = spark.createDataFrame(list(enumerate(pages)), "i int, html string").coalesce(1).select("i", X.html_to_text(F.col("html")).alias("text")).collect()
     assert {r.i: r.text for r in got} == {i: " ".join(markup.to_text(p or "").split()) for i, p in enumerate(pages)}
+
+
+def test_shingles_are_hashed_in_small_runs():
+    """What the hashes of a batch take at a time does not follow the batch, and where its texts are cut changes nothing."""
+    import tracemalloc
+
+    from tidewright.functions import words
+
+    text = " ".join(f"word{k * k % 977}" for k in range(500))
+    texts = pa.array([f"{i} {text}" if i % 9 else None for i in range(2000)])
+    alone = [next(words.shingle_sets(texts.slice(i, 1), 3)).tolist() for i in range(60)]
+    tracemalloc.start()
+    first = []
+    for i, g in enumerate(words.shingle_sets(texts, 3)):
+        if i < 60:
+            first.append(g.tolist())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert first == alone and peak < 20e6

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..functions.words import shingle_sets
 from ..operators.components import components
-from ..scratch import Scratch, small
+from ..scratch import Scratch, batches_of, small
 
 #: Counters of the sketch that orders grams; every partition sends this many.
 SKETCH = 1 << 18
@@ -43,6 +43,8 @@ SKETCH = 1 << 18
 RANGES = 64
 #: Ids of documents to verify that are broadcast at most (8 bytes each).
 BROADCAST_IDS = 1_000_000
+#: Texts, and pairs of texts, in an Arrow batch.
+TEXTS, PAIRS = 1000, 500
 
 
 @dataclass(frozen=True)
@@ -209,9 +211,11 @@ class JaccardJoin:
         # A set of rows without ids only has a null id here.
         texts = self.docs.join(wanted, F.col("id").eqNullSafe(F.col("wanted")), "left_semi").mapInArrow(_texts(self.rule.words), "key binary, text string")
         texts = texts.join(keys, "key", "left_semi").dropDuplicates(["key"])
-        texts = self.scratch.save(texts, f"{name}-texts")
+        with batches_of(self.spark, TEXTS):
+            texts = self.scratch.save(texts, f"{name}-texts")
         both = pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("tb")), "b").join(texts.select(F.col("key").alias("a"), F.col("text").alias("ta")), "a")
-        links = self.scratch.save(both.select("a", "b", "ta", "tb").mapInArrow(_verified(self.rule), "a binary, b binary"), f"{name}-links")
+        with batches_of(self.spark, PAIRS):
+            links = self.scratch.save(both.select("a", "b", "ta", "tb").mapInArrow(_verified(self.rule), "a binary, b binary"), f"{name}-links")
         self.scratch.drop(pairs, ids, texts)
         return links
 
@@ -222,7 +226,8 @@ class JaccardJoin:
     def keyed_classes(self) -> DataFrame:
         """:meth:`classes` with the ``key`` of each row's set."""
         spark, rule, scratch = self.spark, self.rule, self.scratch
-        first = scratch.save(self.docs.mapInArrow(_sets(rule.words), _SET_DDL), "sets")
+        with batches_of(spark, TEXTS):
+            first = scratch.save(self.docs.mapInArrow(_sets(rule.words), _SET_DDL), "sets")
         summed = first.filter("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).toArrow()  # at most SKETCH rows, however many documents there are
         counts = np.zeros(SKETCH, np.int64)
         counts[summed.column("id").to_numpy()] = summed.column("n").to_numpy()
@@ -230,7 +235,8 @@ class JaccardJoin:
         members = first.filter("kind = 0").select("id", "key", "n")
         nodes = scratch.save(first.filter("kind = 0 and key is not null").groupBy("key").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("ranges").alias("ranges")).withColumn("k", F.conv(F.hex(F.substring("key", 1, 8)), 16, -10).cast("long")), "nodes")
 
-        posted = scratch.save(self.docs.mapInArrow(_postings(rule, sketch), "gram long, k long, n int, pos int"), "posted")
+        with batches_of(spark, TEXTS):
+            posted = scratch.save(self.docs.mapInArrow(_postings(rule, sketch), "gram long, k long, n int, pos int"), "posted")
         shared = posted.groupBy("gram").agg(F.min("k").alias("least"), F.max("k").alias("most")).filter("least <> most").select("gram")
         lists = scratch.save(posted.join(shared, "gram").distinct(), "lists")
         scratch.drop(posted)
