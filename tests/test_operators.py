@@ -166,6 +166,55 @@ def test_near_duplicates_by_brute_force(spark):
     assert documents.near_duplicates(docs.filter("false")).count() == 0
 
 
+def test_near_duplicates_read_again_only_close_pairs(spark, monkeypatch):
+    """Sets that share a gram by chance are not read again, and no pair is compared twice."""
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(10**9)}"
+    passages = [[word() for _ in range(60)] for _ in range(45)]
+    texts = [passages[i] + passages[15 + i // 2] + passages[30 + (i * 7) % 15] for i in range(15)]
+    texts += [passages[(i * 4) % 15] + passages[23 + i // 2] + passages[30 + i] for i in range(15)]
+    texts.append([*texts[7][:-2], word(), word()])  # a link
+    far = [*texts[8][:-30], *(word() for _ in range(30))]  # no link, and not far from one
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate([*texts, far])], "doc_id long, text string").repartition(3)
+    saved, save = [], documents.Scratch.save
+
+    def seen(self, df, name):
+        out = save(self, df, name)
+        if name.endswith(("-sets", "-close", "-links")):
+            saved.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(documents.Scratch, "save", seen)
+    got = dict(map(tuple, documents.near_duplicates(docs).collect()))
+    assert got == {**{i: i for i in range(32)}, 30: 7}
+    counts = dict(saved)
+    assert counts["anchors-sets"] + counts["across-sets"] <= 4 and counts["anchors-links"] + counts["across-links"] == 1
+    assert counts["anchors-close"] + counts["across-close"] <= 2
+
+
+def test_counts_by_range_never_part_a_link():
+    """Random sets around the threshold, of sizes whose counts have different numbers of ranges, and counts beyond a byte."""
+    rng = np.random.default_rng(3)
+    part, linked, kept = documents._range_counts, 0, 0
+    for _ in range(3000):
+        n = int(rng.integers(1, 600))
+        a = np.unique(rng.integers(0, 2**64, n, np.uint64))
+        own = np.unique(np.concatenate([a[: len(a) - int(rng.integers(0, len(a) // 3 + 1))], rng.integers(0, 2**64, int(rng.integers(0, len(a) // 3 + 1)), np.uint64)]))
+        if not len(own):
+            continue
+        both = len(np.intersect1d(a, own))
+        link = both / (len(a) + len(own) - both) >= 0.8
+        may = documents._may_link(len(a), len(own), part(a), part(own), 0.8)
+        linked, kept = linked + link, kept + may
+        assert may or not link
+    assert linked > 500 and kept < 2700
+    far = np.unique(rng.integers(0, 2**64, 500, np.uint64))
+    other = np.unique(rng.integers(0, 2**64, 500, np.uint64))
+    assert not documents._may_link(500, 500, part(far), part(other), 0.8)
+    dense = np.arange(1000, dtype=np.uint64)  # all in one range
+    assert documents._may_link(1000, 1200, part(dense), part(np.arange(1200, dtype=np.uint64)), 0.8)
+
+
 def test_surrogate_ids(spark, small):
     """Against the hash of the id's eight bytes."""
     import xxhash

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from ..functions.words import shingle_sets
 from ..scratch import Scratch, batches_of
@@ -190,19 +190,38 @@ def _set_key(grams: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(grams.tobytes(), digest_size=8).digest(), "big", signed=True)
 
 
+def _range_counts(grams: np.ndarray) -> bytes:
+    """How many grams fall into each of equal ranges of hashes, a byte each (255: or more). Ranges are a power of two, with two to four grams each."""
+    bits = max(4, len(grams).bit_length() - 2)
+    return np.minimum(np.bincount((grams >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def _may_link(n: int, m: int, x: bytes, y: bytes, least: float) -> bool:
+    """Whether sets of ``n`` and ``m`` grams with these counts by range may share enough: what the counts differ by, the sets differ by at least."""
+    u, v = np.frombuffer(x, np.uint8).astype(np.int32), np.frombuffer(y, np.uint8).astype(np.int32)
+    while len(u) > len(v):
+        u = u[::2] + u[1::2]
+    while len(v) > len(u):
+        v = v[::2] + v[1::2]
+    both = (n + m - int(np.abs(np.minimum(u, 255) - np.minimum(v, 255)).sum())) // 2
+    return both >= (least - 1e-9) * (n + m - both)
+
+
 def _keyed(words: int, schema: pa.Schema):  # noqa: ANN202
-    """Kind 0: each row's id and the hash of its set in ``k`` (null without words); 1: a counter of the sketch in ``k`` and its count in ``often``."""
+    """Kind 0: each row's id and the hash of its set in ``k`` (null without words), its size and counts by range; 1: a counter of the sketch in ``k`` and its count in ``n``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters = np.zeros(SKETCH, np.int64)
         for batch in batches:
-            keys = []
+            keys, sizes, ranges = [], [], []
             for g in shingle_sets(batch.column(1), words):
                 np.add.at(counters, (g & np.uint64(SKETCH - 1)).astype(np.int64), 1)
                 keys.append(_set_key(g) if len(g) else None)
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(keys), np.int32)), batch.column(0), pa.array(keys, pa.int64()), pa.nulls(len(keys), pa.int64())], schema=schema)
+                sizes.append(len(g))
+                ranges.append(_range_counts(g) if len(g) else None)
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(keys), np.int32)), batch.column(0), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(ranges, pa.binary())], schema=schema)
         used = np.flatnonzero(counters)
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(used), np.int32)), pa.nulls(len(used), schema.field("id").type), pa.array(used), pa.array(counters[used])], schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(used), np.int32)), pa.nulls(len(used), schema.field("id").type), pa.array(used), pa.array(counters[used]), pa.nulls(len(used), pa.binary())], schema=schema)
 
     return run
 
@@ -239,6 +258,18 @@ def _grams(words: int):  # noqa: ANN202
     return run
 
 
+def _close(least: float):  # noqa: ANN202
+    """``p, q`` of the pairs whose counts by range leave a link open."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(k).to_pylist() for k in range(2, 6)), strict=True)
+            open_ = pa.array([_may_link(n, m, x, y, least) for n, m, x, y in rows], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(open_), batch.column(1).filter(open_)], ["p", "q"])
+
+    return run
+
+
 def _linked(least: float):  # noqa: ANN202
     """``a, b`` of the pairs that are near, from both sets."""
 
@@ -267,21 +298,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     one keeps grams of very many sets out of prefixes. Each posting is first compared
     with one anchor of its gram and length class; what links is contracted, and only
     sets of different classes are paired after, so that a large group of near copies
-    costs a pair for each member and gram.
+    costs a pair for each member and gram. A pair passes the counts of both sets by range
+    of hashes (a byte for two to four grams) before any text of it is read again: most
+    pairs share a gram by chance, and their number grows faster than the table.
 
     A text shorter than a shingle is one shingle; one without words has none, and is
     alone. Rows that repeat an id are one document's, and each is returned; a null id is
     the smallest only where no row of the class has one. Extra columns are ignored.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "near-duplicates")
-    schema = StructType([StructField("kind", IntegerType()), StructField("id", docs.schema[id_col].dataType), StructField("k", LongType()), StructField("often", LongType())])
+    schema = StructType([StructField("kind", IntegerType()), StructField("id", docs.schema[id_col].dataType), StructField("k", LongType()), StructField("n", LongType()), StructField("ranges", BinaryType())])
     texts = docs.select(F.col(id_col).alias("id"), F.lower(text_col).alias("text"))
     keyed = scratch.save(texts.mapInArrow(_keyed(words, to_arrow_schema(schema)), schema), "keys")
     rows = keyed.filter("kind = 0").select("id", "k")
 
-    counted = keyed.filter("kind = 1").groupBy("k").agg(F.sum("often").alias("often")).toArrow()  # at most SKETCH rows
+    # One id for each set; it may stand for several texts.
+    nodes = scratch.save(keyed.filter("kind = 0 and k is not null").groupBy("k").agg(F.min(F.struct(F.col("id").isNull(), "id")).alias("first"), F.first("n").alias("n"), F.first("ranges").alias("ranges")).select("k", F.col("first.id").alias("need"), "n", "ranges"), "nodes")
+
+    counted = keyed.filter("kind = 1").groupBy("k").agg(F.sum("n").alias("n")).toArrow()  # at most SKETCH rows
     often = np.zeros(SKETCH, np.int64)
-    often[counted.column("k").to_numpy()] = counted.column("often").to_numpy()
+    often[counted.column("k").to_numpy()] = counted.column("n").to_numpy()
     sketch = spark.sparkContext.broadcast(often)
     posted = scratch.save(texts.select("text").mapInArrow(_prefixes(sketch, words, least), "k long, n int, pos int, gram long"), "posted")
     several = posted.groupBy("gram").agg(F.min("k").alias("first"), F.max("k").alias("last")).filter("first <> last").select("gram")
@@ -290,19 +326,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     enough = f"least(x.n, y.n) >= {least} * greatest(x.n, y.n) - 1e-9 and (1 + least(x.n - x.pos - 1, y.n - y.pos - 1)) * {1 + least} >= {least} * (cast(x.n as bigint) + y.n) - 1e-9"
 
     def links(pairs: DataFrame, name: str) -> DataFrame:
-        """Which of the pairs ``(p, q)`` link; only texts of sets that a pair has are read again."""
-        pairs = scratch.save(pairs.distinct(), f"{name}-pairs")
-        wanted = pairs.select(F.explode(F.array("p", "q")).alias("k")).distinct()
-        # One id for each set; it may stand for several texts.
-        needed = rows.join(wanted, "k", "left_semi").groupBy("k").agg(F.min(F.struct(F.col("id").isNull(), "id")).alias("first")).select(F.col("first.id").alias("need")).distinct()
+        """Which of the different pairs ``(p, q)`` link; only texts of sets that a close pair has are read again."""
+        side = lambda k, x, *columns: x.select(F.col("k").alias(k), *(F.col(c).alias(f"{c}_{k}") for c in columns))
+        counts = pairs.join(side("p", nodes, "n", "ranges"), "p").join(side("q", nodes, "n", "ranges"), "q").select("p", "q", "n_p", "n_q", "ranges_p", "ranges_q")
+        with batches_of(spark, 1000):
+            close = scratch.save(counts.mapInArrow(_close(least), "p long, q long"), f"{name}-close")
+        wanted = close.select(F.explode(F.array("p", "q")).alias("k")).distinct()
+        needed = nodes.join(wanted, "k", "left_semi").select("need").distinct()
         again = texts.join(needed, F.col("id").eqNullSafe(F.col("need")), "left_semi").select("text").mapInArrow(_grams(words), "k long, g binary")
         with batches_of(spark, 1000):
             sets = scratch.save(again.join(wanted, "k", "left_semi").dropDuplicates(["k"]), f"{name}-sets")
-        side = lambda k, g: sets.select(F.col("k").alias(k), F.col("g").alias(g))
-        both = pairs.join(side("p", "gp"), "p").join(side("q", "gq"), "q").select("p", "q", "gp", "gq")
+        both = close.join(side("p", sets, "g"), "p").join(side("q", sets, "g"), "q").select("p", "q", "g_p", "g_q")
         with batches_of(spark, 500):
             found = scratch.save(both.mapInArrow(_linked(least), "a long, b long"), f"{name}-links")
-        scratch.drop(pairs, sets)
+        scratch.drop(close, sets)
         return found
 
     # The set that has a gram earliest has the fewest grams of its own: the middle of a group of near copies.
@@ -310,17 +347,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classed = lists.withColumn("c", length)
     anchors = classed.groupBy("gram", "c").agg(F.min(F.struct("pos", "n", "k")).alias("anchor")).select("gram", "c", "anchor.*")
     first = classed.alias("x").join(anchors.alias("y"), F.expr(f"x.gram = y.gram and abs(x.c - y.c) <= 1 and x.k <> y.k and {enough}"))
-    found = links(first.select(F.least("x.k", "y.k").alias("p"), F.greatest("x.k", "y.k").alias("q")), "anchors")
+    met = scratch.save(first.select(F.least("x.k", "y.k").alias("p"), F.greatest("x.k", "y.k").alias("q")).distinct(), "met")
+    found = links(met, "anchors")
     groups = components(found, scratch)
     rooted = scratch.save(lists.join(groups.select(F.col("node").alias("k"), "root"), "k", "left").withColumn("root", F.coalesce("root", "k")), "rooted")
     # Two sets in one list have met as set and anchor.
     mixed = rooted.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("sets")).filter("low <> high and sets > 2").select("gram")
     open_lists = scratch.save(rooted.join(mixed, "gram"), "mixed")
     across = open_lists.alias("x").join(open_lists.alias("y"), F.expr(f"x.gram = y.gram and x.k < y.k and x.root <> y.root and {enough}"))
-    more = links(across.select(F.col("x.k").alias("p"), F.col("y.k").alias("q")), "across")
+    more = links(across.select(F.col("x.k").alias("p"), F.col("y.k").alias("q")).distinct().join(met, ["p", "q"], "left_anti"), "across")
     if not more.isEmpty():
         groups = components(found.unionByName(more), scratch)
-    scratch.drop(lists, rooted, open_lists)
+    scratch.drop(nodes, met, lists, rooted, open_lists)
 
     named = scratch.save(rows.join(groups.select(F.col("node").alias("k"), "root"), "k", "left").select("id", "k", F.coalesce("root", "k").alias("root")), "rooted-rows")
     heads = named.filter("root is not null").groupBy("root").agg(F.min("id").alias("class_id"))
