@@ -125,3 +125,25 @@ def test_ledger_has_one_row_a_key(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(sinks.Ledger, "PATIENCE", 1)
     with pytest.raises(RuntimeError, match="not named"):
         ledger().append(rows(["f"], 5))
+
+
+def test_commit_has_one_writer(spark, tmp_path):
+    """Of writers that try one number at the same time, one gets it, and its name stays."""
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+
+    ledger = sinks.Ledger(spark, f"{tmp_path}/l", spark.createDataFrame([], "id string").schema, "id")
+    ledger._fs.mkdirs(ledger._at("_commits"))
+    together = Barrier(8)
+
+    def tries(writer):
+        got = []
+        for n in range(100):
+            together.wait(10)
+            got.append(ledger._commit(n, f"w{writer}"))
+        return got
+
+    with ThreadPoolExecutor(8) as pool:
+        won = list(zip(*pool.map(tries, range(8)), strict=True))
+    assert [sum(x) for x in won] == [1] * 100
+    assert [(tmp_path / "l" / "_commits" / f"{n:09d}").read_text() for n in range(100)] == [f"w{x.index(True)}" for x in won]

@@ -55,10 +55,16 @@ class Ledger:
         paths = [f"{self.path}/{n}" for n in names if self._fs.exists(self._at(n))]
         return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
 
+    def _create(self, where) -> bool:  # noqa: ANN001
+        """False if the file is there. On local disks Hadoop looks first and creates after, so that two callers may both succeed; Java's own call is one step."""
+        if self._fs.getUri().getScheme() == "file":
+            return self._jvm.java.io.File(self._fs.makeQualified(where).toUri().getPath()).createNewFile()
+        return self._fs.createNewFile(where)
+
     def _commit(self, number: int, name: str) -> bool:
         """False if another writer has this number."""
         where = self._at(f"_commits/{number:09d}")
-        if not self._fs.createNewFile(where):
+        if not self._create(where):
             return False
         out = self._fs.create(where, True)
         try:
